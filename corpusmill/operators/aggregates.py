@@ -81,17 +81,36 @@ def last_message(df: DataFrame, conversation: str, turn: str, text: str) -> Data
     return df.groupBy(conversation).agg(F.max_by(text, turn).alias("last_text"))
 
 
+TURN_BLOCK = 1000
+
+
 def answer_pairs(df: DataFrame) -> DataFrame:
-    """(conv_id, turn, question, answer): a user turn followed by an assistant turn."""
-    order = Window.partitionBy("conv_id").orderBy("turn")
-    following = df.select(
+    """(conv_id, turn, question, answer): a user turn followed by an assistant turn.
+
+    The next turn is looked up inside blocks of turn numbers, and for the last
+    row of a block at the head of the next block, so that one very long
+    conversation is spread over many tasks.
+    """
+    turns = df.select(
         "conv_id",
+        F.floor(F.col("turn") / TURN_BLOCK).alias("block"),
         "turn",
         "role",
-        F.col("text").alias("question"),
-        F.lead("role").over(order).alias("next_role"),
-        F.lead("text").over(order).alias("answer"),
+        F.struct("role", "text").alias("said"),
+    )
+    inside = Window.partitionBy("conv_id", "block").orderBy("turn")
+    blocks = Window.partitionBy("conv_id").orderBy("block")
+    heads = (
+        turns.groupBy("conv_id", "block")
+        .agg(F.min_by("said", "turn").alias("head"))
+        .withColumn("after", F.lead("head").over(blocks))
+        .drop("head")
+    )
+    following = (
+        turns.withColumn("next", F.lead("said").over(inside))
+        .join(heads, ["conv_id", "block"])
+        .withColumn("next", F.coalesce("next", "after"))
+    )
+    return following.filter("role = 'user' AND next.role = 'assistant'").select(
+        "conv_id", "turn", F.col("said.text").alias("question"), F.col("next.text").alias("answer")
     )
-    return following.filter(
-        (F.col("role") == "user") & (F.col("next_role") == "assistant")
-    ).select("conv_id", "turn", "question", "answer")

@@ -80,16 +80,14 @@ def _(spark, sf):
     """SELECT doc_id, replace(text, chr(10), ' ') AS text FROM documents""",
 )
 def _(spark, sf):
-    # Half of the lines are written as UTF-8 and half as Latin-1; the reader gets both back.
+    # German lines are written as Latin-1, all others as UTF-8; the reader gets both back.
     docs = table(spark, sf, "documents").select(
-        "doc_id", F.concat_ws("\t", "doc_id", F.translate("text", "\n", " ")).alias("value")
+        "lang", F.concat_ws("\t", "doc_id", F.translate("text", "\n", " ")).alias("value")
     )
-    latin = F.decode(F.encode("value", "ISO-8859-1"), "ISO-8859-1") == F.col("value")
-    old = docs.filter(latin & (F.col("doc_id") % 2 == 1))
-    new = docs.filter(~(latin & (F.col("doc_id") % 2 == 1)))
     path = scratch_path(spark, "mixed")
-    old.select("value").write.mode("append").option("encoding", "ISO-8859-1").text(path)
-    new.select("value").write.mode("append").text(path)
+    latin1 = docs.filter("lang = 'de'").select("value")
+    latin1.write.mode("append").option("encoding", "ISO-8859-1").text(path)
+    docs.filter("lang <> 'de'").select("value").write.mode("append").text(path)
     parts = F.split("value", "\t", 2)
     return readers.read_lines_decoded(spark, path, "*.txt").select(
         parts[0].cast("long").alias("doc_id"), parts[1].alias("text")
