@@ -63,9 +63,14 @@ class _Nodes(HTMLParser):
         return [tuple(n) for n in self.out]
 
 
-@F.pandas_udf(NODES)
-def nodes(pages: pd.Series) -> pd.Series:
-    return pages.map(lambda page: _Nodes().result(page or ""))
+def nodes(html) -> Column:
+    """The nodes of a page; null for a null page."""
+
+    @F.pandas_udf(NODES)
+    def parse(pages: pd.Series) -> pd.Series:
+        return pages.map(lambda page: _Nodes().result(page), na_action="ignore")
+
+    return parse(html)
 
 
 # --- selection over a `nodes` column ---------------------------------------
