@@ -5,6 +5,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.functions import urls
+from corpusmill.operators.documents import out_links
 from corpusmill.operators.relational import new_links
 from corpusmill.session import checkpoint
 
@@ -13,25 +15,39 @@ def reachable(edges: DataFrame, seeds: DataFrame, max_pages=1000, max_depth=None
     """(url, depth) of the pages reached from `seeds` over `edges(src, dst)`.
 
     One job per depth. Levels are complete, except that the last one is cut, in
-    URL order, when it would exceed `max_pages`. Each level is checkpointed, so
-    lost executors cost one level and plans stay short.
+    URL order, when it would exceed `max_pages` (None: no limit). Each level is
+    checkpointed, so lost executors cost one level and plans stay short.
     """
-    level = checkpoint(seeds.select("url").distinct().orderBy("url").limit(max_pages))
-    levels, size, depth = [level.withColumn("depth", F.lit(0))], level.count(), 0
-    while size < max_pages and (max_depth is None or depth < max_depth):
-        # A semi join keeps one copy of each edge, whichever side is large; a page
-        # with very many links is split by the adaptive skew join.
-        out = edges.join(level, F.col("src") == F.col("url"), "left_semi")
-        visited = reduce(DataFrame.unionByName, levels)
-        fresh = new_links(out.select(F.col("dst").alias("url")), visited)
+    fresh, levels, size, depth = seeds.select("url").distinct(), [], 0, 0
+    while True:
         level = checkpoint(fresh)
         found = level.count()
         if not found:
             break
-        depth += 1
-        if size + found > max_pages:
-            level = checkpoint(level.orderBy("url").limit(max_pages - size))
-            found = max_pages - size
-        size += found
+        if max_pages is not None and size + found > max_pages:
+            level, found = checkpoint(level.orderBy("url").limit(max_pages - size)), max_pages - size
         levels.append(level.withColumn("depth", F.lit(depth)))
-    return reduce(DataFrame.unionByName, levels)
+        size, depth = size + found, depth + 1
+        if size == max_pages or (max_depth is not None and depth > max_depth):
+            break
+        # A semi join keeps one copy of each edge, whichever side is large; a page
+        # with very many links is split by the adaptive skew join.
+        out = edges.join(level, F.col("src") == F.col("url"), "left_semi")
+        visited = reduce(DataFrame.unionByName, levels)
+        fresh = new_links(out.select(F.col("dst").alias("url")), visited)
+    return reduce(DataFrame.unionByName, levels) if levels else level.withColumn("depth", F.lit(0))
+
+
+def link_edges(pages: DataFrame, base: str) -> DataFrame:
+    """(src, dst) of all valid links of `pages(url, html)`."""
+    links = out_links(pages, "url")
+    edges = links.select(
+        F.col("url").alias("src"), urls.resolve(F.col("url"), F.col("href")).alias("dst")
+    )
+    return edges.filter(urls.is_valid(F.col("dst"), base))
+
+
+def relevant_urls(pages, seeds, base, first_keywords, last_keywords, max_pages=1000) -> DataFrame:
+    """Pages reached from the seeds whose first and last path segments match the keywords."""
+    found = reachable(link_edges(pages, base), seeds, max_pages).select("url")
+    return found.filter(urls.is_relevant(F.col("url"), first_keywords, last_keywords))

@@ -1 +1,215 @@
+"""Sentences, chunks, de-duplication, term weights and classification."""
 
+from pyspark.sql import functions as F
+
+from corpusmill.functions import arrays, text
+from corpusmill.operators import chunks as ch
+from corpusmill.operators import classify
+from corpusmill.operators import metrics as met
+from corpusmill.operators.features import term_counts, tfidf, token_ids
+from corpusmill.operators.relational import position_split
+from corpusmill.plans.registry import query
+from corpusmill.plans.stats import rounded, three_way
+from corpusmill.plans.texts import IDS_SQL, WORD_SQL
+from corpusmill.session import table
+
+C = F.col
+
+
+def docs(spark, sf):
+    return table(spark, sf, "documents")
+
+
+# Sentences by a marker, as RE2 has no look-behind.
+SENTENCES_SQL = (
+    "list_filter(string_split(regexp_replace({c}, '([.!?])[ \\t\\n\\r\\f]+', '\\1' || chr(1), 'g'), chr(1)), lambda x: x <> '')"
+)
+
+
+@query(
+    "txt1_sentences",
+    f"""WITH s AS (SELECT doc_id, {SENTENCES_SQL.format(c="text")} AS v FROM documents)
+        SELECT doc_id, CAST(unnest(range(len(v))) AS INTEGER) AS pos, unnest(v) AS sentence FROM s""",
+)
+def _(spark, sf):
+    return docs(spark, sf).select(
+        "doc_id", F.posexplode(text.sentences(C("text"))).alias("pos", "sentence")
+    )
+
+
+# Sentence chunks as a recursion over sentence numbers. `k` is the number of
+# sentences of the current chunk that end before sentence i, `t` how many of them
+# an overlap of at least 50 characters takes.
+SENTENCE_CHUNKS_SQL = f"""WITH RECURSIVE s AS (
+      SELECT doc_id, v, list_transform(v, lambda x: length(x)) AS l
+      FROM (SELECT doc_id, {SENTENCES_SQL.format(c="trim(text, ' ' || chr(10))")} AS v FROM documents)),
+    f(doc_id, i, low, len, done) AS (
+      SELECT doc_id, CAST(1 AS BIGINT), CAST(1 AS BIGINT), CAST(l[1] AS BIGINT), NULL::STRUCT(a BIGINT, b BIGINT) FROM s
+      UNION ALL
+      SELECT doc_id, i + 1,
+             CASE WHEN NOT full_ THEN low WHEN tail + nxt <= 500 THEN i - t + 1 ELSE i + 1 END,
+             CASE WHEN NOT full_ THEN len + 1 + nxt WHEN tail + nxt <= 500 THEN tail + nxt ELSE nxt END,
+             CASE WHEN full_ THEN {{{{'a': low, 'b': i}}}} END
+      FROM (SELECT *, list_sum(list_transform(l[i - t + 1 : i], lambda x: x + 1)) AS tail
+            FROM (SELECT f.doc_id, i, low, len, l, l[i + 1] AS nxt, len + 1 + l[i + 1] > 500 AS full_,
+                         coalesce(list_min(list_filter(range(1, i - low + 2),
+                             lambda n: list_sum(list_transform(l[i - n + 1 : i], lambda x: x + 1)) >= 50)), i - low + 1) AS t
+                  FROM f JOIN s ON f.doc_id = s.doc_id WHERE f.i < len(s.v)))),
+    c AS (SELECT doc_id, done.a AS a, done.b AS b FROM f WHERE done IS NOT NULL
+          UNION ALL SELECT f.doc_id, f.low, f.i FROM f JOIN s ON f.doc_id = s.doc_id WHERE f.i = len(s.v)),
+    chunked AS (SELECT c.doc_id, CAST(row_number() OVER (PARTITION BY c.doc_id ORDER BY b, a) - 1 AS INTEGER) AS chunk_index,
+                       array_to_string(v[a:b], ' ') AS chunk FROM c JOIN s ON c.doc_id = s.doc_id)
+""".replace("{{", "{").replace("}}", "}")
+
+
+@query("txt2_sentence_chunks", SENTENCE_CHUNKS_SQL + "SELECT doc_id, chunk_index, chunk FROM chunked")
+def _(spark, sf):
+    return ch.explode_chunks(docs(spark, sf), ch.sentence_chunks(C("text")), "doc_id")
+
+
+@query("txt3_separator_chunks")
+def _(spark, sf):
+    return ch.explode_chunks(docs(spark, sf), ch.separator_chunks(C("text")), "doc_id")
+
+
+@query("txt3_sentence_separator_chunks")
+def _(spark, sf):
+    clean = docs(spark, sf).withColumn("text", text.clean_paragraphs(C("text")))
+    pieces = ch.separator_chunks(C("text"), 500, 50, ch.SENTENCE_SEPARATORS)
+    return ch.explode_chunks(clean, pieces, "doc_id")
+
+
+WINDOWS_SQL = """SELECT doc_id, CAST(i AS INTEGER) AS chunk_index, substr(text, CAST(i * 800 + 1 AS BIGINT), 1000) AS chunk
+    FROM (SELECT doc_id, text, unnest(range(CAST(greatest(1, ceil((length(text) - 200) / 800)) AS BIGINT))) AS i FROM documents)"""
+
+
+def windows(spark, sf):
+    return ch.explode_chunks(docs(spark, sf), arrays.fixed_windows(C("text"), 1000, 200), "doc_id")
+
+
+@query("txt4_fixed_windows", WINDOWS_SQL)
+def _(spark, sf):
+    return windows(spark, sf)
+
+
+@query(
+    "win3_chunk_positions",
+    f"""WITH w AS ({WINDOWS_SQL}) SELECT doc_id, chunk_index, length(chunk) AS n_chars,
+            max(chunk_index) OVER (PARTITION BY doc_id) + 1 AS chunks FROM w""",
+)
+def _(spark, sf):
+    pieces = arrays.fixed_windows(C("text"), 1000, 200)
+    sized = docs(spark, sf).select("doc_id", pieces.alias("p")).withColumn("chunks", F.size("p"))
+    rows = sized.select("doc_id", "chunks", F.posexplode("p").alias("chunk_index", "chunk"))
+    return rows.select(
+        "doc_id", "chunk_index", F.length("chunk").cast("long").alias("n_chars"), "chunks"
+    )
+
+
+@query(
+    "win4_first_occurrences",
+    f"""WITH w AS (SELECT doc_id, unnest(range(len(v))) AS i, unnest(v) AS chunk
+                   FROM (SELECT doc_id, {SENTENCES_SQL.format(c="text")} AS v FROM documents)),
+            r AS (SELECT *, row_number() OVER (PARTITION BY chunk ORDER BY doc_id, i) AS n FROM w)
+        SELECT doc_id, CAST(i AS INTEGER) AS chunk_index, chunk FROM r WHERE n = 1""",
+)
+def _(spark, sf):
+    pieces = ch.explode_chunks(docs(spark, sf), text.sentences(C("text")), "doc_id")
+    return ch.first_occurrences(pieces)
+
+
+@query(
+    "txt5_chunk_corpus",
+    SENTENCE_CHUNKS_SQL
+    + """, r AS (SELECT *, row_number() OVER (PARTITION BY chunk ORDER BY doc_id, chunk_index) AS n FROM chunked)
+    SELECT r.doc_id, chunk AS page_content, d.source, CAST(chunk_index AS VARCHAR) AS chunk_index
+    FROM r JOIN documents d ON d.doc_id = r.doc_id WHERE n = 1""",
+)
+def _(spark, sf):
+    described = docs(spark, sf).withColumn("metadata", F.create_map(F.lit("source"), "source"))
+    unique = ch.chunk_corpus(described)
+    return unique.select("doc_id", "page_content", "metadata.source", "metadata.chunk_index")
+
+
+TERMS_SQL = f"""t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{WORD_SQL}')) AS term FROM documents),
+    c AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY 1, 2)"""
+
+
+@query("txt6_term_counts", f"WITH {TERMS_SQL} SELECT doc_id, term, tf FROM c")
+def _(spark, sf):
+    return term_counts(docs(spark, sf), "doc_id", "text")
+
+
+@query(
+    "txt7_tfidf",
+    f"""WITH {TERMS_SQL}, d AS (SELECT term, count(*) AS df FROM c GROUP BY term),
+        w AS (SELECT doc_id, term, tf * (ln((1 + (SELECT count(*) FROM documents)) / (1 + df)) + 1) AS raw FROM c JOIN d USING (term))
+        SELECT doc_id, term, round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)), 6) AS weight FROM w""",
+)
+def _(spark, sf):
+    return rounded(tfidf(docs(spark, sf), "doc_id", "text"), "weight")
+
+
+@query(
+    "txt8_token_ids",
+    f"""WITH t AS (SELECT doc_id, {IDS_SQL} AS ids FROM documents)
+        SELECT doc_id, array_to_string(list_concat(ids, list_transform(range(512), lambda i: 0))[1:512], ',') AS input_ids,
+               array_to_string(list_concat(list_transform(ids[1:512], lambda x: 1), list_transform(range(512), lambda i: 0))[1:512], ',') AS attention_mask
+        FROM t""",
+)
+def _(spark, sf):
+    tokens = docs(spark, sf).select("doc_id", token_ids(C("text"), 30000).alias("ids"))
+    return tokens.select(
+        "doc_id",
+        F.array_join(arrays.pad_or_cut(C("ids"), 512), ",").alias("input_ids"),
+        F.array_join(arrays.attention_mask(C("ids"), 512), ",").alias("attention_mask"),
+    )
+
+
+# --- classification -------------------------------------------------------
+
+
+def labelled(spark, sf):
+    labels = table(spark, sf, "labels").select("doc_id", C("quality").alias("label"))
+    rows = docs(spark, sf).select("doc_id", "text").join(labels, "doc_id")
+    return rows.withColumn("split", three_way(C("doc_id")))
+
+
+@query("cls1_train_and_score")
+def _(spark, sf):
+    rows = labelled(spark, sf)
+    model = classify.train(rows.filter("split = 'train'"))
+    scored = classify.predict(model, rows)
+    return rounded(
+        met.binary_metrics(scored, "label", "predicted", by=["split"]),
+        "accuracy",
+        "precision",
+        "recall",
+        "f1",
+    )
+
+
+@query("cls2_predict")
+def _(spark, sf):
+    rows = labelled(spark, sf)
+    model = classify.train(rows.filter("split = 'train'"))
+    rest = classify.predict(model, rows.filter("split <> 'train'"))
+    return rest.select("doc_id", "split", "label", "predicted")
+
+
+@query("cls3_retrain_report")
+def _(spark, sf):
+    rows = labelled(spark, sf)
+    old = rows.filter("split = 'train'")
+    new = rows.filter("split <> 'train'")
+    batch, following = position_split(new, ["doc_id"], new.count() // 2)
+    before, after = classify.retrain(old, batch)
+    runs = None
+    for name, model in (("before", before), ("after", after)):
+        for part, data in (("batch 1", batch), ("batch 2", following)):
+            scored = classify.predict(model, data).select(
+                F.lit(f"{part} {name}").alias("run"), "label", "predicted"
+            )
+            runs = scored if runs is None else runs.unionByName(scored)
+    report = met.class_report(runs, "label", "predicted", by=["run"])
+    return rounded(report, "precision", "recall", "f1")
