@@ -49,7 +49,7 @@ SENTENCE_CHUNKS_SQL = f"""WITH RECURSIVE s AS (
       SELECT doc_id, i + 1,
              CASE WHEN NOT full_ THEN low WHEN tail + nxt <= 500 THEN i - t + 1 ELSE i + 1 END,
              CASE WHEN NOT full_ THEN len + 1 + nxt WHEN tail + nxt <= 500 THEN tail + nxt ELSE nxt END,
-             CASE WHEN full_ THEN {{{{'a': low, 'b': i}}}} END
+             CASE WHEN full_ THEN {{'a': low, 'b': i}} END
       FROM (SELECT *, list_sum(list_transform(l[i - t + 1 : i], lambda x: x + 1)) AS tail
             FROM (SELECT f.doc_id, i, low, len, l, l[i + 1] AS nxt, len + 1 + l[i + 1] > 500 AS full_,
                          coalesce(list_min(list_filter(range(1, i - low + 2),
@@ -59,7 +59,7 @@ SENTENCE_CHUNKS_SQL = f"""WITH RECURSIVE s AS (
           UNION ALL SELECT f.doc_id, f.low, f.i FROM f JOIN s ON f.doc_id = s.doc_id WHERE f.i = len(s.v)),
     chunked AS (SELECT c.doc_id, CAST(row_number() OVER (PARTITION BY c.doc_id ORDER BY b, a) - 1 AS INTEGER) AS chunk_index,
                        array_to_string(v[a:b], ' ') AS chunk FROM c JOIN s ON c.doc_id = s.doc_id)
-""".replace("{{", "{").replace("}}", "}")
+"""
 
 
 @query("txt2_sentence_chunks", SENTENCE_CHUNKS_SQL + "SELECT doc_id, chunk_index, chunk FROM chunked")
@@ -168,6 +168,9 @@ def _(spark, sf):
 
 # --- classification -------------------------------------------------------
 
+# Training passes a vector of this width per step; enough for the test corpus.
+FEATURES = 1 << 16
+
 
 def labelled(spark, sf):
     labels = table(spark, sf, "labels").select("doc_id", C("quality").alias("label"))
@@ -178,7 +181,7 @@ def labelled(spark, sf):
 @query("cls1_train_and_score")
 def _(spark, sf):
     rows = labelled(spark, sf)
-    model = classify.train(rows.filter("split = 'train'"))
+    model = classify.train(rows.filter("split = 'train'"), features=FEATURES)
     scored = classify.predict(model, rows)
     return rounded(
         met.binary_metrics(scored, "label", "predicted", by=["split"]),
@@ -192,7 +195,7 @@ def _(spark, sf):
 @query("cls2_predict")
 def _(spark, sf):
     rows = labelled(spark, sf)
-    model = classify.train(rows.filter("split = 'train'"))
+    model = classify.train(rows.filter("split = 'train'"), features=FEATURES)
     rest = classify.predict(model, rows.filter("split <> 'train'"))
     return rest.select("doc_id", "split", "label", "predicted")
 
@@ -203,7 +206,7 @@ def _(spark, sf):
     old = rows.filter("split = 'train'")
     new = rows.filter("split <> 'train'")
     batch, following = position_split(new, ["doc_id"], new.count() // 2)
-    before, after = classify.retrain(old, batch)
+    before, after = classify.retrain(old, batch, features=FEATURES)
     runs = None
     for name, model in (("before", before), ("after", after)):
         for part, data in (("batch 1", batch), ("batch 2", following)):

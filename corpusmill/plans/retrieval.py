@@ -1 +1,492 @@
+"""Embeddings, nearest neighbours, prompts, answers, judging and streaming."""
 
+import pandas as pd
+from pyspark.sql import functions as F
+
+from corpusmill.functions import prompts
+from corpusmill.operators import aggregates as agg
+from corpusmill.operators import answers as ans
+from corpusmill.operators import ranks, udfs
+from corpusmill.operators import vectors as vec
+from corpusmill.operators.chunks import chunk_id
+from corpusmill.operators.relational import sample_split, with_arms
+from corpusmill.plans.chunking import WINDOWS_SQL, windows
+from corpusmill.plans.registry import query
+from corpusmill.plans.stats import RANK_SQL, rounded
+from corpusmill.plans.tables import ARMS, ARMS_SQL
+from corpusmill.plans.texts import GUIDE_SQL, JUDGE_SQL, READER_SQL, WORD_SQL, judge_text, score_sql
+from corpusmill.session import scratch_path, table
+from corpusmill.sources import readers, writers
+from corpusmill.streaming import batches
+
+C = F.col
+
+# --- vectors --------------------------------------------------------------
+
+
+def vectors(spark, sf):
+    return table(spark, sf, "embeddings").select(C("vec_id").alias("id"), C("embedding").alias("vector"))
+
+
+def vector_queries(spark, sf):
+    return vectors(spark, sf).withColumnRenamed("id", "query_id")
+
+
+PAIRS_SQL = """WITH e AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+    p AS (SELECT q.id AS query_id, c.id, round({score}, 6) AS score FROM e q, e c),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score {order}, id) AS rank FROM p)
+    SELECT query_id, id, score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= {k}"""
+COSINE_SQL = PAIRS_SQL.format(score="list_cosine_similarity(q.v, c.v)", order="DESC", k=5)
+L2_SQL = PAIRS_SQL.format(score="pow(list_distance(q.v, c.v), 2)", order="ASC", k=3)
+
+
+@query("vec2_cosine_topk", COSINE_SQL)
+def _(spark, sf):
+    return vec.nearest(vectors(spark, sf), vector_queries(spark, sf), k=5)
+
+
+@query("vec2_l2_topk", L2_SQL)
+def _(spark, sf):
+    return vec.nearest(vectors(spark, sf), vector_queries(spark, sf), k=3, metric="l2")
+
+
+@query("vec2_cosine_topk_tiled", COSINE_SQL)
+def _(spark, sf):
+    # The plan for query sets too large to broadcast.
+    return vec.nearest(vectors(spark, sf), vector_queries(spark, sf), k=5, broadcast_bytes=1 << 17)
+
+
+@query("vec3_cosine_topk_pruned", COSINE_SQL)
+def _(spark, sf):
+    index = vec.cell_index(vectors(spark, sf), cells=32)
+    return vec.nearest_pruned(index, vector_queries(spark, sf), k=5)
+
+
+@query("vec3_l2_topk_pruned", L2_SQL)
+def _(spark, sf):
+    index = vec.cell_index(vectors(spark, sf), cells=32, metric="l2")
+    return vec.nearest_pruned(index, vector_queries(spark, sf), k=3, metric="l2")
+
+
+@query(
+    "win1_topk_per_query",
+    """WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+       r AS (SELECT label, vec_id, row_number() OVER (PARTITION BY label ORDER BY round(v[1], 6) DESC, vec_id) AS n FROM e)
+       SELECT label, vec_id, CAST(n AS INTEGER) AS rank FROM r WHERE n <= 3""",
+)
+def _(spark, sf):
+    from pyspark.sql import Window
+
+    # The limit on the row number becomes a partial top-k in every task before the shuffle.
+    scored = table(spark, sf, "embeddings").select(
+        "label", "vec_id", F.round(F.get("embedding", 0).cast("double"), 6).alias("score")
+    )
+    order = Window.partitionBy("label").orderBy(F.desc("score"), "vec_id")
+    return scored.withColumn("rank", F.row_number().over(order)).filter("rank <= 3").drop("score")
+
+
+WIDTH = 64
+
+
+def embed_sql(c):
+    ids = (
+        f"list_transform(regexp_extract_all(lower({c}), '{WORD_SQL}'), "
+        "lambda w: CAST('0x' || substr(md5(w), 1, 7) AS BIGINT) % 64 + 1)"
+    )
+    return f"list_transform(range(1, 65), lambda b: CAST(len(list_filter({ids}, lambda x: x = b)) AS DOUBLE))"
+
+
+@query(
+    "vec1_hashed_embedding",
+    f"""SELECT doc_id, array_to_string(list_transform({embed_sql("text")}, lambda x: CAST(CAST(x AS INTEGER) AS VARCHAR)), ',') AS embedding
+        FROM documents""",
+)
+def _(spark, sf):
+    embedded = table(spark, sf, "documents").select(
+        "doc_id", vec.hashed_embedding(C("text"), WIDTH).alias("e")
+    )
+    shown = F.array_join(F.transform("e", lambda x: x.cast("int").cast("string")), ",")
+    return embedded.select("doc_id", shown.alias("embedding"))
+
+
+@query("vec1_model_embedding", "SELECT doc_id, CAST(length(text) AS DOUBLE) AS a, 2 * CAST(length(text) AS DOUBLE) AS b FROM documents")
+def _(spark, sf):
+    def load():
+        return lambda texts: [(len(t), 2 * len(t)) for t in texts]
+
+    embedded = vec.embed(table(spark, sf, "documents"), "text", load)
+    part = lambda i, name: F.get("embedding", i).cast("double").alias(name)
+    return embedded.select("doc_id", part(0, "a"), part(1, "b"))
+
+
+# --- retrieval answers ----------------------------------------------------
+
+
+def chunks(spark, sf):
+    rows = windows(spark, sf)
+    return rows.select(
+        chunk_id(C("doc_id"), C("chunk_index")).alias("id"),
+        vec.hashed_embedding(C("chunk"), WIDTH).alias("vector"),
+        C("chunk").alias("page_content"),
+    )
+
+
+def questions(spark, sf):
+    asked = table(spark, sf, "conversations").filter("role = 'user'")
+    return asked.select(
+        (C("conv_id") * 1000 + C("turn")).alias("query_id"),
+        C("text").alias("question"),
+        vec.hashed_embedding(C("text"), WIDTH).alias("vector"),
+    )
+
+
+RETRIEVE_SQL = f"""w AS ({WINDOWS_SQL}),
+    c AS MATERIALIZED (SELECT doc_id * 16777216 + chunk_index AS id, chunk, {embed_sql("chunk")} AS v FROM w),
+    q AS MATERIALIZED (SELECT conv_id * 1000 + turn AS query_id, text AS question, {embed_sql("text")} AS v
+          FROM conversations WHERE role = 'user'),
+    p AS (SELECT query_id, id, coalesce(round(list_cosine_similarity(q.v, c.v), 6), 0) AS score FROM q, c),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY CASE WHEN isnan(score) THEN 0 ELSE score END DESC, id) AS rank FROM p),
+    top AS (SELECT query_id, string_agg(chunk, chr(10) || chr(10) ORDER BY rank) AS context
+            FROM r JOIN c USING (id) WHERE rank <= 3 GROUP BY query_id),
+    a AS (SELECT query_id, question, context FROM q LEFT JOIN top USING (query_id))"""
+PLAIN_SQL = (
+    "{context}'Question: ' || question || chr(10) || '" + GUIDE_SQL + "' || ' Answer:'"
+)
+CONTEXT_SQL = "'Context: ' || context || chr(10) || "
+
+
+@query(
+    "rag1_retrieve_and_prompt",
+    f"""WITH {RETRIEVE_SQL} SELECT query_id, question, context, {PLAIN_SQL.format(context=CONTEXT_SQL)} AS prompt FROM a""",
+)
+def _(spark, sf):
+    return ans.retrieval_prompts(questions(spark, sf), chunks(spark, sf), k=3)
+
+
+@query("rag2_answer_questions")
+def _(spark, sf):
+    asked = ans.retrieval_prompts(questions(spark, sf), chunks(spark, sf), k=3)
+    answered = asked.withColumn("answer", ans.best_sentence(C("question"), C("context")))
+    return answered.select("query_id", "question", "context", "answer")
+
+
+@query(
+    "rag3_arm_prompts",
+    f"""WITH {RETRIEVE_SQL} SELECT query_id, arm, model,
+          CASE WHEN retrieval THEN {PLAIN_SQL.format(context=CONTEXT_SQL)} ELSE {PLAIN_SQL.format(context="")} END AS prompt
+        FROM a, {ARMS_SQL.replace(") a(", ") arms(")}""",
+)
+def _(spark, sf):
+    asked = ans.retrieval_prompts(questions(spark, sf), chunks(spark, sf), k=3).drop("prompt")
+    return ans.arm_prompts(asked, ARMS).select("query_id", "arm", "model", "prompt")
+
+
+@query(
+    "jn6_similar_vectors",
+    """WITH e AS (SELECT vec_id AS id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+       p AS (SELECT q.id AS query_id, q.label, c.id, c.label AS found, round(list_cosine_similarity(q.v, c.v), 6) AS score FROM e q, e c),
+       r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM p)
+       SELECT label, count(*) AS n, CAST(sum(CASE WHEN label = found THEN 1 ELSE 0 END) AS BIGINT) AS same_label
+       FROM r WHERE rank <= 3 GROUP BY label""",
+)
+def _(spark, sf):
+    found = vec.nearest(vectors(spark, sf), vector_queries(spark, sf), k=3)
+    labels = table(spark, sf, "embeddings").select("vec_id", "label")
+    named = found.join(labels.withColumnsRenamed({"vec_id": "query_id"}), "query_id").join(
+        labels.withColumnsRenamed({"vec_id": "id", "label": "found"}), "id"
+    )
+    return named.groupBy("label").agg(
+        F.count("*").alias("n"), F.count_if(C("label") == C("found")).alias("same_label")
+    )
+
+
+# --- scoring --------------------------------------------------------------
+
+# Words of the invented prose, standing in for a sentiment lexicon.
+POSITIVE = ["the", "and", "die", "und", "le", "et", "la", "los"]
+NEGATIVE = ["of", "to", "der", "das", "de", "que", "en", "el"]
+
+
+def in_sql(words):
+    return "(" + ", ".join(f"'{w}'" for w in words) + ")"
+
+
+LEXICON_SQL = f"""WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '{WORD_SQL}') AS v FROM documents),
+    s AS (SELECT doc_id, len(list_filter(v, lambda x: x IN {in_sql(POSITIVE)})) AS up,
+                 len(list_filter(v, lambda x: x IN {in_sql(NEGATIVE)})) AS down FROM w)
+    SELECT doc_id, CASE WHEN up > down THEN 'POS' WHEN up < down THEN 'NEG' ELSE 'NEU' END AS Label,
+           round(CASE WHEN up + down = 0 THEN 0 ELSE abs(up - down) / (up + down) END, 6) AS Score FROM s"""
+
+
+@query("scr1_lexicon_scores", LEXICON_SQL)
+def _(spark, sf):
+    scored = table(spark, sf, "documents").select(
+        "doc_id", ans.lexicon_label(C("text"), POSITIVE, NEGATIVE).alias("s")
+    )
+    return scored.select("doc_id", C("s.label").alias("Label"), F.round("s.score", 6).alias("Score"))
+
+
+@query(
+    "scr1_model_scores",
+    """SELECT doc_id, CASE WHEN length(text) > 1000 THEN 'POS' ELSE 'NEG' END AS Label,
+              round(length(text) / (length(text) + 1000), 6) AS Score FROM documents""",
+)
+def _(spark, sf):
+    def load():
+        return lambda texts: [("POS" if len(t) > 1000 else "NEG", len(t) / (len(t) + 1000)) for t in texts]
+
+    scored = ans.score_with(table(spark, sf, "documents").select("doc_id", "text"), "text", load)
+    return rounded(scored.drop("text"), "Score")
+
+
+# --- generation -----------------------------------------------------------
+
+
+@query("gen1_extractive_answers")
+def _(spark, sf):
+    pairs = agg.answer_pairs(table(spark, sf, "conversations"))
+    return pairs.withColumn("answer", ans.best_sentence(C("question"), C("answer")))
+
+
+def half_lists(asked):
+    """A model that gives only half of the entries it is asked for."""
+    need = asked.str.extract(r"List (\d+) ")[0].astype(int)
+    about = asked.str.extract(r"about (.*?)\. Separate")[0]
+    return pd.Series(
+        [",,, ".join(f"{a} item {n}-{i}" for i in range((n + 1) // 2)) for a, n in zip(about, need)],
+        index=asked.index,
+    )
+
+
+@query(
+    "gen2_topic_questions",
+    """WITH t AS (SELECT DISTINCT source AS topic FROM documents),
+       x AS (SELECT topic, unnest([0, 1, 2, 3, 4, 5, 6, 7, 8, 9]) AS n FROM t)
+       SELECT topic, CAST(n AS INTEGER) AS pos, topic || ' item ' ||
+              CASE WHEN n < 5 THEN '10-' || n WHEN n < 8 THEN '5-' || (n - 5) WHEN n < 9 THEN '2-' || (n - 8) ELSE '1-' || (n - 9) END AS question
+       FROM x""",
+)
+def _(spark, sf):
+    topics = table(spark, sf, "documents").select(C("source").alias("topic")).distinct()
+    listed = ans.generate_lists(topics, "questions", "topic", 10, half_lists, rounds=4)
+    return listed.select("topic", F.posexplode("items").alias("pos", "question"))
+
+
+@query(
+    "gen3_failures_kept",
+    """SELECT conv_id, turn, CASE WHEN contains(text, chr(10)) THEN 'Error generating answer' ELSE upper(substr(text, 1, 1)) || '!' END AS answer,
+              CASE WHEN contains(text, chr(10)) THEN 'ValueError: more than one line' END AS error
+       FROM conversations""",
+)
+def _(spark, sf):
+    def shout(asked):
+        if asked.str.contains("\n").any():
+            raise ValueError("more than one line")
+        return asked.str[:1].str.upper() + "!"
+
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "text")
+    return ans.generate(turns, "text", shout).drop("text")
+
+
+PAIRS_OF_TURNS_SQL = """SELECT conv_id, turn, text AS question, answer FROM (
+    SELECT *, lead(role) OVER w AS next_role, lead(text) OVER w AS answer
+    FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
+    WHERE role = 'user' AND next_role = 'assistant'"""
+
+
+@query(
+    "gen4_question_answer_pairs",
+    f"""SELECT 'c' || conv_id AS topic, question, regexp_replace(answer, '[^\\x00-\\x7F]', ' ', 'g') AS answer
+        FROM ({PAIRS_OF_TURNS_SQL})""",
+)
+def _(spark, sf):
+    pairs = agg.answer_pairs(table(spark, sf, "conversations"))
+    topic = F.concat(F.lit("c"), C("conv_id").cast("string"))
+    return ans.clean_pairs(pairs.withColumn("topic", topic))
+
+
+@query(
+    "gen4_train_test_lines",
+    f"""WITH p AS (SELECT conv_id * 1000 + turn AS id, question, answer FROM ({PAIRS_OF_TURNS_SQL})),
+       h AS (SELECT *, md5('42:' || id) AS m FROM p),
+       r AS (SELECT *, row_number() OVER (ORDER BY substr(m, 1, 15), substr(m, 16, 15)) AS rn, round(0.8 * count(*) OVER ()) AS n FROM h)
+       SELECT id, CASE WHEN rn <= n THEN 'train' ELSE 'test' END AS split,
+              '<|system|>' || chr(10) || '{READER_SQL}' || chr(10) || '<|user|>' || chr(10) || question || chr(10)
+              || '<|assistant|>' || chr(10) || answer AS text FROM r""",
+)
+def _(spark, sf):
+    pairs = agg.answer_pairs(table(spark, sf, "conversations"))
+    rows = pairs.select((C("conv_id") * 1000 + C("turn")).alias("id"), "question", "answer")
+    train, test = sample_split(rows, "id", 0.8, seed=42)
+    both = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+    path = scratch_path(spark, "qa")
+    writers.write_dataset(
+        both.select("id", "split", prompts.chat_line(C("question"), C("answer")).alias("text")), path
+    )
+    return spark.read.parquet(path)
+
+
+# --- judging --------------------------------------------------------------
+
+
+def length_judge(asked):
+    """A judge that scores by the length of the answer and gives no relevance to short ones."""
+    size = asked.str.extract(r"(?s)\nAnswer: (.*)$")[0].str.len()
+    score = size.clip(0, 1999) // 400 + 1
+    return pd.Series(
+        [
+            f"Accuracy: [{s}]\nGroundedness: {6 - s}\n" + (f"Relevance: [{s}]\n" if s > 1 else "") + "Evaluation: ok"
+            for s in score
+        ],
+        index=asked.index,
+    )
+
+
+@query(
+    "jdg1_judge_results",
+    f"""WITH p AS (SELECT question, answer, arm, least(length(answer), 1999) // 400 + 1 AS s
+                   FROM ({PAIRS_OF_TURNS_SQL}), {ARMS_SQL})
+        SELECT question, answer AS response, arm AS source,
+               'Accuracy: [' || s || ']' || chr(10) || 'Groundedness: ' || (6 - s) || chr(10)
+               || CASE WHEN s > 1 THEN 'Relevance: [' || s || ']' || chr(10) ELSE '' END || 'Evaluation: ok' AS llm_judge
+        FROM p""",
+)
+def _(spark, sf):
+    pairs = agg.answer_pairs(table(spark, sf, "conversations")).select("question", "answer")
+    results = with_arms(pairs, ARMS).select(C("question").alias("query"), "answer", "arm")
+    folder = scratch_path(spark, "results")
+    for arm, _, _ in ARMS:
+        writers.write_csv(results.filter(C("arm") == arm).drop("arm"), f"{folder}/results_{arm}.csv")
+    schema = "query string, answer string"
+    back = readers.read_csv(spark, f"{folder}/results_*.csv", schema)
+    name = F.regexp_extract(C("_metadata.file_path"), r"/(results_[^/]*)/[^/]*$", 1)
+    tagged = back.select("*", readers.source_from_file(name).alias("source"))
+    named = tagged.withColumnsRenamed({"query": "question", "answer": "response"})
+    return ans.judge(named, length_judge).select("question", "response", "llm_judge", "source")
+
+
+@query(
+    "jdg2_scores_by_human_grade",
+    f"""WITH j AS (SELECT event_id, {JUDGE_SQL} AS t FROM events),
+        s AS (SELECT event_id, {score_sql("Accuracy")} AS accuracy_judge, {score_sql("Relevance")} AS relevance_judge,
+                     {score_sql("Groundedness")} AS groundedness_judge FROM j)
+        SELECT event_id AS question, accuracy_judge, relevance_judge, groundedness_judge,
+               CAST(1 + floor(value) % 5 AS INTEGER) AS accuracy_score
+        FROM s JOIN events USING (event_id)""",
+)
+def _(spark, sf):
+    events = table(spark, sf, "events")
+    judged = events.select(C("event_id").alias("question"), judge_text().alias("llm_judge"))
+    human = events.select(
+        C("event_id").alias("question"), (F.floor("value") % 5 + 1).cast("int").alias("accuracy_score")
+    )
+    return ans.judge_scores(judged).drop("llm_judge").join(human, "question")
+
+
+@query(
+    "jdg2_judge_human_correlation",
+    f"""WITH s AS (SELECT 1 + user_id % 5 AS a, 1 + CAST(floor(value) AS BIGINT) % 5 AS b FROM events),
+        r AS (SELECT {RANK_SQL.format(c="a")} AS x, {RANK_SQL.format(c="b")} AS y FROM s)
+        SELECT count(*) AS n, round(corr(x, y), 3) AS accuracy FROM r""",
+)
+def _(spark, sf):
+    judged = table(spark, sf, "events").select(
+        judge_text().alias("llm_judge"), (F.floor("value") % 5 + 1).cast("int").alias("human")
+    )
+    found = ranks.spearman(ans.judge_scores(judged), "accuracy_judge", "human")
+    return found.select("n", F.round("rho", 3).alias("accuracy"))
+
+
+# --- streaming ------------------------------------------------------------
+
+
+@query(
+    "stm1_scored_batches",
+    f"""WITH p AS ({LEXICON_SQL})
+        SELECT lang AS actual, Label AS predicted, count(*) AS n FROM p JOIN documents USING (doc_id) GROUP BY 1, 2""",
+)
+def _(spark, sf):
+    docs = table(spark, sf, "documents")
+    arrived = scratch_path(spark, "arrived")
+    docs.repartition(4).write.parquet(arrived)
+    stream = batches.arriving(spark, arrived, docs.schema, files_per_batch=1)
+
+    def score(batch):
+        label = ans.lexicon_label(C("text"), POSITIVE, NEGATIVE)["label"]
+        return batch.select("lang", label.alias("predicted"))
+
+    counts = batches.run_to_end(spark, stream, score, "lang", "predicted")
+    return counts.groupBy("actual", "predicted").agg(F.sum("n").alias("n"))
+
+
+# --- caller functions -----------------------------------------------------
+
+
+@query("udf1_on_column", "SELECT doc_id, length(text) AS n FROM documents")
+def _(spark, sf):
+    return table(spark, sf, "documents").select(
+        "doc_id", udfs.on_column(lambda s: s.str.len(), "long", "text").alias("n")
+    )
+
+
+@query("udf2_on_rows", "SELECT doc_id, lang || ':' || source AS tag FROM documents")
+def _(spark, sf):
+    tag = udfs.on_rows(lambda d: d["lang"] + ":" + d["source"], "string", "lang", "source")
+    return table(spark, sf, "documents").select("doc_id", tag.alias("tag"))
+
+
+@query("udf3_on_batches", "SELECT doc_id, length(text) - length(replace(text, ' ', '')) AS spaces FROM documents")
+def _(spark, sf):
+    def spaces(pdf):
+        return pdf.assign(spaces=pdf["text"].str.count(" "))[["doc_id", "spaces"]]
+
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return udfs.on_batches(docs, spaces, "doc_id long, spaces long")
+
+
+@query("udf4_with_model", "SELECT conv_id, turn, length(text) * 2 AS score FROM conversations")
+def _(spark, sf):
+    def load():
+        return lambda values: values.str.len() * 2
+
+    scored = udfs.with_model(load, "long", "text")
+    return table(spark, sf, "conversations").select("conv_id", "turn", scored.alias("score"))
+
+
+@query(
+    "udf5_to_rows",
+    "SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line FROM conversations",
+)
+def _(spark, sf):
+    def lines(value):
+        for line in value.split("\n"):
+            yield (line,)
+
+    spark.udtf.register("text_lines", udfs.to_rows(lines, "line string"))
+    turns = table(spark, sf, "conversations")
+    return spark.sql(
+        "SELECT conv_id, turn, line FROM {turns}, LATERAL text_lines(text)", turns=turns
+    )
+
+
+@query(
+    "udf6_metric",
+    """SELECT lang AS run, count(*) AS total FROM documents GROUP BY lang""",
+)
+def _(spark, sf):
+    def total(counts):
+        return pd.DataFrame({"run": [counts["run"].iloc[0]], "total": [counts["n"].sum()]})
+
+    rows = table(spark, sf, "documents").select(
+        C("lang").alias("run"), "lang", F.when(C("n_chars") > 1000, "en").otherwise("de").alias("predicted")
+    )
+    return udfs.metric(rows, "lang", "predicted", total, "run string, total long")
+
+
+@query("udf7_text_to_text", "SELECT conv_id, turn, length(text) || ' characters' AS answer FROM conversations")
+def _(spark, sf):
+    def model(asked):
+        return asked.str.len().astype(str) + " characters"
+
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "text")
+    return ans.generate(turns, "text", model).select("conv_id", "turn", "answer")
