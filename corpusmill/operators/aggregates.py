@@ -50,30 +50,49 @@ def arm_means(df: DataFrame, source: str, scores: list[str]) -> DataFrame:
     return df.groupBy(source).agg(F.count("*").alias("n"), *means)
 
 
-def joined_texts(df: DataFrame, key: str, rank: str, text: str, separator="\n\n") -> DataFrame:
-    """One text per key, its parts joined in order of rank."""
-    return df.groupBy(key).agg(
-        F.array_join(
-            F.transform(
-                F.array_sort(F.collect_list(F.struct(rank, text))), lambda x: x[text]
-            ),
-            separator,
-        ).alias("context")
-    )
+def _concat_sorted(df: DataFrame, keys, order: str, text: str, separator: str, target: str) -> DataFrame:
+    parts = F.array_sort(F.collect_list(F.struct(F.col(order), F.col(text))))
+    joined = F.array_join(F.transform(parts, lambda x: x[text]), separator)
+    return df.groupBy(*keys).agg(joined.alias(target))
 
 
-def text_without_last_page(df: DataFrame, document: str, page: str, text: str) -> DataFrame:
-    """Pages of a document joined in page order, the last page left out.
+def joined_texts(df: DataFrame, key: str, rank: str, text: str, separator="\n\n", target="context") -> DataFrame:
+    """One text per key, its few parts (retrieved texts, say) joined in order of rank."""
+    return _concat_sorted(df, [key], rank, text, separator, target)
+
+
+PART_BLOCK = 1000
 
-    The output holds a whole document per cell, so a document is bounded by the
-    cell size; the last page is dropped after grouping, which saves a window.
+
+def joined_long_texts(df: DataFrame, key: str, order: str, text: str, separator="", target="page_content") -> DataFrame:
+    """Like `joined_texts` for keys with very many parts, numbered by an integer.
+
+    Runs of part numbers are joined first, so the parts of one huge document are
+    sorted and joined by many tasks; the last step only joins finished runs. The
+    result is one cell per key, which Spark bounds at 2 GB.
     """
-    pages = F.array_sort(F.collect_list(F.struct(page, text)))
-    grouped = df.groupBy(document).agg(pages.alias("pages"))
-    kept = F.slice("pages", F.lit(1), F.size("pages") - 1)
-    return grouped.select(
-        document, F.array_join(F.transform(kept, lambda p: p[text]), "").alias("page_content")
-    )
+    runs = df.withColumn("_run", F.floor(F.col(order) / PART_BLOCK))
+    blocks = _concat_sorted(runs, [key, "_run"], order, text, separator, "_text")
+    return _concat_sorted(blocks, [key], "_run", "_text", separator, target)
+
+
+def without_last_page(df: DataFrame, document: str, page: str) -> DataFrame:
+    """Page rows without the last page of each document.
+
+    Last pages come from a partial aggregate, one row per document, so the join
+    never gathers a document's pages in one task.
+    """
+    last = df.groupBy(document).agg(F.max(page).alias(page))
+    return df.join(last, [document, page], "left_anti")
+
+
+def text_without_last_page(df: DataFrame, document: str, page: str, text: str) -> DataFrame:
+    """Pages of a document joined in page order, the last page left out."""
+    kept = without_last_page(df, document, page)
+    texts = joined_long_texts(kept, document, page, text)
+    # A document of one page keeps its row, with an empty text.
+    whole = df.select(document).distinct().join(texts, document, "left")
+    return whole.select(document, F.coalesce("page_content", F.lit("")).alias("page_content"))
 
 
 def last_message(df: DataFrame, conversation: str, turn: str, text: str) -> DataFrame:
@@ -100,16 +119,14 @@ def answer_pairs(df: DataFrame) -> DataFrame:
     )
     inside = Window.partitionBy("conv_id", "block").orderBy("turn")
     blocks = Window.partitionBy("conv_id").orderBy("block")
+    placed = turns.withColumn("next", F.lead("said").over(inside))
     heads = (
-        turns.groupBy("conv_id", "block")
-        .agg(F.min_by("said", "turn").alias("head"))
-        .withColumn("after", F.lead("head").over(blocks))
-        .drop("head")
+        turns.withColumn("place", F.row_number().over(inside))
+        .filter("place = 1")
+        .select("conv_id", "block", F.lead("said").over(blocks).alias("after"))
     )
-    following = (
-        turns.withColumn("next", F.lead("said").over(inside))
-        .join(heads, ["conv_id", "block"])
-        .withColumn("next", F.coalesce("next", "after"))
+    following = placed.join(heads, ["conv_id", "block"]).withColumn(
+        "next", F.coalesce("next", "after")
     )
     return following.filter("role = 'user' AND next.role = 'assistant'").select(
         "conv_id", "turn", F.col("said.text").alias("question"), F.col("next.text").alias("answer")

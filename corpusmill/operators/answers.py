@@ -10,9 +10,11 @@ from pyspark.sql import types as T
 from corpusmill.functions import prompts, text
 from corpusmill.operators.aggregates import joined_texts
 from corpusmill.operators.relational import with_arms
-from corpusmill.operators.vectors import nearest
+from corpusmill.operators.vectors import BROADCAST_BYTES, nearest
 
 FAILED = "Error generating answer"
+# One retrieved (query, chunk, score, rank) row in memory.
+HIT_BYTES = 64
 
 
 # --- scoring --------------------------------------------------------------
@@ -115,7 +117,11 @@ def retrieve(questions: DataFrame, chunks: DataFrame, k=3, metric="cosine") -> D
     `questions(query_id, vector)`, `chunks(id, vector, page_content)`.
     """
     top = nearest(chunks.select("id", "vector"), questions.select("query_id", "vector"), k, metric)
-    named = top.join(chunks.select("id", "page_content"), "id")
+    # k rows per question: broadcast while that is small, so that the corpus of
+    # texts is not shuffled for a handful of hits.
+    if questions.count() * k * HIT_BYTES <= BROADCAST_BYTES:
+        top = F.broadcast(top)
+    named = chunks.select("id", "page_content").join(top, "id")
     return joined_texts(named, "query_id", "rank", "page_content")
 
 

@@ -4,6 +4,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusmill.session import checkpoint
+
 RANGES = 256
 
 
@@ -14,11 +16,17 @@ def average_ranks(df: DataFrame, value: str) -> DataFrame:
     ranges at approximate quantiles, numbered inside each range, and shifted by
     the number of rows in the ranges before it (at most RANGES + 1 of them).
     """
-    counts = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(F.col(value).cast("double").alias(value))
-        .agg(F.count("*").alias("n"))
+    return _ranked(
+        checkpoint(
+            df.filter(F.col(value).isNotNull())
+            .groupBy(F.col(value).cast("double").alias(value))
+            .agg(F.count("*").alias("n"))
+        ),
+        value,
     )
+
+
+def _ranked(counts: DataFrame, value: str) -> DataFrame:
     probes = [i / RANGES for i in range(1, RANGES)]
     cuts = counts.approxQuantile(value, probes, 1 / (4 * RANGES))
     inner = sorted(set(cuts))
@@ -50,10 +58,12 @@ def spearman(df: DataFrame, left: str, right: str) -> DataFrame:
     """
     both = df.select(F.col(left).cast("double").alias("x"), F.col(right).cast("double").alias("y"))
     both = both.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
-    pairs = both.groupBy("x", "y").agg(F.count("*").alias("w"))
-    rx = average_ranks(both, "x").select("x", F.col("avg_rank").alias("rx"))
-    ry = average_ranks(both, "y").select("y", F.col("avg_rank").alias("ry"))
-    middle = (both.agg(F.count("*")).scalar() + 1) / 2
+    # Everything below reads the distinct pairs, so they are computed once.
+    pairs = checkpoint(both.groupBy("x", "y").agg(F.count("*").alias("w")))
+    ranks_of = lambda c: _ranked(pairs.groupBy(c).agg(F.sum("w").alias("n")), c)
+    rx = ranks_of("x").select("x", F.col("avg_rank").alias("rx"))
+    ry = ranks_of("y").select("y", F.col("avg_rank").alias("ry"))
+    middle = (pairs.agg(F.sum("w")).scalar() + 1) / 2
     ranked = pairs.join(rx, "x").join(ry, "y").select(
         "w", (F.col("rx") - middle).alias("a"), (F.col("ry") - middle).alias("b")
     )

@@ -139,8 +139,14 @@ def position_split(df: DataFrame, keys: list[str], n: int):
         return df.limit(0), df
     if n >= df.count():
         return df, df.limit(0)
-    first = _at_or_before(df, keys, rank_cutoff(df, keys, n))
-    return df.filter(first), df.filter(~first)
+    cut = rank_cutoff(df, keys, n)
+    first = _at_or_before(df, keys, cut)
+    # The leading key alone, as a plain comparison that reaches the scan.
+    edge, kind = F.lit(cut[0]), dict(df.dtypes)[keys[0]]
+    if kind.startswith("timestamp"):
+        edge = F.timestamp_micros(edge).cast(kind)
+    lead = F.col(keys[0])
+    return df.filter((lead <= edge) & first), df.filter((lead >= edge) & ~first)
 
 
 def newest(df: DataFrame, time: str, key: str, n: int) -> DataFrame:

@@ -6,6 +6,7 @@ matrix blocks inside tasks; only the best k per query leave a task.
 """
 
 import math
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.operators.features import token_ids
+from corpusmill.session import scratch_path
 
 RESULT = "query_id long, id long, score double"
 ARROW_RESULT = pa.schema([("query_id", pa.int64()), ("id", pa.int64()), ("score", pa.float64())])
@@ -198,29 +200,48 @@ def _unit_column(v: Column) -> Column:
     return F.transform(v, lambda x: F.when(length > 0, x.cast("double") / length).otherwise(0.0))
 
 
-def cell_index(corpus: DataFrame, cells=64, metric="cosine"):
-    """(corpus with `cell` and `reach`, pivots): rows grouped around pivot vectors.
+class CellIndex(NamedTuple):
+    rows: DataFrame  # id, vector, cell, reach
+    pivots: np.ndarray  # one vector per cell
+    cells: pd.DataFrame  # cell, rows, radius, close: the smallest reaches
+
+
+KEPT_REACHES = 32
+
+
+def cell_index(corpus: DataFrame, cells=64, metric="cosine", path=None) -> CellIndex:
+    """Rows grouped around pivot vectors, written once as the table searches read.
 
     Pivots are rows picked by the hash of their id; `reach` is the distance of a
     row to its pivot. Cosine search uses unit vectors, where order by distance is
-    order by cosine. Both parts can be written and reused.
+    order by cosine. `path` is a new folder; by default one in the shared folder.
     """
-    rows = corpus.select(
+    spark = corpus.sparkSession
+    vectors = corpus.select(
         F.col("id").cast("long").alias("id"),
         (_unit_column(F.col("vector")) if metric == "cosine" else F.col("vector")).alias("vector"),
     )
-    picked = rows.orderBy(F.xxhash64("id"), "id").limit(cells).toPandas()  # `cells` rows
+    picked = vectors.orderBy(F.xxhash64("id"), "id").limit(cells).toPandas()  # `cells` rows
     pivots = _matrix(picked["vector"])
-    shared = corpus.sparkSession.sparkContext.broadcast(pivots)
+    shared = spark.sparkContext.broadcast(pivots)
 
     @F.pandas_udf("cell int, reach double")
-    def place(vectors: pd.Series) -> pd.DataFrame:
-        distances = _distances(_matrix(vectors), shared.value)
+    def place(column: pd.Series) -> pd.DataFrame:
+        distances = _distances(_matrix(column), shared.value)
         cell = distances.argmin(axis=1)
-        return pd.DataFrame({"cell": cell.astype("int32"), "reach": distances[np.arange(len(cell)), cell]})
+        reach = distances[np.arange(len(cell)), cell]
+        return pd.DataFrame({"cell": cell.astype("int32"), "reach": reach})
 
-    placed = rows.withColumn("p", place("vector")).select("id", "vector", "p.cell", "p.reach")
-    return placed, pivots
+    path = path or scratch_path(spark, "cells")
+    placed = vectors.withColumn("p", place("vector")).select("id", "vector", "p.cell", "p.reach")
+    placed.write.parquet(path)
+    rows = spark.read.parquet(path)
+    order = Window.partitionBy("cell").orderBy("reach", "id")
+    # The limit on the row number is applied in every task before the shuffle.
+    close = rows.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= KEPT_REACHES)
+    close = close.groupBy("cell").agg(F.collect_list("reach").alias("close"))
+    sizes = rows.groupBy("cell").agg(F.count("*").alias("rows"), F.max("reach").alias("radius"))
+    return CellIndex(rows, pivots, sizes.join(close, "cell").toPandas())  # one row per cell
 
 
 def _distances(a, b):
@@ -228,47 +249,44 @@ def _distances(a, b):
     return np.sqrt(np.maximum(squares, 0))
 
 
-def nearest_pruned(index, queries: DataFrame, k=5, metric="cosine", digits=6, tile_rows=TILE_ROWS, query_rows=20_000) -> DataFrame:
+def nearest_pruned(index: CellIndex, queries: DataFrame, k=5, metric="cosine", digits=6, tile_rows=TILE_ROWS, query_rows=20_000) -> DataFrame:
     """The result of `nearest`, reading only cells that can hold a neighbour.
 
-    The k smallest sums of query-pivot and pivot-row distance bound the k-th
+    The k-th smallest sum of query-pivot and pivot-row distance bounds the k-th
     neighbour from above; a cell whose nearest possible row is farther is
     skipped. Large cells are cut into tiles, so no cell lands in one task.
     """
-    placed, pivots = index
-    spark = queries.sparkSession
-    nearest_first = Window.partitionBy("cell").orderBy("reach", "id")
-    close = placed.select("cell", "reach", "id").withColumn("n", F.row_number().over(nearest_first))
-    close = close.filter(F.col("n") <= k).groupBy("cell").agg(F.collect_list("reach").alias("close"))
-    sizes = placed.groupBy("cell").agg(F.count("*").alias("rows"), F.max("reach").alias("radius"))
-    cells = sizes.join(close, "cell").toPandas()  # one row per pivot
-    tiles_of = np.ceil(cells["rows"] / tile_rows).astype(int).to_numpy()
-    first_tile = np.r_[0, np.cumsum(tiles_of)[:-1]]
-    radius = cells["radius"].to_numpy()
-    used = pivots[cells["cell"].to_numpy()]
-    shared = spark.sparkContext.broadcast((used, radius, [np.asarray(c) for c in cells["close"]], tiles_of, first_tile))
+    spark, cells = queries.sparkSession, index.cells
+    parts = np.ceil(cells["rows"] / tile_rows).astype(int).to_numpy()
+    start = np.r_[0, np.cumsum(parts)[:-1]]
+    bounds = (
+        index.pivots[cells["cell"].to_numpy()],
+        cells["radius"].to_numpy(),
+        [np.asarray(c) for c in cells["close"]],
+        parts,
+        start,
+    )
+    shared = spark.sparkContext.broadcast(bounds)
 
     @F.pandas_udf("array<long>")
     def tiles_for(vectors: pd.Series) -> pd.Series:
-        centre, far, near, parts, start = shared.value
-        gap = _distances(_matrix(vectors), centre)
-        upper = np.hstack([gap[:, [c]] + near[c][None] for c in range(len(near))])
-        limit = np.sort(upper, axis=1)[:, min(k, upper.shape[1]) - 1]
-        # Room for rounding: rows that tie after rounding must be searched too.
-        visit = gap - far[None] <= limit[:, None] + 10.0 ** (1 - digits) + 1e-6
-        return pd.Series(
-            [np.concatenate([np.arange(start[c], start[c] + parts[c]) for c in np.flatnonzero(v)]) for v in visit]
-        )
+        pivots, radius, close, parts, start = shared.value
+        gap = _distances(_matrix(vectors), pivots)
+        upper = np.hstack([gap[:, [c]] + close[c][None] for c in range(len(close))])
+        # Too few kept reaches give no bound: every cell is searched.
+        limit = np.sort(upper, axis=1)[:, k - 1] if k <= upper.shape[1] else np.full(len(gap), np.inf)
+        # Rows that tie with the k-th one after rounding must be searched too.
+        visit = gap - radius[None] <= limit[:, None] + 10.0 ** (1 - digits) + 1e-6
+        tiles = [np.arange(s, s + n) for s, n in zip(start, parts)]
+        return pd.Series([np.concatenate([tiles[c] for c in np.flatnonzero(v)]) for v in visit])
 
     layout = spark.createDataFrame(
-        [(int(c), int(n), int(s)) for c, n, s in zip(cells["cell"], tiles_of, first_tile)],
+        [(int(c), int(n), int(s)) for c, n, s in zip(cells["cell"], parts, start)],
         "cell int, parts long, start long",
     )
     tile = F.col("start") + F.pmod(F.xxhash64("id"), F.col("parts"))
-    corpus = placed.join(F.broadcast(layout), "cell").withColumn("tile", tile)
-    asked = queries.withColumn(
-        "vector", _unit_column(F.col("vector")) if metric == "cosine" else F.col("vector")
-    )
+    corpus = index.rows.join(F.broadcast(layout), "cell").withColumn("tile", tile)
+    vector = F.col("vector")
+    asked = queries.withColumn("vector", _unit_column(vector) if metric == "cosine" else vector)
     blocks = max(1, math.ceil(queries.count() / query_rows))
-    searched = asked.withColumn("tiles", tiles_for("vector"))
-    return _by_tiles(corpus, searched, blocks, k, metric, digits)
+    return _by_tiles(corpus, asked.withColumn("tiles", tiles_for("vector")), blocks, k, metric, digits)

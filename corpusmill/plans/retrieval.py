@@ -88,18 +88,22 @@ def _(spark, sf):
 WIDTH = 64
 
 
-def embed_sql(c):
+def embed_sql(source, keep, c):
+    """Rows of `source` with the columns `keep` and `v`, the word counts per bucket."""
     ids = (
         f"list_transform(regexp_extract_all(lower({c}), '{WORD_SQL}'), "
         "lambda w: CAST('0x' || substr(md5(w), 1, 7) AS BIGINT) % 64 + 1)"
     )
-    return f"list_transform(range(1, 65), lambda b: CAST(len(list_filter({ids}, lambda x: x = b)) AS DOUBLE))"
+    return (
+        f"SELECT {keep}, list_transform(range(1, 65), lambda b: CAST(coalesce(h[b], 0) AS DOUBLE)) AS v "
+        f"FROM (SELECT {keep}, list_aggregate({ids}, 'histogram') AS h FROM {source})"
+    )
 
 
 @query(
     "vec1_hashed_embedding",
-    f"""SELECT doc_id, array_to_string(list_transform({embed_sql("text")}, lambda x: CAST(CAST(x AS INTEGER) AS VARCHAR)), ',') AS embedding
-        FROM documents""",
+    f"""SELECT doc_id, array_to_string(list_transform(v, lambda x: CAST(CAST(x AS INTEGER) AS VARCHAR)), ',') AS embedding
+        FROM ({embed_sql("documents", "doc_id", "text")})""",
 )
 def _(spark, sf):
     embedded = table(spark, sf, "documents").select(
@@ -141,9 +145,9 @@ def questions(spark, sf):
 
 
 RETRIEVE_SQL = f"""w AS ({WINDOWS_SQL}),
-    c AS MATERIALIZED (SELECT doc_id * 16777216 + chunk_index AS id, chunk, {embed_sql("chunk")} AS v FROM w),
-    q AS MATERIALIZED (SELECT conv_id * 1000 + turn AS query_id, text AS question, {embed_sql("text")} AS v
-          FROM conversations WHERE role = 'user'),
+    c AS MATERIALIZED (SELECT doc_id * 16777216 + chunk_index AS id, chunk, v FROM ({embed_sql("w", "doc_id, chunk_index, chunk", "chunk")})),
+    q AS MATERIALIZED (SELECT conv_id * 1000 + turn AS query_id, text AS question, v
+          FROM ({embed_sql("conversations WHERE role = 'user'", "conv_id, turn, text", "text")})),
     p AS (SELECT query_id, id, coalesce(round(list_cosine_similarity(q.v, c.v), 6), 0) AS score FROM q, c),
     r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY CASE WHEN isnan(score) THEN 0 ELSE score END DESC, id) AS rank FROM p),
     top AS (SELECT query_id, string_agg(chunk, chr(10) || chr(10) ORDER BY rank) AS context
@@ -357,10 +361,7 @@ def _(spark, sf):
     folder = scratch_path(spark, "results")
     for arm, _, _ in ARMS:
         writers.write_csv(results.filter(C("arm") == arm).drop("arm"), f"{folder}/results_{arm}.csv")
-    schema = "query string, answer string"
-    back = readers.read_csv(spark, f"{folder}/results_*.csv", schema)
-    name = F.regexp_extract(C("_metadata.file_path"), r"/(results_[^/]*)/[^/]*$", 1)
-    tagged = back.select("*", readers.source_from_file(name).alias("source"))
+    tagged = readers.read_results(spark, folder, "query string, answer string")
     named = tagged.withColumnsRenamed({"query": "question", "answer": "response"})
     return ans.judge(named, length_judge).select("question", "response", "llm_judge", "source")
 

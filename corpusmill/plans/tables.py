@@ -160,11 +160,7 @@ def _(spark, sf):
     # A file per arm, named by it, as the judging step expects them.
     for arm, _, _ in ARMS:
         writers.write_csv(results.filter(F.col("arm") == arm).drop("arm"), f"{path}/results_{arm}.csv")
-    back = readers.read_csv(
-        spark, f"{path}/results_*.csv", "query string, answer string"
-    )
-    folder = F.regexp_extract(F.col("_metadata.file_path"), r"/(results_[^/]*)/[^/]*$", 1)
-    return back.withColumn("source", readers.source_from_file(folder))
+    return readers.read_results(spark, path, "query string, answer string")
 
 
 # --- sinks ----------------------------------------------------------------
