@@ -10,7 +10,7 @@ from corpusmill.operators import ranks, udfs
 from corpusmill.operators import vectors as vec
 from corpusmill.operators.chunks import chunk_id
 from corpusmill.operators.relational import sample_split, with_arms
-from corpusmill.plans.chunking import WINDOWS_SQL, windows
+from corpusmill.plans.chunking import SENTENCES_SQL, WINDOWS_SQL, windows
 from corpusmill.plans.registry import query
 from corpusmill.plans.stats import RANK_SQL, rounded
 from corpusmill.plans.tables import ARMS, ARMS_SQL
@@ -167,7 +167,18 @@ def _(spark, sf):
     return ans.retrieval_prompts(questions(spark, sf), chunks(spark, sf), k=3)
 
 
-@query("rag2_answer_questions")
+def best_sentence_sql(question, context):
+    """The sentence that shares most words with the question, the first one on a tie."""
+    words = "regexp_extract_all(lower({c}), '" + WORD_SQL + "')"
+    hits = f"len(list_intersect({words.replace('{c}', question)}, {words.replace('{c}', 's')}))"
+    parts = SENTENCES_SQL.replace("{c}", context)
+    return f"list_sort(list_transform({parts}, lambda s, i: {{'h': -{hits}, 'i': i, 's': s}}))[1].s"
+
+
+@query(
+    "rag2_answer_questions",
+    f"""WITH {RETRIEVE_SQL} SELECT query_id, question, context, {best_sentence_sql("question", "context")} AS answer FROM a""",
+)
 def _(spark, sf):
     asked = ans.retrieval_prompts(questions(spark, sf), chunks(spark, sf), k=3)
     answered = asked.withColumn("answer", ans.best_sentence(C("question"), C("context")))
@@ -246,7 +257,16 @@ def _(spark, sf):
 # --- generation -----------------------------------------------------------
 
 
-@query("gen1_extractive_answers")
+PAIRS_OF_TURNS_SQL = """SELECT conv_id, turn, text AS question, answer FROM (
+    SELECT *, lead(role) OVER w AS next_role, lead(text) OVER w AS answer
+    FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
+    WHERE role = 'user' AND next_role = 'assistant'"""
+
+
+@query(
+    "gen1_extractive_answers",
+    f"""SELECT conv_id, turn, question, {best_sentence_sql("question", "answer")} AS answer FROM ({PAIRS_OF_TURNS_SQL})""",
+)
 def _(spark, sf):
     pairs = agg.answer_pairs(table(spark, sf, "conversations"))
     return pairs.withColumn("answer", ans.best_sentence(C("question"), C("answer")))
@@ -292,12 +312,6 @@ def _(spark, sf):
     return ans.generate(turns, "text", shout).drop("text")
 
 
-PAIRS_OF_TURNS_SQL = """SELECT conv_id, turn, text AS question, answer FROM (
-    SELECT *, lead(role) OVER w AS next_role, lead(text) OVER w AS answer
-    FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
-    WHERE role = 'user' AND next_role = 'assistant'"""
-
-
 @query(
     "gen4_question_answer_pairs",
     f"""SELECT 'c' || conv_id AS topic, question, regexp_replace(answer, '[^\\x00-\\x7F]', ' ', 'g') AS answer
