@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions.text import words
 from corpusmill.operators.relational import heavy_join
-from corpusmill.session import checkpoint
+from corpusmill.session import written
 
 
 def token_ids(text: Column, size: int) -> Column:
@@ -30,7 +30,7 @@ def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
 def tfidf(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, term, weight): tf * (ln((1 + n) / (1 + df)) + 1), scaled to unit length per document."""
     # Read three times below: words are cut from the texts only once.
-    counts = checkpoint(term_counts(df, key, text))
+    counts = written(term_counts(df, key, text), "terms")
     spread = counts.groupBy("term").agg(F.count("*").alias("df"))
     n = df.agg(F.count("*").alias("n")).scalar()
     joined = heavy_join(counts, spread, "term", "df")

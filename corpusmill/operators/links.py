@@ -8,16 +8,19 @@ from pyspark.sql import functions as F
 from corpusmill.functions import urls
 from corpusmill.operators.documents import out_links
 from corpusmill.operators.relational import new_links
-from corpusmill.session import checkpoint
+from corpusmill.session import checkpoint, written
 
 
 def reachable(edges: DataFrame, seeds: DataFrame, max_pages=1000, max_depth=None) -> DataFrame:
     """(url, depth) of the pages reached from `seeds` over `edges(src, dst)`.
 
+    Links are cut from the pages once and kept as a table of distinct edges.
+
     One job per depth. Levels are complete, except that the last one is cut, in
     URL order, when it would exceed `max_pages` (None: no limit). Each level is
     checkpointed, so lost executors cost one level and plans stay short.
     """
+    edges = written(edges.select("src", "dst").distinct(), "edges")
     fresh, levels, size, depth = seeds.select("url").distinct(), [], 0, 0
     while True:
         level = checkpoint(fresh)
@@ -30,8 +33,8 @@ def reachable(edges: DataFrame, seeds: DataFrame, max_pages=1000, max_depth=None
         size, depth = size + found, depth + 1
         if size == max_pages or (max_depth is not None and depth > max_depth):
             break
-        # A semi join keeps one copy of each edge, whichever side is large; a page
-        # with very many links is split by the adaptive skew join.
+        # The semi join only filters edges; a page with very many links is split
+        # by the adaptive skew join.
         out = edges.join(level, F.col("src") == F.col("url"), "left_semi")
         visited = reduce(DataFrame.unionByName, levels)
         fresh = new_links(out.select(F.col("dst").alias("url")), visited)

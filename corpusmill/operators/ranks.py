@@ -4,7 +4,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmill.session import checkpoint
+from corpusmill.session import written
 
 RANGES = 256
 
@@ -17,7 +17,7 @@ def average_ranks(df: DataFrame, value: str) -> DataFrame:
     the number of rows in the ranges before it (at most RANGES + 1 of them).
     """
     return _ranked(
-        checkpoint(
+        written(
             df.filter(F.col(value).isNotNull())
             .groupBy(F.col(value).cast("double").alias(value))
             .agg(F.count("*").alias("n"))
@@ -59,7 +59,7 @@ def spearman(df: DataFrame, left: str, right: str) -> DataFrame:
     both = df.select(F.col(left).cast("double").alias("x"), F.col(right).cast("double").alias("y"))
     both = both.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
     # Everything below reads the distinct pairs, so they are computed once.
-    pairs = checkpoint(both.groupBy("x", "y").agg(F.count("*").alias("w")))
+    pairs = written(both.groupBy("x", "y").agg(F.count("*").alias("w")), "pairs")
     ranks_of = lambda c: _ranked(pairs.groupBy(c).agg(F.sum("w").alias("n")), c)
     rx = ranks_of("x").select("x", F.col("avg_rank").alias("rx"))
     ry = ranks_of("y").select("y", F.col("avg_rank").alias("ry"))

@@ -66,6 +66,13 @@ def _matrix(values):
     return np.stack([np.asarray(v, dtype="float64") for v in values])
 
 
+def _arrow_matrix(column):
+    """Rows of equal length as one matrix, without a Python object per row."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    return column.flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(len(column), -1)
+
+
 def _keep_best(q, ids, scores, k, sign):
     """The k best (score, then id) of every query in flat arrays."""
     order = np.lexsort((ids, -sign * scores, q))
@@ -144,9 +151,7 @@ def _by_broadcast(corpus, queries, k, metric, digits):
             if not batch.num_rows:
                 continue
             ids = batch.column("id").to_numpy(zero_copy_only=False)
-            flat = batch.column("vector").flatten().to_numpy(zero_copy_only=False)
-            block = flat.astype("float64").reshape(len(ids), -1)
-            new = _block_best(vectors, ids, block, k, metric, digits)
+            new = _block_best(vectors, ids, _arrow_matrix(batch.column("vector")), k, metric, digits)
             if best is not None:
                 new = _keep_best(*(np.concatenate(p) for p in zip(best, new)), k, sign)
             best = new
@@ -166,17 +171,20 @@ def _by_tiles(corpus, queries, blocks, k, metric, digits):
     """`corpus` has a `tile`, a query an array of `tiles` to search in."""
 
     def search(left, right):
-        if left.empty or right.empty:
-            return pd.DataFrame({"query_id": [], "id": [], "score": []})
+        if not left.num_rows or not right.num_rows:
+            return ARROW_RESULT.empty_table()
+        names = right.column("query_id").to_numpy()
         q, ids, scores = _block_best(
-            _matrix(right["vector"]),
-            left["id"].to_numpy(),
-            _matrix(left["vector"]),
+            _arrow_matrix(right.column("vector")),
+            left.column("id").to_numpy(),
+            _arrow_matrix(left.column("vector")),
             k,
             metric,
             digits,
         )
-        return pd.DataFrame({"query_id": right["query_id"].to_numpy()[q], "id": ids, "score": scores})
+        return pa.Table.from_arrays(
+            [pa.array(names[q]), pa.array(ids), pa.array(scores)], schema=ARROW_RESULT
+        )
 
     every = F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))
     left = corpus.select(F.col("id").cast("long").alias("id"), "vector", "tile", F.explode(every).alias("block"))
@@ -187,7 +195,7 @@ def _by_tiles(corpus, queries, blocks, k, metric, digits):
         F.pmod(F.xxhash64("query_id"), F.lit(blocks)).alias("block"),
     )
     found = (
-        left.groupBy("tile", "block").cogroup(right.groupBy("tile", "block")).applyInPandas(search, RESULT)
+        left.groupBy("tile", "block").cogroup(right.groupBy("tile", "block")).applyInArrow(search, RESULT)
     )
     return _final(found, k, metric)
 

@@ -11,13 +11,14 @@ from corpusmill.operators.relational import position_split
 from corpusmill.plans.registry import query
 from corpusmill.plans.stats import rounded, three_way
 from corpusmill.plans.texts import IDS_SQL, WORD_SQL
-from corpusmill.session import table
+from corpusmill.session import spread, table
 
 C = F.col
 
 
 def docs(spark, sf):
-    return table(spark, sf, "documents")
+    """Documents for work that is heavy per text."""
+    return spread(table(spark, sf, "documents"), "doc_id")
 
 
 # Sentences by a marker, as RE2 has no look-behind.

@@ -10,7 +10,7 @@ from corpusmill.operators import ranks, udfs
 from corpusmill.operators import vectors as vec
 from corpusmill.operators.chunks import chunk_id
 from corpusmill.operators.relational import sample_split, with_arms
-from corpusmill.plans.chunking import SENTENCES_SQL, WINDOWS_SQL, windows
+from corpusmill.plans.chunking import SENTENCES_SQL, WINDOWS_SQL, docs, windows
 from corpusmill.plans.registry import query
 from corpusmill.plans.stats import RANK_SQL, rounded
 from corpusmill.plans.tables import ARMS, ARMS_SQL
@@ -106,7 +106,7 @@ def embed_sql(source, keep, c):
         FROM ({embed_sql("documents", "doc_id", "text")})""",
 )
 def _(spark, sf):
-    embedded = table(spark, sf, "documents").select(
+    embedded = docs(spark, sf).select(
         "doc_id", vec.hashed_embedding(C("text"), WIDTH).alias("e")
     )
     shown = F.array_join(F.transform("e", lambda x: x.cast("int").cast("string")), ",")
@@ -127,12 +127,15 @@ def _(spark, sf):
 
 
 def chunks(spark, sf):
-    rows = windows(spark, sf)
-    return rows.select(
+    """The vector table of the documents: embedded once, then read by search and answers."""
+    embedded = windows(spark, sf).select(
         chunk_id(C("doc_id"), C("chunk_index")).alias("id"),
         vec.hashed_embedding(C("chunk"), WIDTH).alias("vector"),
         C("chunk").alias("page_content"),
     )
+    path = scratch_path(spark, "vectors")
+    writers.write_vectors(embedded, path)
+    return spark.read.parquet(path)
 
 
 def questions(spark, sf):
@@ -235,7 +238,7 @@ LEXICON_SQL = f"""WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '{WO
 
 @query("scr1_lexicon_scores", LEXICON_SQL)
 def _(spark, sf):
-    scored = table(spark, sf, "documents").select(
+    scored = docs(spark, sf).select(
         "doc_id", ans.lexicon_label(C("text"), POSITIVE, NEGATIVE).alias("s")
     )
     return scored.select("doc_id", C("s.label").alias("Label"), F.round("s.score", 6).alias("Score"))

@@ -9,7 +9,7 @@ from corpusmill.operators import ranks
 from corpusmill.operators.relational import hash_split, union_all
 from corpusmill.plans.registry import query
 from corpusmill.plans.tables import SPLIT_SQL, shown
-from corpusmill.session import table
+from corpusmill.session import spread, table
 
 # A language rule on accented letters: wrong often enough to fill a confusion matrix.
 LANG_RULE_SQL = (
@@ -28,7 +28,7 @@ def lang_rule(text):
 
 
 def languages(spark, sf):
-    return table(spark, sf, "documents").select(
+    return spread(table(spark, sf, "documents"), "doc_id").select(
         "doc_id", "lang", lang_rule(F.col("text")).alias("predicted")
     )
 
@@ -332,7 +332,7 @@ def _(spark, sf):
 def _(spark, sf):
     # Score the text, join the labels, report agreement: one scan of each table,
     # and only confusion counts are shuffled after the join.
-    scored = table(spark, sf, "documents").select(
+    scored = spread(table(spark, sf, "documents"), "doc_id").select(
         "doc_id",
         "lang",
         F.concat_ws(

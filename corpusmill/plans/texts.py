@@ -7,7 +7,7 @@ from corpusmill.operators import aggregates as agg
 from corpusmill.operators.relational import with_arms
 from corpusmill.plans.registry import query
 from corpusmill.plans.tables import ARMS, ARMS_SQL, LINES_SQL, TIME, courses, COURSES_SQL
-from corpusmill.session import table
+from corpusmill.session import spread, table
 
 C = F.col
 
@@ -380,7 +380,7 @@ def _(spark, sf):
     from corpusmill.operators.features import token_ids
 
     ids = token_ids(C("text"), 30000)
-    tokens = docs(spark, sf).select("doc_id", ids.alias("raw"))
+    tokens = spread(docs(spark, sf), "doc_id").select("doc_id", ids.alias("raw"))
     return tokens.select(
         "doc_id",
         F.array_join(arrays.pad_or_cut(C("raw"), 128), ",").alias("ids"),

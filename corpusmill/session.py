@@ -29,6 +29,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """A scan of few files spread over all cores by key, for work that is heavy per row.
+
+    A large input has far more splits than the cluster has cores and is returned
+    as it is; only a small one is shuffled.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= 2 * cores:
+        return scan
+    return scan.repartition(2 * cores, key)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by spark.checkpoint.dir."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -46,6 +58,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, label="step") -> DataFrame:
+    """A step that is read several times, as a table in the shared folder.
+
+    Later reads skip its computation, prune columns and know its size, and a lost
+    executor costs a read instead of a recomputation.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut lineage through the reliable checkpoint folder."""
     spark = df.sparkSession

@@ -5,9 +5,13 @@ import re
 
 from pyspark.sql import functions as F
 
+from corpusmill.functions.html import nodes
 from corpusmill.operators import chunks as ch
+from corpusmill.operators.answers import lexicon_label
+from corpusmill.operators.features import term_counts
+from corpusmill.operators.vectors import hashed_embedding
 from corpusmill.plans import QUERIES
-from corpusmill.session import table
+from corpusmill.session import spread, table
 
 PACKAGE = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "corpusmill")
 
@@ -41,8 +45,27 @@ def test_newest_rows_without_a_global_sort(spark, sf):
     assert "TakeOrderedAndProject" in text and "Exchange" not in text
 
 
-def test_scoring_is_narrow(spark, sf):
-    assert "Exchange" not in plan(QUERIES["scr1_lexicon_scores"](spark, sf))
+def test_heavy_text_work_is_narrow(spark, sf):
+    docs = table(spark, sf, "documents")
+    for column in (
+        lexicon_label(F.col("text"), ["the"], ["of"]),
+        ch.sentence_chunks(F.col("text")),
+        hashed_embedding(F.col("text"), 16),
+        nodes("text"),
+    ):
+        assert "Exchange" not in plan(docs.select("doc_id", column.alias("x")))
+
+
+def test_only_small_scans_are_spread(spark, sf):
+    docs = table(spark, sf, "documents")
+    assert "Exchange hashpartitioning(doc_id" in plan(spread(docs, "doc_id"))
+    many = docs.repartition(1000)
+    assert spread(many, "doc_id") is many
+
+
+def test_word_counts_reuse_the_spreading(spark, sf):
+    docs = spread(table(spark, sf, "documents"), "doc_id")
+    assert plan(term_counts(docs, "doc_id", "text")).count("Exchange hashpartitioning") == 1
 
 
 def test_no_local_checkpoints_or_machine_local_folders():
