@@ -12,6 +12,7 @@ from corpusmill.operators.aggregates import joined_texts
 from corpusmill.operators.relational import with_arms
 from corpusmill.operators.vectors import BROADCAST_BYTES, nearest
 
+# Fixed value: the answer of a row whose model call failed.
 FAILED = "Error generating answer"
 # One retrieved (query, chunk, score, rank) row in memory.
 HIT_BYTES = 64

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.operators.features import token_ids
-from corpusmill.session import scratch_path
+from corpusmill.session import scratch_path, written
 
 RESULT = "query_id long, id long, score double"
 ARROW_RESULT = pa.schema([("query_id", pa.int64()), ("id", pa.int64()), ("score", pa.float64())])
@@ -257,12 +257,14 @@ def _distances(a, b):
     return np.sqrt(np.maximum(squares, 0))
 
 
-def nearest_pruned(index: CellIndex, queries: DataFrame, k=5, metric="cosine", digits=6, tile_rows=TILE_ROWS, query_rows=20_000) -> DataFrame:
+def nearest_pruned(index: CellIndex, queries: DataFrame, k=5, metric="cosine", digits=6, tile_rows=TILE_ROWS, query_rows=20_000, min_saving=0.5) -> DataFrame:
     """The result of `nearest`, reading only cells that can hold a neighbour.
 
     The k-th smallest sum of query-pivot and pivot-row distance bounds the k-th
     neighbour from above; a cell whose nearest possible row is farther is
-    skipped. Large cells are cut into tiles, so no cell lands in one task.
+    skipped. Large cells are cut into tiles, so no cell lands in one task. The
+    saving is measured first: vectors without clusters are searched in full by
+    `nearest`, which then moves less.
     """
     spark, cells = queries.sparkSession, index.cells
     parts = np.ceil(cells["rows"] / tile_rows).astype(int).to_numpy()
@@ -296,5 +298,8 @@ def nearest_pruned(index: CellIndex, queries: DataFrame, k=5, metric="cosine", d
     corpus = index.rows.join(F.broadcast(layout), "cell").withColumn("tile", tile)
     vector = F.col("vector")
     asked = queries.withColumn("vector", _unit_column(vector) if metric == "cosine" else vector)
-    blocks = max(1, math.ceil(queries.count() / query_rows))
-    return _by_tiles(corpus, asked.withColumn("tiles", tiles_for("vector")), blocks, k, metric, digits)
+    searched = written(asked.withColumn("tiles", tiles_for("vector")), "searched")
+    rows, visits = searched.agg(F.count("*"), F.avg(F.size("tiles"))).first()
+    if not rows or visits > (1 - min_saving) * parts.sum():
+        return nearest(index.rows, asked, k, metric, digits)
+    return _by_tiles(corpus, searched, math.ceil(rows / query_rows), k, metric, digits)

@@ -218,6 +218,76 @@ def _(spark, sf):
     )
 
 
+# --- lists of retrieved texts ---------------------------------------------
+
+# The three nearest vectors of every vector, described in words; a list of them
+# has at most three entries.
+NEAR_SQL = f"""n AS ({COSINE_SQL.replace("rank <= 5", "rank <= 3")}),
+    t AS (SELECT query_id, rank, 'vector ' || id || ' of class ' || label AS page_content
+          FROM n JOIN embeddings ON vec_id = id)"""
+
+
+def near_texts(spark, sf):
+    found = vec.nearest(vectors(spark, sf), vector_queries(spark, sf), k=3)
+    labels = table(spark, sf, "embeddings").select(C("vec_id").alias("id"), "label")
+    described = F.concat(
+        F.lit("vector "), C("id").cast("string"), F.lit(" of class "), C("label").cast("string")
+    )
+    return found.join(labels, "id").select("query_id", "rank", described.alias("page_content"))
+
+
+@query(
+    "agg8_joined_contexts",
+    f"""WITH {NEAR_SQL} SELECT query_id, string_agg(page_content, chr(10) || chr(10) ORDER BY rank) AS context
+        FROM t GROUP BY query_id""",
+)
+def _(spark, sf):
+    return agg.joined_texts(near_texts(spark, sf), "query_id", "rank", "page_content")
+
+
+def near_lists(spark, sf):
+    ordered = F.array_sort(F.collect_list(F.struct("rank", "page_content")))
+    listed = near_texts(spark, sf).groupBy("query_id").agg(ordered.alias("context"))
+    return listed.withColumn("contexts", F.transform("context", lambda d: d["page_content"]))
+
+
+@query(
+    "arr2_context_list",
+    f"""WITH {NEAR_SQL} SELECT query_id, to_json(list(page_content ORDER BY rank)) AS contexts FROM t GROUP BY query_id""",
+)
+def _(spark, sf):
+    return near_lists(spark, sf).select("query_id", F.to_json("contexts").alias("contexts"))
+
+
+@query(
+    "prj7_flatten_steps",
+    f"""WITH {NEAR_SQL} SELECT 'find ' || query_id AS query, to_json(list(page_content ORDER BY rank)) AS contexts,
+            string_agg(page_content, '; ' ORDER BY rank) AS answer FROM t GROUP BY query_id""",
+)
+def _(spark, sf):
+    # Nested step records: query{query, section}, context[{rank, page_content}], answer.
+    steps = near_lists(spark, sf).select(
+        F.struct(
+            F.concat(F.lit("find "), C("query_id").cast("string")).alias("query"),
+            F.lit("end").alias("section"),
+        ).alias("query"),
+        "context",
+        F.array_join("contexts", "; ").alias("answer"),
+    )
+    contexts = F.transform("context", lambda d: d["page_content"])
+    return steps.select("query.query", F.to_json(contexts).alias("contexts"), "answer")
+
+
+@query(
+    "snk1_csv_arrays_as_json",
+    f"""WITH {NEAR_SQL} SELECT query_id, to_json(list(page_content ORDER BY rank)) AS contexts FROM t GROUP BY query_id""",
+)
+def _(spark, sf):
+    path = scratch_path(spark, "csv")
+    writers.write_csv(near_lists(spark, sf).select("query_id", "contexts"), path)
+    return readers.read_csv(spark, path, "query_id long, contexts string")
+
+
 # --- scoring --------------------------------------------------------------
 
 # Words of the invented prose, standing in for a sentiment lexicon.
@@ -427,7 +497,7 @@ def _(spark, sf):
     docs = table(spark, sf, "documents")
     arrived = scratch_path(spark, "arrived")
     docs.repartition(4).write.parquet(arrived)
-    stream = batches.arriving(spark, arrived, docs.schema, files_per_batch=1)
+    stream = batches.arriving(spark, arrived, docs.schema, files_per_batch=2)
 
     def score(batch):
         label = ans.lexicon_label(C("text"), POSITIVE, NEGATIVE)["label"]

@@ -144,15 +144,6 @@ def _(spark, sf):
     return agg.label_domain(table(spark, sf, "labels"), "toxic", {0: "non-offensive", 1: "offensive"})
 
 
-@query(
-    "agg8_joined_contexts",
-    """SELECT conv_id, string_agg(text, chr(10) || chr(10) ORDER BY turn) AS context
-       FROM conversations GROUP BY conv_id""",
-)
-def _(spark, sf):
-    return agg.joined_texts(table(spark, sf, "conversations"), "conv_id", "turn", "text")
-
-
 @query(
     "agg9_score_per_cost",
     f"""WITH p AS (SELECT lang, n_chars, {LANG_RULE_SQL} AS predicted FROM documents)

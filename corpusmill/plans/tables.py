@@ -176,22 +176,6 @@ def _(spark, sf):
     return readers.read_csv(spark, path, "doc_id long, text string, lang string")
 
 
-@query(
-    "snk1_csv_arrays_as_json",
-    """SELECT conv_id, to_json(list(text ORDER BY turn)) AS contexts
-       FROM conversations GROUP BY conv_id""",
-)
-def _(spark, sf):
-    turns = table(spark, sf, "conversations").groupBy("conv_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda t: t.text).alias(
-            "contexts"
-        )
-    )
-    path = scratch_path(spark, "csv")
-    writers.write_csv(turns, path)
-    return readers.read_csv(spark, path, "conv_id long, contexts string")
-
-
 @query("snk2_line_file", """SELECT DISTINCT source AS value FROM documents""")
 def _(spark, sf):
     path = scratch_path(spark, "topics")

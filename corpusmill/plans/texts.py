@@ -353,16 +353,6 @@ def _(spark, sf):
     return docs(spark, sf).select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
 
 
-@query(
-    "arr2_context_list",
-    "SELECT conv_id, to_json(list(text ORDER BY turn) FILTER (role = 'assistant')) AS contexts FROM conversations GROUP BY conv_id HAVING count(*) FILTER (role = 'assistant') > 0",
-)
-def _(spark, sf):
-    answers = turns(spark, sf).filter("role = 'assistant'")
-    listed = answers.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("c"))
-    return listed.select("conv_id", F.to_json(F.transform("c", lambda t: t["text"])).alias("contexts"))
-
-
 WORD_SQL = "[\\p{L}\\p{N}_]{2,}"
 IDS_SQL = (
     f"list_transform(regexp_extract_all(lower(text), '{WORD_SQL}'), "
@@ -441,28 +431,6 @@ def _(spark, sf):
     return parsed.filter("s IS NOT NULL").select("conv_id", "turn", "s.query", "s.section")
 
 
-@query(
-    "prj7_flatten_steps",
-    """SELECT conv_id, min(text) AS query, to_json(list(text ORDER BY turn)) AS contexts, max(role) AS answer
-       FROM conversations GROUP BY conv_id""",
-)
-def _(spark, sf):
-    # Nested step records: query{query, section}, context[{page_content, source}], answer.
-    steps = (
-        turns(spark, sf)
-        .groupBy("conv_id")
-        .agg(
-            F.struct(F.min("text").alias("query"), F.lit("end").alias("section")).alias("query"),
-            F.array_sort(
-                F.collect_list(F.struct("turn", C("text").alias("page_content"), C("role").alias("source")))
-            ).alias("context"),
-            F.max("role").alias("answer"),
-        )
-    )
-    contexts = F.transform("context", lambda d: d["page_content"])
-    return steps.select("conv_id", "query.query", F.to_json(contexts).alias("contexts"), "answer")
-
-
 @query(
     "win5_step_record",
     f"""SELECT conv_id, turn, trim(text, ' ' || chr(10)) AS analyze_query, arm AS retrieve, upper(arm) AS generate

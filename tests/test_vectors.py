@@ -56,6 +56,8 @@ def test_every_plan_equals_brute_force(data, monkeypatch, metric, k):
     same(found(vec.nearest(c, q, k, metric, broadcast_bytes=500)), want)
     index = vec.cell_index(c, cells=9, metric=metric)
     same(found(vec.nearest_pruned(index, q, k, metric, tile_rows=40, query_rows=15)), want)
+    forced = vec.nearest_pruned(index, q, k, metric, tile_rows=40, query_rows=15, min_saving=0)
+    same(found(forced), want)
 
 
 def test_small_score_blocks(data, monkeypatch):
