@@ -4,6 +4,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body) -> Column:
+    """`body(value)` with the value computed once per row.
+
+    An expression used inside a lambda is otherwise computed again for every
+    element the lambda runs over.
+    """
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def argmax(values: Column) -> Column:
     """Zero-based position of the largest value; the first one on a tie."""
     return F.array_position(values, F.array_max(values)) - 1
@@ -39,12 +48,11 @@ def fixed_windows(text: Column, size: int, overlap: int) -> Column:
     count = F.greatest(
         F.ceil((F.length(text) - F.lit(overlap)) / F.lit(step)).cast("int"), F.lit(1)
     )
-    starts = F.sequence(F.lit(1), F.least(count, F.greatest(F.size(pieces), F.lit(1))))
-    return F.when(F.length(text) == 0, F.array().cast("array<string>")).otherwise(
-        F.transform(
-            starts, lambda i: F.substring(F.array_join(F.slice(pieces, i, span), ""), 1, size)
-        )
+    starts = F.sequence(F.lit(1), count)
+    cut = lambda p: F.transform(
+        starts, lambda i: F.substring(F.array_join(F.slice(p, i, span), ""), 1, size)
     )
+    return F.when(F.length(text) == 0, F.array().cast("array<string>")).otherwise(let(pieces, cut))
 
 
 def dot(a: Column, b: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill.functions import prompts, text
+from corpusmill.functions.arrays import let
 from corpusmill.operators.aggregates import joined_texts
 from corpusmill.operators.relational import with_arms
 from corpusmill.operators.vectors import BROADCAST_BYTES, nearest
@@ -23,12 +24,18 @@ HIT_BYTES = 64
 
 def lexicon_label(column: Column, positive, negative) -> Column:
     """struct(label, score) from word lists: POS, NEG or NEU, and the share of the balance."""
-    found = text.words(column)
-    up = F.size(F.filter(found, lambda w: w.isin(*positive)))
-    down = F.size(F.filter(found, lambda w: w.isin(*negative)))
-    label = F.when(up > down, "POS").when(up < down, "NEG").otherwise("NEU")
-    score = F.coalesce(F.try_divide(F.abs(up - down), up + down), F.lit(0.0))
-    return F.struct(label.alias("label"), score.alias("score"))
+
+    def count(found):
+        hits = lambda words: F.size(F.filter(found, lambda w: w.isin(*words)))
+        return F.struct(hits(positive).alias("up"), hits(negative).alias("down"))
+
+    def judge(n):
+        up, down = n["up"], n["down"]
+        label = F.when(up > down, "POS").when(up < down, "NEG").otherwise("NEU")
+        score = F.coalesce(F.try_divide(F.abs(up - down), up + down), F.lit(0.0))
+        return F.struct(label.alias("label"), score.alias("score"))
+
+    return let(let(text.words(column), count), judge)
 
 
 def score_with(df: DataFrame, column: str, make_model) -> DataFrame:
@@ -80,14 +87,19 @@ def generate(df: DataFrame, prompt: str, model, target="answer", error="error")
 
 def best_sentence(question: Column, context: Column) -> Column:
     """Extractive answer: the context sentence that shares most words with the question."""
-    asked = F.array_distinct(text.words(question))
-    scored = F.transform(
-        text.sentences(context),
-        lambda s, i: F.struct(
-            F.size(F.array_intersect(asked, text.words(s))).alias("hits"), (-i).alias("place"), s.alias("s")
-        ),
-    )
-    return F.array_max(scored)["s"]
+
+    def best(asked):
+        scored = F.transform(
+            text.sentences(context),
+            lambda s, i: F.struct(
+                F.size(F.array_intersect(asked, text.words(s))).alias("hits"),
+                (-i).alias("place"),
+                s.alias("s"),
+            ),
+        )
+        return F.array_max(scored)["s"]
+
+    return let(F.array_distinct(text.words(question)), best)
 
 
 def generate_lists(df: DataFrame, kind: str, about: str, n: int, model, rounds=2, target="items") -> DataFrame:

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions import html as h
+from corpusmill.functions.arrays import let
 from corpusmill.functions.text import labelled
 
 COMMENT_OR_SCRIPT = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
@@ -88,12 +89,13 @@ def headed_paragraphs(pages: DataFrame, category: str, updated: str) -> DataFram
     heads = F.filter(page, lambda n: n["tag"] == "h2")
     text_of = lambda n: h.tight_text(h.inside(page, n))
 
-    def entry(head: Column) -> Column:
-        following = F.get(F.filter(F.col("ps"), lambda p: p["pos"] > head["pos"]), 0)
+    def entry(head: Column, paragraphs: Column) -> Column:
+        following = F.get(F.filter(paragraphs, lambda p: p["pos"] > head["pos"]), 0)
         body = F.when(following.isNull(), "").otherwise(text_of(following))
         return F.struct(text_of(head).alias("title"), body.alias("description"))
 
-    entries = pages.withColumn("ps", paragraphs).withColumn("entry", F.explode(F.transform(heads, entry)))
+    found = let(paragraphs, lambda ps: F.transform(heads, lambda head: entry(head, ps)))
+    entries = pages.withColumn("entry", F.explode(found))
     return entries.select(
         *[c for c in pages.columns if c != "nodes"],
         labelled(F.col("entry.title"), F.col("entry.description")).alias("page_content"),
@@ -122,31 +124,35 @@ def section_trees(pages: DataFrame) -> DataFrame:
         found = F.filter(marks, lambda n: (n["tag"] == "p") & n["pos"].between(low + 1, high - 1))
         return F.transform(found, text_of)
 
-    heads = pages.withColumn("head", F.explode(F.filter(page, lambda n: n["tag"] == "h2")))
-    level = heads.withColumn(
-        "marks",
-        F.filter(
-            page,
-            lambda n: n["tag"].isin("h2", "h3", "p")
-            & (n["parent"] == F.col("head.parent"))
-            & (n["pos"] > F.col("head.pos")),
-        ),
-    ).withColumn("until", next_pos(F.col("marks"), "h2", F.col("head")))
-    marks = F.filter("marks", lambda n: n["pos"] < F.col("until"))
-    own = level.withColumn("marks", marks)
-    m = F.col("marks")
-    groups = F.transform(
-        F.filter(m, lambda n: n["tag"] == "h3"),
-        lambda g: F.struct(
-            text_of(g).alias("title"),
-            paragraphs(m, g["pos"], next_pos(m, "h3", g)).alias("paragraphs"),
-        ),
-    )
-    return own.select(
-        *[c for c in pages.columns if c != "nodes"],
-        text_of(F.col("head")).alias("title"),
-        paragraphs(m, F.col("head.pos"), next_pos(m, "h3", F.col("head"))).alias("paragraphs"),
-        groups.alias("h3_sections"),
+    def groups(marks: Column) -> Column:
+        return F.transform(
+            F.filter(marks, lambda n: n["tag"] == "h3"),
+            lambda g: F.struct(
+                text_of(g).alias("title"),
+                paragraphs(marks, g["pos"], next_pos(marks, "h3", g)).alias("paragraphs"),
+            ),
+        )
+
+    def tree(head: Column, marks: Column) -> Column:
+        siblings = F.filter(
+            marks, lambda n: (n["parent"] == head["parent"]) & (n["pos"] > head["pos"])
+        )
+        until = lambda s: next_pos(s, "h2", head)
+        own = let(siblings, lambda s: let(until(s), lambda u: F.filter(s, lambda n: n["pos"] < u)))
+        return let(
+            own,
+            lambda m: F.struct(
+                text_of(head).alias("title"),
+                paragraphs(m, head["pos"], next_pos(m, "h3", head)).alias("paragraphs"),
+                groups(m).alias("h3_sections"),
+            ),
+        )
+
+    marks = F.filter(page, lambda n: n["tag"].isin("h2", "h3", "p"))
+    heads = F.filter(page, lambda n: n["tag"] == "h2")
+    trees = let(marks, lambda m: F.transform(heads, lambda head: tree(head, m)))
+    return pages.withColumn("tree", F.explode(trees)).select(
+        *[c for c in pages.columns if c != "nodes"], "tree.*"
     )
 
 

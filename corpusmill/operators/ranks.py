@@ -1,12 +1,16 @@
 """Average ranks and Spearman correlation without a global sort in one task."""
 
+import math
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.session import written
 
-RANGES = 256
+# Distinct values that one task numbers, and the most ranges there can be.
+RANGE_ROWS = 500_000
+MAX_RANGES = 4096
 
 
 def average_ranks(df: DataFrame, value: str) -> DataFrame:
@@ -14,7 +18,8 @@ def average_ranks(df: DataFrame, value: str) -> DataFrame:
 
     Ties collapse in the partial aggregate. The distinct values are then cut into
     ranges at approximate quantiles, numbered inside each range, and shifted by
-    the number of rows in the ranges before it (at most RANGES + 1 of them).
+    the number of rows in the ranges before it. Ranges grow in number with the
+    distinct values, so none outgrows a task.
     """
     return _ranked(
         written(
@@ -27,11 +32,13 @@ def average_ranks(df: DataFrame, value: str) -> DataFrame:
 
 
 def _ranked(counts: DataFrame, value: str) -> DataFrame:
-    probes = [i / RANGES for i in range(1, RANGES)]
-    cuts = counts.approxQuantile(value, probes, 1 / (4 * RANGES))
-    inner = sorted(set(cuts))
-    if inner:
-        splits = [float("-inf"), *inner, float("inf")]
+    ranges = min(math.ceil(counts.count() / RANGE_ROWS), MAX_RANGES)
+    cuts = []
+    if ranges > 1:
+        probes = [i / ranges for i in range(1, ranges)]
+        cuts = sorted(set(counts.approxQuantile(value, probes, 1 / (4 * ranges))))
+    if cuts:
+        splits = [float("-inf"), *cuts, float("inf")]
         counts = Bucketizer(splits=splits, inputCol=value, outputCol="range").transform(counts)
     else:
         counts = counts.withColumn("range", F.lit(0.0))

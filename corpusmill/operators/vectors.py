@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusmill.functions.arrays import let
 from corpusmill.operators.features import token_ids
 from corpusmill.session import scratch_path, written
 
@@ -205,7 +206,8 @@ def _by_tiles(corpus, queries, blocks, k, metric, digits):
 
 def _unit_column(v: Column) -> Column:
     length = F.sqrt(F.aggregate(v, F.lit(0.0), lambda t, x: t + x.cast("double") * x.cast("double")))
-    return F.transform(v, lambda x: F.when(length > 0, x.cast("double") / length).otherwise(0.0))
+    scaled = lambda n: F.transform(v, lambda x: F.when(n > 0, x.cast("double") / n).otherwise(0.0))
+    return let(length, scaled)
 
 
 class CellIndex(NamedTuple):

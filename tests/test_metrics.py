@@ -51,9 +51,9 @@ def test_binary_without_positives(spark):
     assert tuple(met.binary_metrics(df, "a", "p").first()) == (1.0, 0.0, 0.0, 0.0)
 
 
-@pytest.mark.parametrize("ranges", [2, 256])
-def test_average_ranks_with_a_hot_tie(spark, monkeypatch, ranges):
-    monkeypatch.setattr(ranks, "RANGES", ranges)
+@pytest.mark.parametrize("range_rows", [7, 600, 500_000])
+def test_average_ranks_with_a_hot_tie(spark, monkeypatch, range_rows):
+    monkeypatch.setattr(ranks, "RANGE_ROWS", range_rows)
     random.seed(1)
     values = [0.5 if i % 3 == 0 else random.choice([random.random(), 2.0]) for i in range(3000)]
     df = spark.createDataFrame([(v,) for v in values], "v double")
