@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.operators.features import fast_token_ids
-from corpusmill.session import checkpoint, written
+from corpusmill.session import checkpoint
 
 BUCKETS = 1 << 18
 ROWS_PER_TASK = 50_000
@@ -80,12 +80,13 @@ def _sgd(batches, weights, intercept, penalty, epoch):
 def train(df: DataFrame, text="text", label="label", buckets=BUCKETS, penalty=1e-4, epochs=10) -> LinearModel:
     """Fit on (text, label 0/1)."""
     spark = df.sparkSession
-    ids = written(
+    # Checkpoints keep the order of rows, so training the same input again gives
+    # the same model.
+    ids = checkpoint(
         df.select(
             F.col(label).cast("int").alias("label"),
             fast_token_ids(F.col(text), buckets).alias("ids"),
-        ),
-        "ids",
+        )
     )
     rows, idf = _document_weights(ids, buckets)
     tasks = min(max(1, math.ceil(rows / ROWS_PER_TASK)), 2 * spark.sparkContext.defaultParallelism)
