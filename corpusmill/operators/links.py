@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions import urls
+from corpusmill.functions.text import plural
 from corpusmill.operators.documents import out_links
 from corpusmill.operators.relational import new_links
 from corpusmill.session import checkpoint, written
@@ -41,6 +42,20 @@ def reachable(edges: DataFrame, seeds: DataFrame, max_pages=1000, max_depth=None
     return reduce(DataFrame.unionByName, levels) if levels else level.withColumn("depth", F.lit(0))
 
 
+def filter_sort_urls(df: DataFrame, column="url") -> DataFrame:
+    """Distinct normal forms of URLs with a plain last part, shallow and short ones first."""
+    kept = df.filter(urls.has_plain_last_part(F.col(column)))
+    unique = kept.select(urls.normal_form(F.col(column)).alias(column)).distinct()
+    return unique.orderBy(urls.slash_count(F.col(column)), F.length(column), column)
+
+
+def with_plurals(keywords: DataFrame, column="keyword") -> DataFrame:
+    """Distinct keywords and their plurals; the plural rule runs once per distinct word."""
+    word = F.col(column)
+    both = F.explode(F.array(word, plural(word))).alias(column)
+    return keywords.select(column).distinct().select(both).distinct()
+
+
 def link_edges(pages: DataFrame, base: str) -> DataFrame:
     """(src, dst) of all valid links of `pages(url, html)`."""
     links = out_links(pages, "url")

@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def confusion(df: DataFrame, actual: str, predicted: str, by=()) -> DataFrame:
+def confusion(df: DataFrame, actual: str, predicted: str, by=(), count=None) -> DataFrame:
+    """Rows per (actual, predicted); `count` names a column of rows counted before."""
+    rows = F.count("*") if count is None else F.sum(count)
     return df.groupBy(
         *by, F.col(actual).alias("actual"), F.col(predicted).alias("predicted")
-    ).agg(F.count("*").alias("n"))
+    ).agg(rows.alias("n"))
 
 
 def binary_metrics(df: DataFrame, actual: str, predicted: str, positive=1, by=()) -> DataFrame:
@@ -37,9 +39,9 @@ def binary_metrics(df: DataFrame, actual: str, predicted: str, positive=1, by=()
     )
 
 
-def per_class(df: DataFrame, actual: str, predicted: str, by=(), zero_division=0.0) -> DataFrame:
+def per_class(df: DataFrame, actual: str, predicted: str, by=(), zero_division=0.0, count=None) -> DataFrame:
     """Precision, recall, F1 and support of every class seen on either side."""
-    cells = confusion(df, actual, predicted, by)
+    cells = confusion(df, actual, predicted, by, count)
     same = F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0)
     sides = F.array(
         F.struct(
@@ -76,9 +78,9 @@ def per_class(df: DataFrame, actual: str, predicted: str, by=(), zero_division=0
     )
 
 
-def weighted_metrics(df: DataFrame, actual: str, predicted: str, by=()) -> DataFrame:
+def weighted_metrics(df: DataFrame, actual: str, predicted: str, by=(), count=None) -> DataFrame:
     """Accuracy, and precision, recall and F1 averaged by the support of the actual class."""
-    classes = per_class(df, actual, predicted, by)
+    classes = per_class(df, actual, predicted, by, count=count)
     weight = lambda c: (F.sum(F.col(c) * F.col("support")) / F.sum("support")).alias(c)
     return classes.groupBy(*by).agg(
         (F.sum("tp") / F.sum("support")).alias("accuracy"),
@@ -88,12 +90,12 @@ def weighted_metrics(df: DataFrame, actual: str, predicted: str, by=()) -> DataF
     )
 
 
-def class_report(df: DataFrame, actual: str, predicted: str, by=(), zero_division=0.0) -> DataFrame:
+def class_report(df: DataFrame, actual: str, predicted: str, by=(), zero_division=0.0, count=None) -> DataFrame:
     """Per-class rows, then `accuracy`, `macro avg` and `weighted avg`.
 
     The accuracy row carries its value in `f1`; its precision and recall are null.
     """
-    classes = per_class(df, actual, predicted, by, zero_division)
+    classes = per_class(df, actual, predicted, by, zero_division, count)
     weight = lambda c: F.sum(F.col(c) * F.col("support")) / F.sum("support")
     nothing = F.lit(None).cast("double")
     row = lambda name, p, r, f: F.struct(

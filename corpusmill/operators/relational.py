@@ -120,8 +120,10 @@ def rank_cutoff(df: DataFrame, keys: list[str], n: int):
             high = min(high, low + width - 1)
             scope = scope.filter(F.col(key).between(low, high))
         if rows <= SMALL:
-            last = scope.orderBy(*keys).limit(n).agg(F.max(F.struct(*keys)).alias("k")).first()["k"]
-            return tuple(last)
+            top = scope.orderBy(*keys).limit(n + 1).collect()  # at most SMALL + 1 keys
+            if len(top) == n or top[n] != top[n - 1]:
+                return tuple(top[n - 1])
+            break
     raise ValueError(f"rows share all of {keys}; add a unique key")
 
 

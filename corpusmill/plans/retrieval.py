@@ -12,7 +12,7 @@ from corpusmill.operators.chunks import chunk_id
 from corpusmill.operators.relational import sample_split, with_arms
 from corpusmill.plans.chunking import SENTENCES_SQL, WINDOWS_SQL, docs, windows
 from corpusmill.plans.registry import query
-from corpusmill.plans.stats import RANK_SQL, rounded
+from corpusmill.plans.stats import RANK_SQL, lang_rule, rounded
 from corpusmill.plans.tables import ARMS, ARMS_SQL
 from corpusmill.plans.texts import GUIDE_SQL, JUDGE_SQL, READER_SQL, WORD_SQL, judge_text, score_sql
 from corpusmill.session import scratch_path, table
@@ -253,7 +253,7 @@ def near_lists(spark, sf):
 
 @query(
     "arr2_context_list",
-    f"""WITH {NEAR_SQL} SELECT query_id, to_json(list(page_content ORDER BY rank)) AS contexts FROM t GROUP BY query_id""",
+    f"""WITH {NEAR_SQL} SELECT query_id, CAST(to_json(list(page_content ORDER BY rank)) AS VARCHAR) AS contexts FROM t GROUP BY query_id""",
 )
 def _(spark, sf):
     return near_lists(spark, sf).select("query_id", F.to_json("contexts").alias("contexts"))
@@ -261,7 +261,7 @@ def _(spark, sf):
 
 @query(
     "prj7_flatten_steps",
-    f"""WITH {NEAR_SQL} SELECT 'find ' || query_id AS query, to_json(list(page_content ORDER BY rank)) AS contexts,
+    f"""WITH {NEAR_SQL} SELECT 'find ' || query_id AS query, CAST(to_json(list(page_content ORDER BY rank)) AS VARCHAR) AS contexts,
             string_agg(page_content, '; ' ORDER BY rank) AS answer FROM t GROUP BY query_id""",
 )
 def _(spark, sf):
@@ -280,7 +280,7 @@ def _(spark, sf):
 
 @query(
     "snk1_csv_arrays_as_json",
-    f"""WITH {NEAR_SQL} SELECT query_id, to_json(list(page_content ORDER BY rank)) AS contexts FROM t GROUP BY query_id""",
+    f"""WITH {NEAR_SQL} SELECT query_id, CAST(to_json(list(page_content ORDER BY rank)) AS VARCHAR) AS contexts FROM t GROUP BY query_id""",
 )
 def _(spark, sf):
     path = scratch_path(spark, "csv")
@@ -507,6 +507,17 @@ def _(spark, sf):
     return counts.groupBy("actual", "predicted").agg(F.sum("n").alias("n"))
 
 
+@query("stm1_batch_metrics")
+def _(spark, sf):
+    docs = table(spark, sf, "documents").select("lang", "text")
+    arrived = scratch_path(spark, "arrived")
+    docs.repartition(4).write.parquet(arrived)
+    stream = batches.arriving(spark, arrived, docs.schema, files_per_batch=2)
+    score = lambda batch: batch.select("lang", lang_rule(C("text")).alias("predicted"))
+    counts = batches.run_to_end(spark, stream, score, "lang", "predicted")
+    return rounded(batches.batch_metrics(counts), "accuracy", "precision", "recall", "f1")
+
+
 # --- caller functions -----------------------------------------------------
 
 

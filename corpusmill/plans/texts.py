@@ -4,6 +4,9 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions import arrays, prompts, text, urls
 from corpusmill.operators import aggregates as agg
+from corpusmill.operators.documents import out_links
+from corpusmill.operators.features import token_ids
+from corpusmill.operators.links import filter_sort_urls, with_plurals
 from corpusmill.operators.relational import with_arms
 from corpusmill.plans.registry import query
 from corpusmill.plans.tables import ARMS, ARMS_SQL, LINES_SQL, TIME, courses, COURSES_SQL
@@ -205,10 +208,8 @@ def _(spark, sf):
 )
 def _(spark, sf):
     named = F.lower(F.concat_ws(" ", "p_type", "p_name"))
-    words = table(spark, sf, "part").select(F.explode(F.split(named, " ")).alias("k")).filter("k <> ''")
-    # Distinct words first: the plural rule then runs once per word.
-    both = words.distinct().select(F.explode(F.array(C("k"), text.plural(C("k")))).alias("keyword"))
-    return both.distinct()
+    words = table(spark, sf, "part").select(F.explode(F.split(named, " ")).alias("keyword"))
+    return with_plurals(words.filter("keyword <> ''"))
 
 
 KEYWORDS = ["en", "de", "7"]
@@ -260,8 +261,6 @@ HREF_SQL = """SELECT page_id, url, unnest(regexp_extract_all(
         SELECT page_id, href, regexp_extract(url, '^(https?://[^/]*)', 1) || href AS link FROM l""",
 )
 def _(spark, sf):
-    from corpusmill.operators.documents import out_links
-
     links = out_links(table(spark, sf, "pages"), "page_id", "url")
     return links.select("page_id", "href", urls.resolve(C("url"), C("href")).alias("link"))
 
@@ -301,9 +300,7 @@ def _(spark, sf):
        SELECT url FROM n ORDER BY length(url) - length(replace(url, '/', '')), length(url), url""",
 )
 def _(spark, sf):
-    kept = table(spark, sf, "pages").filter(urls.has_plain_last_part(C("url")))
-    unique = kept.select(urls.normal_form(C("url")).alias("url")).distinct()
-    return unique.orderBy(urls.slash_count(C("url")), F.length("url"), "url")
+    return filter_sort_urls(table(spark, sf, "pages"))
 
 
 # --- dates and numbers ----------------------------------------------------
@@ -367,8 +364,6 @@ IDS_SQL = (
                CAST(least(len(ids), 128) AS BIGINT) AS used FROM t""",
 )
 def _(spark, sf):
-    from corpusmill.operators.features import token_ids
-
     ids = token_ids(C("text"), 30000)
     tokens = spread(docs(spark, sf), "doc_id").select("doc_id", ids.alias("raw"))
     return tokens.select(

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.operators.metrics import confusion
+from corpusmill.operators.metrics import confusion, weighted_metrics
 from corpusmill.session import scratch_path
 
 
@@ -38,3 +38,8 @@ def run_to_end(spark: SparkSession, stream: DataFrame, score, actual: str, predi
     out, state = scratch_path(spark, "scores"), scratch_path(spark, "stream")
     score_batches(stream, score, actual, predicted, out, state).awaitTermination()
     return spark.read.parquet(out).select(F.col("batch").cast("long"), "actual", "predicted", "n")
+
+
+def batch_metrics(counts: DataFrame) -> DataFrame:
+    """Accuracy and weighted precision, recall and F1 of every batch, from its confusion counts."""
+    return weighted_metrics(counts, "actual", "predicted", by=["batch"], count="n")

@@ -148,6 +148,15 @@ def test_stream_equals_batch(spark, tmp_path):
     assert whole() == want
 
 
+def test_batch_metrics_equal_metrics_of_the_rows(spark):
+    rows = [(b, a, p) for b in (0, 1) for a, p in [("x", "x"), ("x", "y"), ("y", "y"), ("z", "x")] for _ in range(b + 2)]
+    df = spark.createDataFrame(rows, "batch long, actual string, predicted string")
+    counts = met.confusion(df, "actual", "predicted", ["batch"])
+    want = {r.batch: tuple(r)[1:] for r in met.weighted_metrics(df, "actual", "predicted", ["batch"]).collect()}
+    got = {r.batch: tuple(r)[1:] for r in batches.batch_metrics(counts).collect()}
+    assert got == want
+
+
 def test_user_metric_gets_counts_only(spark):
     df = spark.createDataFrame([("r", "a", "a")] * 1000 + [("r", "a", "b")] * 10, "run string, actual string, predicted string")
 

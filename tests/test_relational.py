@@ -87,6 +87,9 @@ def test_ties_on_all_keys_are_refused(spark, monkeypatch):
     df = spark.range(100).select(F.lit(1).cast("long").alias("t"))
     with pytest.raises(ValueError):
         rel.position_split(df, ["t"], 10)
+    monkeypatch.setattr(rel, "SMALL", 1000)
+    with pytest.raises(ValueError):
+        rel.position_split(df, ["t"], 10)
 
 
 def test_sample_split_is_exact_disjoint_and_seeded(spark):
