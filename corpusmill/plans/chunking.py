@@ -68,12 +68,59 @@ def _(spark, sf):
     return ch.explode_chunks(docs(spark, sf), ch.sentence_chunks(C("text")), "doc_id")
 
 
-@query("txt3_separator_chunks")
+def separator_chunks_sql(source, size, overlap, separators):
+    """Recursive splits in two recursions: over separators, then over the pieces of a run."""
+    names = ["'" + x.replace("\n", "' || chr(10) || '") + "'" for x in separators]
+    last = len(names) - 1
+    choose = " ".join(
+        f"WHEN i <= {n} AND contains(txt, {x}) THEN {n}" for n, x in enumerate(names[:-1])
+    )
+    cut = f"""SELECT doc_id, path, k, c, CASE WHEN k > 1 THEN s || v[k] ELSE v[k] END AS piece FROM (
+        SELECT doc_id, path, c, s, v, unnest(range(1, len(v) + 1)) AS k FROM (
+          SELECT doc_id, path, c, s, string_split(txt, s) AS v FROM (
+            SELECT *, [{", ".join(names)}][c + 1] AS s FROM (SELECT *, CASE {choose} ELSE {last} END AS c FROM {{level}}))))"""
+    rest = "coalesce(list_sum(l[x : i]), 0)"
+    return f"""WITH RECURSIVE lv(doc_id, path, txt, i) AS (
+          SELECT doc_id, CAST([] AS BIGINT[]), text, 0 FROM {source}
+          UNION ALL SELECT doc_id, list_append(path, k), piece, c + 1 FROM ({cut.format(level="lv")})
+          WHERE length(piece) >= {size} AND c < {last}),
+        pieces AS (SELECT *, length(piece) >= {size} AND c < {last} AS deeper FROM ({cut.format(level="lv")}) WHERE piece <> ''),
+        marked AS (SELECT *, count(*) FILTER (deeper) OVER (PARTITION BY doc_id, path ORDER BY k ROWS UNBOUNDED PRECEDING) AS run FROM pieces),
+        runs AS (SELECT row_number() OVER () AS id, * FROM (
+          SELECT doc_id, list_append(path, min(k)) AS first, list(piece ORDER BY k) AS v, list(length(piece) ORDER BY k) AS l
+          FROM marked WHERE NOT deeper GROUP BY doc_id, path, run)),
+        f(id, i, low, len, a, b) AS (
+          SELECT id, CAST(1 AS BIGINT), CAST(1 AS BIGINT), CAST(l[1] AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT) FROM runs
+          UNION ALL
+          SELECT id, i + 1, CASE WHEN full_ THEN cut ELSE low END,
+                 CASE WHEN full_ THEN {rest.replace("x", "cut")} + nxt ELSE len + nxt END,
+                 CASE WHEN full_ THEN low END, CASE WHEN full_ THEN i END
+          FROM (SELECT f.id, i, low, len, l, l[i + 1] AS nxt, len + l[i + 1] > {size} AS full_,
+                       CASE WHEN len + l[i + 1] > {size} THEN list_min(list_filter(range(low, i + 2),
+                           lambda x: {rest} <= {overlap} AND {rest} + l[i + 1] <= {size})) END AS cut
+                FROM f JOIN runs ON f.id = runs.id WHERE i < len(l))),
+        c AS (SELECT id, a, b FROM f WHERE a IS NOT NULL
+              UNION ALL SELECT f.id, low, i FROM f JOIN runs ON f.id = runs.id WHERE i = len(l)),
+        t AS (SELECT doc_id, first, b, trim(array_to_string(v[a:b], ''), ' ' || chr(10)) AS chunk FROM c JOIN runs ON c.id = runs.id)
+        SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY first, b) - 1 AS INTEGER) AS chunk_index, chunk
+        FROM t WHERE chunk <> ''"""
+
+
+@query("txt3_separator_chunks", separator_chunks_sql("documents", 1000, 200, ch.DEFAULT_SEPARATORS))
 def _(spark, sf):
     return ch.explode_chunks(docs(spark, sf), ch.separator_chunks(C("text")), "doc_id")
 
 
-@query("txt3_sentence_separator_chunks")
+@query(
+    "txt3_sentence_separator_chunks",
+    separator_chunks_sql(
+        """(SELECT doc_id, array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)),
+            lambda x: x <> ''), chr(10) || chr(10)) AS text FROM documents)""",
+        500,
+        50,
+        ch.SENTENCE_SEPARATORS,
+    ),
+)
 def _(spark, sf):
     clean = docs(spark, sf).withColumn("text", text.clean_paragraphs(C("text")))
     pieces = ch.separator_chunks(C("text"), 500, 50, ch.SENTENCE_SEPARATORS)

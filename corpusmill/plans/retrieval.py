@@ -9,11 +9,11 @@ from corpusmill.operators import answers as ans
 from corpusmill.operators import ranks, udfs
 from corpusmill.operators import vectors as vec
 from corpusmill.operators.chunks import chunk_id
-from corpusmill.operators.relational import sample_split, with_arms
+from corpusmill.operators.relational import hash_split, sample_split, with_arms
 from corpusmill.plans.chunking import SENTENCES_SQL, WINDOWS_SQL, docs, windows
 from corpusmill.plans.registry import query
-from corpusmill.plans.stats import RANK_SQL, lang_rule, rounded
-from corpusmill.plans.tables import ARMS, ARMS_SQL
+from corpusmill.plans.stats import LANG_RULE_SQL, RANK_SQL, lang_rule, report_sql, rounded
+from corpusmill.plans.tables import ARMS, ARMS_SQL, SPLIT_SQL
 from corpusmill.plans.texts import GUIDE_SQL, JUDGE_SQL, READER_SQL, WORD_SQL, judge_text, score_sql
 from corpusmill.session import scratch_path, table
 from corpusmill.sources import readers, writers
@@ -507,14 +507,27 @@ def _(spark, sf):
     return counts.groupBy("actual", "predicted").agg(F.sum("n").alias("n"))
 
 
-@query("stm1_batch_metrics")
+@query(
+    "stm1_batch_metrics",
+    f"""WITH p AS (SELECT CASE {SPLIT_SQL.format(k="doc_id")} WHEN 'train' THEN 0 ELSE 1 END AS batch,
+                     lang AS actual, {LANG_RULE_SQL} AS predicted FROM documents),
+            r AS (WITH {report_sql("batch, ")})
+        SELECT CAST(batch AS BIGINT) AS batch, max(f1) FILTER (label = 'accuracy') AS accuracy,
+               max(precision) FILTER (label = 'weighted avg') AS precision,
+               max(recall) FILTER (label = 'weighted avg') AS recall, max(f1) FILTER (label = 'weighted avg') AS f1
+        FROM r GROUP BY batch""",
+)
 def _(spark, sf):
-    docs = table(spark, sf, "documents").select("lang", "text")
-    arrived = scratch_path(spark, "arrived")
-    docs.repartition(4).write.parquet(arrived)
-    stream = batches.arriving(spark, arrived, docs.schema, files_per_batch=2)
+    # Two deliveries, each followed by a run that goes on from the state of the last one.
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "text")
+    arrived, out, state = (scratch_path(spark, name) for name in ("arrived", "scores", "stream"))
     score = lambda batch: batch.select("lang", lang_rule(C("text")).alias("predicted"))
-    counts = batches.run_to_end(spark, stream, score, "lang", "predicted")
+    for delivery in ("train", "test"):
+        part = docs.filter(hash_split(C("doc_id"), 80) == delivery)
+        part.write.mode("append").parquet(arrived)
+        stream = batches.arriving(spark, arrived, docs.schema)
+        batches.score_batches(stream, score, "lang", "predicted", out, state).awaitTermination()
+    counts = spark.read.parquet(out).withColumn("batch", C("batch").cast("long"))
     return rounded(batches.batch_metrics(counts), "accuracy", "precision", "recall", "f1")
 
 
