@@ -53,18 +53,16 @@ def _document_weights(ids: DataFrame, buckets: int):
     return rows, np.log((1 + rows) / (1 + counts)) + 1
 
 
-def _sgd(batches, weights, intercept, penalty, epoch):
-    """One pass of SGD; returns (rows, shrink, weights before shrink, intercept)."""
+def _sgd(batches, weights, intercept, penalty, epoch, t):
+    """One pass of SGD from step `t`; returns (rows, shrink, weights before shrink, intercept)."""
     w, b, shrink = weights.copy(), intercept, 1.0
     # Step 1 / (penalty * (start + t)): about 1 / sqrt(sqrt(penalty)) at first.
     start = penalty**-0.75
-    t, random = None, np.random.default_rng(epoch)
-    rows = 0
+    rows, random = 0, np.random.default_rng(epoch)
     for pdf in batches:
         order = random.permutation(len(pdf))
         buckets, values = pdf["bucket"].to_numpy(), pdf["weight"].to_numpy()
         signs = np.where(pdf["label"].to_numpy() > 0, 1.0, -1.0)
-        t = pdf["passes"].iloc[0] if t is None else t
         for i in order:
             t, rows = t + 1, rows + 1
             step = 1 / (penalty * (start + t))
@@ -99,7 +97,8 @@ def train(df: DataFrame, text="text", label="label", buckets=BUCKETS, penalty=1e
 
         def run(batches, shared=shared, epoch=epoch):
             old, b = shared.value
-            n, shrink, new, bias = _sgd(batches, old, b, penalty, epoch)
+            steps = epoch * math.ceil(rows / tasks)
+            n, shrink, new, bias = _sgd(batches, old, b, penalty, epoch, steps)
             if n:
                 # Changes beyond the common shrinking, weighted by rows; the last
                 # two entries carry the shrinking and the intercept.
@@ -111,8 +110,7 @@ def train(df: DataFrame, text="text", label="label", buckets=BUCKETS, penalty=1e
                     }
                 )
 
-        passes = F.lit(epoch * math.ceil(rows / tasks)).cast("long").alias("passes")
-        parts = data.select("label", "bucket", "weight", passes).mapInPandas(run, "bucket long, change double")
+        parts = data.mapInPandas(run, "bucket long, change double")
         # At most one row per bucket: the size of the model, whatever the corpus.
         local = parts.groupBy("bucket").agg((F.sum("change") / rows).alias("change")).toPandas()
         mixed = np.zeros(buckets + 2)

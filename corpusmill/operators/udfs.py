@@ -58,7 +58,7 @@ def to_rows(fn, returns: str):
         def eval(self, *values):
             yield from fn(*values)
 
-    return F.udtf(Rows, returnType=returns)
+    return F.udtf(Rows, returnType=returns, useArrow=True)
 
 
 def metric(df: DataFrame, actual: str, predicted: str, fn, schema, by=("run",)) -> DataFrame:
