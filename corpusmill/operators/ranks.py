@@ -37,20 +37,19 @@ def _ranked(counts: DataFrame, value: str) -> DataFrame:
     if ranges > 1:
         probes = [i / ranges for i in range(1, ranges)]
         cuts = sorted(set(counts.approxQuantile(value, probes, 1 / (4 * ranges))))
-    if cuts:
-        splits = [float("-inf"), *cuts, float("inf")]
-        counts = Bucketizer(splits=splits, inputCol=value, outputCol="range").transform(counts)
-    else:
-        counts = counts.withColumn("range", F.lit(0.0))
+    if not cuts:
+        # Few enough distinct values for one task to number.
+        upto = F.sum("n").over(Window.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+        return counts.select(value, "n", (upto - (F.col("n") - 1) / 2).alias("avg_rank"))
+    splits = [float("-inf"), *cuts, float("inf")]
+    counts = Bucketizer(splits=splits, inputCol=value, outputCol="range").transform(counts)
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         counts.groupBy("range")
         .agg(F.sum("n").alias("rows"))
         .select("range", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("shift"))
     )
-    inside = Window.partitionBy("range").orderBy(value).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
+    inside = Window.partitionBy("range").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     upto = F.col("shift") + F.sum("n").over(inside)
     return counts.join(F.broadcast(offsets), "range").select(
         value, "n", (upto - (F.col("n") - 1) / 2).alias("avg_rank")
