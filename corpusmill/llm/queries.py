@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from corpusmill.llm import mixing, secrets, sharding
+from corpusmill.llm import bagminhash, mixing, secrets, sharding
 from corpusmill.session import table
 
 QUERIES = {}
@@ -38,3 +38,9 @@ def op7(spark, folder):
         F.sha2(secrets.digest(F.col("base")), 256).alias("base_sha256"),
         secrets.digest(F.col("all")).alias("spans"),
     )
+
+
+@query("op4_bagminhash")
+def op4(spark, folder):
+    found = bagminhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_copies", "component_id", "kept")
