@@ -182,6 +182,40 @@ def _similar(pairs: DataFrame, sets: DataFrame, tenths: int) -> DataFrame:
     return both.where((10 + tenths) * shared >= tenths * (F.size("bag_a") + F.size("bag_b"))).select("a", "b")
 
 
+def _sizes_fit(tenths: int):
+    """A smaller bag is at least tenths/10 of a similar one."""
+    return 10 * F.least("n_a", "n_b") >= tenths * F.greatest("n_a", "n_b")
+
+
+def _still_apart(rows: DataFrame, labels: DataFrame, sets: DataFrame, tenths: int) -> DataFrame:
+    """Pairs (a, b) of one bucket in different components that can still be similar.
+
+    A shingle that none of the texts in question shares counts against its text: with `own` such shingles, the overlap of
+    two bags is at most the smaller of n - own. In a group of edited copies that alone rules out nearly all pairs whose
+    edits are their own, so the join yields few rows, while no similar pair is lost.
+    """
+    named = rows.join(labels, "node", "left").select("band", "node", "n", F.coalesce("label", "node").alias("label"))
+    named = written(named, "named")
+    apart = named.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("band")
+    left = written(named.join(apart, "band", "left_semi"), "apart")
+    alone = (
+        sets.join(left.select("node").distinct(), "node", "left_semi")
+        .select("node", F.explode("bag").alias("shingle"))
+        .groupBy("shingle")
+        .agg(F.count("*").alias("texts"), F.min("node").alias("node"))
+        .where("texts = 1")
+        .groupBy("node")
+        .agg(F.count("*").alias("own"))
+    )
+    left = written(left.join(alone, "node", "left").select("band", "node", "n", "label", (F.col("n") - F.coalesce("own", F.lit(0))).alias("most")), "apart")
+    # On its own: with a partner of the least size that fits, is an overlap large enough left?
+    left = left.where(10 * F.col("most") >= tenths * F.col("n"))
+    one, two = (left.select("band", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "label", "most")]) for x in "ab")
+    enough = (10 + tenths) * F.least("most_a", "most_b") >= tenths * (F.col("n_a") + F.col("n_b"))
+    pairs = one.join(two, (one["band"] == two["band"]) & (F.col("label_a") != F.col("label_b")) & (F.col("node_a") > F.col("node_b")) & enough & _sizes_fit(tenths))
+    return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, tenths=8, id="doc_id", text="text") -> DataFrame:
     """One row per document: `id`, digest (of its text), n_copies (documents of the same text), component_id, kept.
 
@@ -191,9 +225,10 @@ def near_duplicates(docs: DataFrame, tenths=8, id="doc_id", text="text") -> Data
     equal. Where ids repeat, every row of the kept id and text is marked. An empty table gives an empty result. Other
     columns are not read.
 
-    Equal texts are one node. A bucket (texts that agree in a band) links each member with its smallest one, not all
-    pairs; after the exact check, members of a bucket that are still in different components are compared as well, so no
-    link between texts of one bucket is lost, however large the bucket.
+    Equal texts are one node. A bucket (texts that agree in a band) links each member with one centre, not all
+    pairs; the one whose other buckets are fullest stands in the middle of its group. After the exact check, members of a
+    bucket in different components are compared as well unless their bags rule it out, so no link between texts of one
+    bucket is lost, however large the bucket.
     """
     plain = F.coalesce(F.col(text), F.lit(""))
     source = docs.select(F.md5(plain.cast("binary")).alias("digest"), F.col(id).alias("id"), plain.alias("text"))
@@ -205,40 +240,29 @@ def near_duplicates(docs: DataFrame, tenths=8, id="doc_id", text="text") -> Data
     classes = written(classes.select(_node(), "digest", "first", "n_copies", "n", "bands"), "classes")
 
     rows = written(classes.select("node", "n", F.explode("bands").alias("band")), "bands")
-    centres = rows.groupBy("band").agg(F.min(F.struct("node", "n")).alias("c"), F.count("*").alias("size")).where("size > 1")
-    fits = lambda a, b: (10 * F.least(a, b)) >= (tenths * F.greatest(a, b))
+    sizes = rows.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
+    # From here on only buckets with several texts.
+    rows = written(rows.join(sizes, "band"), "buckets")
+    score = rows.groupBy("node").agg(F.sum("size").alias("score"))
+    ranked = rows.join(score, "node")
+    centres = ranked.groupBy("band").agg(F.max(F.struct("score", "node", "n")).alias("c")).select("band", F.col("c.node").alias("b"), F.col("c.n").alias("n_b"))
     first_pairs = (
-        rows.join(centres.select("band", "c.*").toDF("band", "centre", "m"), "band")
-        .where(F.col("node") != F.col("centre"))
-        .where(fits(F.col("n"), F.col("m")))
-        .select(F.col("node").alias("a"), F.col("centre").alias("b"))
+        rows.select("band", F.col("node").alias("a"), F.col("n").alias("n_a"))
+        .join(centres, "band")
+        .where((F.col("a") != F.col("b")) & _sizes_fit(tenths))
+        .select("a", "b")
         .distinct()
     )
     first_pairs = written(first_pairs, "pairs")
-    # The texts of all buckets with several texts, as sets.
-    needed = rows.join(centres.select("band"), "band", "left_semi").select("node").distinct()
-    wanted = classes.join(needed, "node", "left_semi").select("node", "digest", "first.id")
-    texts = source.join(wanted.withColumnRenamed("digest", "digest_").withColumnRenamed("id", "id_"), (F.col("digest") == F.col("digest_")) & F.col("id").eqNullSafe(F.col("id_")))
+    needed = classes.join(score.select("node"), "node", "left_semi").select("node", F.col("digest").alias("digest_"), F.col("first.id").alias("id_"))
+    texts = source.join(needed, (F.col("digest") == F.col("digest_")) & F.col("id").eqNullSafe(F.col("id_")))
     sets = texts.select("node", "text").mapInArrow(_bagged, "node long, bag array<long>").dropDuplicates(["node"])
     sets = written(sets, "bags")
     links = written(_similar(first_pairs, sets, tenths), "links")
     labels = components(links)
 
-    # What a bucket still holds apart.
-    named = rows.join(labels, "node", "left").select("band", "node", "n", F.coalesce("label", "node").alias("label"))
-    named = written(named.join(centres.select("band"), "band", "left_semi"), "named")
-    apart = named.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("band")
-    left = named.join(apart, "band", "left_semi")
-    one = left.select("band", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("label_a"))
-    two = left.select("band", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"))
-    rest = (
-        one.join(two, "band")
-        .where((F.col("label_a") != F.col("label_b")) & (F.col("a") > F.col("b")) & fits(F.col("n_a"), F.col("n_b")))
-        .select("a", "b")
-        .distinct()
-        .join(first_pairs, ["a", "b"], "left_anti")
-    )
-    rest = written(rest, "pairs")
+    tested = first_pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    rest = written(_still_apart(rows, labels, sets, tenths).join(tested, ["a", "b"], "left_anti"), "pairs")
     if not rest.isEmpty():
         more = written(_similar(rest, sets, tenths), "links")
         if not more.isEmpty():
