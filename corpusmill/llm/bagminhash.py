@@ -173,13 +173,22 @@ def _node():
     return F.conv(F.substring("digest", 1, 16), 16, -10).cast("long").alias("node")
 
 
-def _similar(pairs: DataFrame, sets: DataFrame, tenths: int) -> DataFrame:
-    """The pairs whose bags overlap by tenths/10 or more of their union, exactly."""
+def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) with the sizes of their bags and of the overlap, counted exactly, and what a has besides or is missing of b.
+
+    These lists are kept where they are the smaller part of a bag.
+    """
     one = sets.select(F.col("node").alias("a"), F.col("bag").alias("bag_a"))
     two = sets.select(F.col("node").alias("b"), F.col("bag").alias("bag_b"))
-    both = pairs.join(one, "a").join(two, "b")
-    shared = F.size(F.array_intersect("bag_a", "bag_b"))
-    return both.where((10 + tenths) * shared >= tenths * (F.size("bag_a") + F.size("bag_b"))).select("a", "b")
+    both = pairs.join(one, "a").join(two, "b").withColumn("shared", F.size(F.array_intersect("bag_a", "bag_b")))
+    besides = F.when(2 * F.col("shared") >= F.size("bag_a"), F.array_except("bag_a", "bag_b")).alias("besides")
+    missing = F.when(2 * F.col("shared") >= F.size("bag_b"), F.array_except("bag_b", "bag_a")).alias("missing")
+    return both.select("a", "b", "shared", F.size("bag_a").alias("n_a"), F.size("bag_b").alias("n_b"), besides, missing)
+
+
+def _alike(tenths: int):
+    """Overlap over union is tenths/10 or more, in whole numbers."""
+    return (10 + tenths) * F.col("shared") >= tenths * (F.col("n_a") + F.col("n_b"))
 
 
 def _sizes_fit(tenths: int):
@@ -187,12 +196,14 @@ def _sizes_fit(tenths: int):
     return 10 * F.least("n_a", "n_b") >= tenths * F.greatest("n_a", "n_b")
 
 
-def _still_apart(rows: DataFrame, labels: DataFrame, sets: DataFrame, tenths: int) -> DataFrame:
+def _still_apart(rows: DataFrame, centres: DataFrame, tested: DataFrame, labels: DataFrame, sets: DataFrame, tenths: int) -> DataFrame:
     """Pairs (a, b) of one bucket in different components that can still be similar.
 
-    A shingle that none of the texts in question shares counts against its text: with `own` such shingles, the overlap of
-    two bags is at most the smaller of n - own. In a group of edited copies that alone rules out nearly all pairs whose
-    edits are their own, so the join yields few rows, while no similar pair is lost.
+    What two texts share lies inside their bucket's centre or outside of it. Inside, it is at most the smaller of their
+    overlaps with the centre, which are known. Outside, at most the smaller of the shingles they have besides, of which
+    those that no other text in question has do not count. Texts close to the centre are known by the short lists of
+    what they have besides and what they miss, and these give the overlap itself. So the join yields few rows even in a
+    large group of edited copies, while no similar pair is lost.
     """
     named = rows.join(labels, "node", "left").select("band", "node", "n", F.coalesce("label", "node").alias("label"))
     named = written(named, "named")
@@ -207,12 +218,33 @@ def _still_apart(rows: DataFrame, labels: DataFrame, sets: DataFrame, tenths: in
         .groupBy("node")
         .agg(F.count("*").alias("own"))
     )
-    left = written(left.join(alone, "node", "left").select("band", "node", "n", "label", (F.col("n") - F.coalesce("own", F.lit(0))).alias("most")), "apart")
-    # On its own: with a partner of the least size that fits, is an overlap large enough left?
-    left = left.where(10 * F.col("most") >= tenths * F.col("n"))
-    one, two = (left.select("band", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "label", "most")]) for x in "ab")
-    enough = (10 + tenths) * F.least("most_a", "most_b") >= tenths * (F.col("n_a") + F.col("n_b"))
-    pairs = one.join(two, (one["band"] == two["band"]) & (F.col("label_a") != F.col("label_b")) & (F.col("node_a") > F.col("node_b")) & enough & _sizes_fit(tenths))
+    own = F.coalesce("own", F.lit(0))
+    centre = F.col("node") == F.col("b")
+    bounded = (
+        left.join(alone, "node", "left")
+        .join(centres.select("band", "b", F.col("n_b").alias("n_centre")), "band")
+        .join(tested.select(F.col("a").alias("node"), "b", "shared", "besides", "missing"), ["node", "b"], "left")
+        .select(
+            "band",
+            "node",
+            "n",
+            "label",
+            F.when(centre, F.col("n")).otherwise(F.col("shared")).alias("inside"),
+            F.when(centre, F.lit(0)).otherwise(F.greatest(F.col("n") - F.col("shared") - own, F.lit(0))).alias("outside"),
+            F.when(centre, F.array().cast("array<long>")).otherwise(F.col("besides")).alias("besides"),
+            F.when(centre, F.array().cast("array<long>")).otherwise(F.col("missing")).alias("missing"),
+            "n_centre",
+        )
+    )
+    bounded = written(bounded, "apart")
+    one, two = (bounded.select("band", "n_centre", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "label", "inside", "outside", "besides", "missing")]) for x in "ab")
+    inside, needed = F.least("inside_a", "inside_b"), tenths * (F.col("n_a") + F.col("n_b"))
+    enough = (10 + tenths) * (inside + F.least("outside_a", "outside_b")) >= needed
+    common = lambda c: F.size(F.array_intersect(f"{c}_a", f"{c}_b"))
+    both_have = one["n_centre"] - F.size("missing_a") - F.size("missing_b") + common("missing") + common("besides")
+    exactly = (10 + tenths) * F.coalesce(both_have, inside + F.least("outside_a", "outside_b")) >= needed
+    other = (F.col("label_a") != F.col("label_b")) & (F.col("node_a") > F.col("node_b"))
+    pairs = one.join(two, (one["band"] == two["band"]) & other & _sizes_fit(tenths) & enough & exactly)
     return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
@@ -246,10 +278,11 @@ def near_duplicates(docs: DataFrame, tenths=8, id="doc_id", text="text") -> Data
     score = rows.groupBy("node").agg(F.sum("size").alias("score"))
     ranked = rows.join(score, "node")
     centres = ranked.groupBy("band").agg(F.max(F.struct("score", "node", "n")).alias("c")).select("band", F.col("c.node").alias("b"), F.col("c.n").alias("n_b"))
+    centres = written(centres, "centres")
     first_pairs = (
-        rows.select("band", F.col("node").alias("a"), F.col("n").alias("n_a"))
+        rows.select("band", F.col("node").alias("a"))
         .join(centres, "band")
-        .where((F.col("a") != F.col("b")) & _sizes_fit(tenths))
+        .where("a <> b")
         .select("a", "b")
         .distinct()
     )
@@ -258,13 +291,14 @@ def near_duplicates(docs: DataFrame, tenths=8, id="doc_id", text="text") -> Data
     texts = source.join(needed, (F.col("digest") == F.col("digest_")) & F.col("id").eqNullSafe(F.col("id_")))
     sets = texts.select("node", "text").mapInArrow(_bagged, "node long, bag array<long>").dropDuplicates(["node"])
     sets = written(sets, "bags")
-    links = written(_similar(first_pairs, sets, tenths), "links")
+    tested = written(_overlaps(first_pairs, sets), "tested")
+    links = tested.where(_alike(tenths)).select("a", "b")
     labels = components(links)
 
-    tested = first_pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    rest = written(_still_apart(rows, labels, sets, tenths).join(tested, ["a", "b"], "left_anti"), "pairs")
+    done = tested.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    rest = written(_still_apart(rows, centres, tested, labels, sets, tenths).join(done, ["a", "b"], "left_anti"), "pairs")
     if not rest.isEmpty():
-        more = written(_similar(rest, sets, tenths), "links")
+        more = written(_overlaps(rest, sets).where(_alike(tenths)).select("a", "b"), "links")
         if not more.isEmpty():
             labels = components(links.union(more))
 
