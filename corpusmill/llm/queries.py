@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bagminhash, mixing, secrets, sharding
+from corpusmill.llm import bagminhash, mixing, rules, secrets, sharding
 from corpusmill.session import table
 
 QUERIES = {}
@@ -44,3 +44,8 @@ def op7(spark, folder):
 def op4(spark, folder):
     found = bagminhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", "n_copies", "component_id", "kept")
+
+
+@query("op1_rule_quality")
+def op1(spark, folder):
+    return rules.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
