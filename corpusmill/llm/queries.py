@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bagminhash, mixing, rules, secrets, sharding
+from corpusmill.llm import bagminhash, mixing, rules, secrets, sharding, toxicity
 from corpusmill.session import table
 
 QUERIES = {}
@@ -49,3 +49,8 @@ def op4(spark, folder):
 @query("op1_rule_quality")
 def op1(spark, folder):
     return rules.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op2_gru_toxicity")
+def op2(spark, folder):
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
