@@ -225,24 +225,26 @@ def text_scores(model, texts: pa.Array) -> np.ndarray:
     return out
 
 
-def scorer(spark, model):
-    """A column function from text to score, for batches of a bounded size."""
-    shared = spark.sparkContext.broadcast(model)  # fixed size: some 110,000 numbers
-
-    @F.arrow_udf("double")
-    def score(texts: pa.Array) -> pa.Array:
-        model = shared.value
-        if model is None:
-            return pa.array(np.zeros(len(texts)))
-        _, offsets = grams.buffers(texts)
-        parts, begin = [], 0
-        while begin < len(texts):
-            end = max(begin + 1, int(np.searchsorted(offsets, offsets[begin] + (1 << 20))))
-            parts.append(text_scores(model, texts.slice(begin, end - begin)))
-            begin = end
-        return pa.array(np.concatenate(parts) if parts else np.zeros(0))
-
-    return score
+def _parts(batch: pa.RecordBatch, column: str, size=1 << 20):
+    """Slices of a batch with about `size` bytes of text."""
+    _, offsets = grams.buffers(batch.column(column))
+    begin = 0
+    while begin < batch.num_rows:
+        end = max(begin + 1, int(np.searchsorted(offsets, offsets[begin] + size)))
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
+def _scored(shared, column: str):
+    """Slices of batches with their scores; shared: the broadcast model, of a fixed size (some 110,000 numbers)."""
+
+    def run(batches):
+        for batch in batches:
+            for part in _parts(batch, column):
+                model = shared.value
+                yield part, np.zeros(part.num_rows) if model is None else text_scores(model, part.column(column))
+
+    return run
 
 
 def learned(docs: DataFrame, labels: DataFrame, label="toxic", parts=3, part=1, sample=SAMPLE, id="doc_id", text="text"):
@@ -258,13 +260,25 @@ def toxicity(docs: DataFrame, labels: DataFrame, parts=3, part=1, at=0.7, id="do
     Null and empty texts, and all texts when the labels lack a kind, score 0. A null id is held out by its crc32 as an
     empty text. Repeated rows get equal scores. An empty table gives an empty result. Other columns are not read.
     """
-    score = scorer(docs.sparkSession, learned(docs, labels, parts=parts, part=part, id=id, text=text, **kw))
-    scored = docs.select(F.col(id), held_out(id, parts, part).alias("held_out"), score(F.coalesce(F.col(text), F.lit(""))).alias("score"))
-    return scored.withColumn("predicted", (F.col("score") >= at).cast("int"))
+    model = learned(docs, labels, parts=parts, part=part, id=id, text=text, **kw)
+    run = _scored(docs.sparkSession.sparkContext.broadcast(model), "text")
+
+    def score(batches):
+        for part, scores in run(batches):
+            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(scores)], ["id", "score"])
+
+    rows = docs.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    scored = rows.mapInArrow(score, f"id {rows.schema['id'].dataType.simpleString()}, score double")
+    predicted = (F.col("score") >= at).cast("int").alias("predicted")
+    return scored.select(F.col("id").alias(id), held_out("id", parts, part).alias("held_out"), "score", predicted)
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, at=0.7, text="text", **kw) -> DataFrame:
     """The documents, with all their columns, that score below `at`."""
-    score = scorer(docs.sparkSession, learned(docs, labels, text=text, **kw))
-    rows = docs.select(F.struct("*").alias("row"), score(F.coalesce(F.col(text), F.lit(""))).alias("score"))
-    return rows.where(F.col("score") < at).select("row.*")
+    run = _scored(docs.sparkSession.sparkContext.broadcast(learned(docs, labels, text=text, **kw)), text)
+
+    def keep(batches):
+        for part, scores in run(batches):
+            yield part.filter(pa.array(scores < at))
+
+    return docs.mapInArrow(keep, docs.schema)
