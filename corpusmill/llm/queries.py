@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bagminhash, mixing, rules, secrets, sharding, toxicity
+from corpusmill.llm import bagminhash, cells, mixing, rules, secrets, sharding, toxicity
 from corpusmill.session import table
 
 QUERIES = {}
@@ -54,3 +54,8 @@ def op1(spark, folder):
 @query("op2_gru_toxicity")
 def op2(spark, folder):
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op10_vector_cells")
+def op10(spark, folder):
+    return cells.near_duplicates(table(spark, folder, "embeddings"))
