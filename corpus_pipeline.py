@@ -1,7 +1,22 @@
 """Stages from raw documents to shards; each is written as Parquet and read again as the next one's documents."""
 
-from corpusmill.llm import mixing, sharding
-from corpusmill.session import scratch_path
+from corpusmill.llm import bagminhash, decontaminate, mixing, sharding, toxicity
+from corpusmill.session import scratch_path, table
+
+
+def nontoxic(spark, docs, sf_dir):
+    """Documents below the toxicity threshold."""
+    return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def distinct_texts(spark, docs, sf_dir):
+    """One document of each group of near copies."""
+    return bagminhash.without_duplicates(docs)
+
+
+def clean_of_benchmark(spark, docs, sf_dir):
+    """Documents that overlap with no benchmark item."""
+    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark, docs, sf_dir):
@@ -11,10 +26,17 @@ def mix(spark, docs, sf_dir):
 
 def shards(spark, docs, sf_dir):
     """Shard and place of every document, with its columns."""
-    return sharding.shard(docs, keep=docs.columns).drop("doc_id").select("row.*", "size", "text_crc32", "law", "vslot", "shard", "slot", "grown_shard")
+    own = ["size", "text_crc32", "law", "vslot", "shard", "slot", "grown_shard"]
+    return sharding.shard(docs, keep=[c for c in docs.columns if c not in own]).select("row.*", *own)
 
 
-STAGES = [("mixing", mix), ("sharding", shards)]
+STAGES = [
+    ("toxicity", nontoxic),
+    ("near_duplicates", distinct_texts),
+    ("decontamination", clean_of_benchmark),
+    ("mixing", mix),
+    ("sharding", shards),
+]
 
 #: The stages train models, hash with xxHash and link near copies: no SQL twin. tests/llm holds brute-force versions.
 ORACLE_SQL = None

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bagminhash, cells, mixing, rules, secrets, sharding, toxicity
+from corpusmill.llm import bagminhash, cells, decontaminate, mixing, rules, secrets, sharding, toxicity
 from corpusmill.session import table
 
 QUERIES = {}
@@ -59,3 +59,8 @@ def op2(spark, folder):
 @query("op10_vector_cells")
 def op10(spark, folder):
     return cells.near_duplicates(table(spark, folder, "embeddings"))
+
+
+@query("op9_spaced_seeds")
+def op9(spark, folder):
+    return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
