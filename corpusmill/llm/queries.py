@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bagminhash, cells, decontaminate, mixing, rules, secrets, sharding, toxicity
+from corpusmill.llm import anchors, bagminhash, cells, decontaminate, mixing, rules, secrets, sharding, toxicity
 from corpusmill.session import table
 
 QUERIES = {}
@@ -64,3 +64,28 @@ def op10(spark, folder):
 @query("op9_spaced_seeds")
 def op9(spark, folder):
     return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query(
+    "op5_cover_anchors",
+    """
+    WITH words AS (
+        SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), w -> w <> '') AS w
+        FROM documents
+    ), windows AS (
+        SELECT doc_id, i, w[i:i + 12] AS seq FROM words, range(1, len(w) - 11) AS r(i) WHERE len(w) >= 13
+    ), firsts AS (
+        SELECT seq, min(doc_id) AS first FROM windows GROUP BY seq
+    ), gone AS (
+        SELECT DISTINCT doc_id, i + d AS k FROM windows JOIN firsts USING (seq), range(0, 13) AS s(d) WHERE first < doc_id
+    ), lists AS (
+        SELECT doc_id, list(k) AS ks FROM gone GROUP BY doc_id
+    )
+    SELECT doc_id, len(w) AS n_words, len(coalesce(ks, [])) AS n_removed,
+           sha256(array_to_string(list_filter(w, (x, i) -> NOT list_contains(coalesce(ks, []), i)), ' ')) AS kept_sha256
+    FROM words LEFT JOIN lists USING (doc_id)
+    """,
+)
+def op5(spark, folder):
+    found = anchors.without_repeats(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
