@@ -16,7 +16,16 @@ _TABLE = np.random.default_rng(20240229).integers(0, 1 << 63, 256, dtype=np.uint
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 
-_powers = {}
+
+
+class _Powers(dict):
+    """Kept per process: functions that travel to executors take it along empty."""
+
+    def __reduce__(self):
+        return _Powers, ()
+
+
+_powers = _Powers()
 
 
 def powers(n: int, base: int) -> np.ndarray:
