@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from corpusmill.llm import anchors, bagminhash, cells, decontaminate, mixing, rules, secrets, sharding, toxicity
+from corpusmill.llm import anchors, bagminhash, cells, decontaminate, mixing, rules, secrets, sharding, suffixes, toxicity
 from corpusmill.session import table
 
 QUERIES = {}
@@ -89,3 +89,9 @@ def op9(spark, folder):
 def op5(spark, folder):
     found = anchors.without_repeats(table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op8_sparse_suffixes")
+def op8(spark, folder):
+    found = suffixes.without_repeats(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
