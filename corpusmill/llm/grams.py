@@ -69,6 +69,17 @@ def window(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mix((sums[end] - sums[start]) * inverse[start])
 
 
+def every_window(sums: np.ndarray, size: int) -> np.ndarray:
+    """`window` for all starts, without gathering."""
+    n = max(len(sums) - size, 0)
+    out = sums[size:] - sums[:n]
+    out *= powers(len(sums), _INVERSE)[:n]
+    out ^= out >> np.uint64(32)
+    out *= np.uint64(0xD6E8FEB86659FD93)
+    out ^= out >> np.uint64(32)
+    return out
+
+
 class Words:
     """The words of a batch of texts: `start` and `end` bytes, `text` number, `hash`; `first[t]` numbers the first of text t."""
 
@@ -102,11 +113,6 @@ def starts(first: np.ndarray, size: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def byte_windows(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    at = starts(offsets, size)
-    return at, window(running(_TABLE[data]), at, at + size)
-
-
 def covered(at: np.ndarray, size: int, n: int) -> np.ndarray:
     """Which of n items are covered by windows of `size` that start at `at`."""
     edge = np.zeros(n + 1, np.int32)

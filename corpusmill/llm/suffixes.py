@@ -29,27 +29,32 @@ class Chosen:
     starts that chose it; `text`, and `place` of low in the text."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
-        start = grams.starts(offsets, LENGTH)
-        n = max(len(data) - LEAD + 1, 0)
-        place = np.arange(n)
         sums = grams.running(grams._TABLE[data])
-        leads = grams.window(sums, place, place + LEAD)
-        low_bits = np.uint64(max(22, len(data).bit_length()))
-        least = (leads >> low_bits << low_bits) | place.astype(np.uint64)
+        n = max(len(data) - LEAD + 1, 0)
+        leads = grams.every_window(sums, LEAD)
+        bits_ = np.uint64(max(22, len(data).bit_length()))
+        least = leads >> bits_
+        least <<= bits_
+        least |= np.arange(n, dtype=np.uint64)
         step = 1
         while step < STARTS:  # the least of 2, 4, ... 64 places
             least = np.minimum(least[:-step], least[step:]) if len(least) > step else least[:0]
             step *= 2
-        at = (least[start] & ((np.uint64(1) << low_bits) - np.uint64(1))).astype(np.int64) if len(start) else np.zeros(0, np.int64)
-        text = np.searchsorted(offsets, start, side="right") - 1
-        new = np.ones(len(start), bool)
-        new[1:] = (at[1:] != at[:-1]) | (text[1:] != text[:-1])
-        first = np.flatnonzero(new)
-        last = np.append(first[1:], len(start)) - 1
-        self.at, self.low, self.high = at[first], start[first], start[last]
-        self.text = text[first]
+        least &= (np.uint64(1) << bits_) - np.uint64(1)
+        # Strings start inside one text; its last LENGTH - 1 places start none, which parts the texts.
+        valid = np.zeros(len(least) + 1, bool)
+        for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+            valid[a : max(b - LENGTH + 1, a)] = True
+        valid = valid[: len(least)]
+        change = np.ones(len(least) + 1, bool)
+        if len(least):
+            change[1:-1] = (least[1:] != least[:-1]) | ~valid[1:] | ~valid[:-1]
+        self.low = np.flatnonzero(valid & change[:-1])
+        self.high = np.flatnonzero(valid & change[1:])
+        self.at = least[self.low].astype(np.int64)
+        self.text = np.searchsorted(offsets, self.low, side="right") - 1
         self.place = self.low - offsets[self.text]
-        self.lead = leads[self.at] if len(first) else np.zeros(0, np.uint64)
+        self.lead = leads[self.at] if n else np.zeros(0, np.uint64)
         self.whole = grams.window(sums, self.low, self.high + LENGTH)
 
     def take(self, mask):
@@ -114,31 +119,23 @@ def _send(ranges):
     return run
 
 
-def multikey_order(strings: list[bytes]) -> np.ndarray:
-    """Order of byte strings, by multikey quicksort on 8-byte characters: ties of one character are sorted by the next.
-
-    A string that ends is padded with zeros and comes, with them, by its length.
-    """
-    lengths = np.array([len(s) for s in strings], np.int64)
-    order = np.arange(len(strings))
-    tied = np.zeros(len(strings), np.int64)  # number of the run of equal strings so far, by position
-    depth = 0
+def multikey_order(letters: np.ndarray) -> np.ndarray:
+    """Order of equally long rows of 8-byte characters by multikey quicksort: rows that tie in one are sorted by the next."""
+    order = np.arange(len(letters))
+    run = np.zeros(len(letters), np.int64)  # by position: where its run of equal rows starts
     live = order.copy()  # positions of runs that are not settled
-    while len(live):
-        part = [strings[order[p]][depth : depth + 8].ljust(8, b"\0") for p in live]
-        character = np.frombuffer(b"".join(part), ">u8").astype(np.uint64)
-        ended = lengths[order[live]] <= depth
-        character[ended] = 0
-        inside = np.lexsort((lengths[order[live]] * ended, character, tied[live]))
-        order[live] = order[live][inside]
-        character, run = character[inside], tied[live]
+    for depth in range(letters.shape[1]):
+        if not len(live):
+            break
+        letter = letters[order[live], depth]
+        inside = np.lexsort((letter, run[live]))
+        order[live], letter = order[live[inside]], letter[inside]
         new = np.ones(len(live), bool)
-        new[1:] = (run[1:] != run[:-1]) | (character[1:] != character[:-1])
-        tied[live] = live[np.maximum.accumulate(np.where(new, np.arange(len(live)), 0))]
-        size = np.bincount(np.cumsum(new) - 1)
-        still = np.repeat(size > 1, size) & (lengths[order[live]] > depth + 8)
-        live = live[still]
-        depth += 8
+        new[1:] = (run[live][1:] != run[live][:-1]) | (letter[1:] != letter[:-1])
+        at = np.flatnonzero(new)
+        size = np.diff(np.append(at, len(live)))
+        run[live] = np.repeat(live[at], size)
+        live = live[np.repeat(size > 1, size)]
     return order
 
 
@@ -147,51 +144,71 @@ def _sorted_buckets(batches):
     table = pa.Table.from_batches(list(batches))  # one bucket: sampled splitters keep it near BUCKET_ROWS
     if not table.num_rows:
         return
-    suffixes = table.column("suffix").to_pylist()
-    order = multikey_order(suffixes)
+    width = -(-(LENGTH + STARTS) // 8) * 8
+    own = table.column("suffix").to_pylist()
+    padded = np.frombuffer(b"".join([s.ljust(width, b"\0") for s in own]), np.uint8).reshape(-1, width)
+    order = multikey_order(padded.view(">u8").astype(np.uint64))
+    padded = padded[order]
+    table = table.take(pa.array(order))
+    ids, place = table.column("id").to_numpy(), table.column("place").to_numpy()
+    before, own = table.column("before").to_pylist(), [own[k] for k in order]
     # Neighbours that share a lead are of one group.
-    leads = np.frombuffer(b"".join(suffixes[k][:LEAD] for k in order), np.uint8).reshape(-1, LEAD)
     new = np.ones(len(order), bool)
-    new[1:] = (leads[1:] != leads[:-1]).any(axis=1)
+    new[1:] = (padded[1:, :LEAD] != padded[:-1, :LEAD]).any(axis=1)
     group = np.cumsum(new) - 1
-    edge = (group == 0) | (group == group[-1])
-    alone = np.bincount(group)[group] == 1
-    order, edge = order[~alone | edge], edge[~alone | edge]
-    if not len(order):
-        return
-    table = table.take(pa.array(order))
-    before, own = table.column("before").to_pylist(), table.column("suffix").to_pylist()
-    whole = [b + s for b, s in zip(before, own)]
-    offsets = np.concatenate([[0], np.cumsum([len(w) for w in whole])])
-    start, keys = grams.byte_windows(np.frombuffer(b"".join(whole), np.uint8), offsets, LENGTH)
-    row = np.searchsorted(offsets, start, side="right") - 1
-    ids, place = table.column("id").to_numpy(), table.column("place").to_numpy()
-    # Strings in the order of their owners: the suffix' place by id and place, then the string's place in it.
+    # What lies outside of the bucket shares no more with a suffix than the bucket's first or last one does.
+    reach = np.zeros(len(order), np.int64)
+    for end in (0, -1):
+        differ = padded != padded[end]
+        reach = np.maximum(reach, np.where(differ.any(axis=1), differ.argmax(axis=1), width))
+    # Owners in order: by id, then place; equal owners share a rank.
     ranked = np.lexsort((place, ids))
     step = np.ones(len(ranked), bool)
     step[1:] = (ids[ranked][1:] != ids[ranked][:-1]) | (place[ranked][1:] != place[ranked][:-1])
     rank = np.empty(len(ranked), np.int64)
     rank[ranked] = np.cumsum(step)
-    shift = start - offsets[row]
+    # Suffixes with equal bytes before and after hold equal strings: those of the earliest stand for all.
+    whole = [b + s for b, s in zip(before, own)]
+    ends = np.concatenate([[0], np.cumsum([len(w) for w in whole])])
+    sums = grams.running(grams._TABLE[np.frombuffer(b"".join(whole), np.uint8)])
+    same = grams.mix(grams.window(sums, ends[:-1], ends[1:])) + np.array([len(b) for b in before], np.uint64)
+    _, content = np.unique(same, return_inverse=True)
+    least = np.full(int(content.max()) + 1, _LAST)
+    np.minimum.at(least, content, rank)
+    copy = rank > least[content]
+    alone = (np.bincount(group)[group] == 1) & (reach < LEAD)
+    many = np.diff(ends) - LENGTH + 1
+    judge = np.flatnonzero(~copy & ~alone)
+    row = np.repeat(judge, many[judge])
+    shift = np.arange(len(row)) - np.repeat(np.cumsum(many[judge]) - many[judge], many[judge])
+    start = ends[row] + shift
+    keys = grams.window(sums, start, start + LENGTH)
     owner = rank[row] * STARTS + shift
     _, number = np.unique(keys, return_inverse=True)
-    least = np.full(int(number.max()) + 1, _LAST)
+    least = np.full(int(number.max()) + 1 if len(number) else 0, _LAST)
     np.minimum.at(least, number, owner)
     gone = least[number] < owner
-    open_ = edge[row] & ~gone
+    ahead = np.array([len(b) for b in before], np.int64)[row] - shift  # bytes of the string before its lead
+    open_ = ~gone & (reach[row] >= LENGTH - ahead)
+    dead = np.repeat(np.flatnonzero(copy), many[copy])
+    dead_shift = np.arange(len(dead)) - np.repeat(np.cumsum(many[copy]) - many[copy], many[copy])
 
-    def lists(mask, values, kind):
-        counts = np.bincount(row[mask], minlength=len(order))
-        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(values[mask].astype(kind)))
+    def lists(rows, values, kind):
+        counts = np.bincount(rows, minlength=len(order))
+        values = values[np.argsort(rows, kind="stable")]
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(values.astype(kind)))
 
     out = pa.RecordBatch.from_arrays(
         [
-            table.column("block").combine_chunks(), table.column("number").combine_chunks(), table.column("id").combine_chunks(), table.column("place").combine_chunks(),
-            lists(gone, shift, np.int32), lists(open_, shift, np.int32), lists(open_, keys.view(np.int64), np.int64),
+            *[table.column(c).combine_chunks() for c in ("block", "number", "id", "place")],
+            lists(np.concatenate([row[gone], dead]), np.concatenate([shift[gone], dead_shift]), np.int32),
+            lists(row[open_], shift[open_], np.int32),
+            lists(row[open_], keys[open_].view(np.int64), np.int64),
         ],
         ["block", "number", "id", "place", "gone", "open", "keys"],
-    )
-    some = (np.bincount(row[gone | open_], minlength=len(order)) > 0)
+    )
+    some = np.zeros(len(order), bool)
+    some[np.concatenate([row[gone | open_], dead])] = True
     yield out.filter(pa.array(some))
 
 
