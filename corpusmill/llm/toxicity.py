@@ -146,6 +146,19 @@ def gradients(model, x, index, length, y):
     return g, d_x
 
 
+def _gathered(texts: list[str], chunk=200):
+    """`inputs` and `windows` of many texts, a chunk at a time so that little memory is held."""
+    parts, n_words, n_distinct = [], 0, 0
+    for a in range(0, len(texts), chunk):
+        data, offsets = grams.buffers(pa.array(texts[a : a + chunk], pa.string()))
+        words = grams.Words(data, offsets)
+        number, bucket, owner, triple = inputs(data, words)
+        text, start, length = windows(words)
+        parts.append((number + n_distinct, bucket, owner + n_distinct, triple, text + a, start + n_words, length))
+        n_words, n_distinct = n_words + len(number), n_distinct + len(bucket)
+    return [np.concatenate(p) for p in zip(*parts)]
+
+
 def train(texts: list[str], y: np.ndarray, passes=4, batch=192, rate=0.01, seed=7):
     """A model for windows of these texts, from labels of whole texts.
 
@@ -156,11 +169,8 @@ def train(texts: list[str], y: np.ndarray, passes=4, batch=192, rate=0.01, seed=
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in model.items()}
     if len(y) == 0 or y.min() == y.max():
         return None
-    data, offsets = grams.buffers(pa.array(texts, pa.string()))
-    words = grams.Words(data, offsets)
-    number, bucket, owner, triple = inputs(data, words)
+    number, bucket, owner, triple, text, start, length = _gathered(texts)
     begin = np.searchsorted(owner, np.arange(len(bucket) + 1))
-    text, start, length = windows(words)
     label, step = y[text].astype(np.float32), 0
     for k in range(passes + 1):
         if k == 0:
