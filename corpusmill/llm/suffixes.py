@@ -141,9 +141,10 @@ def multikey_order(letters: np.ndarray) -> np.ndarray:
 
 def _sorted_buckets(batches):
     """Per suffix: strings that an earlier suffix of the bucket has (`gone`), and those to compare across boundaries."""
-    table = pa.Table.from_batches(list(batches))  # one bucket: sampled splitters keep it near BUCKET_ROWS
-    if not table.num_rows:
+    batches = [b for b in batches if b.num_rows]  # one bucket: sampled splitters keep it near BUCKET_ROWS
+    if not batches:
         return
+    table = pa.Table.from_batches(batches)
     width = -(-(LENGTH + STARTS) // 8) * 8
     own = table.column("suffix").to_pylist()
     padded = np.frombuffer(b"".join([s.ljust(width, b"\0") for s in own]), np.uint8).reshape(-1, width)

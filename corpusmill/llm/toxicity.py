@@ -159,11 +159,12 @@ def _gathered(texts: list[str], chunk=200):
     return [np.concatenate(p) for p in zip(*parts)]
 
 
-def train(texts: list[str], y: np.ndarray, passes=4, batch=192, rate=0.01, seed=7):
+def train(texts: list[str], y: np.ndarray, passes=4, steps=600, rate=0.01, seed=7):
     """A model for windows of these texts, from labels of whole texts.
 
     The first pass takes windows of all texts with their text's label. Later ones take, of a toxic text, the two windows
-    that the model so far finds worst, and of a clean text its three worst and some others.
+    that the model so far finds worst, and of a clean text its three worst and some others. Few texts are read in smaller
+    batches and more passes, until `steps` steps are made.
     """
     model, rng = new_model(seed), np.random.default_rng(seed)
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in model.items()}
@@ -172,7 +173,9 @@ def train(texts: list[str], y: np.ndarray, passes=4, batch=192, rate=0.01, seed=
     number, bucket, owner, triple, text, start, length = _gathered(texts)
     begin = np.searchsorted(owner, np.arange(len(bucket) + 1))
     label, step = y[text].astype(np.float32), 0
-    for k in range(passes + 1):
+    for k in range(40):
+        if k > passes and step >= steps:
+            break
         if k == 0:
             rank = np.argsort(np.argsort(rng.random(len(text)) + 2 * text, kind="stable"))
             chosen = np.flatnonzero(rank - np.searchsorted(text, text) < 10)
@@ -183,6 +186,7 @@ def train(texts: list[str], y: np.ndarray, passes=4, batch=192, rate=0.01, seed=
             place[order] = np.arange(len(text)) - np.searchsorted(text, text[order])
             chosen = np.flatnonzero(np.where(label == 1, place < 2, (place < 3) | (rng.random(len(text)) < 0.15)))
         rng.shuffle(chosen)
+        batch = max(32, min(192, len(chosen) // 40))
         for a in range(0, len(chosen), batch):
             own = chosen[a : a + batch]
             index = number[np.minimum(start[own] + np.arange(WINDOW)[:, None], start[own] + length[own] - 1)]
