@@ -70,7 +70,7 @@ def op9(spark, folder):
     "op5_cover_anchors",
     """
     WITH words AS (
-        SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), w -> w <> '') AS w
+        SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
         FROM documents
     ), windows AS (
         SELECT doc_id, i, w[i:i + 12] AS seq FROM words, range(1, len(w) - 11) AS r(i) WHERE len(w) >= 13
@@ -82,7 +82,7 @@ def op9(spark, folder):
         SELECT doc_id, list(k) AS ks FROM gone GROUP BY doc_id
     )
     SELECT doc_id, len(w) AS n_words, len(coalesce(ks, [])) AS n_removed,
-           sha256(array_to_string(list_filter(w, (x, i) -> NOT list_contains(coalesce(ks, []), i)), ' ')) AS kept_sha256
+           sha256(array_to_string(list_filter(w, lambda x, i: NOT list_contains(coalesce(ks, []), i)), ' ')) AS kept_sha256
     FROM words LEFT JOIN lists USING (doc_id)
     """,
 )
