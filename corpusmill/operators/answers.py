@@ -12,6 +12,7 @@ from corpusmill.functions.arrays import let
 from corpusmill.operators.aggregates import joined_texts
 from corpusmill.operators.relational import with_arms
 from corpusmill.operators.vectors import BROADCAST_BYTES, nearest
+from corpusmill.session import written
 
 # Fixed value: the answer of a row whose model call failed.
 FAILED = "Error generating answer"
@@ -57,13 +58,16 @@ def score_with(df: DataFrame, column: str, make_model) -> DataFrame:
 def generate(df: DataFrame, prompt: str, model, target="answer", error="error") -> DataFrame:
     """Add the text `model(prompts: Series) -> Series` gives, and an error column.
 
-    A failing batch is retried row by row; a failing row stays, with a fixed
+    A batch that fails, or gets another number of answers, is retried row by row; a failing row stays, with a fixed
     answer and the message. Rows whose prompt is null are not sent.
     """
 
     def attempt(part):
         try:
-            return list(model(part)), [None] * len(part)
+            answers = list(model(part))
+            if len(answers) != len(part):
+                raise ValueError(f"{len(answers)} answers to {len(part)} prompts")
+            return answers, [None] * len(part)
         except Exception as e:  # the message becomes data
             if len(part) == 1:
                 return [FAILED], [f"{type(e).__name__}: {e}"]
@@ -102,16 +106,30 @@ def best_sentence(question: Column, context: Column) -> Column:
     return let(F.array_distinct(text.words(question)), best)
 
 
-def generate_lists(df: DataFrame, kind: str, about: str, n: int, model, rounds=2, target="items") -> DataFrame:
-    """Lists of n topics or questions about a column; short lists are topped up in later rounds."""
-    lists = df.withColumn(target, F.array().cast("array<string>"))
-    for _ in range(rounds):
+def generate_lists(df: DataFrame, kind: str, about: str, n: int, model, idle=2, target="items", error="error") -> DataFrame:
+    """Lists of n topics or questions about a column, topped up until all are full.
+
+    Short lists are asked again; the model is given up after `idle` rounds in a row
+    that added nothing anywhere. A list that is short by then stays as it is, with the last
+    message, or how much is missing, in `error` (null: full). Each round is a written table.
+    """
+    nothing = F.array().cast("array<string>")
+    lists = df.drop(target, error).withColumns({target: nothing, error: F.lit(None).cast("string")})
+    have, still = 0, 0
+    while still < idle:
         missing = F.lit(n) - F.size(target)
         ask = F.when(missing > 0, prompts.list_request(kind, F.col(about), missing))
         answered = generate(lists.withColumn("_ask", ask), "_ask", model, "_text", "_error")
         new = F.when(F.col("_error").isNull(), text.split_list(F.col("_text")))
-        added = F.concat(F.col(target), F.coalesce(new, F.array().cast("array<string>")))
-        lists = answered.withColumn(target, F.slice(added, 1, n)).drop("_ask", "_text", "_error")
+        added = F.slice(F.concat(F.col(target), F.coalesce(new, nothing)), 1, n)
+        short = F.concat_ws(" ", F.lit("only"), F.size(added).cast("string"), F.lit("of"), F.lit(n).cast("string"))
+        why = F.when(F.size(added) < n, F.coalesce("_error", short))
+        lists = written(answered.withColumns({error: why, target: added}).drop("_ask", "_text", "_error"), "lists")
+        gained, open_ = lists.agg(F.sum(F.size(target)), F.count(error)).first()
+        if not open_:
+            break
+        still = still + 1 if gained == have else 0
+        have = gained
     return lists
 
 

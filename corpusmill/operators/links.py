@@ -12,7 +12,7 @@ from corpusmill.operators.relational import new_links
 from corpusmill.session import checkpoint, written
 
 
-def reachable(edges: DataFrame, seeds: DataFrame, max_pages=1000, max_depth=None) -> DataFrame:
+def reachable(edges: DataFrame, seeds: DataFrame, max_pages=None, max_depth=None) -> DataFrame:
     """(url, depth) of the pages reached from `seeds` over `edges(src, dst)`.
 
     Links are cut from the pages once and kept as a table of distinct edges.
@@ -65,7 +65,8 @@ def link_edges(pages: DataFrame, base: str) -> DataFrame:
     return edges.filter(urls.is_valid(F.col("dst"), base))
 
 
-def relevant_urls(pages, seeds, base, first_keywords, last_keywords, max_pages=1000) -> DataFrame:
-    """Pages reached from the seeds whose first and last path segments match the keywords."""
-    found = reachable(link_edges(pages, base), seeds, max_pages).select("url")
+def relevant_urls(pages, seeds, base, first_keywords, last_keywords, max_pages=None) -> DataFrame:
+    """Pages reached from the seeds whose first and last path segments match the keywords; invalid seeds are refused."""
+    valid = seeds.filter(urls.is_valid(F.col("url"), base))
+    found = reachable(link_edges(pages, base), valid, max_pages).select("url")
     return found.filter(urls.is_relevant(F.col("url"), first_keywords, last_keywords))

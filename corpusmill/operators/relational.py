@@ -1,5 +1,6 @@
 """Joins, unions, sorts, limits and exact splits of tables."""
 
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -86,21 +87,38 @@ SMALL = 10_000
 
 
 def _as_long(df: DataFrame, name: str) -> Column:
-    kind = dict(df.dtypes)[name]
-    if kind.startswith("timestamp"):
-        return F.unix_micros(F.col(name).cast("timestamp"))
-    return F.col(name).cast("long")
-
-
-def rank_cutoff(df: DataFrame, keys: list[str], n: int):
-    """The key tuple of row `n` (from 1) in ascending order of `keys`, as integers.
+    kind, c = dict(df.dtypes)[name], F.col(name)
+    if kind == "timestamp_ntz":
+        # From its fields, as a cast would pass through the session's zone.
+        micros = (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("long")
+        return F.unix_date(c.cast("date")).cast("long") * 86_400_000_000 + (F.hour(c) * 60 + F.minute(c)) * F.lit(60_000_000).cast("long") + micros
+    if kind == "timestamp":
+        return F.unix_micros(c)
+    return c.cast("long")
+
+
+def _order(df: DataFrame, keys: list[str], with_nulls: set) -> dict[str, Column]:
+    """The keys as integers that are never null: one that holds nulls becomes (0 or 1, value), nulls first."""
+    out = {}
+    for k in keys:
+        value = _as_long(df, k)
+        if k in with_nulls:
+            out[f"{k}_known"] = F.col(k).isNotNull().cast("long")
+            value = F.coalesce(value, F.lit(0).cast("long"))
+        out[k] = value
+    return out
+
+
+def rank_cutoff(df: DataFrame, order: dict[str, Column], n: int):
+    """The key tuple of row `n` (from 1) in ascending order of the named keys.
 
     Counts rows in at most BINS equal-width bins of the current key, narrows to
     the bin that holds row `n` and repeats, so no pass moves or sorts rows; only
     bin counts reach the driver. Once few rows are left they are sorted. Keys
-    must be non-null integers or timestamps and unique as a tuple.
+    must be non-null integers and unique as a tuple.
     """
-    scope = df.select(*[_as_long(df, k).alias(k) for k in keys])
+    keys = list(order)
+    scope = df.select(*[c.alias(k) for k, c in order.items()])
     for key in keys:
         low, high, rows = scope.agg(F.min(key), F.max(key), F.count("*")).first()
         while rows > SMALL and low < high:
@@ -127,28 +145,44 @@ def rank_cutoff(df: DataFrame, keys: list[str], n: int):
     raise ValueError(f"rows share all of {keys}; add a unique key")
 
 
-def _at_or_before(df: DataFrame, keys: list[str], cut: tuple) -> Column:
+def _at_or_before(order: dict[str, Column], cut: tuple) -> Column:
     before = F.lit(True)
-    for key, value in reversed(list(zip(keys, cut))):
-        c = _as_long(df, key)
+    for c, value in reversed(list(zip(order.values(), cut))):
         before = (c < value) | ((c == value) & before)
     return before
 
 
+def _edge(kind: str, micros_or_number: int) -> Column:
+    """A key's integer as a literal of the key's own type, which a filter can push into the scan."""
+    if kind == "timestamp_ntz":
+        moment = datetime(1970, 1, 1) + timedelta(microseconds=micros_or_number)
+        return F.expr(f"TIMESTAMP_NTZ'{moment.isoformat(sep=' ')}'")
+    if kind == "timestamp":
+        return F.timestamp_micros(F.lit(micros_or_number))
+    return F.lit(micros_or_number)
+
+
 def position_split(df: DataFrame, keys: list[str], n: int):
-    """(first n rows, all others) in the total order of `keys`."""
+    """(first n rows, all others) in the total order of `keys`; a null comes before all values.
+
+    Keys are integers or timestamps. Every row is in exactly one of the parts. Rows that
+    share all keys are refused if the cut falls between them.
+    """
     if n <= 0:
         return df.limit(0), df
-    if n >= df.count():
+    known = df.agg(F.count("*").alias("_rows"), *[F.count(k).alias(k) for k in keys]).first()
+    if n >= known["_rows"]:
         return df, df.limit(0)
-    cut = rank_cutoff(df, keys, n)
-    first = _at_or_before(df, keys, cut)
+    order = _order(df, keys, {k for k in keys if known[k] < known["_rows"]})
+    cut = rank_cutoff(df, order, n)
+    first = _at_or_before(order, cut)
     # The leading key alone, as a plain comparison that reaches the scan.
-    edge, kind = F.lit(cut[0]), dict(df.dtypes)[keys[0]]
-    if kind.startswith("timestamp"):
-        edge = F.timestamp_micros(edge).cast(kind)
-    lead = F.col(keys[0])
-    return df.filter((lead <= edge) & first), df.filter((lead >= edge) & ~first)
+    lead, at = F.col(keys[0]), dict(zip(order, cut))
+    edge = _edge(dict(df.dtypes)[keys[0]], at[keys[0]])
+    low, high = lead <= edge, lead >= edge
+    if f"{keys[0]}_known" in order:
+        low, high = (low | lead.isNull(), high) if at[f"{keys[0]}_known"] else (lead.isNull(), F.lit(True))
+    return df.filter(low & first), df.filter(high & ~first)
 
 
 def newest(df: DataFrame, time: str, key: str, n: int) -> DataFrame:
@@ -157,7 +191,7 @@ def newest(df: DataFrame, time: str, key: str, n: int) -> DataFrame:
 
 
 def _draw(seed, key: str, start: int) -> Column:
-    text = F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))
+    text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit("")))
     return F.conv(F.substring(F.md5(text), start, 15), 16, 10).cast("long")
 
 

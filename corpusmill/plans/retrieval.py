@@ -141,7 +141,7 @@ def chunks(spark, sf):
 def questions(spark, sf):
     asked = table(spark, sf, "conversations").filter("role = 'user'")
     return asked.select(
-        (C("conv_id") * 1000 + C("turn")).alias("query_id"),
+        chunk_id(C("conv_id"), C("turn")).alias("query_id"),
         C("text").alias("question"),
         vec.hashed_embedding(C("text"), WIDTH).alias("vector"),
     )
@@ -149,7 +149,7 @@ def questions(spark, sf):
 
 RETRIEVE_SQL = f"""w AS ({WINDOWS_SQL}),
     c AS MATERIALIZED (SELECT doc_id * 16777216 + chunk_index AS id, chunk, v FROM ({embed_sql("w", "doc_id, chunk_index, chunk", "chunk")})),
-    q AS MATERIALIZED (SELECT conv_id * 1000 + turn AS query_id, text AS question, v
+    q AS MATERIALIZED (SELECT CAST(conv_id AS BIGINT) * 16777216 + turn AS query_id, text AS question, v
           FROM ({embed_sql("conversations WHERE role = 'user'", "conv_id, turn, text", "text")})),
     p AS (SELECT query_id, id, coalesce(round(list_cosine_similarity(q.v, c.v), 6), 0) AS score FROM q, c),
     r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY CASE WHEN isnan(score) THEN 0 ELSE score END DESC, id) AS rank FROM p),
@@ -360,13 +360,13 @@ def half_lists(asked):
     """WITH t AS (SELECT DISTINCT source AS topic FROM documents),
        x AS (SELECT topic, unnest([0, 1, 2, 3, 4, 5, 6, 7, 8, 9]) AS n FROM t)
        SELECT topic, CAST(n AS INTEGER) AS pos, topic || ' item ' ||
-              CASE WHEN n < 5 THEN '10-' || n WHEN n < 8 THEN '5-' || (n - 5) WHEN n < 9 THEN '2-' || (n - 8) ELSE '1-' || (n - 9) END AS question
+              CASE WHEN n < 5 THEN '10-' || n WHEN n < 8 THEN '5-' || (n - 5) WHEN n < 9 THEN '2-' || (n - 8) ELSE '1-' || (n - 9) END AS question, CAST(NULL AS VARCHAR) AS error
        FROM x""",
 )
 def _(spark, sf):
     topics = table(spark, sf, "documents").select(C("source").alias("topic")).distinct()
-    listed = ans.generate_lists(topics, "questions", "topic", 10, half_lists, rounds=4)
-    return listed.select("topic", F.posexplode("items").alias("pos", "question"))
+    listed = ans.generate_lists(topics, "questions", "topic", 10, half_lists)
+    return listed.select("topic", F.posexplode_outer("items").alias("pos", "question"), "error")
 
 
 @query(
@@ -398,7 +398,7 @@ def _(spark, sf):
 
 @query(
     "gen4_train_test_lines",
-    f"""WITH p AS (SELECT conv_id * 1000 + turn AS id, question, answer FROM ({PAIRS_OF_TURNS_SQL})),
+    f"""WITH p AS (SELECT CAST(conv_id AS BIGINT) * 16777216 + turn AS id, question, answer FROM ({PAIRS_OF_TURNS_SQL})),
        h AS (SELECT *, md5('42:' || id) AS m FROM p),
        r AS (SELECT *, row_number() OVER (ORDER BY substr(m, 1, 15), substr(m, 16, 15)) AS rn, round(0.8 * count(*) OVER ()) AS n FROM h)
        SELECT id, CASE WHEN rn <= n THEN 'train' ELSE 'test' END AS split,
@@ -407,7 +407,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     pairs = agg.answer_pairs(table(spark, sf, "conversations"))
-    rows = pairs.select((C("conv_id") * 1000 + C("turn")).alias("id"), "question", "answer")
+    rows = pairs.select(chunk_id(C("conv_id"), C("turn")).alias("id"), "question", "answer")
     train, test = sample_split(rows, "id", 0.8, seed=42)
     both = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
     path = scratch_path(spark, "qa")

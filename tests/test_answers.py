@@ -54,8 +54,37 @@ def test_retrieve_fewer_chunks_than_k(spark):
 def test_lists_are_topped_up_and_capped(spark):
     df = spark.createDataFrame([("x",)], "topic string")
     short = lambda asked: pd.Series(["one,,,two,,, "] * len(asked), index=asked.index)
-    got = ans.generate_lists(df, "questions", "topic", 3, short, rounds=2).first()
-    assert got["items"] == ["one", "two", "one"]
+    got = ans.generate_lists(df, "questions", "topic", 3, short).first()
+    assert got["items"] == ["one", "two", "one"] and got.error is None
+
+
+def test_no_topic_is_lost(spark):
+    df = spark.createDataFrame([("slow",), ("mute",), ("bad",), (None,)], "topic string")
+
+    def model(asked):
+        if asked.str.contains("bad").any():
+            raise ValueError("down")
+        return asked.map(lambda a: "one" if "slow" in a else "")
+
+    got = {r.topic: (r["items"], r.error) for r in ans.generate_lists(df, "questions", "topic", 4, model).collect()}
+    assert got["slow"] == (["one"] * 4, None)
+    assert got["mute"] == ([], "only 0 of 4")
+    assert got["bad"] == ([], "ValueError: down")
+    assert got[None][0] == [] and got[None][1] is not None
+
+
+def test_too_few_answers_become_errors(spark):
+    df = spark.createDataFrame([("a",), ("b",)], "p string")
+    got = ans.generate(df, "p", lambda asked: asked[asked != "b"]).collect()
+    assert {r.p: (r.answer, r.error) for r in got} == {"a": ("a", None), "b": (ans.FAILED, "ValueError: 0 answers to 1 prompts")}
+
+
+def test_question_ids_beyond_turn_1000(spark, tmp_path):
+    from corpusmill.plans import retrieval
+
+    rows = [(1, 1001, "user", "x"), (2, 1, "user", "y")]
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    assert retrieval.questions(spark, str(tmp_path)).select("query_id").distinct().count() == 2
 
 
 def test_judge_prompt_and_scores(spark):

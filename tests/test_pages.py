@@ -111,6 +111,6 @@ def test_relevant_urls(spark):
         "https://a.org/courses/fees": '<a href="../courses/plan">p</a><a href="/courses/aid">q</a>',
     }
     df = spark.createDataFrame(list(site.items()), "url string, html string")
-    seeds = spark.createDataFrame([("https://a.org/",)], "url string")
+    seeds = spark.createDataFrame([("https://a.org/",), ("ftp://a.org/course/fees",)], "url string")
     got = relevant_urls(df, seeds, "https://a.org", ["course"], ["fee", "aid"])
     assert sorted(r.url for r in got.collect()) == ["https://a.org/courses/aid", "https://a.org/courses/fees"]

@@ -82,6 +82,36 @@ def test_position_split_by_timestamp_reaches_the_scan(spark, sf):
     assert first.count() == 250
 
 
+@pytest.mark.parametrize("small", [3, 10_000])
+@pytest.mark.parametrize("n", [1, 3, 4, 5, 19])
+def test_position_split_keeps_null_keys_first(spark, monkeypatch, n, small):
+    monkeypatch.setattr(rel, "SMALL", small)
+    rows = [(i, None if i % 5 == 0 else 100 - i) for i in range(20)]
+    df = spark.createDataFrame(rows, "id long, t long")
+    first, rest = rel.position_split(df, ["t", "id"], n)
+    want = [r[0] for r in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[0]))]
+    assert {r.id for r in first.collect()} == set(want[:n]) and {r.id for r in rest.collect()} == set(want[n:])
+
+
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp"])
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_position_split_in_any_zone(spark, zone, kind):
+    # Around the hour that New York skips.
+    before = spark.conf.get("spark.sql.session.timeZone")
+    times = ["2024-03-10 02:30:00.25", "2024-03-10 03:10:00", "2024-03-10 03:40:00"]
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        stated = "" if kind == "timestamp_ntz" else "Z"
+        rows = [(i, t + stated) for i, t in enumerate(times, 1)]
+        df = spark.createDataFrame(rows, "id long, t string").withColumn("t", F.col("t").cast(kind))
+        for n in (1, 2):
+            first, rest = rel.position_split(df, ["t", "id"], n)
+            assert sorted(r.id for r in first.select("id").collect()) == [1, 2][:n]
+            assert sorted(r.id for r in rest.select("id").collect()) == [1, 2, 3][n:]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_ties_on_all_keys_are_refused(spark, monkeypatch):
     monkeypatch.setattr(rel, "SMALL", 5)
     df = spark.range(100).select(F.lit(1).cast("long").alias("t"))
