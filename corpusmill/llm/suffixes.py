@@ -260,6 +260,7 @@ def without_repeats(docs: DataFrame, id="doc_id", text="text") -> DataFrame:
     leads = written(held_by_others(blocks.table.mapInArrow(_ask_leads(ranges), REQUEST)), "leads")
     told = blocks.told(leads)
     sent = told.mapInArrow(_send(ranges), "suffix binary, before binary, block long, number long, id long, place long")
+    sent = written(sent, "sent")  # read twice: for the splitters, and to be dealt
     buckets = max(1, -(-blocks.bytes // (30 * BUCKET_ROWS)))
     judged = sent.repartitionByRange(buckets, "suffix").mapInArrow(
         _sorted_buckets, "block long, number long, id long, place long, gone array<int>, open array<int>, keys array<long>"
