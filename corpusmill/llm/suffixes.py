@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm import grams
 from corpusmill.llm.blocks import REQUEST, Blocks, bits, contents, dealt, held_by_others, request
-from corpusmill.session import written
+from corpusmill.session import scratch_path, written
 
 LENGTH, STARTS = 100, 64
 LEAD = LENGTH - STARTS + 1
@@ -260,7 +260,10 @@ def without_repeats(docs: DataFrame, id="doc_id", text="text") -> DataFrame:
     leads = written(held_by_others(blocks.table.mapInArrow(_ask_leads(ranges), REQUEST)), "leads")
     told = blocks.told(leads)
     sent = told.mapInArrow(_send(ranges), "suffix binary, before binary, block long, number long, id long, place long")
-    sent = written(sent, "sent")  # read twice: for the splitters, and to be dealt
+    # Written, as it is read twice: for the splitters, and to be dealt.
+    path = scratch_path(docs.sparkSession, "sent")
+    sent.write.option("compression", "zstd").parquet(path)
+    sent = docs.sparkSession.read.parquet(path)
     buckets = max(1, -(-blocks.bytes // (30 * BUCKET_ROWS)))
     judged = sent.repartitionByRange(buckets, "suffix").mapInArrow(
         _sorted_buckets, "block long, number long, id long, place long, gone array<int>, open array<int>, keys array<long>"
