@@ -1,9 +1,11 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, over words and their characters.
 
 A text is read in overlapping windows of words. A word enters as the embedding of its hash joined with the mean embedding
-of its hashed character triples, so unseen forms of a known stem are recognised. Two recurrent passes, attention over the
-window and a logistic output give a window's score; a text has the score of its worst window. The network is trained in
-numpy on a bounded sample; texts are scored inside tasks, with all windows of a batch side by side.
+of its hashed character triples, so unseen forms of a known stem are recognised. All bytes of a text are read: a token of
+more than PIECE bytes (joined words, addresses, scripts without blanks) is cut between letters and punctuation, and what is
+still longer into overlapping pieces; each is a word of the windows. Two recurrent passes, attention over the window and a
+logistic output give a window's score; a text has the score of its worst window. The network is trained in numpy on a
+bounded sample; texts are scored inside tasks, with all windows of a batch side by side.
 """
 
 import numpy as np
@@ -16,11 +18,51 @@ from corpusmill.llm.rules import held_out, training_rows
 
 WINDOW, STRIDE = 24, 16
 WORDS, TRIPLES, WIDTH, HIDDEN = 8192, 4096, 8, 8
+#: Bytes of a word at most, but for the rest of a character; neighbours cut from one run share OVERLAP bytes.
+PIECE, OVERLAP = 30, 15
 #: Labelled documents to train on, at most: half toxic, half clean.
 SAMPLE = 2400
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+# ASCII bytes that are neither letters nor digits.
+_MARKS = np.zeros(256, bool)
+_MARKS[:128] = True
+_MARKS[48:58] = _MARKS[65:91] = _MARKS[97:123] = False
+
+
+def read_words(data: np.ndarray, offsets: np.ndarray) -> grams.Words:
+    """The words of a batch of texts, tokens over PIECE bytes in pieces that leave no byte out."""
+    words = grams.Words(data, offsets)
+    start, end = words.start, words.end
+    if not len(start) or (end - start).max() <= PIECE:
+        return words
+    marks = _MARKS[data]
+    blank = (data[:-1] == 0xC2) & (data[1:] == 0xA0)  # no-break space
+    marks[:-1] |= blank
+    marks[1:] |= blank
+    # Long tokens are cut on both sides of punctuation, so that joined words are the words they are elsewhere.
+    cut = np.flatnonzero(marks[:-1] != marks[1:]) + 1
+    owner = np.searchsorted(start, cut, side="right") - 1
+    own = (owner >= 0) & (cut > start[owner]) & (cut < end[owner]) & (end[owner] - start[owner] > PIECE)
+    start = np.sort(np.concatenate([start, cut[own]]))
+    end = np.sort(np.concatenate([end, cut[own]]))
+    # What is still long: a piece every PIECE - OVERLAP bytes, the last one ends with the run; no character is halved.
+    step = PIECE - OVERLAP
+    many = np.maximum(-(-(end - start - PIECE) // step), 0) + 1
+    run = np.repeat(np.arange(len(start)), many)
+    k = np.arange(len(run)) - np.repeat(np.cumsum(many) - many, many)
+    first, last = start[run] + k * step, np.minimum(start[run] + k * step + PIECE, end[run])
+    inner = np.append(data, 0) & 0xC0 == 0x80
+    for _ in range(3):
+        first -= inner[first] & (first > start[run])
+        last += inner[last] & (last < end[run])
+    words.start, words.end = first, last
+    words.first = np.searchsorted(first, offsets)
+    words.count = np.diff(words.first)
+    words.text = np.repeat(np.arange(len(offsets) - 1), words.count)
+    words.hash = None  # `inputs` hashes in lower case
+    return words
 
 
 def inputs(data: np.ndarray, words: grams.Words):
@@ -30,9 +72,8 @@ def inputs(data: np.ndarray, words: grams.Words):
     hashes = grams.window(sums, words.start, words.end)
     _, first, number = np.unique(hashes, return_index=True, return_inverse=True)
     start, end = words.start[first], words.end[first]
-    # Triples of bytes of the word between two marks: the first two bytes, then inner ones, at most 30.
-    size = np.minimum(end - start, 30)
-    count = size  # triples start one byte before the word, so there is one per byte
+    # Triples of bytes of the word between two marks; they start one byte before the word, so there is one per byte.
+    count = end - start
     owner = np.repeat(np.arange(len(first)), count)
     at = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
     place = start[owner] + at
@@ -151,7 +192,7 @@ def _gathered(texts: list[str], chunk=200):
     parts, n_words, n_distinct = [], 0, 0
     for a in range(0, len(texts), chunk):
         data, offsets = grams.buffers(pa.array(texts[a : a + chunk], pa.string()))
-        words = grams.Words(data, offsets)
+        words = read_words(data, offsets)
         number, bucket, owner, triple = inputs(data, words)
         text, start, length = windows(words)
         parts.append((number + n_distinct, bucket, owner + n_distinct, triple, text + a, start + n_words, length))
@@ -230,7 +271,7 @@ def _scores(model, number, bucket, owner, triple, start, length, chunk=4096):
 def text_scores(model, texts: pa.Array) -> np.ndarray:
     """The probability of each text's worst window; 0 for a text without words."""
     data, offsets = grams.buffers(texts)
-    words = grams.Words(data, offsets)
+    words = read_words(data, offsets)
     out = np.zeros(len(offsets) - 1)
     if len(words.start):
         text, start, length = windows(words)

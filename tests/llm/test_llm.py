@@ -225,6 +225,42 @@ def test_gradients():
         assert abs((up - down) / 2e-3 - np.ravel(grads[name])[2]) < 1e-4
 
 
+def test_long_tokens_are_read_whole():
+    joined = "é".join(f"word{k}" for k in range(40))
+    texts = ["short one", joined, "漢字" * 70, "a,b-" * 60, "-" * 95, "x" * 31 + " y", None]
+    data, offsets = grams.buffers(pa.array(texts))
+    read = toxicity.read_words(data, offsets)
+    seen = np.zeros(len(data), bool)
+    for a, b in zip(read.start, read.end):
+        seen[a:b] = True
+        data[a:b].tobytes().decode()  # no character is halved
+    assert (seen == ~grams.SPACE[data]).all() and (read.end - read.start).max() <= toxicity.PIECE + 6
+    assert read.count[0] == 2 and read.count[-1] == 0 and read.count.sum() == len(read.start)
+    number, bucket, owner, triple = toxicity.inputs(data, read)
+    assert len(np.unique(owner)) == len(bucket) and len(number) == len(read.start)
+
+
+def test_toxic_words_in_long_tokens():
+    rnd = random.Random(4)
+    plain, bad = [f"{a}{b}{c}" for a in "bdfgklm" for b in ("ana", "oro", "ili") for c in ("ten", "sup", "rek")], ["moron", "idiot", "scum"]
+    fill = lambda n: rnd.choices(plain, k=n)
+    texts, y = [], []
+    for k in range(800):
+        w = fill(20)
+        if k % 2:
+            w[rnd.randrange(20)] = rnd.choice(bad)
+        texts.append(" ".join(w) if k % 4 < 2 else ",".join(w))
+        y.append(k % 2)
+    model = toxicity.train(texts, np.array(y, float))
+    for mark in (",", "-", "_", "\u00a0"):
+        clean = [mark.join(fill(12)) for _ in range(20)]
+        toxic = [t + mark + bad[k % 3] + mark + mark.join(fill(3)) for k, t in enumerate(clean)]
+        assert (toxicity.text_scores(model, pa.array(toxic)) >= 0.7).mean() >= 0.9
+        assert (toxicity.text_scores(model, pa.array(clean)) < 0.7).mean() >= 0.9
+    address = [f"https://example.org/{'/'.join(fill(6))}/{bad[k % 3]}" for k in range(20)]
+    assert (toxicity.text_scores(model, pa.array(address)) >= 0.7).mean() >= 0.9
+
+
 def test_classifiers(spark, docs, nothing):
     # The network needs some hundred toxic texts; the 33 of sf0.01 teach it little.
     for run, label, folder in ((rules.quality, "quality", "sf0.01"), (toxicity.toxicity, "toxic", "sf0.1")):
