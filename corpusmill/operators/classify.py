@@ -2,8 +2,10 @@
 
 Every pass runs SGD inside each task, starting from the shared weights, and
 averages the results by the number of rows (parallel SGD with parameter mixing,
-Zinkevich et al., 2010). A pass is one job that moves only changed weights. Words
-are hashed to a fixed number of buckets, so neither the model nor anything else
+Zinkevich et al., 2010). A pass is one job that moves only changed weights. The
+model depends on the rows alone, neither on their layout nor on the cluster: their
+number gives the number of shards, a hash of the content the shard and the order
+in it, and changes are added in the order of the shards. Words are hashed to a fixed number of buckets, so neither the model nor anything else
 that meets on the driver grows with the corpus.
 """
 
@@ -20,6 +22,8 @@ from corpusmill.session import checkpoint
 
 BUCKETS = 1 << 18
 ROWS_PER_TASK = 50_000
+# Rows that are shuffled anew in each pass, and copies that are told apart at once.
+BLOCK = 2000
 # Fixed value: the step for the intercept is this much shorter on sparse rows.
 INTERCEPT_STEP = 0.01
 
@@ -53,6 +57,36 @@ def _document_weights(ids: DataFrame, buckets: int):
     return rows, np.log((1 + rows) / (1 + counts)) + 1
 
 
+def _blocks(batches):
+    """The same rows in blocks of BLOCK rows, however long the batches are."""
+    held, n = [], 0
+    for pdf in batches:
+        while n + len(pdf) >= BLOCK:
+            held.append(pdf[: BLOCK - n])
+            pdf = pdf[BLOCK - n :]
+            yield pd.concat(held, ignore_index=True)
+            held, n = [], 0
+        held, n = [*held, pdf], n + len(pdf)
+    if n:
+        yield pd.concat(held, ignore_index=True)
+
+
+def _sharded(weighed: DataFrame, shards: int) -> DataFrame:
+    """(shard, label, bucket, weight): rows dealt to one task a shard, in the order of their hash.
+
+    weighed: (label, ids, n, f), a row for each n equal ones. Copies are told apart by
+    number, so equal rows are spread like others.
+    """
+    groups = weighed.withColumn("from", F.explode(F.sequence(F.lit(0), F.col("n") - 1, F.lit(BLOCK))))
+    upto = F.least(F.col("from") + BLOCK, F.col("n")) - 1
+    copies = groups.withColumn("copy", F.explode(F.sequence("from", upto)))
+    dealt = copies.select(
+        "label", "ids", "f.bucket", "f.weight", F.xxhash64("label", "ids", "copy").alias("order")
+    ).withColumn("shard", F.pmod(F.xxhash64("order"), F.lit(shards)).cast("int"))
+    ordered = dealt.repartitionById(shards, F.col("shard")).sortWithinPartitions("order", "label", "ids")
+    return ordered.select("shard", "label", "bucket", "weight")
+
+
 def _sgd(batches, weights, intercept, penalty, epoch, t):
     """One pass of SGD from step `t`; returns (rows, shrink, weights before shrink, intercept)."""
     w, b, shrink = weights.copy(), intercept, 1.0
@@ -78,8 +112,6 @@ def _sgd(batches, weights, intercept, penalty, epoch, t):
 def train(df: DataFrame, text="text", label="label", buckets=BUCKETS, penalty=1e-4, epochs=10) -> LinearModel:
     """Fit on (text, label 0/1)."""
     spark = df.sparkSession
-    # Checkpoints keep the order of rows, so training the same input again gives
-    # the same model.
     ids = checkpoint(
         df.select(
             F.col(label).cast("int").alias("label"),
@@ -87,32 +119,42 @@ def train(df: DataFrame, text="text", label="label", buckets=BUCKETS, penalty=1e
         )
     )
     rows, idf = _document_weights(ids, buckets)
-    tasks = min(max(1, math.ceil(rows / ROWS_PER_TASK)), 2 * spark.sparkContext.defaultParallelism)
-    weighed = ids.withColumn("f", features(F.col("ids"), spark.sparkContext.broadcast(idf)))
-    # Spread evenly: neighbours in the input often share a label.
-    data = checkpoint(weighed.select("label", "f.bucket", "f.weight").repartition(tasks))
+    shards = max(1, math.ceil(rows / ROWS_PER_TASK))
+    distinct = ids.groupBy("label", "ids").agg(F.count("*").alias("n"))
+    weighed = distinct.withColumn("f", features(F.col("ids"), spark.sparkContext.broadcast(idf)))
+    data = checkpoint(_sharded(weighed, shards))
     weights, intercept = np.zeros(buckets), 0.0
     for epoch in range(epochs):
         shared = spark.sparkContext.broadcast((weights, intercept))
 
         def run(batches, shared=shared, epoch=epoch):
             old, b = shared.value
-            steps = epoch * math.ceil(rows / tasks)
-            n, shrink, new, bias = _sgd(batches, old, b, penalty, epoch, steps)
+            steps, shard = epoch * math.ceil(rows / shards), []
+
+            def seen():
+                for pdf in batches:
+                    shard[:] = pdf["shard"][:1] if len(pdf) else shard
+                    yield pdf
+
+            n, shrink, new, bias = _sgd(_blocks(seen()), old, b, penalty, epoch, steps)
             if n:
                 # Changes beyond the common shrinking, weighted by rows; the last
                 # two entries carry the shrinking and the intercept.
                 at = np.flatnonzero(new != old)
                 yield pd.DataFrame(
                     {
+                        "shard": shard[0],
                         "bucket": np.r_[at, buckets, buckets + 1],
                         "change": n * np.r_[shrink * (new[at] - old[at]), shrink, bias],
                     }
                 )
 
-        parts = data.mapInPandas(run, "bucket long, change double")
-        # At most one row per bucket: the size of the model, whatever the corpus.
-        local = parts.groupBy("bucket").agg((F.sum("change") / rows).alias("change")).toPandas()
+        parts = data.mapInPandas(run, "shard int, bucket long, change double")
+        # At most one row per bucket: the size of the model, whatever the corpus. Sums of
+        # doubles depend on their order, so a bucket's changes are put in that of the shards.
+        listed = parts.groupBy("bucket").agg(F.array_sort(F.collect_list(F.struct("shard", "change"))).alias("c"))
+        total = F.aggregate("c", F.lit(0.0), lambda s, c: s + c["change"])
+        local = listed.select("bucket", (total / rows).alias("change")).toPandas()
         mixed = np.zeros(buckets + 2)
         mixed[local["bucket"].to_numpy()] = local["change"]
         weights = mixed[buckets] * weights + mixed[:buckets]

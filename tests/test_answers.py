@@ -1,3 +1,7 @@
+import os
+import subprocess
+import sys
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -139,6 +143,32 @@ def test_training_is_repeatable(spark):
     assert (a.weights == b.weights).all()
 
 
+def test_model_does_not_depend_on_cores_or_layout(tmp_path):
+    script = tmp_path / "fit.py"
+    script.write_text(
+        """
+import sys
+from corpusmill.operators import classify
+from corpusmill.session import get_session
+
+cores, parts = sys.argv[1:]
+spark = get_session("fit", f"local[{cores}]", **{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": parts})
+classify.ROWS_PER_TASK, classify.BLOCK = 15, 4
+rows = [(f"w{i % 17} w{i % 11} w{i % 5}", int(i % 3 == 0)) for i in range(300)] + [("same words", 1)] * 90
+model = classify.train(spark.createDataFrame(rows, "text string, label int").repartition(int(parts)), buckets=256, epochs=3)
+print("MODEL", model.weights.tobytes().hex(), model.intercept)
+"""
+    )
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    said = [
+        subprocess.run(
+            [sys.executable, script, *args], env=os.environ | {"PYTHONPATH": root}, capture_output=True, text=True, timeout=300
+        ).stdout.split("MODEL")
+        for args in (("2", "3"), ("4", "5"))
+    ]
+    assert len(said[0]) == 2 and said[0][1] == said[1][1]
+
+
 def test_retraining_helps_on_new_words(spark):
     old = spark.createDataFrame([("nice kind", 1), ("awful mean", 0)] * 20, "text string, label int")
     new = spark.createDataFrame([("splendid", 1), ("dreadful", 0)] * 20, "text string, label int")
