@@ -1,11 +1,13 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, over words and their characters.
 
-A text is read in overlapping windows of words. A word enters as the embedding of its hash joined with the mean embedding
-of its hashed character triples, so unseen forms of a known stem are recognised. All bytes of a text are read: a token of
-more than PIECE bytes (joined words, addresses, scripts without blanks) is cut between letters and punctuation, and what is
-still longer into overlapping pieces; each is a word of the windows. Two recurrent passes, attention over the window and a
-logistic output give a window's score; a text has the score of its worst window. The network is trained in numpy on a
-bounded sample; texts are scored inside tasks, with all windows of a batch side by side.
+A text is scored in windows of WINDOW words that start at every word, so a run of up to WINDOW words is whole in one of
+them; a training pass draws from the windows at every STRIDE-th word and the last, each pass from another first word. A
+word enters as the embedding of its hash joined with the mean embedding of its hashed character triples, so unseen forms
+of a known stem are recognised. All bytes of a text are read: a token of more than PIECE bytes (joined words, addresses,
+scripts without blanks) is cut between letters and punctuation, and what is still longer into overlapping pieces; each is
+a word of the windows. Two recurrent passes, attention over the window and a logistic output give a window's score; a text
+has the score of its worst window. The network is trained in numpy on a bounded sample; texts are scored inside tasks,
+with all windows of a batch side by side.
 """
 
 import numpy as np
@@ -91,11 +93,10 @@ def inputs(data: np.ndarray, words: grams.Words):
 def windows(words: grams.Words):
     """Start and length (in words) of all windows of each text, and their text; the last one ends with the text."""
     n = words.count
-    many = np.where(n > 0, np.maximum(-(-(n - WINDOW) // STRIDE), 0) + 1, 0)
+    many = np.where(n > 0, np.maximum(n - WINDOW, 0) + 1, 0)
     text = np.repeat(np.arange(len(n)), many)
     k = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
-    start = np.minimum(k * STRIDE, np.maximum(n[text] - WINDOW, 0))
-    return text, words.first[:-1][text] + start, np.minimum(n[text], WINDOW)
+    return text, words.first[:-1][text] + k, np.minimum(n[text], WINDOW)
 
 
 def sigmoid(x):
@@ -121,12 +122,19 @@ def embedded(model, bucket, owner, triple):
     return np.concatenate([model["word"][bucket], chars / count[:, None]], axis=1), count
 
 
-def forward(model, x, index, length, keep=False):
-    """Scores (logits) of windows; x: input vectors, index: rows of x per step (steps, windows)."""
+def projected(model, x):
+    """The inputs of the gates of both directions, for each row of x."""
+    return {d: x @ model[f"w{d}"] + model[f"c{d}"] for d in "fb"}
+
+
+def forward(model, x, index, length, keep=False, tables=None):
+    """Scores (logits) of windows; x: input vectors, index: rows of x per step (steps, windows); tables: `projected`, if at hand."""
+    tables = tables or projected(model, x)
     steps, n = index.shape
     states, kept = {}, {}
+    whole = not keep and length.min() >= steps
     for d in "fb":
-        table = x @ model[f"w{d}"] + model[f"c{d}"]
+        table = tables[d]
         u, h = model[f"u{d}"], np.zeros((n, HIDDEN), np.float32)
         out = np.zeros((steps, n, HIDDEN), np.float32)
         trail = []
@@ -135,8 +143,8 @@ def forward(model, x, index, length, keep=False):
             zr = sigmoid(g[:, : 2 * HIDDEN] + hu[:, : 2 * HIDDEN])
             z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
             c = np.tanh(g[:, 2 * HIDDEN :] + r * hu[:, 2 * HIDDEN :])
-            on = (t < length).astype(np.float32)[:, None]
-            new = h + on * (1 - z) * (c - h)
+            on = 1 if whole else (t < length).astype(np.float32)[:, None]
+            new = c + z * (h - c) if whole else h + on * (1 - z) * (c - h)
             if keep:
                 trail.append((t, h, hu, z, r, c, on))
             h = out[t] = new
@@ -211,12 +219,17 @@ def train(texts: list[str], y: np.ndarray, passes=4, steps=600, rate=0.01, seed=
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in model.items()}
     if len(y) == 0 or y.min() == y.max():
         return None
-    number, bucket, owner, triple, text, start, length = _gathered(texts)
+    number, bucket, owner, triple, *every = _gathered(texts)
+    at = np.arange(len(every[0])) - np.searchsorted(every[0], every[0])
+    last = np.append(every[0][1:] != every[0][:-1], True)[: len(at)]
     begin = np.searchsorted(owner, np.arange(len(bucket) + 1))
-    label, step = y[text].astype(np.float32), 0
+    step = 0
     for k in range(40):
         if k > passes and step >= steps:
             break
+        pool = np.flatnonzero((at % STRIDE == 5 * k % STRIDE) | last)
+        text, start, length = (r[pool] for r in every)
+        label = y[text].astype(np.float32)
         if k == 0:
             rank = np.argsort(np.argsort(rng.random(len(text)) + 2 * text, kind="stable"))
             chosen = np.flatnonzero(rank - np.searchsorted(text, text) < 10)
@@ -260,11 +273,12 @@ def train(texts: list[str], y: np.ndarray, passes=4, steps=600, rate=0.01, seed=
 def _scores(model, number, bucket, owner, triple, start, length, chunk=4096):
     """Logits of windows."""
     x, _ = embedded(model, bucket, owner, triple)
+    tables = projected(model, x)
     out = np.zeros(len(start), np.float32)
     for a in range(0, len(start), chunk):
         s, n = start[a : a + chunk], length[a : a + chunk]
         index = number[np.minimum(s + np.arange(int(n.max()))[:, None], s + n - 1)]
-        out[a : a + chunk] = forward(model, x, index, n)
+        out[a : a + chunk] = forward(model, x, index, n, tables=tables)
     return out
 
 

@@ -261,6 +261,15 @@ def test_toxic_words_in_long_tokens():
     assert (toxicity.text_scores(model, pa.array(address)) >= 0.7).mean() >= 0.9
 
 
+def test_every_window_is_scored():
+    model, rnd, size = toxicity.new_model(), random.Random(6), toxicity.WINDOW
+    texts = [rnd.choices(WORDS, k=n) for n in (1, size - 1, size, size + 1, 70, 200)]
+    got = toxicity.text_scores(model, pa.array([" ".join(t) for t in texts]))
+    for t, score in zip(texts, got):
+        runs = [" ".join(t[k : k + size]) for k in range(max(len(t) - size, 0) + 1)]
+        assert score == pytest.approx(toxicity.text_scores(model, pa.array(runs)).max(), abs=1e-6)
+
+
 def test_classifiers(spark, docs, nothing):
     # The network needs some hundred toxic texts; the 33 of sf0.01 teach it little.
     for run, label, folder in ((rules.quality, "quality", "sf0.01"), (toxicity.toxicity, "toxic", "sf0.1")):
