@@ -2,7 +2,21 @@
 
 from pyspark.sql import functions as F
 
-from corpusmill.llm import anchors, bagminhash, cells, decontaminate, mixing, rules, secrets, sharding, suffixes, toxicity
+from corpusmill.llm import (
+    anchors,
+    bagminhash,
+    cells,
+    decontaminate,
+    dialogues,
+    mixing,
+    packing,
+    rules,
+    secrets,
+    sharding,
+    suffixes,
+    toxicity,
+    whitening,
+)
 from corpusmill.session import table
 
 QUERIES = {}
@@ -95,3 +109,21 @@ def op5(spark, folder):
 def op8(spark, folder):
     found = suffixes.without_repeats(table(spark, folder, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op11_viterbi_repair")
+def op11(spark, folder):
+    return dialogues.repair(table(spark, folder, "conversations"), damage=True)
+
+
+@query("op12_cholesky_whitening")
+def op12(spark, folder):
+    found = whitening.whiten(table(spark, folder, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+@query("op13_bin_completion")
+def op13(spark, folder):
+    import public_tokenizers
+
+    return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
