@@ -1,182 +1,168 @@
-"""Linear text classifier: hinge loss on TF-IDF, trained by distributed SGD.
-
-Every pass runs SGD inside each task, starting from the shared weights, and
-averages the results by the number of rows (parallel SGD with parameter mixing,
-Zinkevich et al., 2010). A pass is one job that moves only changed weights. The
-model depends on the rows alone, neither on their layout nor on the cluster: their
-number gives the number of shards, a hash of the content the shard and the order
-in it, and changes are added in the order of the shards. Words are hashed to a fixed number of buckets, so neither the model nor anything else
-that meets on the driver grows with the corpus.
+"""Linear text classifier: hinge loss on TF-IDF, trained by full-batch steps in whole numbers.
+
+A step adds up, per word bucket, what the rows inside the margin ask for. Feature values, weights and step lengths are
+whole numbers (fixed point), so the sums are exact: partial sums per task may meet in any order, and the model has the same
+bits on any layout and any cluster. A step is one job that reads narrow written features and moves one row per bucket and
+task; both classes weigh the same, however rare one is. Words are hashed to a fixed number of buckets, so neither the model
+nor anything that meets on the driver grows with the corpus.
 """
 
-import math
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.operators.features import fast_token_ids
-from corpusmill.session import checkpoint
+from corpusmill.operators.features import token_ids
+from corpusmill.session import written
 
 BUCKETS = 1 << 18
-ROWS_PER_TASK = 50_000
-# Rows that are shuffled anew in each pass, and copies that are told apart at once.
-BLOCK = 2000
-# Fixed value: the step for the intercept is this much shorter on sparse rows.
-INTERCEPT_STEP = 0.01
+# Fixed point: feature values and weights are multiples of these.
+VALUE, WEIGHT = 1 << 14, 1 << 20
+STEPS, RATE = 8, 30.0
+# The intercept, a feature of every row, learns this much slower.
+INTERCEPT_RATE = 0.02
 
 
 class LinearModel(NamedTuple):
     idf: np.ndarray
     weights: np.ndarray
-    intercept: float
-
+    intercept: int
+
+
+def step_lengths(steps=STEPS, rate=RATE) -> list[tuple[int, int]]:
+    """Whole-number lengths (weights, intercept) of each step, falling with its root."""
+    each = [rate / (t + 1) ** 0.5 for t in range(steps)]
+    return [(round(r * WEIGHT / VALUE), round(r * INTERCEPT_RATE * WEIGHT)) for r in each]
+
+
+def _sparse(column, idf):
+    """Word ids 1..n of a batch as (row, bucket, whole-number value): TF-IDF of unit length, rows and buckets rising."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    lengths = np.diff(column.offsets.to_numpy())
+    key = np.repeat(np.arange(len(column)), lengths) * len(idf) + column.flatten().to_numpy().astype(np.int64) - 1
+    key, counts = np.unique(key, return_counts=True)
+    row, bucket = np.divmod(key, len(idf))
+    raw = counts * idf[bucket]
+    length = np.sqrt(np.bincount(row, raw * raw, minlength=len(column)))
+    return row, bucket, np.floor(raw / length[row] * VALUE + 0.5).astype(np.int64)
+
+
+def features(rows: DataFrame, ids: str, idf) -> DataFrame:
+    """`rows` with `ids` replaced by its buckets and values, one sparse row each; `idf` is a broadcast array."""
+    keep = [c for c in rows.columns if c != ids]
+
+    def weigh(batches):
+        for batch in batches:
+            row, bucket, value = _sparse(batch.column(ids), idf.value)
+            starts = pa.array(np.searchsorted(row, np.arange(batch.num_rows + 1)), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(batch.column(c) for c in keep),
+                    pa.ListArray.from_arrays(starts, pa.array(bucket, pa.int32())),
+                    pa.ListArray.from_arrays(starts, pa.array(value, pa.int64())),
+                ],
+                [*keep, "bucket", "value"],
+            )
+
+    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in keep)
+    return rows.select(*keep, ids).mapInArrow(weigh, f"{kinds}, bucket array<int>, value array<bigint>")
+
+
+def _margins(batch, weights, intercept):
+    """(row of each entry, bucket, value, weighted sums of the rows), all exact."""
+    lists = batch.column("bucket")
+    row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+    bucket = lists.flatten().to_numpy()
+    value = batch.column("value").flatten().to_numpy()
+    sums = np.zeros(batch.num_rows, np.int64)
+    np.add.at(sums, row, weights[bucket] * value)
+    return row, bucket, value, sums + intercept * VALUE
 
-def features(ids: Column, idf) -> Column:
-    """struct(bucket, weight): unit-length TF-IDF of word ids 1..n; `idf` is a broadcast array."""
 
-    @F.pandas_udf("bucket array<int>, weight array<double>")
-    def weigh(rows: pd.Series) -> pd.DataFrame:
-        found = [np.unique(np.asarray(r) - 1, return_counts=True) for r in rows]
-        raw = [n * idf.value[b] for b, n in found]
-        return pd.DataFrame(
-            {"bucket": [b for b, _ in found], "weight": [w / (np.linalg.norm(w) or 1.0) for w in raw]}
+def _document_weights(ids: DataFrame, buckets: int):
+    """(rows per class, ln((1 + n) / (1 + df)) + 1 per bucket); at most `buckets` rows reach the driver."""
+    spread = ids.select(F.explode(F.array_distinct("ids")).alias("b")).groupBy("b").count()
+    sides = {r["positive"]: r["count"] for r in ids.groupBy("positive").count().collect()}
+    counts, local = np.zeros(buckets), spread.toPandas()
+    counts[local["b"].to_numpy() - 1] = local["count"]
+    return sides.get(True, 0), sides.get(False, 0), np.log((1 + sum(sides.values())) / (1 + counts)) + 1
+
+
+def _asked(data: DataFrame, weights, intercept: int) -> pd.DataFrame:
+    """What rows inside the margin ask for: (bucket, positive, negative) sums; bucket -1 counts the rows."""
+    spark = data.sparkSession
+    shared = spark.sparkContext.broadcast((weights, intercept))
+
+    def run(batches):
+        w, b = shared.value
+        sums = np.zeros((2, len(w)), np.int64)
+        rows = [0, 0]
+        for batch in batches:
+            row, bucket, value, margin = _margins(batch, w, b)
+            positive = batch.column("positive").to_numpy(zero_copy_only=False)
+            inside = np.where(positive, margin, -margin) < WEIGHT * VALUE
+            for side, mine in enumerate((positive & inside, ~positive & inside)):
+                picked = mine[row]
+                np.add.at(sums[side], bucket[picked], value[picked])
+                rows[side] += int(mine.sum())
+        at = np.flatnonzero(sums.any(axis=0))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.r_[-1, at]), pa.array(np.r_[rows[0], sums[0, at]]), pa.array(np.r_[rows[1], sums[1, at]])],
+            ["bucket", "positive", "negative"],
         )
 
-    return weigh(ids)
+    parts = data.mapInArrow(run, "bucket long, positive long, negative long")
+    # One row per bucket: the size of the model, whatever the corpus.
+    found = parts.groupBy("bucket").agg(F.sum("positive").alias("positive"), F.sum("negative").alias("negative")).toPandas()
+    shared.unpersist()
+    return found
 
 
-def _document_weights(ids: DataFrame, buckets: int):
-    """(rows, ln((1 + n) / (1 + df)) + 1 per bucket); at most `buckets` rows reach the driver."""
-    spread = ids.select(F.explode(F.array_distinct("ids")).alias("b")).groupBy("b").count()
-    counts, rows = np.zeros(buckets), ids.count()
-    local = spread.toPandas()
-    counts[local["b"].to_numpy() - 1] = local["count"]
-    return rows, np.log((1 + rows) / (1 + counts)) + 1
-
-
-def _blocks(batches):
-    """The same rows in blocks of BLOCK rows, however long the batches are."""
-    held, n = [], 0
-    for pdf in batches:
-        while n + len(pdf) >= BLOCK:
-            held.append(pdf[: BLOCK - n])
-            pdf = pdf[BLOCK - n :]
-            yield pd.concat(held, ignore_index=True)
-            held, n = [], 0
-        held, n = [*held, pdf], n + len(pdf)
-    if n:
-        yield pd.concat(held, ignore_index=True)
-
-
-def _sharded(weighed: DataFrame, shards: int) -> DataFrame:
-    """(shard, label, bucket, weight): rows dealt to one task a shard, in the order of their hash.
-
-    weighed: (label, ids, n, f), a row for each n equal ones. Copies are told apart by
-    number, so equal rows are spread like others.
-    """
-    groups = weighed.withColumn("from", F.explode(F.sequence(F.lit(0), F.col("n") - 1, F.lit(BLOCK))))
-    upto = F.least(F.col("from") + BLOCK, F.col("n")) - 1
-    copies = groups.withColumn("copy", F.explode(F.sequence("from", upto)))
-    dealt = copies.select(
-        "label", "ids", "f.bucket", "f.weight", F.xxhash64("label", "ids", "copy").alias("order")
-    ).withColumn("shard", F.pmod(F.xxhash64("order"), F.lit(shards)).cast("int"))
-    ordered = dealt.repartitionById(shards, F.col("shard")).sortWithinPartitions("order", "label", "ids")
-    return ordered.select("shard", "label", "bucket", "weight")
-
-
-def _sgd(batches, weights, intercept, penalty, epoch, t):
-    """One pass of SGD from step `t`; returns (rows, shrink, weights before shrink, intercept)."""
-    w, b, shrink = weights.copy(), intercept, 1.0
-    # Step 1 / (penalty * (start + t)): about 1 / sqrt(sqrt(penalty)) at first.
-    start = penalty**-0.75
-    rows, random = 0, np.random.default_rng(epoch)
-    for pdf in batches:
-        order = random.permutation(len(pdf))
-        buckets, values = pdf["bucket"].to_numpy(), pdf["weight"].to_numpy()
-        signs = np.where(pdf["label"].to_numpy() > 0, 1.0, -1.0)
-        for i in order:
-            t, rows = t + 1, rows + 1
-            step = 1 / (penalty * (start + t))
-            x, at, y = values[i], buckets[i], signs[i]
-            margin = y * (shrink * (w[at] @ x) + b)
-            shrink *= 1 - step * penalty
-            if margin < 1:
-                w[at] += (step * y / shrink) * x
-                b += INTERCEPT_STEP * step * y
-    return rows, shrink, w, b
-
-
-def train(df: DataFrame, text="text", label="label", buckets=BUCKETS, penalty=1e-4, epochs=10) -> LinearModel:
-    """Fit on (text, label 0/1)."""
+def _scaled(sums, length: int, rows: int):
+    """sums * length / (2 * rows), rounded down; wide where a long would not do."""
+    sums = np.asarray(sums, np.int64)
+    if len(sums) and int(sums.max()) * length >= 2**63:
+        return np.array([int(s) * length // (2 * rows) for s in sums], np.int64)
+    return sums * length // (2 * rows)
+
+
+def train(df: DataFrame, text="text", label="label", buckets=BUCKETS, steps=STEPS, rate=RATE) -> LinearModel:
+    """Fit on (text, label 0/1). Rows without a label are left out; a null text has no words."""
     spark = df.sparkSession
-    ids = checkpoint(
-        df.select(
-            F.col(label).cast("int").alias("label"),
-            fast_token_ids(F.col(text), buckets).alias("ids"),
-        )
+    named = df.where(F.col(label).isNotNull()).select(
+        (F.col(label).cast("int") > 0).alias("positive"), token_ids(F.coalesce(text, F.lit("")), buckets).alias("ids")
     )
-    rows, idf = _document_weights(ids, buckets)
-    shards = max(1, math.ceil(rows / ROWS_PER_TASK))
-    distinct = ids.groupBy("label", "ids").agg(F.count("*").alias("n"))
-    weighed = distinct.withColumn("f", features(F.col("ids"), spark.sparkContext.broadcast(idf)))
-    data = checkpoint(_sharded(weighed, shards))
-    weights, intercept = np.zeros(buckets), 0.0
-    for epoch in range(epochs):
-        shared = spark.sparkContext.broadcast((weights, intercept))
-
-        def run(batches, shared=shared, epoch=epoch):
-            old, b = shared.value
-            steps, shard = epoch * math.ceil(rows / shards), []
-
-            def seen():
-                for pdf in batches:
-                    shard[:] = pdf["shard"][:1] if len(pdf) else shard
-                    yield pdf
-
-            n, shrink, new, bias = _sgd(_blocks(seen()), old, b, penalty, epoch, steps)
-            if n:
-                # Changes beyond the common shrinking, weighted by rows; the last
-                # two entries carry the shrinking and the intercept.
-                at = np.flatnonzero(new != old)
-                yield pd.DataFrame(
-                    {
-                        "shard": shard[0],
-                        "bucket": np.r_[at, buckets, buckets + 1],
-                        "change": n * np.r_[shrink * (new[at] - old[at]), shrink, bias],
-                    }
-                )
-
-        parts = data.mapInPandas(run, "shard int, bucket long, change double")
-        # At most one row per bucket: the size of the model, whatever the corpus. Sums of
-        # doubles depend on their order, so a bucket's changes are put in that of the shards.
-        listed = parts.groupBy("bucket").agg(F.array_sort(F.collect_list(F.struct("shard", "change"))).alias("c"))
-        total = F.aggregate("c", F.lit(0.0), lambda s, c: s + c["change"])
-        local = listed.select("bucket", (total / rows).alias("change")).toPandas()
-        mixed = np.zeros(buckets + 2)
-        mixed[local["bucket"].to_numpy()] = local["change"]
-        weights = mixed[buckets] * weights + mixed[:buckets]
-        intercept = mixed[buckets + 1]
-        shared.unpersist()
-    return LinearModel(idf, weights, float(intercept))
+    ids = written(named, "ids")
+    positive, negative, idf = _document_weights(ids, buckets)
+    data = written(features(ids, "ids", spark.sparkContext.broadcast(idf)), "features")
+    weights, intercept = np.zeros(buckets, np.int64), 0
+    for length, intercept_length in step_lengths(steps, rate):
+        asked = _asked(data, weights, intercept).set_index("bucket")
+        rows = asked.loc[[-1]] if -1 in asked.index else pd.DataFrame({"positive": [0], "negative": [0]})
+        asked = asked.drop(index=-1, errors="ignore")
+        for side, sign, n in (("positive", 1, max(1, positive)), ("negative", -1, max(1, negative))):
+            weights[asked.index] += sign * _scaled(asked[side], length, n)
+            intercept += sign * (int(rows[side].iloc[0]) * intercept_length // (2 * n))
+    return LinearModel(idf, weights, intercept)
 
 
 def predict(model: LinearModel, df: DataFrame, text="text", target="predicted") -> DataFrame:
-    """`df` with the predicted label; a narrow transformation."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    """`df` with the predicted label 0 or 1; a narrow transformation."""
+    shared = df.sparkSession.sparkContext.broadcast(tuple(model))
 
     @F.pandas_udf("int")
     def decide(rows: pd.Series) -> pd.Series:
-        m, out = shared.value, []
-        for r in rows:
-            at, n = np.unique(np.asarray(r) - 1, return_counts=True)
-            x = n * m.idf[at]
-            out.append(m.weights[at] @ x / (np.linalg.norm(x) or 1.0) + m.intercept > 0)
-        return pd.Series(out).astype("int32")
+        idf, weights, intercept = shared.value
+        row, bucket, value = _sparse(pa.array(rows, pa.list_(pa.int32())), idf)
+        sums = np.zeros(len(rows), np.int64)
+        np.add.at(sums, row, weights[bucket] * value)
+        return pd.Series((sums + intercept * VALUE > 0).astype("int32"))
 
-    return df.withColumn(target, decide(fast_token_ids(F.col(text), len(model.weights))))
+    return df.withColumn(target, decide(token_ids(F.coalesce(text, F.lit("")), len(model.weights))))
 
 
 def retrain(old: DataFrame, batch: DataFrame, **options):
@@ -188,11 +174,11 @@ def write_model(model: LinearModel, spark, path: str):
     """The model as a table (bucket, idf, weight); bucket -1 holds the intercept."""
     table = pd.DataFrame({"bucket": np.arange(len(model.weights)), "idf": model.idf, "weight": model.weights})
     table.loc[len(table)] = [-1, 0.0, model.intercept]
-    spark.createDataFrame(table.astype({"bucket": "int64"})).coalesce(1).write.parquet(path)
+    spark.createDataFrame(table.astype({"bucket": "int64", "weight": "int64"})).coalesce(1).write.parquet(path)
 
 
 def read_model(spark, path: str) -> LinearModel:
     table = spark.read.parquet(path).toPandas().sort_values("bucket")
     return LinearModel(
-        table["idf"].to_numpy()[1:], table["weight"].to_numpy()[1:], float(table["weight"].iloc[0])
+        table["idf"].to_numpy()[1:], table["weight"].to_numpy()[1:].astype(np.int64), int(table["weight"].iloc[0])
     )

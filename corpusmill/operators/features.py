@@ -1,5 +1,10 @@
-"""Term counts, TF-IDF weights and token ids."""
+"""Term counts, TF-IDF weights, vocabularies, token ids and subword ids."""
 
+from typing import NamedTuple
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -7,6 +12,11 @@ from corpusmill.functions.text import words
 from corpusmill.operators.relational import heavy_join
 from corpusmill.session import written
 
+#: A vocabulary of at most this many bytes is sent to every task; a larger one is joined.
+BROADCAST_BYTES = 32 << 20
+#: Ids that are no terms: padding and words outside the vocabulary.
+PADDING, UNKNOWN, FIRST_TERM = 0, 1, 2
+
 
 def token_ids(text: Column, size: int) -> Column:
     """Word ids 1..size by MD5, the same in every system; no vocabulary is needed. 0 is padding."""
@@ -16,11 +26,6 @@ def token_ids(text: Column, size: int) -> Column:
     )
 
 
-def fast_token_ids(text: Column, size: int) -> Column:
-    """Like `token_ids` by Spark's own hash, for models that live inside Spark."""
-    return F.transform(words(text), lambda w: (F.pmod(F.xxhash64(w), F.lit(size)) + 1).cast("int"))
-
-
 def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, term, tf). A document lies in one task, so its terms collapse before the shuffle."""
     terms = df.select(key, F.explode(words(F.col(text))).alias("term"))
@@ -39,3 +44,174 @@ def tfidf(df: DataFrame, key: str, text: str) -> DataFrame:
     )
     length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))
     return raw.select(key, "term", (F.col("raw") / length).alias("weight"))
+
+
+# --- learned vocabulary -----------------------------------------------------
+
+
+class Vocabulary(NamedTuple):
+    terms: DataFrame  # term, id, n: written
+    size: int  # terms
+    bytes: int  # of all terms
+
+
+def numbered(rows: DataFrame, *order) -> DataFrame:
+    """`rows` with `place`, 0.. without gaps in the given total order, and no task that holds all rows.
+
+    Rows are range-sorted and written; a row's place is its place in its range and the rows in earlier ranges. Only one
+    number a range is gathered.
+    """
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    kept = written(ranged.select("*", F.spark_partition_id().alias("_range"), within.alias("_within")), "ranges")
+    sizes = kept.groupBy("_range").agg(F.count("*").alias("_rows"))
+    # One row a range: the window's single task holds as many rows as the sort had tasks.
+    before = F.coalesce(F.sum("_rows").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select("_range", before.alias("_start"))
+    placed = kept.join(F.broadcast(starts), "_range").withColumn("place", F.col("_start") + F.col("_within"))
+    return placed.drop("_range", "_within", "_start", "_rows")
+
+
+def vocabulary(df: DataFrame, text: str, min_count=1, max_terms=None) -> Vocabulary:
+    """Terms of all texts with ids from FIRST_TERM without gaps: most frequent first, then by term.
+
+    Terms seen fewer than `min_count` times have no id, nor those after the first `max_terms`.
+    """
+    terms = df.select(F.explode(words(F.col(text))).alias("term"))
+    counts = terms.groupBy("term").agg(F.count("*").alias("n")).where(F.col("n") >= min_count)
+    placed = numbered(counts, F.desc("n"), F.asc("term"))
+    if max_terms is not None:
+        placed = placed.where(F.col("place") < max_terms)
+    kept = written(placed.select("term", (F.col("place") + FIRST_TERM).cast("int").alias("id"), "n"), "vocabulary")
+    size, total = kept.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("term")), F.lit(0))).first()
+    return Vocabulary(kept, size, total)
+
+
+def vocabulary_counts(df: DataFrame, key: str, text: str, terms: Vocabulary) -> DataFrame:
+    """(key, id, tf): the sparse count vectors of texts over a vocabulary; other words have no row."""
+    counts = term_counts(df, key, text)
+    if _small(terms):
+        return counts.join(F.broadcast(terms.terms.select("term", "id")), "term").select(key, "id", "tf")
+    return heavy_join(counts, terms.terms, "term", "n").select(key, "id", "tf")
+
+
+def _small(terms: Vocabulary) -> bool:
+    # A broadcast term also has an id and an entry in a hash table.
+    return terms.bytes + 48 * terms.size <= BROADCAST_BYTES
+
+
+def vocabulary_ids(df: DataFrame, key: str, text: str, terms: Vocabulary, target="ids") -> DataFrame:
+    """(key, target): the term ids of each text in text order, UNKNOWN for other words; `key` is unique.
+
+    A small vocabulary is looked up where the texts lie. A large one is joined: hot words by broadcast, the rest by
+    shuffle, and a text's ids are put back in order by their position.
+    """
+    if _small(terms):
+        return _looked_up(df.select(key, words(F.coalesce(text, F.lit(""))).alias("words")), key, terms, target)
+    texts = written(df.select(key, words(F.coalesce(text, F.lit(""))).alias("words")), "words")
+    placed = texts.select(key, F.posexplode("words").alias("pos", "term"))
+    known = heavy_join(placed, terms.terms, "term", "n").select(key, "pos", "id")
+    lists = known.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("pos", "id"))).alias("by"))
+    slots = F.sequence(F.lit(0), F.size("words") - 1)
+    found = F.transform(slots, lambda i: F.coalesce(F.try_element_at("by", i), F.lit(UNKNOWN)))
+    ids = F.when(F.size("words") == 0, F.array().cast("array<int>")).otherwise(found)
+    return texts.join(lists, key, "left").select(key, ids.alias(target))
+
+
+def _looked_up(rows: DataFrame, key: str, terms: Vocabulary, target: str) -> DataFrame:
+    # At most BROADCAST_BYTES, as measured.
+    local = terms.terms.select("term", "id").toPandas()
+    shared = rows.sparkSession.sparkContext.broadcast((local["term"].to_list(), local["id"].to_numpy(np.int32)))
+
+    def run(batches):
+        known, ids = pa.array(shared.value[0], pa.string()), np.r_[shared.value[1], UNKNOWN].astype(np.int32)
+        for batch in batches:
+            lists = batch.column("words")
+            at = pc.fill_null(pc.index_in(lists.flatten(), value_set=known), len(ids) - 1).to_numpy()
+            yield _with_lists(batch, key, lists.offsets, ids[at], target)
+
+    return rows.mapInArrow(run, f"{key} {rows.schema[key].dataType.simpleString()}, {target} array<int>")
+
+
+def _with_lists(batch, key, offsets, values, target):
+    starts = pc.subtract(offsets, offsets[0])
+    lists = pa.ListArray.from_arrays(starts, pa.array(values, pa.int32()))
+    return pa.RecordBatch.from_arrays([batch.column(key), lists], [key, target])
+
+
+# --- subwords of a given vocabulary -------------------------------------------
+
+#: The mark of a piece inside a word, and what is a piece of text of its own.
+INSIDE = "##"
+PRETOKEN = r"[\p{L}\p{N}_]+|[^\s\p{L}\p{N}_]"
+
+
+class Subwords:
+    """Longest-match-first cutting of words by a trie over a vocabulary's pieces."""
+
+    def __init__(self, pieces: dict[str, int], unknown: int, longest_word: int):
+        self.unknown, self.longest = unknown, longest_word
+        self.first, self.inner = {}, {}
+        for piece, id in pieces.items():
+            inside = piece.startswith(INSIDE) and piece != INSIDE
+            node = self.inner if inside else self.first
+            for c in piece[len(INSIDE) :] if inside else piece:
+                node = node.setdefault(c, {})
+            node[""] = id  # no character is empty: the end of a piece
+
+    def cut(self, word: str) -> list[int]:
+        """Ids of the longest pieces from the left; one unknown id if some rest of the word is no piece."""
+        if len(word) > self.longest:
+            return [self.unknown]
+        ids, at, node = [], 0, self.first
+        while at < len(word):
+            found, end = None, at
+            for i in range(at, len(word)):
+                node = node.get(word[i])
+                if node is None:
+                    break
+                if "" in node:
+                    found, end = node[""], i + 1
+            if found is None:
+                return [self.unknown]
+            ids.append(found)
+            at, node = end, self.inner
+        return ids
+
+
+def subword_ids(df: DataFrame, key: str, text: str, pieces: dict[str, int], unknown: int, begin=None, end=None, max_length=None, longest_word=100, target="ids") -> DataFrame:
+    """(key, target): subword ids of lower-cased texts by a given vocabulary {piece: id}, `##` marking inner pieces.
+
+    `begin` and `end` are put around a text, and `max_length` cuts its pieces so that both still fit. A word of more than
+    `longest_word` characters is unknown. Each distinct word of a batch is cut once; the vocabulary is broadcast, so it
+    must be one that fits (a tokeniser's: some 10,000 pieces).
+    """
+    shared = df.sparkSession.sparkContext.broadcast((pieces, unknown, longest_word))
+    around = [*([] if begin is None else [begin])], [*([] if end is None else [end])]
+    room = None if max_length is None else max_length - len(around[0]) - len(around[1])
+    rows = df.select(key, F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(PRETOKEN), F.lit(0)).alias("words"))
+
+    def run(batches):
+        cutter, known = Subwords(*shared.value), {}
+        for batch in batches:
+            lists = batch.column("words")
+            coded = lists.flatten().dictionary_encode()
+            distinct = coded.dictionary.to_pylist()
+            if len(known) > 1_000_000:
+                known.clear()
+            cuts = [known[w] if w in known else known.setdefault(w, cutter.cut(w)) for w in distinct]
+            sizes = np.array([len(c) for c in cuts], np.int64)
+            flat = np.array([i for c in cuts for i in c], np.int32)
+            starts = np.cumsum(sizes) - sizes
+            code = coded.indices.to_numpy().astype(np.int64)
+            # Pieces of all words in text order: a run of each word's pieces.
+            many = sizes[code]
+            ends = np.cumsum(many)
+            values = flat[np.repeat(starts[code] - (ends - many), many) + np.arange(ends[-1] if len(ends) else 0)]
+            bounds = np.r_[0, ends][lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+            out = [np.r_[around[0], values[a : b if room is None else min(b, a + room)], around[1]] for a, b in zip(bounds, bounds[1:])]
+            offsets = np.r_[0, np.cumsum([len(o) for o in out])]
+            joined = np.concatenate(out) if out else np.zeros(0)
+            yield _with_lists(batch, key, pa.array(offsets, pa.int32()), joined.astype(np.int32), target)
+
+    return rows.mapInArrow(run, f"{key} {rows.schema[key].dataType.simpleString()}, {target} array<int>")

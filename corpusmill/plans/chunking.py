@@ -6,12 +6,12 @@ from corpusmill.functions import arrays, text
 from corpusmill.operators import chunks as ch
 from corpusmill.operators import classify
 from corpusmill.operators import metrics as met
-from corpusmill.operators.features import term_counts, tfidf, token_ids
+from corpusmill.operators.features import subword_ids, term_counts, tfidf, token_ids, vocabulary, vocabulary_counts, vocabulary_ids
 from corpusmill.operators.relational import position_split
 from corpusmill.plans.registry import query
-from corpusmill.plans.stats import rounded, three_way
+from corpusmill.plans.stats import BINARY_SQL, QUALITY_SPLIT_SQL, report_sql, rounded, three_way
 from corpusmill.plans.texts import IDS_SQL, WORD_SQL
-from corpusmill.session import spread, table
+from corpusmill.session import scratch_path, spread, table
 
 C = F.col
 
@@ -214,6 +214,84 @@ def _(spark, sf):
     )
 
 
+VOCABULARY_SQL = f"""t AS (SELECT doc_id, regexp_extract_all(lower(text), '{WORD_SQL}') AS v FROM documents),
+    w AS (SELECT term, n, CAST(row_number() OVER (ORDER BY n DESC, term) + 1 AS INTEGER) AS id
+          FROM (SELECT term, count(*) AS n FROM (SELECT unnest(v) AS term FROM t) GROUP BY term) WHERE n >= 2)"""
+
+
+@query("txt6_vocabulary", f"WITH {VOCABULARY_SQL} SELECT term, id, n FROM w")
+def _(spark, sf):
+    return vocabulary(docs(spark, sf), "text", min_count=2).terms
+
+
+@query(
+    "txt6_vocabulary_counts",
+    f"""WITH {VOCABULARY_SQL} SELECT doc_id, id, count(*) AS tf FROM (SELECT doc_id, unnest(v) AS term FROM t) JOIN w USING (term)
+        GROUP BY 1, 2""",
+)
+def _(spark, sf):
+    rows = docs(spark, sf)
+    return vocabulary_counts(rows, "doc_id", "text", vocabulary(rows, "text", min_count=2))
+
+
+@query(
+    "txt8_vocabulary_ids",
+    f"""WITH {VOCABULARY_SQL}, p AS (SELECT doc_id, unnest(v) AS term, unnest(range(len(v))) AS i FROM t),
+        l AS (SELECT doc_id, list(coalesce(id, 1) ORDER BY i) AS ids FROM p LEFT JOIN w USING (term) GROUP BY doc_id)
+        SELECT doc_id, array_to_string(list_concat(coalesce(ids, []), list_transform(range(512), lambda i: 0))[1:512], ',') AS input_ids,
+               CAST(len(coalesce(ids, [])) AS INTEGER) AS n FROM t LEFT JOIN l USING (doc_id)""",
+)
+def _(spark, sf):
+    rows = docs(spark, sf)
+    found = vocabulary_ids(rows, "doc_id", "text", vocabulary(rows, "text", min_count=2))
+    return found.select("doc_id", F.array_join(arrays.pad_or_cut(C("ids"), 512), ",").alias("input_ids"), F.size("ids").alias("n"))
+
+
+# The given pieces: the words of the benchmark's items, and every character of the documents alone and inside a word.
+# Words are cut one piece a step, the longest that fits.
+PIECES_SQL = """chars AS (SELECT DISTINCT c FROM (SELECT unnest(string_split(lower(text), '')) AS c FROM documents)
+          WHERE regexp_full_match(c, '[\\p{L}\\p{N}_]') AND c <> 'q'),
+    named AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]{2,}')) AS c FROM benchmark),
+    piece AS (SELECT c AS piece FROM chars UNION SELECT '##' || c FROM chars UNION SELECT c FROM named
+              UNION SELECT '##' || substr(c, 2) FROM named WHERE length(c) > 2),
+    vocab AS MATERIALIZED (SELECT piece, CAST(row_number() OVER (ORDER BY piece) + 3 AS INTEGER) AS id FROM piece)"""
+SUBWORDS_SQL = f"""WITH RECURSIVE {PIECES_SQL},
+    p AS (SELECT doc_id, unnest(v) AS word, unnest(range(len(v))) AS i FROM (
+          SELECT doc_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+|[^\\s\\p{{L}}\\p{{N}}_]') AS v FROM documents)),
+    cut(word, k, ids) AS (
+      SELECT DISTINCT word, CAST(1 AS BIGINT), CAST([] AS INTEGER[]) FROM p
+      UNION ALL
+      SELECT word, k + n, list_append(ids, id) FROM (
+        SELECT word, k, ids, id, n, row_number() OVER (PARTITION BY word ORDER BY n DESC) AS r FROM (
+          SELECT word, k, ids, unnest(range(1, CAST(length(word) AS BIGINT) - k + 2)) AS n FROM cut WHERE k <= length(word) AND length(word) <= 100) c
+        JOIN vocab ON vocab.piece = CASE WHEN k = 1 THEN '' ELSE '##' END || substr(word, k, n)) WHERE r = 1),
+    done AS (SELECT word, ids FROM cut WHERE k > length(word)),
+    l AS (SELECT doc_id, flatten(list(coalesce(ids, [1]) ORDER BY i)) AS ids FROM p LEFT JOIN done USING (word) GROUP BY doc_id),
+    a AS (SELECT doc_id, list_concat(list_concat([2], coalesce(ids, [])[1:510]), [3]) AS ids FROM documents LEFT JOIN l USING (doc_id))"""
+
+
+def given_pieces(spark, sf):
+    """A vocabulary as a caller brings one: {piece: id}."""
+    text = F.lower("text")
+    found = table(spark, sf, "documents").select(F.explode(F.array_distinct(F.split(text, ""))).alias("c")).distinct()
+    chars = [r["c"] for r in found.where(C("c").rlike(r"^[\p{L}\p{N}_]$") & (C("c") != "q")).collect()]
+    listed = F.regexp_extract_all(text, F.lit(r"[\p{L}\p{N}_]{2,}"), F.lit(0))
+    named = [r["c"] for r in table(spark, sf, "benchmark").select(F.explode(listed).alias("c")).distinct().collect()]
+    pieces = {*chars, *("##" + c for c in chars), *named, *("##" + c[1:] for c in named if len(c) > 2)}
+    return {piece: i + 4 for i, piece in enumerate(sorted(pieces, key=str.encode))}
+
+
+@query(
+    "txt8_subword_ids",
+    SUBWORDS_SQL
+    + """SELECT doc_id, array_to_string(list_concat(ids, list_transform(range(512), lambda i: 0))[1:512], ',') AS input_ids,
+        CAST(len(ids) AS INTEGER) AS n FROM a""",
+)
+def _(spark, sf):
+    found = subword_ids(docs(spark, sf), "doc_id", "text", given_pieces(spark, sf), unknown=1, begin=2, end=3, max_length=512)
+    return found.select("doc_id", F.array_join(arrays.pad_or_cut(C("ids"), 512), ",").alias("input_ids"), F.size("ids").alias("n"))
+
+
 # --- classification -------------------------------------------------------
 
 
@@ -223,7 +301,46 @@ def labelled(spark, sf):
     return rows.withColumn("split", three_way(C("doc_id")))
 
 
-@query("cls1_train_and_score")
+LABELLED_SQL = f"""lab AS MATERIALIZED (SELECT doc_id, text, quality AS label, {QUALITY_SPLIT_SQL} AS split FROM documents JOIN labels USING (doc_id)),
+    tf AS MATERIALIZED (SELECT doc_id, b, count(*) AS tf FROM (
+        SELECT doc_id, unnest({IDS_SQL.replace("30000", str(classify.BUCKETS))}) AS b FROM lab) GROUP BY ALL)"""
+
+
+def model_sql(m, rows):
+    """The training steps one by one: {m}_x holds the features of all rows, {m}_p their predictions."""
+    scale = f"{classify.WEIGHT}::BIGINT * {classify.VALUE}"
+    margin = f"""SELECT doc_id, coalesce(s, 0) + (SELECT c FROM {m}_c{{i}}) * {classify.VALUE} AS s
+        FROM {{rows}} LEFT JOIN (SELECT doc_id, sum(w * x) AS s FROM {m}_x JOIN {m}_w{{i}} USING (b) GROUP BY doc_id) USING (doc_id)"""
+    parts = [
+        f"""{m}_t AS MATERIALIZED (SELECT doc_id, CASE WHEN label > 0 THEN 1 ELSE -1 END AS y FROM lab WHERE {rows}),
+        {m}_n AS MATERIALIZED (SELECT count(*) AS n, 2 * count(*) FILTER (y = 1) AS p, 2 * count(*) FILTER (y = -1) AS q FROM {m}_t),
+        {m}_d AS (SELECT b, count(*) AS df FROM tf JOIN {m}_t USING (doc_id) GROUP BY b),
+        {m}_r AS (SELECT doc_id, b, tf * (ln((1 + n) / (1 + coalesce(df, 0))) + 1) AS r FROM tf LEFT JOIN {m}_d USING (b), {m}_n),
+        {m}_x AS MATERIALIZED (SELECT doc_id, b, CAST(floor(r / sqrt(sum(r * r) OVER (PARTITION BY doc_id)) * {classify.VALUE} + 0.5) AS BIGINT) AS x FROM {m}_r),
+        {m}_w0 AS MATERIALIZED (SELECT CAST(0 AS INTEGER) AS b, CAST(0 AS BIGINT) AS w WHERE false),
+        {m}_c0 AS MATERIALIZED (SELECT CAST(0 AS BIGINT) AS c)"""
+    ]
+    for i, (length, intercept) in enumerate(classify.step_lengths()):
+        parts.append(
+            f"""{m}_v{i} AS MATERIALIZED (SELECT doc_id, y FROM ({margin.format(i=i, rows=f"{m}_t")}) JOIN {m}_t USING (doc_id) WHERE y * s < {scale}),
+            {m}_g{i} AS MATERIALIZED (SELECT b, coalesce(sum(x) FILTER (y = 1), 0) AS p, coalesce(sum(x) FILTER (y = -1), 0) AS q
+                FROM {m}_x JOIN {m}_v{i} USING (doc_id) GROUP BY b),
+            {m}_w{i + 1} AS MATERIALIZED (SELECT b, CAST(coalesce(w, 0) + coalesce(g.p, 0) * {length} // n.p - coalesce(g.q, 0) * {length} // n.q AS BIGINT) AS w
+                FROM {m}_w{i} FULL JOIN {m}_g{i} g USING (b), {m}_n n),
+            {m}_c{i + 1} AS MATERIALIZED (SELECT CAST(c + (SELECT count(*) FROM {m}_v{i} WHERE y = 1) * {intercept}::BIGINT // p
+                - (SELECT count(*) FROM {m}_v{i} WHERE y = -1) * {intercept}::BIGINT // q AS BIGINT) AS c FROM {m}_c{i}, {m}_n)"""
+        )
+    parts.append(
+        f"{m}_p AS MATERIALIZED (SELECT doc_id, CAST(CASE WHEN s > 0 THEN 1 ELSE 0 END AS INTEGER) AS predicted FROM ({margin.format(i=classify.STEPS, rows='lab')}))"
+    )
+    return ", ".join(parts)
+
+
+@query(
+    "cls1_train_and_score",
+    f"""WITH {LABELLED_SQL}, {model_sql("m", "split = 'train'")}
+        SELECT split, {BINARY_SQL} FROM (SELECT split, label AS actual, predicted FROM lab JOIN m_p USING (doc_id)) GROUP BY split""",
+)
 def _(spark, sf):
     rows = labelled(spark, sf)
     model = classify.train(rows.filter("split = 'train'"))
@@ -237,15 +354,31 @@ def _(spark, sf):
     )
 
 
-@query("cls2_predict")
+@query(
+    "cls2_predict",
+    f"""WITH {LABELLED_SQL}, {model_sql("m", "split = 'train'")}
+        SELECT doc_id, split, label, predicted FROM lab JOIN m_p USING (doc_id) WHERE split <> 'train'""",
+)
 def _(spark, sf):
     rows = labelled(spark, sf)
-    model = classify.train(rows.filter("split = 'train'"))
-    rest = classify.predict(model, rows.filter("split <> 'train'"))
+    # A model that went through its table: what a later job reads.
+    path = scratch_path(spark, "model")
+    classify.write_model(classify.train(rows.filter("split = 'train'")), spark, path)
+    rest = classify.predict(classify.read_model(spark, path), rows.filter("split <> 'train'"))
     return rest.select("doc_id", "split", "label", "predicted")
 
 
-@query("cls3_retrain_report")
+@query(
+    "cls3_retrain_report",
+    f"""WITH {LABELLED_SQL.replace("lab AS", "raw AS", 1).replace("FROM lab)", "FROM raw)")},
+        lab AS MATERIALIZED (SELECT doc_id, label, CASE WHEN split = 'train' THEN 'old'
+            WHEN row_number() OVER (PARTITION BY split = 'train' ORDER BY doc_id) <= (SELECT count(*) FROM raw WHERE split <> 'train') // 2
+            THEN 'batch 1' ELSE 'batch 2' END AS part FROM raw),
+        {model_sql("a", "part = 'old'")}, {model_sql("z", "part <> 'batch 2'")},
+        p AS (SELECT part || ' before' AS run, label AS actual, predicted FROM lab JOIN a_p USING (doc_id) WHERE part <> 'old'
+              UNION ALL SELECT part || ' after', label, predicted FROM lab JOIN z_p USING (doc_id) WHERE part <> 'old'),
+        {report_sql("run, ")}""",
+)
 def _(spark, sf):
     rows = labelled(spark, sf)
     old = rows.filter("split = 'train'")

@@ -10,7 +10,7 @@ from corpusmill.functions import prompts
 from corpusmill.operators import answers as ans
 from corpusmill.operators import classify, udfs
 from corpusmill.operators import metrics as met
-from corpusmill.operators.features import fast_token_ids, tfidf
+from corpusmill.operators.features import tfidf, token_ids
 from corpusmill.plans.tables import ARMS
 from corpusmill.streaming import batches
 
@@ -122,12 +122,10 @@ def test_lexicon(spark):
     assert got == [("POS", pytest.approx(1 / 3)), ("NEG", 1.0), ("NEU", 0.0), ("NEU", 0.0)]
 
 
-@pytest.mark.parametrize("rows_per_task", [1000, 10])
-def test_classifier_learns_and_keeps_rows(spark, monkeypatch, tmp_path, rows_per_task):
-    monkeypatch.setattr(classify, "ROWS_PER_TASK", rows_per_task)
+def test_classifier_learns_and_keeps_rows(spark, tmp_path):
     rows = [(i, "nice kind day" if i % 2 else "awful mean night", i % 2) for i in range(60)]
     df = spark.createDataFrame(sorted(rows, key=lambda r: r[2]), "id long, text string, label int")
-    model = classify.train(df, buckets=1 << 10, epochs=4)
+    model = classify.train(df, buckets=1 << 10)
     scored = classify.predict(model, df)
     assert scored.columns == ["id", "text", "label", "predicted"] and scored.count() == 60
     assert met.binary_metrics(scored, "label", "predicted").first().f1 == 1.0
@@ -139,7 +137,7 @@ def test_classifier_learns_and_keeps_rows(spark, monkeypatch, tmp_path, rows_per
 
 def test_training_is_repeatable(spark):
     df = spark.createDataFrame([(f"w{i % 7} w{i % 5}", i % 2) for i in range(50)], "text string, label int")
-    a, b = (classify.train(df, buckets=256, epochs=2) for _ in range(2))
+    a, b = (classify.train(df, buckets=256) for _ in range(2))
     assert (a.weights == b.weights).all()
 
 
@@ -153,9 +151,8 @@ from corpusmill.session import get_session
 
 cores, parts = sys.argv[1:]
 spark = get_session("fit", f"local[{cores}]", **{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": parts})
-classify.ROWS_PER_TASK, classify.BLOCK = 15, 4
 rows = [(f"w{i % 17} w{i % 11} w{i % 5}", int(i % 3 == 0)) for i in range(300)] + [("same words", 1)] * 90
-model = classify.train(spark.createDataFrame(rows, "text string, label int").repartition(int(parts)), buckets=256, epochs=3)
+model = classify.train(spark.createDataFrame(rows, "text string, label int").repartition(int(parts)), buckets=256)
 print("MODEL", model.weights.tobytes().hex(), model.intercept)
 """
     )
@@ -172,22 +169,76 @@ print("MODEL", model.weights.tobytes().hex(), model.intercept)
 def test_retraining_helps_on_new_words(spark):
     old = spark.createDataFrame([("nice kind", 1), ("awful mean", 0)] * 20, "text string, label int")
     new = spark.createDataFrame([("splendid", 1), ("dreadful", 0)] * 20, "text string, label int")
-    before, after = classify.retrain(old, new, buckets=1 << 10, epochs=4)
+    before, after = classify.retrain(old, new, buckets=1 << 10)
     accuracy = lambda m: met.binary_metrics(classify.predict(m, new), "label", "predicted").first().accuracy
     assert accuracy(before) <= 0.5 < accuracy(after) == 1.0
 
 
+def plain_training(rows, buckets):
+    """The steps of `train` row by row in whole numbers."""
+    import hashlib
+    import math
+    import re
+    from collections import Counter
+
+    def ids(text):
+        return [int(hashlib.md5(w.encode()).hexdigest()[:7], 16) % buckets for w in re.findall(r"\w{2,}", (text or "").lower())]
+
+    rows = [(Counter(ids(text)), 1 if label else -1) for text, label in rows if label is not None]
+    df = Counter(b for words, _ in rows for b in words)
+    idf = [math.log((1 + len(rows)) / (1 + df[b])) + 1 for b in range(buckets)]
+    x = []
+    for words, _ in rows:
+        raw = {b: n * idf[b] for b, n in words.items()}
+        length = math.sqrt(sum(v * v for v in raw.values()))
+        x.append({b: math.floor(v / length * classify.VALUE + 0.5) for b, v in raw.items()})
+    w, c = [0] * buckets, 0
+    twice = {y: 2 * max(1, sum(s == y for _, s in rows)) for y in (1, -1)}
+    for length, intercept in classify.step_lengths():
+        asked, count = {1: Counter(), -1: Counter()}, Counter()
+        for values, (_, y) in zip(x, rows):
+            if y * (sum(w[b] * v for b, v in values.items()) + c * classify.VALUE) < classify.WEIGHT * classify.VALUE:
+                asked[y].update(values)
+                count[y] += 1
+        for y in (1, -1):
+            for b, v in asked[y].items():
+                w[b] += y * (v * length // twice[y])
+            c += y * (count[y] * intercept // twice[y])
+    return w, c
+
+
+def test_training_equals_plain_steps(spark):
+    rows = [(f"w{i % 17} w{i % 11} w{i % 11} w{i % 5}", int(i % 3 == 0)) for i in range(300)]
+    rows += [("same words", 1)] * 90 + [(None, 0), ("", 1), ("no label", None)]
+    model = classify.train(spark.createDataFrame(rows, "text string, label int").repartition(7), buckets=256)
+    weights, intercept = plain_training(rows, 256)
+    assert model.weights.tolist() == weights and model.intercept == intercept
+
+
+def test_training_on_one_class_and_on_nothing(spark):
+    for rows in ([], [("only this", 1)] * 3):
+        df = spark.createDataFrame(rows, "text string, label int")
+        model = classify.train(df, buckets=64)
+        assert classify.predict(model, df).where("predicted <> label").count() == 0
+
+
+def test_a_step_moves_sums_that_meet_before_the_driver(spark):
+    """Partial sums are combined by bucket; nothing lists the tasks' results."""
+    import inspect
+
+    assert "collect_list" not in inspect.getsource(classify)
+    assert classify._scaled([2**60, 3], 1 << 10, 1 << 12).tolist() == [2**57, 0]
+
+
 def test_classifier_weights_equal_relational_tfidf(spark):
-    df = spark.createDataFrame([(0, "tea tea cup"), (1, "tea pot"), (2, "pot pot pot lid")], "id long, text string")
-    ids = df.select("id", fast_token_ids(F.col("text"), 1 << 12).alias("ids"))
-    rows, idf = classify._document_weights(ids, 1 << 12)
-    assert rows == 3
-    weighed = ids.select("id", classify.features(F.col("ids"), spark.sparkContext.broadcast(idf)).alias("f"))
-    got = {r.id: sorted(round(x, 9) for x in r.f.weight) for r in weighed.collect()}
-    want = {}
-    for r in tfidf(df, "id", "text").collect():
-        want.setdefault(r.id, []).append(round(r.weight, 9))
-    assert got == {k: sorted(v) for k, v in want.items()}
+    df = spark.createDataFrame([(0, "tea tea cup", 1), (1, "tea pot", 0), (2, "pot pot pot lid", 1)], "id long, text string, label int")
+    ids = df.select("id", (F.col("label") > 0).alias("positive"), token_ids(F.col("text"), 1 << 12).alias("ids"))
+    positive, negative, idf = classify._document_weights(ids, 1 << 12)
+    assert (positive, negative) == (2, 1)
+    weighed = classify.features(ids.select("id", "ids"), "ids", spark.sparkContext.broadcast(idf))
+    got = {r.id: sorted(x / classify.VALUE for x in r.value) for r in weighed.collect()}
+    for r in tfidf(df, "id", "text").groupBy("id").agg(F.sort_array(F.collect_list("weight")).alias("w")).collect():
+        assert got[r.id] == pytest.approx(r.w, abs=1 / classify.VALUE)
 
 
 def test_stream_equals_batch(spark, tmp_path):

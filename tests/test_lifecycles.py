@@ -24,7 +24,7 @@ def test_classification(spark, sf):
     sizes = {r.split: r.n for r in agg.count_by(rows, "split").collect()}
     assert set(sizes) == {"train", "validation", "test"} and sum(sizes.values()) == rows.count()
     train = readers.read_split(rows, "train", "text", "label")
-    model = classify.train(train, buckets=1 << 14, epochs=3)
+    model = classify.train(train, buckets=1 << 14)
     scored = classify.predict(model, rows.filter("split <> 'train'"))
     trained = {r.split: r.accuracy for r in met.binary_metrics(scored, "label", "predicted", by=["split"]).collect()}
     base = agg.with_majority(rows.filter("split <> 'train'"), train, "label")
@@ -76,7 +76,7 @@ def test_forum_sentiment(spark, sf, tmp_path):
     assert report.filter("label = 'weighted avg'").first().support == 250
     ids = {"POS": 1, "NEG": 0, "NEU": 0}
     ready = [rel.lookup(b, ids, "HumanLabel", "label").select(F.col("Text").alias("text"), "label") for b in (one, two)]
-    model = classify.train(ready[0], buckets=1 << 12, epochs=2)
+    model = classify.train(ready[0], buckets=1 << 12)
     assert classify.predict(model, ready[1]).count() == 250
 
 
