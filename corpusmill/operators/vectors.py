@@ -18,8 +18,6 @@ from corpusmill.functions.arrays import let
 from corpusmill.operators.features import token_ids
 from corpusmill.session import scratch_path, written
 
-RESULT = "query_id long, id long, score double"
-ARROW_RESULT = pa.schema([("query_id", pa.int64()), ("id", pa.int64()), ("score", pa.float64())])
 METRICS = ("cosine", "l2")
 
 # A query block of this many bytes is broadcast; larger query sets are tiled.
@@ -74,6 +72,33 @@ def _arrow_matrix(column):
     return column.flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(len(column), -1)
 
 
+def _names(column):
+    """Ids as an array that sorts like the column: whole numbers, or texts by code points."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    if pa.types.is_integer(column.type):
+        return column.to_numpy(zero_copy_only=False).astype("int64")
+    return np.array(column.to_pylist(), dtype="U") if len(column) else np.zeros(0, "U1")
+
+
+def _kind(df: DataFrame, name: str) -> str:
+    """long for any whole number, string for the rest."""
+    kind = dict(df.dtypes)[name]
+    return "long" if kind in ("tinyint", "smallint", "int", "bigint") else "string"
+
+
+def _result(corpus: DataFrame, queries: DataFrame):
+    """(Spark schema, Arrow schema) of scored pairs."""
+    kinds = {"query_id": _kind(queries, "query_id"), "id": _kind(corpus, "id")}
+    arrow = {"long": pa.int64(), "string": pa.string()}
+    spark = ", ".join([*(f"{n} {k}" for n, k in kinds.items()), "score double"])
+    return spark, pa.schema([*((n, arrow[k]) for n, k in kinds.items()), ("score", pa.float64())])
+
+
+def _pairs(schema, names, q, ids, scores):
+    return [pa.array(a, t.type) for a, t in zip((names[q], ids, scores), schema)]
+
+
 def _keep_best(q, ids, scores, k, sign):
     """The k best (score, then id) of every query in flat arrays."""
     order = np.lexsort((ids, -sign * scores, q))
@@ -137,12 +162,17 @@ def nearest(corpus: DataFrame, queries: DataFrame, k=5, metric="cosine", digits=
     return _by_tiles(tiled, queries.withColumn("tiles", every), blocks, k, metric, digits)
 
 
+def _cast(df: DataFrame, name: str) -> Column:
+    return F.col(name).cast(_kind(df, name)).alias(name)
+
+
 def _by_broadcast(corpus, queries, k, metric, digits):
     spark = corpus.sparkSession
-    local = queries.select("query_id", "vector").toPandas()  # measured by the caller
-    if local.empty:
-        return _final(spark.createDataFrame([], RESULT), k, metric)
-    shared = spark.sparkContext.broadcast((local["query_id"].to_numpy(), _matrix(local["vector"])))
+    kinds, schema = _result(corpus, queries)
+    local = queries.select(_cast(queries, "query_id"), "vector").toArrow()  # measured by the caller
+    if not local.num_rows:
+        return _final(spark.createDataFrame([], kinds), k, metric)
+    shared = spark.sparkContext.broadcast((_names(local.column("query_id")), _arrow_matrix(local.column("vector"))))
 
     def scan(batches):
         names, vectors = shared.value
@@ -151,52 +181,47 @@ def _by_broadcast(corpus, queries, k, metric, digits):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids = batch.column("id").to_numpy(zero_copy_only=False)
+            ids = _names(batch.column("id"))
             new = _block_best(vectors, ids, _arrow_matrix(batch.column("vector")), k, metric, digits)
             if best is not None:
                 new = _keep_best(*(np.concatenate(p) for p in zip(best, new)), k, sign)
             best = new
         if best is not None:
-            q, ids, scores = best
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names[q]), pa.array(ids), pa.array(scores)], schema=ARROW_RESULT
-            )
+            yield pa.RecordBatch.from_arrays(_pairs(schema, names, *best), schema=schema)
 
-    # Each task sends k rows per query, so tasks are as few as the cluster can use.
-    tasks = max(2 * spark.sparkContext.defaultParallelism, 16)
-    parts = corpus.select(F.col("id").cast("long").alias("id"), "vector").coalesce(tasks)
-    return _final(parts.mapInArrow(scan, RESULT), k, metric)
+    parts = corpus.select(_cast(corpus, "id"), "vector")
+    return _final(parts.mapInArrow(scan, kinds), k, metric)
 
 
 def _by_tiles(corpus, queries, blocks, k, metric, digits):
     """`corpus` has a `tile`, a query an array of `tiles` to search in."""
 
+    kinds, schema = _result(corpus, queries)
+
     def search(left, right):
         if not left.num_rows or not right.num_rows:
-            return ARROW_RESULT.empty_table()
-        names = right.column("query_id").to_numpy()
-        q, ids, scores = _block_best(
+            return schema.empty_table()
+        names = _names(right.column("query_id"))
+        best = _block_best(
             _arrow_matrix(right.column("vector")),
-            left.column("id").to_numpy(),
+            _names(left.column("id")),
             _arrow_matrix(left.column("vector")),
             k,
             metric,
             digits,
         )
-        return pa.Table.from_arrays(
-            [pa.array(names[q]), pa.array(ids), pa.array(scores)], schema=ARROW_RESULT
-        )
+        return pa.Table.from_arrays(_pairs(schema, names, *best), schema=schema)
 
     every = F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))
-    left = corpus.select(F.col("id").cast("long").alias("id"), "vector", "tile", F.explode(every).alias("block"))
+    left = corpus.select(_cast(corpus, "id"), "vector", "tile", F.explode(every).alias("block"))
     right = queries.select(
-        F.col("query_id").cast("long").alias("query_id"),
+        _cast(queries, "query_id"),
         "vector",
         F.explode("tiles").alias("tile"),
         F.pmod(F.xxhash64("query_id"), F.lit(blocks)).alias("block"),
     )
     found = (
-        left.groupBy("tile", "block").cogroup(right.groupBy("tile", "block")).applyInArrow(search, RESULT)
+        left.groupBy("tile", "block").cogroup(right.groupBy("tile", "block")).applyInArrow(search, kinds)
     )
     return _final(found, k, metric)
 
@@ -210,48 +235,96 @@ def _unit_column(v: Column) -> Column:
     return let(length, scaled)
 
 
+class PivotTree(NamedTuple):
+    """Pivot vectors in two levels: the pivots of top t are those from bounds[t] to bounds[t + 1]."""
+
+    tops: np.ndarray
+    pivots: np.ndarray
+    bounds: np.ndarray
+
+
 class CellIndex(NamedTuple):
-    rows: DataFrame  # id, vector, cell, reach
-    pivots: np.ndarray  # one vector per cell
+    rows: DataFrame  # id, vector, cell, reach: one cell per pivot
+    tree: PivotTree
     cells: pd.DataFrame  # cell, rows, radius, close: the smallest reaches
 
 
 KEPT_REACHES = 32
+#: Pivots take at most this much memory in a task, so at 64 numbers a vector there are 131,072 cells at most.
+PIVOT_BYTES = 64 << 20
+#: Tops whose pivots a row is compared with, and cells whose rows bound a query's k-th neighbour.
+PROBES, NEAR_CELLS = 2, 16
+
+
+def pivot_tree(sample: np.ndarray) -> PivotTree:
+    """A tree over sampled vectors: the first root-of-n are tops, and every vector belongs to its nearest top."""
+    tops = sample[: max(1, math.isqrt(len(sample)))]
+    owner = _nearest_row(sample, tops)
+    order = np.argsort(owner, kind="stable")
+    return PivotTree(tops, sample[order], np.searchsorted(owner[order], np.arange(len(tops) + 1)))
+
+
+def _nearest_row(a, b):
+    step = max(1, SCORE_CELLS // max(1, len(b)))
+    return np.concatenate([_distances(a[i : i + step], b).argmin(axis=1) for i in range(0, len(a), step)])
+
+
+def _descend(tree: PivotTree, x) -> tuple[np.ndarray, np.ndarray]:
+    """(cell, distance to its pivot): the nearest of the pivots below the PROBES nearest tops."""
+    cell, reach = np.zeros(len(x), np.int64), np.full(len(x), np.inf)
+    gaps = _distances(x, tree.tops)
+    probes = min(PROBES, len(tree.tops))
+    for tops in np.argpartition(gaps, probes - 1, axis=1)[:, :probes].T:
+        for top in np.unique(tops):
+            a, b = tree.bounds[top], tree.bounds[top + 1]
+            mine = np.flatnonzero(tops == top)
+            if a == b:
+                continue
+            distances = _distances(x[mine], tree.pivots[a:b])
+            best = distances.argmin(axis=1)
+            near = distances[np.arange(len(mine)), best]
+            better = near < reach[mine]
+            cell[mine[better]], reach[mine[better]] = a + best[better], near[better]
+    return cell, reach
 
 
-def cell_index(corpus: DataFrame, cells=64, metric="cosine", path=None) -> CellIndex:
-    """Rows grouped around pivot vectors, written once as the table searches read.
+def cell_index(corpus: DataFrame, cells=None, metric="cosine", path=None) -> CellIndex:
+    """Rows grouped around pivot vectors, written once as the table searches read, cell by cell.
 
-    Pivots are rows picked by the hash of their id; `reach` is the distance of a
-    row to its pivot. Cosine search uses unit vectors, where order by distance is
-    order by cosine. `path` is a new folder; by default one in the shared folder.
+    The number of cells grows with the root of the corpus (`cells` sets it), so that neither a query's list of cells nor a
+    cell's rows grow like the corpus. Pivots are rows picked by the hash of their id; `reach` is the distance of a row to
+    its pivot. Cosine search uses unit vectors, where order by distance is order by cosine. `path` is a new folder; by
+    default one in the shared folder.
     """
     spark = corpus.sparkSession
     vectors = corpus.select(
-        F.col("id").cast("long").alias("id"),
+        _cast(corpus, "id"),
         (_unit_column(F.col("vector")) if metric == "cosine" else F.col("vector")).alias("vector"),
     )
-    picked = vectors.orderBy(F.xxhash64("id"), "id").limit(cells).toPandas()  # `cells` rows
-    pivots = _matrix(picked["vector"])
-    shared = spark.sparkContext.broadcast(pivots)
+    rows, width = corpus.agg(F.count("*"), F.coalesce(F.max(F.size("vector")), F.lit(1))).first()
+    cells = min(cells or math.isqrt(rows), max(1, PIVOT_BYTES // (8 * max(1, width))))
+    picked = vectors.orderBy(F.xxhash64("id"), "id").limit(max(1, cells)).select("vector").toArrow()  # PIVOT_BYTES at most
+    tree = pivot_tree(_arrow_matrix(picked.column("vector"))) if picked.num_rows else PivotTree(np.zeros((1, 1)), np.zeros((1, 1)), np.array([0, 1]))
+    shared = spark.sparkContext.broadcast(tree)
 
     @F.pandas_udf("cell int, reach double")
     def place(column: pd.Series) -> pd.DataFrame:
-        distances = _distances(_matrix(column), shared.value)
-        cell = distances.argmin(axis=1)
-        reach = distances[np.arange(len(cell)), cell]
+        if not len(column):
+            return pd.DataFrame({"cell": np.zeros(0, "int32"), "reach": np.zeros(0)})
+        cell, reach = _descend(shared.value, _matrix(column))
         return pd.DataFrame({"cell": cell.astype("int32"), "reach": reach})
 
     path = path or scratch_path(spark, "cells")
     placed = vectors.withColumn("p", place("vector")).select("id", "vector", "p.cell", "p.reach")
-    placed.write.parquet(path)
+    # Ranges of cells: a file holds few cells, whose numbers in its footer let a search skip it.
+    placed.repartitionByRange("cell", "reach").sortWithinPartitions("cell").write.parquet(path)
     rows = spark.read.parquet(path)
     order = Window.partitionBy("cell").orderBy("reach", "id")
     # The limit on the row number is applied in every task before the shuffle.
     close = rows.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= KEPT_REACHES)
     close = close.groupBy("cell").agg(F.collect_list("reach").alias("close"))
     sizes = rows.groupBy("cell").agg(F.count("*").alias("rows"), F.max("reach").alias("radius"))
-    return CellIndex(rows, pivots, sizes.join(close, "cell").toPandas())  # one row per cell
+    return CellIndex(rows, tree, sizes.join(close, "cell").toPandas())  # one row per cell
 
 
 def _distances(a, b):
@@ -259,49 +332,119 @@ def _distances(a, b):
     return np.sqrt(np.maximum(squares, 0))
 
 
-def nearest_pruned(index: CellIndex, queries: DataFrame, k=5, metric="cosine", digits=6, tile_rows=TILE_ROWS, query_rows=20_000, min_saving=0.5) -> DataFrame:
-    """The result of `nearest`, reading only cells that can hold a neighbour.
+class Bounds(NamedTuple):
+    """What a task knows of the cells that have rows."""
 
-    The k-th smallest sum of query-pivot and pivot-row distance bounds the k-th
-    neighbour from above; a cell whose nearest possible row is farther is
-    skipped. Large cells are cut into tiles, so no cell lands in one task. The
-    saving is measured first: vectors without clusters are searched in full by
-    `nearest`, which then moves less.
-    """
-    spark, cells = queries.sparkSession, index.cells
-    parts = np.ceil(cells["rows"] / tile_rows).astype(int).to_numpy()
-    start = np.r_[0, np.cumsum(parts)[:-1]]
-    bounds = (
-        index.pivots[cells["cell"].to_numpy()],
-        cells["radius"].to_numpy(),
-        [np.asarray(c) for c in cells["close"]],
-        parts,
-        start,
-    )
-    shared = spark.sparkContext.broadcast(bounds)
+    pivots: np.ndarray
+    radius: np.ndarray
+    close: np.ndarray  # KEPT_REACHES smallest reaches a cell, infinite where it has fewer
+
+
+def _bounds(index: CellIndex) -> Bounds:
+    cells = index.cells
+    close = np.full((len(cells), KEPT_REACHES), np.inf)
+    for i, reaches in enumerate(cells["close"]):
+        close[i, : len(reaches)] = np.sort(reaches)
+    return Bounds(index.tree.pivots[cells["cell"].to_numpy()], cells["radius"].to_numpy(), close)
+
+
+def _visits(bounds: Bounds, x, k: int, digits: int):
+    """(query row, cell row) of every cell that can hold one of the k nearest.
 
-    @F.pandas_udf("array<long>")
-    def tiles_for(vectors: pd.Series) -> pd.Series:
-        pivots, radius, close, parts, start = shared.value
-        gap = _distances(_matrix(vectors), pivots)
-        upper = np.hstack([gap[:, [c]] + close[c][None] for c in range(len(close))])
+    The k-th smallest sum of query-pivot and pivot-row distance over the nearest cells bounds the k-th neighbour from
+    above; the triangle inequality bounds a cell's rows from below, on either side of its ring.
+    """
+    rows, cells = [], []
+    near = min(len(bounds.pivots), NEAR_CELLS + -(-4 * k // KEPT_REACHES))
+    step = max(1, SCORE_CELLS // (len(bounds.pivots) + near * KEPT_REACHES))
+    for low in range(0, len(x), step):
+        gap = _distances(x[low : low + step], bounds.pivots)
+        closest = np.argpartition(gap, near - 1, axis=1)[:, :near]
+        upper = (np.take_along_axis(gap, closest, 1)[:, :, None] + bounds.close[closest]).reshape(len(gap), -1)
         # Too few kept reaches give no bound: every cell is searched.
-        limit = np.sort(upper, axis=1)[:, k - 1] if k <= upper.shape[1] else np.full(len(gap), np.inf)
-        # Rows that tie with the k-th one after rounding must be searched too.
-        visit = gap - radius[None] <= limit[:, None] + 10.0 ** (1 - digits) + 1e-6
-        tiles = [np.arange(s, s + n) for s, n in zip(start, parts)]
-        return pd.Series([np.concatenate([tiles[c] for c in np.flatnonzero(v)]) for v in visit])
-
-    layout = spark.createDataFrame(
-        [(int(c), int(n), int(s)) for c, n, s in zip(cells["cell"], parts, start)],
-        "cell int, parts long, start long",
-    )
-    tile = F.col("start") + F.pmod(F.xxhash64("id"), F.col("parts"))
-    corpus = index.rows.join(F.broadcast(layout), "cell").withColumn("tile", tile)
+        limit = np.partition(upper, k - 1, axis=1)[:, k - 1] if k <= upper.shape[1] else np.full(len(gap), np.inf)
+        # Rows that tie with the k-th one after rounding must be searched too; distances of long vectors lose digits.
+        rounding = np.sqrt(1e-14 * ((x[low : low + step] ** 2).sum(axis=1).max() + (bounds.pivots**2).sum(axis=1).max()))
+        limit = limit[:, None] + 10.0 ** (1 - digits) + 1e-6 + rounding
+        q, c = np.nonzero((gap - bounds.radius <= limit) & (bounds.close[:, 0] - gap <= limit))
+        rows.append(q + low)
+        cells.append(c)
+    return np.concatenate(rows) if rows else np.zeros(0, int), np.concatenate(cells) if cells else np.zeros(0, int)
+
+
+def nearest_pruned(index: CellIndex, queries: DataFrame, k=5, metric="cosine", digits=6, tile_rows=TILE_ROWS, query_rows=20_000, min_saving=0.5, broadcast_bytes=BROADCAST_BYTES) -> DataFrame:
+    """The result of `nearest`, computing only cells that can hold a neighbour.
+
+    The saving is measured first: vectors without clusters are searched in full by `nearest`, which then moves less. Few
+    queries go to the index, whose rows stay where they are; only cells that some query visits are read. Many queries are
+    dealt to the cells they visit, and large cells are cut into tiles, so no cell lands in one task.
+    """
+    spark, cells = queries.sparkSession, index.cells
     vector = F.col("vector")
-    asked = queries.withColumn("vector", _unit_column(vector) if metric == "cosine" else vector)
-    searched = written(asked.withColumn("tiles", tiles_for("vector")), "searched")
-    rows, visits = searched.agg(F.count("*"), F.avg(F.size("tiles"))).first()
-    if not rows or visits > (1 - min_saving) * parts.sum():
+    asked = queries.select(_cast(queries, "query_id"), (_unit_column(vector) if metric == "cosine" else vector).alias("vector"))
+    if not len(cells):
         return nearest(index.rows, asked, k, metric, digits)
-    return _by_tiles(corpus, searched, math.ceil(rows / query_rows), k, metric, digits)
+    shared = spark.sparkContext.broadcast(_bounds(index))
+    names = cells["cell"].to_numpy()
+
+    @F.pandas_udf("array<int>")
+    def cells_for(vectors: pd.Series) -> pd.Series:
+        if not len(vectors):
+            return pd.Series([], dtype=object)
+        q, c = _visits(shared.value, _matrix(vectors), k, digits)
+        return pd.Series(np.split(names[c].astype("int32"), np.searchsorted(q, np.arange(1, len(vectors)))))
+
+    searched = written(asked.withColumn("cells", cells_for("vector")), "searched")
+    layout = spark.createDataFrame([(int(c), int(n)) for c, n in zip(cells["cell"], cells["rows"])], "cell int, n long")
+    pairs = searched.select("query_id", F.explode("cells").alias("cell")).join(F.broadcast(layout), "cell")
+    rows, width = searched.agg(F.count("*"), F.max(F.size("vector"))).first()
+    total, seen = int(cells["rows"].sum()), (pairs.agg(F.sum("n")).first()[0] or 0) if rows else 0
+    if not rows or seen > (1 - min_saving) * total * rows:
+        return nearest(index.rows, asked, k, metric, digits)
+    if rows * width * 8 <= broadcast_bytes:
+        return _in_place(index.rows, searched, k, metric, digits)
+    parts = F.ceil(F.col("n") / tile_rows).cast("long")
+    corpus = index.rows.join(F.broadcast(layout), "cell")
+    corpus = corpus.withColumn("tile", F.col("cell") * (1 << 32) + F.pmod(F.xxhash64("id"), parts))
+    counted = searched.select("query_id", "vector", F.explode("cells").alias("cell")).join(F.broadcast(layout), "cell")
+    tiles = F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), lambda i: F.col("cell") * (1 << 32) + i)
+    return _by_tiles(corpus, counted.withColumn("tiles", tiles), math.ceil(rows / query_rows), k, metric, digits)
+
+
+def _in_place(rows: DataFrame, searched: DataFrame, k: int, metric: str, digits: int) -> DataFrame:
+    """Queries with their cells sent to the index: no row of it is moved, and only visited cells are read."""
+    spark = searched.sparkSession
+    kinds, schema = _result(rows, searched)
+    local = searched.toArrow()  # measured by the caller
+    lists = local.column("cells").combine_chunks()
+    query = np.repeat(np.arange(local.num_rows), np.diff(lists.offsets.to_numpy()))
+    cell = lists.flatten().to_numpy()
+    order = np.argsort(cell, kind="stable")
+    shared = spark.sparkContext.broadcast((_names(local.column("query_id")), _arrow_matrix(local.column("vector")), cell[order], query[order]))
+    sign = 1 if metric == "cosine" else -1
+
+    def merged(parts):
+        return [_keep_best(*(np.concatenate(p) for p in zip(*parts)), k, sign)]
+
+    def scan(batches):
+        names, vectors, cells, asking = shared.value
+        parts, held = [], 0
+        for batch in batches:
+            ids, at, x = _names(batch.column("id")), batch.column("cell").to_numpy(), _arrow_matrix(batch.column("vector"))
+            for c in np.unique(at):
+                mine = at == c
+                who = asking[np.searchsorted(cells, c) : np.searchsorted(cells, c, "right")]
+                if not len(who):
+                    continue
+                q, found, scores = _block_best(vectors[who], ids[mine], x[mine], k, metric, digits)
+                parts.append((who[q], found, scores))
+                held += len(q)
+                if held > SCORE_CELLS:
+                    parts = merged(parts)
+                    held = 0
+        if parts:
+            yield pa.RecordBatch.from_arrays(_pairs(schema, names, *merged(parts)[0]), schema=schema)
+
+    wanted = F.broadcast(spark.createDataFrame([(int(c),) for c in np.unique(cell)], "cell int"))
+    near = rows.where(F.col("cell").between(int(cell.min()), int(cell.max()))).join(wanted, "cell", "left_semi")
+    return _final(near.select("id", "cell", "vector").mapInArrow(scan, kinds), k, metric)

@@ -73,27 +73,63 @@ def test_fewer_rows_than_k_and_no_queries(spark, data):
     assert vec.nearest(c, q.limit(0), 5).count() == 0
 
 
-def test_pruning_skips_cells(spark):
+@pytest.fixture(scope="module")
+def clusters(spark):
     rng = np.random.default_rng(5)
-    centres = rng.normal(0, 100, (8, 16))
-    rows = [(i, (centres[i % 8] + rng.normal(0, 1, 16)).tolist()) for i in range(800)]
-    c = spark.createDataFrame(rows, "id long, vector array<double>")
-    index = vec.cell_index(c, cells=24, metric="l2")
-    asked = c.withColumnRenamed("id", "query_id").limit(50)
-    seen = {}
-    plain = vec._by_tiles
-
-    def spy(corpus, queries, *rest):
-        seen["tiles"] = queries.select(F.avg(F.size("tiles"))).first()[0]
-        return plain(corpus, queries, *rest)
-
-    vec._by_tiles = spy
-    try:
-        got = found(vec.nearest_pruned(index, asked, 3, "l2"))
-    finally:
-        vec._by_tiles = plain
-    assert got == found(vec.nearest(c, asked, 3, "l2"))
-    assert seen["tiles"] < 12
+    centres = rng.normal(0, 100, (40, 16))
+    rows = [(i, (centres[i % 40] + rng.normal(0, 1, 16)).tolist()) for i in range(4000)]
+    return spark.createDataFrame(rows, "id long, vector array<double>").repartition(4)
+
+
+@pytest.mark.parametrize("metric", vec.METRICS)
+@pytest.mark.parametrize("bytes", [0, 1 << 20])
+def test_pruning_engages_on_clusters(spark, clusters, monkeypatch, metric, bytes):
+    asked = clusters.filter("id % 20 = 0").withColumnRenamed("id", "query_id")
+    want = found(vec.nearest(clusters, asked, 3, metric))
+    index = vec.cell_index(clusters, metric=metric)
+    assert len(index.cells) > 40
+    local = np.array([r.vector for r in asked.limit(50).collect()])
+    local = vec._unit(local) if metric == "cosine" else local
+    q, c = vec._visits(vec._bounds(index), local, 3, 6)
+    assert len(c) / 50 < 0.3 * len(index.cells)
+    monkeypatch.setattr(vec, "nearest", None)
+    assert found(vec.nearest_pruned(index, asked, 3, metric, broadcast_bytes=bytes)) == want
+
+
+def test_cells_grow_with_the_corpus_within_a_bound(clusters, monkeypatch):
+    assert len(vec.cell_index(clusters.limit(400), metric="l2").cells) <= 20 < len(vec.cell_index(clusters, metric="l2").cells)
+    monkeypatch.setattr(vec, "PIVOT_BYTES", 8 * 16 * 5)
+    assert len(vec.cell_index(clusters, metric="l2").cells) <= 5
+
+
+def test_few_queries_do_not_move_the_index(clusters):
+    asked = clusters.filter("id < 3").withColumnRenamed("id", "query_id")
+    plan = vec.nearest_pruned(vec.cell_index(clusters, metric="l2"), asked, 3, "l2")._jdf.queryExecution().executedPlan().toString()
+    assert "PythonCoGroup" not in plan and "FlatMapCoGroups" not in plan and "BroadcastHashJoin" in plan
+    assert plan.count("Exchange hashpartitioning") == 1 and "WindowGroupLimit" in plan
+
+
+def test_the_tree_places_rows_near_the_best_pivot(clusters):
+    x = np.array([r.vector for r in clusters.collect()])
+    tree = vec.pivot_tree(x[:200])
+    cell, reach = vec._descend(tree, x)
+    assert np.allclose(np.linalg.norm(x - tree.pivots[cell], axis=1), reach, atol=1e-4)
+    best = vec._distances(x, tree.pivots).min(axis=1)
+    assert (reach <= best + 1e-6).mean() > 0.9
+
+
+def test_text_ids(spark):
+    rows = [(f"k{i}", [float(i), 1.0]) for i in range(30)]
+    c = spark.createDataFrame(rows, "id string, vector array<double>")
+    got = vec.nearest(c, c.withColumnRenamed("id", "query_id"), 2, "l2").filter("query_id = 'k10'").orderBy("rank").collect()
+    assert [(r.id, r.score) for r in got] == [("k10", 0.0), ("k11", 1.0)]
+    tiled = vec.nearest(c, c.withColumnRenamed("id", "query_id"), 2, "l2", broadcast_bytes=100)
+    assert found(tiled) == found(vec.nearest(c, c.withColumnRenamed("id", "query_id"), 2, "l2"))
+
+
+def test_an_empty_corpus_has_no_neighbours(spark, clusters):
+    index = vec.cell_index(clusters.limit(0), metric="l2")
+    assert vec.nearest_pruned(index, clusters.withColumnRenamed("id", "query_id").limit(3), 3, "l2").count() == 0
 
 
 def test_hashed_embedding_counts_words(spark):
