@@ -12,6 +12,8 @@ parts (sums per part and length) and earlier in its own part (counted while toke
 fillings, which is a lookup in the small table of fillings.
 """
 
+import json
+import re
 import zlib
 from bisect import bisect_left
 from collections import Counter
@@ -31,8 +33,14 @@ CAPACITY = 2048
 STEPS, WIDTH = 6000, 24
 #: Levels of the search between two incumbents by best fit.
 LEVELS = 32
-#: Words whose ids a task remembers, and the longest of them in characters.
-REMEMBERED, LONGEST = 500_000, 64
+#: Words whose ids a worker remembers, about; texts cut at once.
+REMEMBERED, TEXTS = 200_000, 256
+#: Fixed value: how the tokenizer that is fed by word splits lower-cased texts.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: The same for texts without characters from U+0250 on.
+OTHER = re.compile("[^\x00-\u024f]")
+LETTER, NUMBER, BLANK = "a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
+WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[{NUMBER}]|[^{BLANK}{LETTER}{NUMBER}]+")
 
 #: A filling: lengths in falling order.
 Filling = tuple[int, ...]
@@ -189,39 +197,76 @@ def bin_completion(counts: dict[int, int], capacity=CAPACITY, steps=STEPS, width
 # --- documents into pieces ----------------------------------------------------
 
 
-class Ids(dict):
-    """Little-endian ids of a word by a tokenizer; words of common length are remembered."""
+def _byte_letters() -> list[str]:
+    """The character that stands for each byte in byte-level vocabularies: itself if it shows, else one from U+0100 on."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    hidden = [b for b in range(256) if b not in shown]
+    return [chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)]
+
+
+class Ids:
+    """Little-endian ids of texts by a tokenizer.
+
+    A tokenizer that splits by PATTERN is fed word by word: a word is encoded once and remembered. Texts with characters
+    from U+0250 on, where normal forms and cases differ between libraries, and texts of other tokenizers go to it whole.
+    """
 
     def __init__(self, path):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-
-    def of(self, word):
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def __missing__(self, word):
-        found = self.of(word)
-        if len(word) <= LONGEST:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[word] = found
-        return found
+        parts = json.loads(self.tokenizer.to_str())
+        splits = (parts["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        forms = [n["type"] for n in (parts["normalizer"] or {}).get("normalizers", [])]
+        self.by_word = splits[0].get("pattern") == {"Regex": PATTERN} and splits[-1]["type"] == "ByteLevel" and forms == ["NFC", "Replace", "Lowercase"]
+        self.model, self.letters, self.known = self.tokenizer.model, _byte_letters(), {}
+
+    def words(self, text):
+        """The words of a text, or None if it must be encoded whole."""
+        low = text.lower()
+        if self.by_word and OTHER.search(low) is None and "<|" not in text and OTHER.search(text) is None:
+            return WORD.findall(low)
+
+    def learn(self, words):
+        for w in words:
+            shown = w if w.isascii() and w.isprintable() else "".join([self.letters[b] for b in w.encode()])
+            self.known[w] = np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
+
+    def of(self, texts):
+        """Ids of each text."""
+        for a in range(0, len(texts), TEXTS):
+            part = texts[a : a + TEXTS]
+            lists = [self.words(t) for t in part]
+            if len(self.known) > REMEMBERED:
+                self.known.clear()
+            self.learn(set().union(*filter(None, lists)).difference(self.known))
+            known = self.known.__getitem__
+            for text, words in zip(part, lists):
+                if words is None:
+                    yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+                else:
+                    yield b"".join(map(known, words))
+
+
+#: One tokenizer and its words a worker process, for all its tasks.
+_WORKER: dict[str, Ids] = {}
 
 
 def _pieces(path, capacity, separator):
     """Pieces of every text, with the number of equally long ones before them in the part."""
 
     def run(batches):
-        ids, seen = Ids(path), Counter()
+        from corpusmill.llm.packing import _WORKER
+
+        if path not in _WORKER:
+            _WORKER[path] = Ids(path)
+        ids, seen = _WORKER[path], Counter()
         part = TaskContext.get().partitionId()
         end = np.array([separator], "<u4").tobytes()
         for batch in batches:
             rows, piece, start, length, crc, rank = [], [], [], [], [], []
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                # The tokenizer drops white space and no token spans it, so words can be cut here.
-                words = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-                data = b"".join(map(ids.__getitem__, filter(None, words))) + end
+            for i, data in enumerate(ids.of([t or "" for t in batch.column("text").to_pylist()])):
+                data += end
                 for at in range(0, len(data), 4 * capacity):
                     held = data[at : at + 4 * capacity]
                     n = len(held) // 4

@@ -323,6 +323,19 @@ def test_packing_of_odd_texts(spark):
     assert packing.pack(spark.createDataFrame([], DOCS), TOKENS).collect() == []
 
 
+def test_words_have_the_ids_of_the_text(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "REMEMBERED", 50)
+    ids, tokenizer = packing.Ids(TOKENS), Tokenizer.from_file(TOKENS)
+    assert ids.by_word
+    texts = [f"Ab{chr(c)}cd {chr(c)} 1{chr(c)}.{chr(c)}'S I'Ll" for c in [*range(0x500), 0x130, 0x1E9E, 0x2126, 0x212A, 0x3A3, 0x2028, 0xFEFF, 0x1F600]]
+    for text, found in zip(texts, ids.of(texts)):
+        assert found == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), ascii(text)
+    other = packing.Ids(public_tokenizers.path("byte_bpe_50k.json"))
+    assert not other.by_word and list(other.of(["Two  words"])) == [np.array(other.tokenizer.encode("Two  words", add_special_tokens=False).ids, "<u4").tobytes()]
+
+
 def test_packing_of_equal_lengths(spark):
     """One length holds nearly all rows; ranks come from counts, not from a sort of the group."""
     texts = [(i, "one two three") for i in range(3000)] + [(5000, "a")]
