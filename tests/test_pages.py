@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from corpusmill.operators import links
 from corpusmill.operators import documents as doc
 from corpusmill.operators.links import reachable, relevant_urls
 
@@ -114,3 +115,57 @@ def test_relevant_urls(spark):
     seeds = spark.createDataFrame([("https://a.org/",), ("ftp://a.org/course/fees",)], "url string")
     got = relevant_urls(df, seeds, "https://a.org", ["course"], ["fee", "aid"])
     assert sorted(r.url for r in got.collect()) == ["https://a.org/courses/aid", "https://a.org/courses/fees"]
+
+
+def plain_levels(edges, seeds):
+    levels, level = {}, set(seeds)
+    depth = 0
+    while level:
+        levels |= dict.fromkeys(level, depth)
+        level = {b for a, b in edges if a in level and a is not None and b is not None} - levels.keys()
+        depth += 1
+    return levels
+
+
+def test_a_step_of_a_crawl_moves_only_new_pages(spark, monkeypatch):
+    rows = [(f"p{i}", f"p{j}") for i in range(200) for j in (i * 7 % 200, i + 1, i // 2)] + [("p3", f"q{i}") for i in range(900)] + [("q5", None), (None, "z")]
+    edges = spark.createDataFrame(rows, "src string, dst string").repartition(4)
+    seeds = spark.createDataFrame([("p1",), ("p1",), (None,)], "url string")
+    plans, append = [], links.Frontier._append
+
+    def spy(self, level):
+        plans.append(level._jdf.queryExecution().executedPlan().toString())
+        append(self, level)
+
+    monkeypatch.setattr(links.Frontier, "_append", spy)
+    found = links.reachable(edges, seeds)
+    assert {r.url: r.depth for r in found.collect()} == plain_levels(rows, ["p1"])
+    for plan in plans[1:]:
+        # The frontier and the distinct targets are dealt; edges and visited pages stay in their buckets.
+        assert plan.count("Exchange hashpartitioning") == 2 and plan.count("Bucketed: true") == 3
+        assert "Union" not in plan and "SortMergeJoin" in plan
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("crawl_")]
+
+
+def test_a_hub_page_is_spread_over_buckets(spark):
+    rows = [("hub", f"q{i}") for i in range(4000)] + [(f"q{i}", "hub") for i in range(4000)] + [(f"q{i}", f"r{i}") for i in range(2000)]
+    crawl = links.Frontier(spark.createDataFrame(rows, "src string, dst string"), spark.createDataFrame([("hub",)], "url string"))
+    try:
+        assert [tuple(r) for r in crawl.hot.collect()] == [("hub", 4)]
+        salts = spark.table(f"{crawl.name}_edges").where("src = 'hub'").groupBy("salt").count().collect()
+        assert len(salts) == 4 and max(r["count"] for r in salts) < 1500
+        crawl.step()
+        crawl.step()
+        assert crawl.sizes == [1, 4000, 2000]
+    finally:
+        crawl.close()
+
+
+def test_crawls_without_seeds_and_with_a_page_limit(spark):
+    edges = spark.createDataFrame([("a", "b"), ("a", "c"), ("a", "d"), ("b", "e")], "src string, dst string")
+    assert links.reachable(edges, spark.createDataFrame([], "url string")).collect() == []
+    one = spark.createDataFrame([("a",)], "url string")
+    assert sorted(tuple(r) for r in links.reachable(edges, one, max_pages=3).collect()) == [("a", 0), ("b", 1), ("c", 1)]
+    assert links.reachable(edges, one, max_pages=1).count() == 1
+    assert links.reachable(edges, one, max_depth=1).count() == 4
+    assert links.reachable(edges.limit(0), one).count() == 1
