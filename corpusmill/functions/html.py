@@ -5,13 +5,14 @@ in document order. A node's `last` is the position of its last descendant, so an
 element's content is the slice pos..last of the array.
 """
 
+from bisect import bisect_left, bisect_right
 from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corpusmill.functions.text import strip
+from corpusmill.functions.text import WHITESPACE, strip
 
 NODES = (
     "array<struct<pos:int,last:int,parent:int,tag:string,id:string,class:string,href:string,text:string>>"
@@ -73,6 +74,70 @@ def nodes(html) -> Column:
     return parse(html)
 
 
+# --- headings in one pass over the nodes of a page ---------------------------
+
+ENTRIES = "array<struct<title:string,description:string>>"
+SECTIONS = "array<struct<title:string,paragraphs:array<string>,h3_sections:array<struct<title:string,paragraphs:array<string>>>>>"
+
+
+class _Texts:
+    """Text below a node: its pieces are a run of the page's pieces."""
+
+    def __init__(self, page):
+        pieces = [(pos, text.strip(WHITESPACE)) for pos, *_, text in page if text is not None]
+        self.at = [pos for pos, piece in pieces if piece]
+        self.pieces = [piece for _, piece in pieces if piece]
+
+    def of(self, node):
+        return "".join(self.pieces[bisect_left(self.at, node[0]) : bisect_right(self.at, node[1])])
+
+
+def _entries(page):
+    """(h2 text, text of the next p), from the last node to the first."""
+    texts, out, following = _Texts(page), [], ""
+    for node in reversed(page):
+        if node[3] == "p":
+            following = texts.of(node)
+        elif node[3] == "h2":
+            out.append((texts.of(node), following))
+    return out[::-1]
+
+
+def _sections(page):
+    """Every h2 opens a section among its siblings, an h3 a group in it; a p belongs to what is open beside it."""
+    texts, out, beside = _Texts(page), [], {}
+    for node in page:
+        parent, tag = node[2], node[3]
+        if tag == "h2":
+            beside[parent] = (texts.of(node), [], [])
+            out.append(beside[parent])
+        elif tag in ("h3", "p") and parent in beside:
+            _, paragraphs, groups = beside[parent]
+            if tag == "h3":
+                groups.append((texts.of(node), []))
+            else:
+                (groups[-1][1] if groups else paragraphs).append(texts.of(node))
+    return out
+
+
+def _folded(fold, kind, html) -> Column:
+    @F.pandas_udf(kind)
+    def parse(pages: pd.Series) -> pd.Series:
+        return pages.map(lambda page: fold(_Nodes().result(page)), na_action="ignore")
+
+    return parse(html)
+
+
+def entries(html) -> Column:
+    """A page's h2 headings, each with the next p after its start tag; null for a null page."""
+    return _folded(_entries, ENTRIES, html)
+
+
+def sections(html) -> Column:
+    """A page's h2 sections: own paragraphs and h3 groups, from the h2's siblings; null for a null page."""
+    return _folded(_sections, SECTIONS, html)
+
+
 # --- selection over a `nodes` column ---------------------------------------
 
 
@@ -109,6 +174,18 @@ def matches(node: Column, tag=None, id=None, class_=None) -> Column:
     return test
 
 
+def fits(node: Column, rule: Column) -> Column:
+    """Like `matches`, by the fields tag, id and class of a rule column; a null field asks for nothing."""
+    names = F.split(node["class"], r"\s+")
+    class_ = F.when(F.contains(rule["class"], F.lit(" ")), node["class"] == rule["class"]).otherwise(F.array_contains(names, rule["class"]))
+    return (
+        node["tag"].isNotNull()
+        & (rule["tag"].isNull() | (node["tag"] == rule["tag"]))
+        & (rule["id"].isNull() | F.coalesce(node["id"] == rule["id"], F.lit(False)))
+        & (rule["class"].isNull() | F.coalesce(class_, F.lit(False)))
+    )
+
+
 def outermost(found: Column) -> Column:
     """Drop nodes that lie inside an earlier node of the same (ordered) array."""
     kept = F.aggregate(

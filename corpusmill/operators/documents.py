@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions import html as h
-from corpusmill.functions.arrays import let
+from corpusmill.functions import urls
 from corpusmill.functions.text import labelled
 
 COMMENT_OR_SCRIPT = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
@@ -25,6 +25,40 @@ def regions(pages: DataFrame, **selector) -> DataFrame:
     return pages.withColumn("page_content", F.array_join(parts, "")).drop("nodes")
 
 
+#: A rule table of at most this many rows is part of the plan.
+MOST_RULES = 2000
+
+
+def rule_of(url: Column, rules: list[tuple]) -> Column:
+    """The rule (prefix, tag, id, class) of a URL: the longest prefix of its host and path that has one, first with the
+    URL's own host, then with the host `*`; null when no rule fits."""
+    if len(rules) > MOST_RULES:
+        raise ValueError(f"at most {MOST_RULES} rules; split the pages by site")
+    if len({r[0] for r in rules}) < len(rules):
+        raise ValueError("two rules for one prefix")
+    fields = ("prefix", "tag", "id", "class")
+    entry = lambda rule: F.struct(*[F.lit(v).cast("string").alias(n) for n, v in zip(fields, rule)])
+    table = F.create_map(*[x for rule in rules for x in (F.lit(rule[0]), entry(rule))])
+    parts = F.filter(F.split(urls.path(url), "/"), lambda p: p != "")
+    lengths = F.sequence(F.size(parts), F.lit(0), F.lit(-1))
+    under = lambda host: F.transform(lengths, lambda n: F.array_join(F.concat(F.array(host), F.slice(parts, 1, n)), "/"))
+    names = F.concat(under(F.lower(urls.host(url))), under(F.lit("*")))
+    known = F.array(*[F.lit(rule[0]) for rule in rules])
+    return F.try_element_at(table, F.get(F.filter(names, lambda name: F.array_contains(known, name)), 0))
+
+
+def regions_by_rule(pages: DataFrame, rules: list[tuple], url="url", html="html") -> DataFrame:
+    """`pages` with `rule`, the prefix of its rule, and `page_content`, the text of the outermost elements that the rule
+    selects. Each page is parsed once, whatever the number of rules; a page without a rule has neither. No row is moved.
+    """
+    ruled = pages.withColumn("_rule", rule_of(F.col(url), rules))
+    parsed = ruled.withColumn("nodes", h.nodes(F.when(F.col("_rule").isNotNull(), F.col(html))))
+    found = h.outermost(F.filter("nodes", lambda n: h.fits(n, F.col("_rule"))))
+    parts = F.transform(found, lambda n: h.raw_text(h.inside(F.col("nodes"), n)))
+    text = F.when(F.col("_rule").isNotNull(), F.array_join(parts, ""))
+    return parsed.withColumns({"page_content": text, "rule": F.col("_rule.prefix")}).drop("nodes", "_rule", html)
+
+
 def whole_text(pages: DataFrame) -> DataFrame:
     """All text of a page, one stripped piece per line; scripts, styles and comments left out."""
     return pages.withColumn("page_content", h.tight_text(F.col("nodes"), "\n")).drop("nodes")
@@ -82,22 +116,11 @@ def title_and_description(pages: DataFrame, rich_text_id=RICH_TEXT_ID, fallbacks
     )
 
 
-def headed_paragraphs(pages: DataFrame, category: str, updated: str) -> DataFrame:
-    """One document per h2 with the next p after its start tag: `title: description`."""
-    page = F.col("nodes")
-    paragraphs = F.filter(page, lambda n: n["tag"] == "p")
-    heads = F.filter(page, lambda n: n["tag"] == "h2")
-    text_of = lambda n: h.tight_text(h.inside(page, n))
-
-    def entry(head: Column, paragraphs: Column) -> Column:
-        following = F.get(F.filter(paragraphs, lambda p: p["pos"] > head["pos"]), 0)
-        body = F.when(following.isNull(), "").otherwise(text_of(following))
-        return F.struct(text_of(head).alias("title"), body.alias("description"))
-
-    found = let(paragraphs, lambda ps: F.transform(heads, lambda head: entry(head, ps)))
-    entries = pages.withColumn("entry", F.explode(found))
-    return entries.select(
-        *[c for c in pages.columns if c != "nodes"],
+def headed_paragraphs(pages: DataFrame, category: str, updated: str, html="html") -> DataFrame:
+    """One document per h2 with the next p after its start tag: `title: description`. Pages are read in one pass."""
+    found = pages.withColumn("entry", F.explode(h.entries(html)))
+    return found.select(
+        *[c for c in pages.columns if c != html],
         labelled(F.col("entry.title"), F.col("entry.description")).alias("page_content"),
         F.create_map(
             F.lit("source"),
@@ -110,50 +133,10 @@ def headed_paragraphs(pages: DataFrame, category: str, updated: str) -> DataFram
     )
 
 
-def section_trees(pages: DataFrame) -> DataFrame:
-    """One row per h2: title, its own paragraphs and its h3 groups, from the h2's siblings."""
-    page = F.col("nodes")
-    text_of = lambda n: h.tight_text(h.inside(page, n))
-    end = F.lit(2**31 - 1)
-
-    def next_pos(marks: Column, tag: str, after: Column) -> Column:
-        later = F.filter(marks, lambda n: (n["tag"] == tag) & (n["pos"] > after["pos"]))
-        return F.coalesce(F.get(later, 0)["pos"], end)
-
-    def paragraphs(marks: Column, low: Column, high: Column) -> Column:
-        found = F.filter(marks, lambda n: (n["tag"] == "p") & n["pos"].between(low + 1, high - 1))
-        return F.transform(found, text_of)
-
-    def groups(marks: Column) -> Column:
-        return F.transform(
-            F.filter(marks, lambda n: n["tag"] == "h3"),
-            lambda g: F.struct(
-                text_of(g).alias("title"),
-                paragraphs(marks, g["pos"], next_pos(marks, "h3", g)).alias("paragraphs"),
-            ),
-        )
-
-    def tree(head: Column, marks: Column) -> Column:
-        siblings = F.filter(
-            marks, lambda n: (n["parent"] == head["parent"]) & (n["pos"] > head["pos"])
-        )
-        until = lambda s: next_pos(s, "h2", head)
-        own = let(siblings, lambda s: let(until(s), lambda u: F.filter(s, lambda n: n["pos"] < u)))
-        return let(
-            own,
-            lambda m: F.struct(
-                text_of(head).alias("title"),
-                paragraphs(m, head["pos"], next_pos(m, "h3", head)).alias("paragraphs"),
-                groups(m).alias("h3_sections"),
-            ),
-        )
-
-    marks = F.filter(page, lambda n: n["tag"].isin("h2", "h3", "p"))
-    heads = F.filter(page, lambda n: n["tag"] == "h2")
-    trees = let(marks, lambda m: F.transform(heads, lambda head: tree(head, m)))
-    return pages.withColumn("tree", F.explode(trees)).select(
-        *[c for c in pages.columns if c != "nodes"], "tree.*"
-    )
+def section_trees(pages: DataFrame, html="html") -> DataFrame:
+    """One row per h2: title, its own paragraphs and its h3 groups, from the h2's siblings. Pages are read in one pass."""
+    found = pages.withColumn("tree", F.explode(h.sections(html)))
+    return found.select(*[c for c in pages.columns if c != html], "tree.*")
 
 
 def section_text(title: Column, paragraphs: Column, h3_sections: Column) -> Column:

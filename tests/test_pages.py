@@ -1,12 +1,17 @@
 from pyspark.sql import functions as F
 
+from corpusmill.functions import html
 from corpusmill.operators import links
 from corpusmill.operators import documents as doc
 from corpusmill.operators.links import reachable, relevant_urls
 
 
+def raw(spark, *html):
+    return spark.createDataFrame(list(enumerate(html)), "page_id int, html string")
+
+
 def pages(spark, *html):
-    return doc.with_nodes(spark.createDataFrame(list(enumerate(html)), "page_id int, html string"))
+    return doc.with_nodes(raw(spark, *html))
 
 
 def test_regions(spark):
@@ -54,7 +59,7 @@ def test_title_and_every_fallback(spark):
 
 
 def test_headed_paragraphs(spark):
-    df = pages(spark, "<h2>A</h2><div><p>one</p></div><h2>B</h2><h2>C</h2><p> two </p><h2>D</h2>")
+    df = raw(spark, "<h2>A</h2><div><p>one</p></div><h2>B</h2><h2>C</h2><p> two </p><h2>D</h2>")
     got = doc.headed_paragraphs(df, "info", "2025-03-31").collect()
     assert [r.page_content for r in got] == ["A: one", "B: two", "C: two", "D: "]
     assert got[0].metadata == {"source": "A", "category": "info", "updated": "2025-03-31"}
@@ -65,18 +70,56 @@ def test_section_tree(spark):
         "<div><h2>S1</h2>text<p>a</p><ul><li><p>skip</p></li></ul><p>b</p><h3>G1</h3><p>c</p><h3>G2</h3>"
         "<h2>S2</h2><p>d</p></div><p>outside</p><h2>S3</h2>"
     )
-    trees = doc.section_trees(pages(spark, html)).collect()
+    trees = doc.section_trees(raw(spark, html)).collect()
     shape = [(t.title, t.paragraphs, [(g.title, g.paragraphs) for g in t.h3_sections]) for t in trees]
     assert shape == [
         ("S1", ["a", "b"], [("G1", ["c"]), ("G2", [])]),
         ("S2", ["d"], []),
         ("S3", [], []),
     ]
-    df = doc.section_trees(pages(spark, html))
+    df = doc.section_trees(raw(spark, html))
     shown = df.select(doc.section_text(F.col("title"), F.col("paragraphs"), F.col("h3_sections")).alias("t"))
     assert shown.first().t == "S1\n\na\nb\n\nG1:\n- c\n\nG2:\n"
 
 
+def test_headings_of_null_and_empty_pages(spark):
+    assert doc.headed_paragraphs(raw(spark, None, "", "<p>no heading</p>"), "c", "u").count() == 0
+    assert doc.section_trees(raw(spark, None, "", "<h3>no section</h3><p>x</p>")).count() == 0
+
+
+def test_headings_take_one_pass():
+    """Twice the headings take about twice the time; a filter per heading would take four times."""
+    import time
+
+    spent = []
+    for n in (4000, 16000):
+        page = html._Nodes().result("<div>" + "<h2>T</h2><p>a\nb</p><h3>g</h3><p>c</p>" * n + "</div>")
+        start = time.process_time()
+        assert len(html._entries(page)) == len(html._sections(page)) == n
+        spent.append(time.process_time() - start)
+    assert spent[1] < 9 * spent[0]
+
+
+def test_rules_by_url(spark):
+    rules = [("*", "p", None, None), ("*/a", None, "x", None), ("*/a/b", None, None, "k l"), ("h.org", None, None, "k"), ("h.org/z", "p", "x", None)]
+    page = "<div id='x'>box</div><p class='k m'>par</p><b class='k l'>bold</b><p id='x'>both</p>"
+    urls = ["https://o.org/a/b/c?q=1", "http://o.org/a/", "https://o.org", "https://H.org/a/b", "https://h.org/z/1#f", "https://o.org/ab"]
+    df = spark.createDataFrame([(u, page) for u in urls] + [("https://o.org/a", None)], "url string, html string")
+    got = [(r.rule, r.page_content) for r in doc.regions_by_rule(df, rules).collect()]
+    assert got == [
+        ("*/a/b", "bold"),
+        ("*/a", "boxboth"),
+        ("*", "parboth"),
+        ("h.org", "parbold"),
+        ("h.org/z", "both"),
+        ("*", "parboth"),
+        ("*/a", None),
+    ]
+    none = doc.regions_by_rule(df, rules[1:2]).where("rule is null").select("page_content").distinct().collect()
+    assert [r.page_content for r in none] == [None]
+    assert "Exchange" not in doc.regions_by_rule(df, rules)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_out_links(spark):
     html = (
         "<a href=\"/x?a=1&amp;b=2\">1</a><A class='k' HREF='y'>2</A><a href=z>3</a><a name=n>4</a>"
