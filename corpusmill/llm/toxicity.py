@@ -6,8 +6,9 @@ word enters as the embedding of its hash joined with the mean embedding of its h
 of a known stem are recognised. All bytes of a text are read: a token of more than PIECE bytes (joined words, addresses,
 scripts without blanks) is cut between letters and punctuation, and what is still longer into overlapping pieces; each is
 a word of the windows. Two recurrent passes, attention over the window and a logistic output give a window's score; a text
-has the score of its worst window. The network is trained in numpy on a bounded sample; texts are scored inside tasks,
-with all windows of a batch side by side.
+has the score of its worst window. A recurrent unit has one gate, which weighs the last state against a candidate, and both
+are bounded by x / (1 + |x|): on held-out texts this finds as much as three gates by tanh, at a fourth of the time. The
+network is trained in numpy on a bounded sample; texts are scored inside tasks, with all windows of a batch side by side.
 """
 
 import numpy as np
@@ -22,6 +23,8 @@ WINDOW, STRIDE = 24, 16
 WORDS, TRIPLES, WIDTH, HIDDEN = 8192, 4096, 8, 8
 #: Bytes of a word at most, but for the rest of a character; neighbours cut from one run share OVERLAP bytes.
 PIECE, OVERLAP = 30, 15
+#: Windows whose steps are taken side by side.
+CHUNK = 2048
 #: Labelled documents to train on, at most: half toxic, half clean.
 SAMPLE = 2400
 
@@ -103,12 +106,22 @@ def sigmoid(x):
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
+def bounded(x):
+    """x / (1 + |x|), the network's activation: from -1 to 1 like tanh, in three plain operations."""
+    return x / (1 + np.abs(x))
+
+
+def slope(value):
+    """The derivative of `bounded`, by its value."""
+    return (1 - np.abs(value)) ** 2
+
+
 def new_model(seed=7) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
     draw = lambda *shape: (rng.normal(size=shape) / np.sqrt(shape[0])).astype(np.float32)
     model = {"word": 0.1 * rng.normal(size=(WORDS, WIDTH)).astype(np.float32), "triple": 0.3 * rng.normal(size=(TRIPLES, WIDTH)).astype(np.float32)}
     for d in "fb":
-        model |= {f"w{d}": draw(2 * WIDTH, 3 * HIDDEN), f"u{d}": draw(HIDDEN, 3 * HIDDEN), f"c{d}": np.zeros(3 * HIDDEN, np.float32)}
+        model |= {f"w{d}": draw(2 * WIDTH, 2 * HIDDEN), f"u{d}": draw(HIDDEN, 2 * HIDDEN), f"c{d}": np.zeros(2 * HIDDEN, np.float32)}
     return model | {"att": draw(2 * HIDDEN, HIDDEN), "att_c": np.zeros(HIDDEN, np.float32), "query": draw(HIDDEN), "out": draw(2 * HIDDEN), "out_c": np.zeros(1, np.float32)}
 
 
@@ -139,18 +152,16 @@ def forward(model, x, index, length, keep=False, tables=None):
         out = np.zeros((steps, n, HIDDEN), np.float32)
         trail = []
         for t in range(steps) if d == "f" else range(steps - 1, -1, -1):
-            g, hu = table[index[t]], h @ u
-            zr = sigmoid(g[:, : 2 * HIDDEN] + hu[:, : 2 * HIDDEN])
-            z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-            c = np.tanh(g[:, 2 * HIDDEN :] + r * hu[:, 2 * HIDDEN :])
+            g = bounded(table[index[t]] + h @ u)
+            z, c = 0.5 + 0.5 * g[:, :HIDDEN], g[:, HIDDEN:]
             on = 1 if whole else (t < length).astype(np.float32)[:, None]
             new = c + z * (h - c) if whole else h + on * (1 - z) * (c - h)
             if keep:
-                trail.append((t, h, hu, z, r, c, on))
+                trail.append((t, h, z, c, on))
             h = out[t] = new
         states[d], kept[d] = out, trail
     both = np.concatenate([states["f"], states["b"]], axis=2)
-    key = np.tanh(both @ model["att"] + model["att_c"])
+    key = bounded(both @ model["att"] + model["att_c"])
     score = key @ model["query"]
     score[np.arange(steps)[:, None] >= length[None, :]] = -1e9
     weight = np.exp(score - score.max(axis=0))
@@ -170,26 +181,24 @@ def gradients(model, x, index, length, y):
     d_weight = (both * d_pooled).sum(axis=2)
     d_score = weight * (d_weight - (weight * d_weight).sum(axis=0))
     g["query"] = np.einsum("tnh,tn->h", key, d_score)
-    d_key = d_score[:, :, None] * model["query"] * (1 - key**2)
+    d_key = d_score[:, :, None] * model["query"] * slope(key)
     g["att"] = np.einsum("tnd,tnh->dh", both, d_key)
     g["att_c"] = d_key.sum(axis=(0, 1))
     d_both = d_both + d_key @ model["att"].T
     d_x = np.zeros_like(x)
     for k, d in enumerate("fb"):
         own = d_both[:, :, k * HIDDEN : (k + 1) * HIDDEN]
-        u, d_u, d_table = model[f"u{d}"], np.zeros_like(model[f"u{d}"]), np.zeros((len(x), 3 * HIDDEN), np.float32)
+        u, d_u, d_table = model[f"u{d}"], np.zeros_like(model[f"u{d}"]), np.zeros((len(x), 2 * HIDDEN), np.float32)
         d_h = np.zeros((n, HIDDEN), np.float32)
-        for t, h, hu, z, r, c, on in reversed(kept[d]):
+        for t, h, z, c, on in reversed(kept[d]):
             d_h = d_h + own[t]
             d_new = d_h * on
-            d_c = d_new * (1 - z) * (1 - c**2)
-            d_z = d_new * (h - c) * z * (1 - z)
-            d_r = d_c * hu[:, 2 * HIDDEN :] * r * (1 - r)
-            d_g = np.concatenate([d_z, d_r, d_c], axis=1)
-            d_hu = np.concatenate([d_z, d_r, d_c * r], axis=1)
+            d_c = d_new * (1 - z) * slope(c)
+            d_z = d_new * (h - c) * 0.5 * slope(2 * z - 1)
+            d_g = np.concatenate([d_z, d_c], axis=1)
             np.add.at(d_table, index[t], d_g)
-            d_u += h.T @ d_hu
-            d_h = d_h * (1 - on) + d_new * z + d_hu @ u.T
+            d_u += h.T @ d_g
+            d_h = d_h * (1 - on) + d_new * z + d_g @ u.T
         g[f"u{d}"], g[f"w{d}"], g[f"c{d}"] = d_u, x.T @ d_table, d_table.sum(axis=0)
         d_x += d_table @ model[f"w{d}"].T
     return g, d_x
@@ -203,7 +212,8 @@ def _gathered(texts: list[str], chunk=200):
         words = read_words(data, offsets)
         number, bucket, owner, triple = inputs(data, words)
         text, start, length = windows(words)
-        parts.append((number + n_distinct, bucket, owner + n_distinct, triple, text + a, start + n_words, length))
+        part = (number + n_distinct, bucket, owner + n_distinct, triple, text + a, start + n_words, length)
+        parts.append([values.astype(np.int32) for values in part])
         n_words, n_distinct = n_words + len(number), n_distinct + len(bucket)
     return [np.concatenate(p) for p in zip(*parts)]
 
@@ -282,16 +292,78 @@ def _scores(model, number, bucket, owner, triple, start, length, chunk=4096):
     return out
 
 
+def swept(model, tables, number, chunk=CHUNK):
+    """Logits of the windows of WINDOW words that start at each word of a run but the last few; as `forward`.
+
+    Step t of all windows reads the words from t on, so a step is a slice of the run, without gathers. Values lie gate by
+    gate, so that a step works on long rows; a chunk of windows stays in the cache for all its steps.
+    """
+    n, size = len(number) - WINDOW + 1, HIDDEN
+    out = np.empty(n, np.float32)
+    weights = {d: np.ascontiguousarray(model[f"u{d}"].T) for d in "fb"}
+    runs = {d: np.ascontiguousarray(tables[d][number].T) for d in "fb"}
+    att, query, last = np.ascontiguousarray(model["att"].T), model["query"], model["out"]
+    bias = model["att_c"][:, None]
+
+    def bound(x, spare):
+        np.abs(x, out=spare)
+        spare += 1
+        x /= spare
+
+    for a in range(0, n, chunk):
+        m = min(chunk, n - a)
+        empty = lambda *shape: np.empty((*shape, m), np.float32)
+        g, spare, gap, key = empty(2 * size), empty(2 * size), empty(size), empty(size)
+        both, score, value = empty(WINDOW, 2 * size), empty(WINDOW), empty(WINDOW)
+        z, c = g[:size], g[size:]
+        for k, d in enumerate("fb"):
+            h = np.zeros((size, m), np.float32)
+            for t in range(WINDOW) if d == "f" else range(WINDOW - 1, -1, -1):
+                np.matmul(weights[d], h, out=g)
+                g += runs[d][:, a + t : a + t + m]
+                bound(g, spare)
+                # h = c + (0.5 + 0.5 z) (h - c), z from -1 to 1
+                np.subtract(h, c, out=gap)
+                gap *= z
+                h += c
+                h += gap
+                h *= 0.5
+                both[t, k * size : (k + 1) * size] = h
+        for t in range(WINDOW):
+            np.matmul(att, both[t], out=key)
+            key += bias
+            bound(key, gap)
+            np.matmul(query, key, out=score[t])
+            np.matmul(last, both[t], out=value[t])
+        score -= score.max(axis=0)
+        np.exp(score, out=score)
+        out[a : a + m] = (score * value).sum(axis=0) / score.sum(axis=0) + model["out_c"][0]
+    return out
+
+
 def text_scores(model, texts: pa.Array) -> np.ndarray:
     """The probability of each text's worst window; 0 for a text without words."""
     data, offsets = grams.buffers(texts)
     words = read_words(data, offsets)
-    out = np.zeros(len(offsets) - 1)
+    worst = np.full(len(offsets) - 1, -np.inf)
     if len(words.start):
-        text, start, length = windows(words)
-        logit = _scores(model, *inputs(data, words), start, length)
-        np.maximum.at(out, text, sigmoid(logit.astype(np.float64)))
-    return out
+        number, *parts = inputs(data, words)
+        x, _ = embedded(model, *parts)
+        tables = projected(model, x)
+        # Texts of less than a window are one window each.
+        few = np.flatnonzero((words.count > 0) & (words.count < WINDOW))
+        start, length = words.first[few], words.count[few]
+        for a in range(0, len(few), 4096):
+            s, n = start[a : a + 4096], length[a : a + 4096]
+            index = number[np.minimum(s + np.arange(int(n.max()))[:, None], s + n - 1)]
+            worst[few[a : a + 4096]] = forward(model, x, index, n, tables=tables)
+        many = np.flatnonzero(words.count >= WINDOW)
+        if len(many):
+            # Windows that would reach into the next text are left out.
+            logit = np.append(swept(model, tables, number), -np.inf)
+            bounds = np.stack([words.first[many], words.first[many] + words.count[many] - WINDOW + 1], axis=1)
+            worst[many] = np.maximum.reduceat(logit, bounds.ravel())[::2]
+    return np.where(np.isinf(worst), 0.0, sigmoid(np.where(np.isinf(worst), 0.0, worst)))
 
 
 def _parts(batch: pa.RecordBatch, column: str, size=1 << 20):
