@@ -123,23 +123,32 @@ def parse_question(c: Column) -> Column:
     return F.struct(search.alias("query"), section.alias("section"))
 
 
-# The header marks of the chat transcript format.
+# The header marks of the chat transcript format, and the labels inside a user's turn.
 USER_HEADER = "<|start_header_id|>user<|end_header_id|>"
 ASSISTANT_HEADER = "<|start_header_id|>assistant<|end_header_id|>"
 TURN_END = "<|eot_id|>"
+CONTEXT_LABEL, QUESTION_LABEL = "Context:\n", "\n\nQuestion:"
+
+
+def after_first(c: Column, mark: str) -> Column:
+    """What follows the first mark; empty when there is none."""
+    start = F.instr(c, mark)
+    return F.when(start > 0, F.substring(c, start + len(mark), F.length(c))).otherwise("")
+
+
+def between(c: Column, start: str, end: str) -> Column:
+    """What stands between the first start and the next end; empty unless both are there."""
+    rest = after_first(c, start)
+    return F.when(F.contains(rest, F.lit(end)), before_first(rest, end)).otherwise("")
 
 
 def transcript_parts(c: Column) -> Column:
     """Context, question and answer of a transcript; empty strings when absent."""
-    quote = lambda s: r"\Q" + s + r"\E"
-    asked = (
-        "(?s)" + quote(USER_HEADER) + r"\n\nContext:\n(.*?)\n\nQuestion:\s*(.*?)" + quote(TURN_END)
-    )
-    answered = "(?s)" + quote(ASSISTANT_HEADER) + r"\n(.*)"
+    asked = between(c, USER_HEADER, TURN_END)
     return F.struct(
-        strip(F.regexp_extract(c, asked, 1)).alias("context"),
-        strip(F.regexp_extract(c, asked, 2)).alias("question"),
-        strip(F.regexp_extract(c, answered, 1)).alias("answer"),
+        strip(between(asked, CONTEXT_LABEL, QUESTION_LABEL)).alias("context"),
+        strip(after_first(after_first(asked, CONTEXT_LABEL), QUESTION_LABEL)).alias("question"),
+        strip(after_first(c, ASSISTANT_HEADER)).alias("answer"),
     )
 
 

@@ -3,7 +3,7 @@
 import pandas as pd
 from pyspark.sql import functions as F
 
-from corpusmill.functions import prompts
+from corpusmill.functions import prompts, text
 from corpusmill.operators import aggregates as agg
 from corpusmill.operators import answers as ans
 from corpusmill.operators import ranks, udfs
@@ -167,7 +167,7 @@ def chunks(spark, sf):
     )
     path = scratch_path(spark, "vectors")
     writers.write_vectors(embedded, path)
-    return spark.read.parquet(path)
+    return writers.read_vectors(spark, path)
 
 
 def questions(spark, sf):
@@ -478,43 +478,51 @@ def _(spark, sf):
     pairs = agg.answer_pairs(table(spark, sf, "conversations")).select("question", "answer")
     results = with_arms(pairs, ARMS).select(C("question").alias("query"), "answer", "arm")
     folder = scratch_path(spark, "results")
-    for arm, _, _ in ARMS:
-        writers.write_csv(results.filter(C("arm") == arm).drop("arm"), f"{folder}/results_{arm}.csv")
+    # One write for all arms, a folder each.
+    writers.write_csv(results.withColumnRenamed("arm", "results"), folder, by="results")
     tagged = readers.read_results(spark, folder, "query string, answer string")
     named = tagged.withColumnsRenamed({"query": "question", "answer": "response"})
     return ans.judge(named, length_judge).select("question", "response", "llm_judge", "source")
 
 
-@query(
-    "jdg2_scores_by_human_grade",
-    f"""WITH j AS (SELECT event_id, {JUDGE_SQL} AS t FROM events),
-        s AS (SELECT event_id, {score_sql("Accuracy")} AS accuracy_judge, {score_sql("Relevance")} AS relevance_judge,
-                     {score_sql("Groundedness")} AS groundedness_judge FROM j)
-        SELECT event_id AS question, accuracy_judge, relevance_judge, groundedness_judge,
-               CAST(1 + floor(value) % 5 AS INTEGER) AS accuracy_score
-        FROM s JOIN events USING (event_id)""",
-)
-def _(spark, sf):
+# Three grades by a person beside the judge's three.
+GRADES_SQL = f"""j AS (SELECT event_id, {JUDGE_SQL} AS t, CAST(1 + floor(value) % 5 AS INTEGER) AS accuracy_score,
+        CAST(1 + (event_id + user_id % 2) % 5 AS INTEGER) AS relevance_score, CAST(5 - event_id % 4 AS INTEGER) AS groundedness_score FROM events),
+    s AS (SELECT event_id, {score_sql("Accuracy")} AS accuracy_judge, {score_sql("Relevance")} AS relevance_judge,
+        {score_sql("Groundedness")} AS groundedness_judge, accuracy_score, relevance_score, groundedness_score FROM j)"""
+
+
+def graded(spark, sf):
     events = table(spark, sf, "events")
     judged = events.select(C("event_id").alias("question"), judge_text().alias("llm_judge"))
     human = events.select(
-        C("event_id").alias("question"), (F.floor("value") % 5 + 1).cast("int").alias("accuracy_score")
+        C("event_id").alias("question"),
+        (F.floor("value") % 5 + 1).cast("int").alias("accuracy_score"),
+        ((C("event_id") + C("user_id") % 2) % 5 + 1).cast("int").alias("relevance_score"),
+        (5 - C("event_id") % 4).cast("int").alias("groundedness_score"),
     )
     return ans.judge_scores(judged).drop("llm_judge").join(human, "question")
 
 
+@query("jdg2_scores_by_human_grade", f"WITH {GRADES_SQL} SELECT event_id AS question, * EXCLUDE (event_id) FROM s")
+def _(spark, sf):
+    return graded(spark, sf)
+
+
+def correlation_sql(criterion):
+    a, b = f"{criterion}_judge", f"{criterion}_score"
+    pairs = f"(SELECT {a}, {b} FROM s WHERE {a} IS NOT NULL AND {b} IS NOT NULL)"
+    return f"""SELECT '{criterion}' AS criterion, count(*) AS n, round(corr(x, y), 3) AS rho
+        FROM (SELECT {RANK_SQL.format(c=a)} AS x, {RANK_SQL.format(c=b)} AS y FROM {pairs})"""
+
+
 @query(
     "jdg2_judge_human_correlation",
-    f"""WITH s AS (SELECT 1 + user_id % 5 AS a, 1 + CAST(floor(value) AS BIGINT) % 5 AS b FROM events),
-        r AS (SELECT {RANK_SQL.format(c="a")} AS x, {RANK_SQL.format(c="b")} AS y FROM s)
-        SELECT count(*) AS n, round(corr(x, y), 3) AS accuracy FROM r""",
+    f"WITH {GRADES_SQL} " + " UNION ALL ".join(correlation_sql(c) for c in ("accuracy", "relevance", "groundedness")),
 )
 def _(spark, sf):
-    judged = table(spark, sf, "events").select(
-        judge_text().alias("llm_judge"), (F.floor("value") % 5 + 1).cast("int").alias("human")
-    )
-    found = ranks.spearman(ans.judge_scores(judged), "accuracy_judge", "human")
-    return found.select("n", F.round("rho", 3).alias("accuracy"))
+    named = {c.lower(): (f"{c.lower()}_judge", f"{c.lower()}_score") for c in text.CRITERIA}
+    return ranks.agreement(graded(spark, sf), named).withColumn("rho", F.round("rho", 3))
 
 
 # --- streaming ------------------------------------------------------------
@@ -528,7 +536,7 @@ def _(spark, sf):
 def _(spark, sf):
     docs = table(spark, sf, "documents")
     arrived = scratch_path(spark, "arrived")
-    docs.repartition(4).write.parquet(arrived)
+    docs.write.parquet(arrived)
     stream = batches.arriving(spark, arrived, docs.schema, files_per_batch=2)
 
     def score(batch):
@@ -563,6 +571,46 @@ def _(spark, sf):
     return rounded(batches.batch_metrics(counts), "accuracy", "precision", "recall", "f1")
 
 
+DELIVERY_SQL = f"CASE {SPLIT_SQL.format(k='doc_id')} WHEN 'train' THEN 0 ELSE 1 END"
+
+
+def deliver(spark, sf, score):
+    """Two deliveries of documents, each scored by a run that goes on from the last one; then two of labels."""
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "text")
+    labels = table(spark, sf, "labels").select("doc_id", C("quality").alias("label"))
+    paths = {name: scratch_path(spark, name) for name in ("documents", "scored", "stream", "labels", "labelled", "label-stream")}
+    for delivery in ("train", "test"):
+        docs.filter(hash_split(C("doc_id"), 80) == delivery).write.mode("append").parquet(paths["documents"])
+        arrived = batches.arriving(spark, paths["documents"], docs.schema)
+        batches.keep_scored(arrived, score, paths["scored"], paths["stream"]).awaitTermination()
+    for good in (1, 0):
+        labels.filter(C("label") == good).write.mode("append").parquet(paths["labels"])
+        arrived = batches.arriving(spark, paths["labels"], labels.schema)
+        batches.keep_labelled(arrived, paths["scored"], "doc_id", paths["labelled"], paths["label-stream"]).awaitTermination()
+    return paths
+
+
+@query(
+    "stm1_scored_rows",
+    f"SELECT {DELIVERY_SQL}::BIGINT AS batch, doc_id, lang, {LANG_RULE_SQL} AS predicted FROM documents",
+)
+def _(spark, sf):
+    paths = deliver(spark, sf, lambda batch: batch.select("doc_id", "lang", lang_rule(C("text")).alias("predicted")))
+    return batches.kept(spark, paths["scored"]).select("batch", "doc_id", "lang", "predicted")
+
+
+@query(
+    "stm1_labelled_rows",
+    f"""SELECT CAST(1 - quality AS BIGINT) AS batch, {DELIVERY_SQL}::BIGINT AS scored_batch, doc_id, text, CAST(quality AS INTEGER) AS label,
+            CASE WHEN n_chars > 400 THEN 1 ELSE 0 END AS predicted FROM documents JOIN labels USING (doc_id)""",
+)
+def _(spark, sf):
+    # What a later training takes: the text, what the model said and what a person said.
+    predicted = F.when(F.length("text") > 400, 1).otherwise(0).alias("predicted")
+    paths = deliver(spark, sf, lambda batch: batch.select("doc_id", "text", predicted))
+    return batches.kept(spark, paths["labelled"]).select("batch", "scored_batch", "doc_id", "text", "label", "predicted")
+
+
 # --- caller functions -----------------------------------------------------
 
 
@@ -613,18 +661,53 @@ def _(spark, sf):
     )
 
 
+F1_SQL = f"""SELECT source AS run, round(coalesce(2 * count(*) FILTER (lang = 'en' AND p = 'en')
+        / nullif(count(*) FILTER (lang = 'en') + count(*) FILTER (p = 'en'), 0), 0), 6) AS f1
+    FROM (SELECT source, lang, {LANG_RULE_SQL} AS p FROM documents) GROUP BY source"""
+
+
+def language_guesses(spark, sf):
+    return table(spark, sf, "documents").select(C("source").alias("run"), "lang", lang_rule(C("text")).alias("predicted"))
+
+
+@query("udf6_metric", F1_SQL)
+def _(spark, sf):
+    def f1(counts):
+        actual, guess, n = counts["actual"] == "en", counts["predicted"] == "en", counts["n"]
+        whole = n[actual].sum() + n[guess].sum()
+        return pd.DataFrame({"run": [counts["run"].iloc[0]], "f1": [round(2 * n[actual & guess].sum() / whole, 6) if whole else 0.0]})
+
+    return udfs.metric(language_guesses(spark, sf), "lang", "predicted", f1, "run string, f1 double")
+
+
+@query("udf6_merged_metric", F1_SQL)
+def _(spark, sf):
+    def partial(rows):
+        actual, guess = rows["lang"] == "en", rows["predicted"] == "en"
+        return [(actual & guess).sum(), actual.sum(), guess.sum()]
+
+    def f1(state):
+        hits, actual, guessed = state
+        return round(2 * hits / (actual + guessed), 6) if actual + guessed else 0.0
+
+    rows = language_guesses(spark, sf)
+    return udfs.merged_metric(rows, ["lang", "predicted"], partial, lambda a, b: a + b, f1, target="f1")
+
+
 @query(
-    "udf6_metric",
-    """SELECT lang AS run, count(*) AS total FROM documents GROUP BY lang""",
+    "udf6_merged_error",
+    """SELECT lang AS run, round(sqrt(avg((n_chars / 1000.0 - quality) * (n_chars / 1000.0 - quality))), 6) AS rmse
+       FROM documents JOIN labels USING (doc_id) GROUP BY lang""",
 )
 def _(spark, sf):
-    def total(counts):
-        return pd.DataFrame({"run": [counts["run"].iloc[0]], "total": [counts["n"].sum()]})
+    # A metric of numbers, which has no confusion counts.
+    def partial(rows):
+        off = rows["n_chars"] / 1000 - rows["quality"]
+        return [(off * off).sum(), len(off)]
 
-    rows = table(spark, sf, "documents").select(
-        C("lang").alias("run"), "lang", F.when(C("n_chars") > 1000, "en").otherwise("de").alias("predicted")
-    )
-    return udfs.metric(rows, "lang", "predicted", total, "run string, total long")
+    rows = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id").select(C("lang").alias("run"), "n_chars", "quality")
+    finish = lambda state: round((state[0] / state[1]) ** 0.5, 6)
+    return udfs.merged_metric(rows, ["n_chars", "quality"], partial, lambda a, b: a + b, finish, target="rmse")
 
 
 @query("udf7_text_to_text", "SELECT conv_id, turn, length(text) || ' characters' AS answer FROM conversations")

@@ -33,13 +33,12 @@ ARMS_SQL = (
 
 @query(
     "src1_parquet_scan",
-    """SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_totalprice > 100000""",
+    """SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders""",
 )
 def _(spark, sf):
-    orders = readers.read_parquet(
+    return readers.read_parquet(
         spark, f"{sf}/orders.parquet", "o_orderkey", "o_orderstatus", "o_totalprice"
     )
-    return orders.filter(F.col("o_totalprice") > 100000)
 
 
 SPLIT_SQL = (
@@ -69,8 +68,9 @@ def _(spark, sf):
     path = scratch_path(spark, "csv")
     events = table(spark, sf, "events").select("event_id", "event_type", "props", "ts")
     writers.write_csv(events, path)
+    # No field holds a newline, so large files are read in splits.
     back = readers.read_csv(
-        spark, path, "event_id long, event_type string, props string, ts timestamp_ntz"
+        spark, path, "event_id long, event_type string, props string, ts timestamp_ntz", multi_line=False
     )
     return back.select("event_id", "event_type", "props", shown("ts"))
 
@@ -94,6 +94,23 @@ def _(spark, sf):
     )
 
 
+@query(
+    "src4_file_encoding",
+    """SELECT doc_id, 'Ã¤' AS text FROM documents WHERE lang = 'de'
+       UNION ALL SELECT doc_id, replace(text, chr(10), ' ') || CASE WHEN lang = 'de' THEN 'ß' ELSE '' END FROM documents""",
+)
+def _(spark, sf):
+    # Each Latin-1 file also has lines whose bytes happen to be valid UTF-8; the file decides.
+    docs = table(spark, sf, "documents").select("doc_id", "lang", F.translate("text", "\n", " ").alias("text"))
+    german = docs.filter("lang = 'de'").select("doc_id", F.explode(F.array(F.lit("Ã¤"), F.concat("text", F.lit("ß")))).alias("text"))
+    path = scratch_path(spark, "mixed")
+    line = F.concat_ws("\t", "doc_id", "text").alias("value")
+    german.select(line).write.mode("append").option("encoding", "ISO-8859-1").text(path)
+    docs.filter("lang <> 'de'").select(line).write.mode("append").text(path)
+    parts = F.split("value", "\t", 2)
+    return readers.read_files_by_encoding(spark, path, "*.txt").select(parts[0].cast("long").alias("doc_id"), parts[1].alias("text"))
+
+
 LINES_SQL = "SELECT doc_id, unnest(string_split(text, chr(10))) AS value FROM documents"
 
 
@@ -127,24 +144,14 @@ def _(spark, sf):
     """SELECT sha256(html) AS digest, length(html) AS n_chars FROM pages""",
 )
 def _(spark, sf):
-    # One file per page. The name follows from the page, so a repeated task
-    # writes the same file again.
+    # One file per page: a part of the table by page, whose single row is the page.
     path = scratch_path(spark, "site")
-    uri = path if ":" in path else f"file://{path}"
-
-    def save(rows):
-        from pyarrow.fs import FileSystem
-
-        fs, root = FileSystem.from_uri(uri)
-        fs.create_dir(root, recursive=True)
-        for row in rows:
-            with fs.open_output_stream(f"{root}/page_{row.page_id}.html") as out:
-                out.write(row.html.encode("utf-8"))
-
-    table(spark, sf, "pages").select("page_id", "html").foreachPartition(save)
-    return readers.read_pages(spark, path).select(
-        F.sha2("html", 256).alias("digest"), F.length("html").cast("long").alias("n_chars")
-    )
+    site = table(spark, sf, "pages").select("page_id", F.col("html").alias("value"))
+    site.write.partitionBy("page_id").option("lineSep", "\n").text(path)
+    pages = readers.read_pages(spark, path, pattern="*.txt")
+    # The writer ends a file's last line.
+    html = F.regexp_replace("html", "\n$", "")
+    return pages.select(F.sha2(html, 256).alias("digest"), F.length(html).cast("long").alias("n_chars"))
 
 
 @query(
@@ -157,9 +164,9 @@ def _(spark, sf):
     grid = rel.with_arms(asked.select(F.col("text").alias("query")), ARMS)
     path = scratch_path(spark, "results")
     results = grid.select("query", F.concat(F.lit("Re: "), "query").alias("answer"), "arm")
-    # A file per arm, named by it, as the judging step expects them.
-    for arm, _, _ in ARMS:
-        writers.write_csv(results.filter(F.col("arm") == arm).drop("arm"), f"{path}/results_{arm}.csv")
+    # A folder per arm in one write; the reader takes the arm from the folder's name.
+    named = results.withColumn("results", F.col("arm")).drop("arm")
+    writers.write_csv(named, path, by="results")
     return readers.read_results(spark, path, "query string, answer string")
 
 
@@ -199,13 +206,13 @@ def courses(spark, sf):
     "snk3_course_page",
     f"""WITH c AS ({COURSES_SQL})
         SELECT '<h2>' || title || '</h2><p>' || description || '</p>' AS value FROM c
-        UNION ALL SELECT '<html><body><h1>Titles and Descriptions</h1>'
+        UNION ALL SELECT '<html><body><h1>What is taught</h1>'
         UNION ALL SELECT '</body></html>'""",
 )
 def _(spark, sf):
     path = scratch_path(spark, "page")
     writers.write_page(
-        writers.course_page_lines(courses(spark, sf), "page_id", "title", "description"), path
+        writers.course_page_lines(courses(spark, sf), "page_id", "title", "description", "What is taught"), path
     )
     return spark.read.text(path)
 
@@ -218,15 +225,28 @@ def _(spark, sf):
 )
 def _(spark, sf):
     path = scratch_path(spark, "vectors")
-    writers.write_vectors(table(spark, sf, "embeddings"), path)
+    writers.write_vectors(table(spark, sf, "embeddings"), path, key="vec_id")
     squares = F.aggregate(
         "embedding", F.lit(0.0), lambda t, x: t + x.cast("double") * x.cast("double")
     )
-    return spark.read.parquet(path).select(
+    return writers.read_vectors(spark, path).select(
         "vec_id", "label", F.size("embedding").alias("width"), F.round(squares, 6).alias("norm2")
     )
 
 
+@query(
+    "snk4_join_in_place",
+    """SELECT event_id, vec_id, label, len(embedding) AS width FROM events JOIN embeddings ON vec_id = user_id % 1000""",
+)
+def _(spark, sf):
+    # Rows that name a vector go to its bucket; the vectors are not moved.
+    path = scratch_path(spark, "vectors")
+    writers.write_vectors(table(spark, sf, "embeddings"), path, key="vec_id")
+    asked = table(spark, sf, "events").select("event_id", (F.col("user_id") % 1000).alias("vec_id"))
+    found = asked.join(writers.read_vectors(spark, path).hint("shuffle_hash"), "vec_id")
+    return found.select("event_id", "vec_id", "label", F.size("embedding").cast("long").alias("width"))
+
+
 @query(
     "snk5_dataset_with_splits",
     f"""SELECT conv_id, turn, text, {SPLIT_SQL.format(k="conv_id")} AS split FROM conversations""",
@@ -332,18 +352,13 @@ def _(spark, sf):
     "jn1_inner_join",
     """SELECT l_orderkey AS Id, o_orderpriority AS Title, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS Created,
               l_linenumber AS CommentId, l_returnflag AS Comment
-       FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-       WHERE o_orderdate >= TIMESTAMP '1996-01-01'""",
-)
-def _(spark, sf):
-    posts = (
-        table(spark, sf, "orders")
-        .filter(F.col("o_orderdate") >= F.lit("1996-01-01").cast("timestamp_ntz"))
-        .select(
-            F.col("o_orderkey").alias("Id"),
-            F.col("o_orderpriority").alias("Title"),
-            F.col("o_orderdate").alias("Created"),
-        )
+       FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+)
+def _(spark, sf):
+    posts = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("Id"),
+        F.col("o_orderpriority").alias("Title"),
+        F.col("o_orderdate").alias("Created"),
     )
     comments = table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("Id"),

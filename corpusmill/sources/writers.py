@@ -1,21 +1,27 @@
 """Sinks: CSV, line files, one-page HTML, vector table, dataset with splits."""
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Hidden from readers of the table's files.
+LAYOUT = "_layout"
+
 
-def write_csv(df: DataFrame, path: str, mode="errorifexists"):
-    """CSV with a header; nested columns are written as JSON."""
+def write_csv(df: DataFrame, path: str, mode="errorifexists", by=None):
+    """CSV with a header; nested columns are written as JSON. `by` names a column with a folder for each of its values."""
     columns = [
         F.to_json(f.name).alias(f.name)
         if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))
         else F.col(f.name)
         for f in df.schema
     ]
+    writer = df.select(*columns).write.mode(mode)
     (
-        df.select(*columns)
-        .write.mode(mode)
+        (writer.partitionBy(by) if by else writer)
         .options(
             header=True,
             escape='"',
@@ -35,7 +41,7 @@ def write_lines(df: DataFrame, path: str, column="value", mode="errorifexists"):
     df.select(F.col(column).cast("string").alias("value")).write.mode(mode).text(path)
 
 
-def course_page_lines(df: DataFrame, key: str, title: str, description: str, heading="Titles and Descriptions") -> DataFrame:
+def course_page_lines(df: DataFrame, key: str, title: str, description: str, heading: str) -> DataFrame:
     """(part, key, value): the lines of one HTML page that lists every row.
 
     The page is never one cell: sorted by (part, key) and written as text, its
@@ -63,9 +69,36 @@ def write_page(page_lines: DataFrame, path: str, mode="errorifexists"):
     page_lines.orderBy("part", "key").select("value").write.mode(mode).text(path)
 
 
-def write_vectors(df: DataFrame, path: str, mode="errorifexists"):
-    """The vector table: chunk id, text, metadata and embedding."""
-    df.write.mode(mode).parquet(path)
+def write_vectors(df: DataFrame, path: str, key="id", buckets=None, mode="errorifexists"):
+    """The vector table: chunk id, text, metadata and embedding, dealt to buckets by chunk id.
+
+    Rows are moved once, here; later joins by chunk id leave them where they lie. `buckets` is the session's number of
+    shuffle partitions by default. The layout is kept beside the files, so that `read_vectors` knows it in any session.
+    """
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"vectors_{uuid.uuid4().hex}"
+    dealt = df.repartition(buckets, key)
+    dealt.write.mode(mode).format("parquet").option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+    spark.sql(f"DROP TABLE {name}")
+    layout = spark.createDataFrame([(key, buckets, df.schema.json())], "key string, buckets int, columns string")
+    layout.coalesce(1).write.mode("overwrite").json(f"{path}/{LAYOUT}")
+
+
+def read_vectors(spark, path: str) -> DataFrame:
+    """The table at `path` with its layout: joins and aggregates by its key do not move its rows."""
+    layout = spark.read.json(f"{path}/{LAYOUT}").first()
+    name = f"vectors_{uuid.uuid4().hex}"
+    columns = T.StructType.fromJson(json.loads(layout["columns"]))
+    listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
+    spark.sql(
+        f"CREATE TABLE {name} ({listed}) USING parquet OPTIONS (path '{path}') "
+        f"CLUSTERED BY (`{layout['key']}`) SORTED BY (`{layout['key']}`) INTO {layout['buckets']} BUCKETS"
+    )
+    found = spark.table(name)
+    found.schema  # resolved: the name is not needed any more
+    spark.sql(f"DROP TABLE {name}")
+    return found
 
 
 def write_dataset(df: DataFrame, path: str, mode="errorifexists"):

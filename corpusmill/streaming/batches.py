@@ -33,6 +33,48 @@ def score_batches(stream: DataFrame, score, actual: str, predicted: str, out: st
     )
 
 
+def keep_scored(stream: DataFrame, score, out: str, state: str):
+    """Score every arriving batch and keep its rows below `out`, one folder per batch.
+
+    `score` maps a DataFrame to the rows to keep. A batch that is run again replaces its own folder, so rows are there once
+    whatever fails. The kept rows are what people label later, see `keep_labelled`.
+    """
+
+    def write(batch: DataFrame, batch_id: int):
+        score(batch).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    return (
+        stream.writeStream.foreachBatch(write)
+        .option("checkpointLocation", state)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def kept(spark: SparkSession, out: str) -> DataFrame:
+    """The rows kept below `out` so far, with `batch`, the number of the batch they came in."""
+    return spark.read.parquet(out).withColumn("batch", F.col("batch").cast("long"))
+
+
+def keep_labelled(labels: DataFrame, scored: str, key: str, out: str, state: str):
+    """Join arriving labels with all rows scored so far and keep them below `out`, one folder per batch of labels.
+
+    A stream-static join: the scored rows are listed anew for each batch of labels, so labels may come any time after their
+    rows. Labels of rows that are not scored yet are dropped; a batch that is run again replaces its folder.
+    """
+
+    def write(batch: DataFrame, batch_id: int):
+        rows = kept(batch.sparkSession, scored).withColumnRenamed("batch", "scored_batch")
+        rows.join(batch, key).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    return (
+        labels.writeStream.foreachBatch(write)
+        .option("checkpointLocation", state)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def run_to_end(spark: SparkSession, stream: DataFrame, score, actual: str, predicted: str) -> DataFrame:
     """Process all files that are there and return (batch, actual, predicted, n)."""
     out, state = scratch_path(spark, "scores"), scratch_path(spark, "stream")

@@ -97,7 +97,7 @@ def test_judge_prompt_and_scores(spark):
     got = ans.judge_scores(ans.judge(df, reply)).first()
     assert (got.accuracy_judge, got.relevance_judge, got.groundedness_judge) == (4, 3, None)
     prompt = df.select(prompts.judge_request(F.col("question"), F.col("response")).alias("p")).first().p
-    assert prompt.endswith("Question: q\nAnswer: a") and "Groundedness: [1, 2, 3, 4 or 5]" in prompt
+    assert prompt.endswith("Question: q\nAnswer: a") and "Groundedness: [grade]" in prompt
 
 
 def test_model_scores_load_once_per_task(spark):
@@ -277,3 +277,50 @@ def test_user_metric_gets_counts_only(spark):
 
     got = udfs.metric(df, "actual", "predicted", accuracy, "run string, value double").first()
     assert got.value == pytest.approx(1000 / 1010)
+
+
+@pytest.mark.parametrize("fan_in", [2, 64])
+def test_merged_metric_of_hot_and_null_groups(spark, fan_in):
+    rows = [("hot", i % 7, i % 5) for i in range(3000)] + [("cold", 1, 2), (None, 3, 3)]
+    df = spark.createDataFrame(rows, "run string, a int, b int").repartition(11)
+
+    def partial(part):
+        assert list(part.columns) == ["a", "b"]
+        return [(part.a - part.b).abs().max(), len(part)]
+
+    def merge(x, y):
+        return [max(x[0], y[0]), x[1] + y[1]]
+
+    got = {r.run: r.value for r in udfs.merged_metric(df, ["a", "b"], partial, merge, lambda s: s[0] * 10_000 + s[1], fan_in=fan_in).collect()}
+    assert got == {"hot": 63000.0, "cold": 10001.0, None: 1.0}
+    assert udfs.merged_metric(df.limit(0), ["a", "b"], partial, merge, lambda s: s[0]).count() == 0
+
+
+def test_scored_rows_are_kept_once_and_meet_late_labels(spark, tmp_path):
+    schema, names = "id long, text string", {n: str(tmp_path / n) for n in ("in", "out", "state", "labels", "labelled", "lstate")}
+    score = lambda b: b.select("id", F.upper("text").alias("said"))
+
+    def run_rows():
+        stream = batches.arriving(spark, names["in"], spark.createDataFrame([], schema).schema)
+        batches.keep_scored(stream, score, names["out"], names["state"]).awaitTermination()
+
+    def run_labels():
+        stream = batches.arriving(spark, names["labels"], spark.createDataFrame([], "id long, label string").schema)
+        batches.keep_labelled(stream, names["out"], "id", names["labelled"], names["lstate"]).awaitTermination()
+
+    spark.createDataFrame([(1, "a"), (2, "b")], schema).write.mode("append").parquet(names["in"])
+    run_rows()
+    spark.createDataFrame([(1, "A"), (9, "?")], "id long, label string").write.mode("append").parquet(names["labels"])
+    run_labels()
+    spark.createDataFrame([(3, "c")], schema).write.mode("append").parquet(names["in"])
+    run_rows()
+    run_rows()
+    spark.createDataFrame([(3, "X"), (2, "B")], "id long, label string").write.mode("append").parquet(names["labels"])
+    run_labels()
+    assert sorted(tuple(r) for r in batches.kept(spark, names["out"]).select("batch", "id", "said").collect()) == [(0, 1, "A"), (0, 2, "B"), (1, 3, "C")]
+    got = sorted(tuple(r) for r in batches.kept(spark, names["labelled"]).select("batch", "scored_batch", "id", "said", "label").collect())
+    assert got == [(0, 0, 1, "A", "A"), (1, 0, 2, "B", "B"), (1, 1, 3, "C", "X")]
+    # A batch that is written again replaces its folder.
+    again = batches.arriving(spark, names["in"], spark.createDataFrame([], schema).schema)
+    batches.keep_scored(again, score, names["out"], str(tmp_path / "fresh")).awaitTermination()
+    assert batches.kept(spark, names["out"]).where("batch = 0").count() == 3

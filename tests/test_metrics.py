@@ -74,3 +74,23 @@ def test_spearman_like_pandas(spark):
 def test_spearman_of_constant_is_null(spark):
     df = spark.createDataFrame([(1, 1), (1, 2)], "x int, y int")
     assert ranks.spearman(df, "x", "y").first().rho is None
+
+
+@pytest.mark.parametrize("range_rows", [3, 500_000])
+def test_ranks_and_agreement_by_group(spark, monkeypatch, range_rows):
+    monkeypatch.setattr(ranks, "RANGE_ROWS", range_rows)
+    rnd = random.Random(4)
+    rows = [(rnd.choice(["x", "y", None]), rnd.randint(1, 9), rnd.choice([None, 1, 2, 3, 4]), rnd.randint(1, 3)) for _ in range(400)]
+    df = spark.createDataFrame(rows, "g string, a int, b int, c int")
+    frame = pd.DataFrame(rows, columns=["g", "a", "b", "c"])
+    got = {(r.g, r.a): r.avg_rank for r in ranks.average_ranks(df, "a", by=["g"]).collect()}
+    for g, part in frame.groupby("g", dropna=False):
+        for a, rank in zip(part.a, part.a.rank()):
+            assert got[None if pd.isna(g) else g, a] == rank
+    found = {r.criterion: (r.n, r.rho) for r in ranks.agreement(df, {"one": ("a", "b"), "two": ("a", "c")}).collect()}
+    for name, other in (("one", "b"), ("two", "c")):
+        both = frame[["a", other]].dropna()
+        assert found[name][0] == len(both)
+        assert found[name][1] == pytest.approx(np.corrcoef(both.a.rank(), both[other].rank())[0, 1], abs=1e-12)
+    assert ranks.spearman(df.limit(0), "a", "b").first().n == 0
+    assert ranks.agreement(df.limit(0), {"one": ("a", "b")}).count() == 0

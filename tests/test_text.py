@@ -164,3 +164,46 @@ def test_page_parts_in_order_are_the_page(spark, tmp_path):
     parts = sorted((tmp_path / "page").glob("part-*"))
     page = "".join(p.read_text() for p in parts).replace("\n", "")
     assert page == "<html><body><h1>All</h1>" + "".join(f"<h2>T{i}</h2><p>D{i}</p>" for i in range(50)) + "</body></html>"
+
+
+def test_the_encoding_of_a_file_is_that_of_all_its_lines(spark, tmp_path):
+    (tmp_path / "a.txt").write_bytes("Ã¤\nstraße\n".encode("latin-1"))
+    (tmp_path / "b.txt").write_bytes("Ã¤\nstraße\n".encode())
+    (tmp_path / "c.txt").write_bytes(b"plain\n\nlast")
+    (tmp_path / "d.txt").write_bytes(b"")
+    got = sorted(tuple(r) for r in readers.read_files_by_encoding(spark, str(tmp_path), "*.txt").collect())
+    assert got == [("a.txt", "straße"), ("a.txt", "Ã¤"), ("b.txt", "straße"), ("b.txt", "Ã¤"), ("c.txt", ""), ("c.txt", "last"), ("c.txt", "plain")]
+    # The lines of a large file are read in splits, none of which holds the file.
+    (tmp_path / "big.log").write_bytes("é line\n".encode("latin-1") * 40_000)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        big = readers.read_files_by_encoding(spark, str(tmp_path), "*.log")
+        assert big.where("value = 'é line'").count() == 40_000
+        assert spark.read.text(str(tmp_path / "big.log")).rdd.getNumPartitions() > 3
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_results_of_one_write_keep_their_sources(spark, tmp_path):
+    rows = [("q", "a", "base"), ("q", "line\nbreak", "tuned 50%/x+y")]
+    writers.write_csv(spark.createDataFrame(rows, "query string, answer string, results string"), str(tmp_path / "r"), by="results")
+    got = readers.read_results(spark, str(tmp_path / "r"), "query string, answer string")
+    assert sorted(tuple(r) for r in got.collect()) == sorted(rows)
+
+
+def test_vectors_are_not_moved_by_a_join_on_their_key(spark, tmp_path):
+    rows = spark.range(500).selectExpr("id", "array(cast(id as float), 1f) AS vector", "map('source', 's') AS metadata", "concat('t', id) AS text")
+    path = str(tmp_path / "v")
+    writers.write_vectors(rows, path)
+    table, names = writers.read_vectors(spark, path), spark.catalog.listTables()
+    assert not [t for t in names if t.name.startswith("vectors_")]
+    assert table.columns == rows.columns and sorted(map(str, table.collect())) == sorted(map(str, rows.collect()))
+    asked = spark.range(100).select((F.col("id") * 3).alias("id"))
+    joined = table.join(asked.hint("shuffle_hash"), "id")
+    assert joined.count() == 100
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+    assert "Exchange" not in table.groupBy("id").count()._jdf.queryExecution().executedPlan().toString()
+    # Readers that know nothing of the layout see the rows alone.
+    assert spark.read.parquet(path).count() == 500
