@@ -76,10 +76,22 @@ def words(c: Column) -> Column:
     return F.regexp_extract_all(F.lower(c), F.lit(WORD), F.lit(0))
 
 
+# English plurals that follow no rule.
+IRREGULAR = {
+    "child": "children", "criterion": "criteria", "curriculum": "curricula", "datum": "data", "foot": "feet", "half": "halves",
+    "index": "indices", "knife": "knives", "leaf": "leaves", "life": "lives", "man": "men", "medium": "media", "mouse": "mice",
+    "person": "people", "phenomenon": "phenomena", "self": "selves", "shelf": "shelves", "tooth": "teeth", "wife": "wives", "woman": "women",
+}
+
+
 def plural(c: Column) -> Column:
-    """Regular English plural: city -> cities, class -> classes, fee -> fees."""
+    """English plural: city -> cities, class -> classes, fee -> fees, thesis -> theses, criterion -> criteria."""
+    irregular = F.create_map(*[F.lit(x) for pair in IRREGULAR.items() for x in pair])
+    known = F.try_element_at(irregular, c)
     return (
-        F.when(c.rlike("[^aeiou]y$"), F.regexp_replace(c, "y$", "ies"))
+        F.when(known.isNotNull(), known)
+        .when(c.rlike("sis$"), F.regexp_replace(c, "is$", "es"))
+        .when(c.rlike("[^aeiou]y$"), F.regexp_replace(c, "y$", "ies"))
         .when(c.rlike("(s|x|z|ch|sh)$"), F.concat(c, F.lit("es")))
         .otherwise(F.concat(c, F.lit("s")))
     )

@@ -5,14 +5,13 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from corpusmill.functions import prompts, text
 from corpusmill.functions.arrays import let
-from corpusmill.operators.aggregates import joined_texts
 from corpusmill.operators.relational import with_arms
 from corpusmill.operators.vectors import BROADCAST_BYTES, nearest
 from corpusmill.session import written
+from corpusmill.sources.writers import write_csv
 
 # Fixed value: the answer of a row whose model call failed.
 FAILED = "Error generating answer"
@@ -74,19 +73,21 @@ def generate(df: DataFrame, prompt: str, model, target="answer", error="error")
             singles = [attempt(part.iloc[i : i + 1]) for i in range(len(part))]
             return [s[0][0] for s in singles], [s[1][0] for s in singles]
 
-    def run(batches):
-        for pdf in batches:
-            pdf[target], pdf[error] = None, None
-            sent = pdf[prompt].notna().to_numpy()
+    @F.pandas_udf("answer string, error string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for asked in batches:
+            out = pd.DataFrame({"answer": None, "error": None}, index=range(len(asked)), dtype=object)
+            asked = asked.reset_index(drop=True)
+            sent = asked.notna().to_numpy()
             if sent.any():
-                answers, errors = attempt(pdf.loc[sent, prompt])
-                pdf.loc[sent, target] = answers
-                pdf.loc[sent, error] = errors
-            yield pdf
+                answers, errors = attempt(asked[sent])
+                out.loc[sent, "answer"] = answers
+                out.loc[sent, "error"] = errors
+            yield out
 
-    kept = df.drop(target, error)
-    fields = [*kept.schema.fields, T.StructField(target, T.StringType()), T.StructField(error, T.StringType())]
-    return kept.mapInPandas(run, T.StructType(fields))
+    # Only the prompt goes to the model's process. A model's answers are used, not asked for again, by later filters.
+    said = df.drop(target, error).withColumn("_said", run.asNondeterministic()(F.col(prompt)))
+    return said.withColumns({target: F.col("_said.answer"), error: F.col("_said.error")}).drop("_said")
 
 
 def best_sentence(question: Column, context: Column) -> Column:
@@ -153,11 +154,16 @@ def retrieve(questions: DataFrame, chunks: DataFrame, k=3, metric="cosine") -> D
     if questions.count() * k * HIT_BYTES <= BROADCAST_BYTES:
         top = F.broadcast(top)
     named = chunks.select("id", "page_content").join(top, "id")
-    return joined_texts(named, "query_id", "rank", "page_content")
+    # A list of k texts at most.
+    ranked = F.array_sort(F.collect_list(F.struct("rank", "page_content")))
+    lists = named.groupBy("query_id").agg(F.transform(ranked, lambda x: x["page_content"]).alias("contexts"))
+    return lists.select("query_id", F.array_join("contexts", "\n\n").alias("context"), "contexts")
 
 
 def retrieval_prompts(questions: DataFrame, chunks: DataFrame, k=3, metric="cosine") -> DataFrame:
-    """Questions `(query_id, question, vector)` with context and prompt."""
+    """Questions `(query_id, question, vector)` with context, contexts and prompt."""
+    # Measured, searched with and joined: embedded once.
+    questions = written(questions, "questions")
     found = retrieve(questions, chunks, k, metric)
     asked = questions.drop("vector").join(found, "query_id", "left")
     return asked.withColumn("prompt", prompts.plain(F.col("question"), F.col("context")))
@@ -166,8 +172,23 @@ def retrieval_prompts(questions: DataFrame, chunks: DataFrame, k=3, metric="cosi
 def arm_prompts(asked: DataFrame, arms) -> DataFrame:
     """Every question once per system arm; only retrieval arms see the context."""
     grid = with_arms(asked, arms)
-    context = F.when(F.col("retrieval"), F.col("context"))
-    return grid.withColumn("prompt", prompts.plain(F.col("question"), context))
+    seen = {c: F.when(F.col("retrieval"), F.col(c)) for c in ("context", "contexts") if c in asked.columns}
+    grid = grid.withColumns(seen)
+    return grid.withColumn("prompt", prompts.plain(F.col("question"), F.col("context")))
+
+
+def write_answers(prompted: DataFrame, model, path: str, marker="Answer:", arm="arm"):
+    """Let a caller's model answer the prompts and write the answer tables: query, contexts (JSON), answer; a folder per arm.
+
+    `prompted(question, contexts, prompt, arm)`. A model may repeat its prompt: the answer is what follows the last
+    `marker`. All arms are one job and one write; `readers.read_results` reads them back with their arm as the source.
+    """
+    answered = generate(prompted, "prompt", model)
+    table = answered.select(
+        F.col("question").alias("query"), F.coalesce("contexts", F.array().cast("array<string>")).alias("contexts"),
+        text.after_last(F.col("answer"), marker).alias("answer"), F.col(arm).alias("results"),
+    )
+    write_csv(table, path, by="results")
 
 
 # --- judging --------------------------------------------------------------

@@ -33,19 +33,46 @@ def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def tfidf(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, term, weight): tf * (ln((1 + n) / (1 + df)) + 1), scaled to unit length per document."""
-    # Read three times below: words are cut from the texts only once.
-    counts = written(term_counts(df, key, text), "terms")
-    spread = counts.groupBy("term").agg(F.count("*").alias("df"))
-    n = df.agg(F.count("*").alias("n")).scalar()
-    joined = heavy_join(counts, spread, "term", "df")
-    raw = joined.select(
+    """(key, term, weight): tf * (ln((1 + n) / (1 + df)) + 1), scaled to unit length per document; `key` is unique.
+
+    Words are cut twice: once to count documents per term, which combines before its shuffle, and once for the weights.
+    While the counted terms fit in a broadcast of known size, weights are computed where the texts lie.
+    """
+    distinct = df.select(F.explode(F.array_distinct(words(F.col(text)))).alias("term"))
+    spread = written(distinct.groupBy("term").agg(F.count("*").alias("df")), "spread")
+    n = df.count()
+    size, total = spread.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("term")), F.lit(0))).first()
+    if total + 48 * size <= BROADCAST_BYTES:
+        return _weighed(df.select(key, words(F.coalesce(text, F.lit(""))).alias("words")), key, spread, n)
+    raw = heavy_join(term_counts(df, key, text), spread, "term", "df").select(
         key, "term", (F.col("tf") * (F.log((1 + n) / (1 + F.col("df"))) + 1)).alias("raw")
     )
     length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))
     return raw.select(key, "term", (F.col("raw") / length).alias("weight"))
 
 
+def _weighed(rows: DataFrame, key: str, spread: DataFrame, n: int) -> DataFrame:
+    local = spread.toPandas()  # at most BROADCAST_BYTES, as measured
+    idf = np.log((1 + n) / (1 + local["df"].to_numpy())) + 1
+    shared = rows.sparkSession.sparkContext.broadcast((local["term"].to_list(), idf))
+
+    def run(batches):
+        terms, idf = pa.array(shared.value[0], pa.string()), shared.value[1]
+        for batch in batches:
+            lists = batch.column("words")
+            at = pc.index_in(lists.flatten(), value_set=terms).to_numpy()
+            row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+            pairs, counts = np.unique(row * len(idf) + at, return_counts=True)
+            row, at = np.divmod(pairs, max(1, len(idf)))
+            raw = counts * idf[at]
+            length = np.sqrt(np.bincount(row, raw * raw, minlength=batch.num_rows))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(key).take(pa.array(row)), terms.take(pa.array(at)), pa.array(raw / length[row])], [key, "term", "weight"]
+            )
+
+    return rows.mapInArrow(run, f"{key} {rows.schema[key].dataType.simpleString()}, term string, weight double")
+
+
 # --- learned vocabulary -----------------------------------------------------
 
 

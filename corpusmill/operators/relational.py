@@ -6,6 +6,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.session import written
+
 
 # --- joins ----------------------------------------------------------------
 
@@ -19,13 +21,15 @@ def inner_join(many: DataFrame, one: DataFrame, key: str) -> DataFrame:
     return many.join(one, key, "inner")
 
 
-def heavy_join(many: DataFrame, one: DataFrame, key: str, weight: str, share=0.01) -> DataFrame:
+def heavy_join(many: DataFrame, one: DataFrame, key: str, weight: str, share=None) -> DataFrame:
     """Inner join of `many` with the unique-key table `one` that survives hot keys.
 
     `one` counts, in `weight`, the rows each key has in `many`. Keys that hold at
-    least `share` of all rows number at most 1/share, so they are broadcast; all
+    least `share` of all rows (by default what one shuffle partition holds on average)
+    number at most 1/share, so they are broadcast; all
     other keys are joined by shuffle, where none can dominate a partition.
     """
+    share = share or 1 / int(many.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     total = one.agg(F.sum(weight)).scalar()
     hot = one.filter(F.col(weight) >= F.lit(share) * total)
     cold = one.filter(F.col(weight) < F.lit(share) * total)
@@ -98,12 +102,12 @@ def _as_long(df: DataFrame, name: str) -> Column:
 
 
 def _order(df: DataFrame, keys: list[str], with_nulls: set) -> dict[str, Column]:
-    """The keys as integers that are never null: one that holds nulls becomes (0 or 1, value), nulls first."""
+    """Keys that are longs as integers that are never null: one that holds nulls becomes (0 or 1, value), nulls first."""
     out = {}
     for k in keys:
-        value = _as_long(df, k)
+        value = F.col(k)
         if k in with_nulls:
-            out[f"{k}_known"] = F.col(k).isNotNull().cast("long")
+            out[f"{k}_known"] = value.isNotNull().cast("long")
             value = F.coalesce(value, F.lit(0).cast("long"))
         out[k] = value
     return out
@@ -145,13 +149,6 @@ def rank_cutoff(df: DataFrame, order: dict[str, Column], n: int):
     raise ValueError(f"rows share all of {keys}; add a unique key")
 
 
-def _at_or_before(order: dict[str, Column], cut: tuple) -> Column:
-    before = F.lit(True)
-    for c, value in reversed(list(zip(order.values(), cut))):
-        before = (c < value) | ((c == value) & before)
-    return before
-
-
 def _edge(kind: str, micros_or_number: int) -> Column:
     """A key's integer as a literal of the key's own type, which a filter can push into the scan."""
     if kind == "timestamp_ntz":
@@ -166,21 +163,29 @@ def position_split(df: DataFrame, keys: list[str], n: int):
     """(first n rows, all others) in the total order of `keys`; a null comes before all values.
 
     Keys are integers or timestamps. Every row is in exactly one of the parts. Rows that
-    share all keys are refused if the cut falls between them.
+    share all keys are refused if the cut falls between them. The rows are computed once for their keys, which are
+    written as longs and searched for the cut; the parts compare the keys as they are with literals of their types.
     """
     if n <= 0:
         return df.limit(0), df
-    known = df.agg(F.count("*").alias("_rows"), *[F.count(k).alias(k) for k in keys]).first()
+    narrow = written(df.select(*[_as_long(df, k).alias(k) for k in keys]), "keys")
+    known = narrow.agg(F.count("*").alias("_rows"), *[F.count(k).alias(k) for k in keys]).first()
     if n >= known["_rows"]:
         return df, df.limit(0)
-    order = _order(df, keys, {k for k in keys if known[k] < known["_rows"]})
-    cut = rank_cutoff(df, order, n)
-    first = _at_or_before(order, cut)
+    with_nulls = {k for k in keys if known[k] < known["_rows"]}
+    order = _order(narrow, keys, with_nulls)
+    at = dict(zip(order, rank_cutoff(narrow, order, n)))
+    kinds, first = dict(df.dtypes), F.lit(True)
+    for k in reversed(keys):
+        column, null = F.col(k), not at.get(f"{k}_known", 1)
+        edge = _edge(kinds[k], at[k])
+        equal = column.isNull() if null else F.coalesce(column == edge, F.lit(False))
+        less = F.lit(False) if null else (column.isNull() | (column < edge) if k in with_nulls else column < edge)
+        first = less | (equal & first)
     # The leading key alone, as a plain comparison that reaches the scan.
-    lead, at = F.col(keys[0]), dict(zip(order, cut))
-    edge = _edge(dict(df.dtypes)[keys[0]], at[keys[0]])
+    lead, edge = F.col(keys[0]), _edge(kinds[keys[0]], at[keys[0]])
     low, high = lead <= edge, lead >= edge
-    if f"{keys[0]}_known" in order:
+    if keys[0] in with_nulls:
         low, high = (low | lead.isNull(), high) if at[f"{keys[0]}_known"] else (lead.isNull(), F.lit(True))
     return df.filter(low & first), df.filter(high & ~first)
 

