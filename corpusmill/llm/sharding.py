@@ -9,7 +9,7 @@ import heapq
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmill.session import scratch_path
+from corpusmill.session import scratch_path, written
 
 #: Virtual slots; the map, the totals and what is broadcast have this many rows at any size of the input.
 SLOTS = 4096
@@ -62,14 +62,24 @@ def rebalanced(owner: list[int], totals: dict[int, int], shards: int, tolerance=
 
 
 def sized_records(docs: DataFrame, slots: int, id: str, text: str, keep=()) -> DataFrame:
-    return docs.select(
+    """Records with their slots. Rows alike in id and text share a slot, but where they hold more bytes than a slot has on
+    average: those few (fewer than `slots`) are spread by the number of the copy. Written, so that a copy keeps its number.
+    """
+    records = docs.select(
         F.col(id).alias("id"),
         (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("text_crc32"),
         F.xxhash64(F.col(id), F.col(text)).alias("order"),
-        slot_of(slots, F.col(id), F.col(text)).alias("vslot"),
-        (F.struct(*[F.col(c) for c in keep]) if keep else F.lit(None)).alias("row"),
+        F.monotonically_increasing_id().alias("copy"),
+        (F.struct(*[F.col(c) for c in keep]) if keep else F.lit(None).cast("int")).alias("row"),
     )
+    records = written(records, "records")
+    alike = records.groupBy(F.col("order").alias("same")).agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
+    share = records.agg(F.sum("size")).scalar() / slots
+    hot = alike.where((F.col("n") > 1) & (F.col("bytes") > share)).select("same")  # fewer than `slots` rows
+    spread = records.join(F.broadcast(hot), F.col("order") == F.col("same"), "left")
+    vslot = F.when(F.col("same").isNull(), F.pmod("order", F.lit(slots)).cast("int")).otherwise(slot_of(slots, F.col("order"), F.col("copy")))
+    return spread.withColumn("vslot", vslot).drop("copy", "same")
 
 
 def slot_totals(records: DataFrame) -> DataFrame:
@@ -104,8 +114,8 @@ def shard(docs: DataFrame, shards=16, slots=SLOTS, id="doc_id", text="text", map
     the shard from 0 without gaps, ordered by virtual slot), grown_shard (null under this law), row (a struct of the
     columns in `keep`). An existing map at `map_path` is rebalanced for the new totals and gets a new version.
 
-    Slots are chosen by id and text, so null or repeated ids do not meet in one slot; rows alike in id and text do, and
-    get different places. Ties have no effect on which places exist. An empty table gives an empty result and a map.
+    Slots are chosen by id and text, so null or repeated ids do not meet in one slot; rows alike in id and text do, up to a
+    slot's average bytes, and get different places. Ties have no effect on which places exist. An empty table gives an empty result and a map.
     Other columns are not read unless kept.
     """
     spark = docs.sparkSession
