@@ -3,6 +3,9 @@
 Words are lower case and without punctuation. Over a span of 13 words, six masks each keep the words of two of the four
 position classes (position modulo 4) and ignore the others, so any two substituted words leave one mask whole. The hashes
 of kept words are joined between benchmark and documents; around a hit the whole span is compared word by word.
+
+An item of SHORTEST to 12 words is one span of its own length, with no word substituted. A shorter item is found where it is
+the whole document. A character of a script without blanks is a word; punctuation and blanks of all scripts part words.
 """
 
 import itertools
@@ -13,8 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm import grams
+from corpusmill.session import written
 
-SPAN = 13
+SPAN, SHORTEST = 13, 5
 #: Words that may differ in a span.
 SUBSTITUTED = 2
 MASKS = [[p for p in range(SPAN) if p % 4 in pair] for pair in itertools.combinations(range(4), 2)]
@@ -28,8 +32,15 @@ _BREAKS[48:58] = False
 _BREAKS[97:123] = False
 
 
+#: Scripts that put no blanks between words, and breaks beyond ASCII.
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}]"
+BREAKS = r"[\p{P}\p{Z}&&[^\x00-\x7F]]"
+
+
 def lowered(column) -> Column:
-    return F.lower(F.coalesce(F.col(column), F.lit("")))
+    text = F.lower(F.coalesce(F.col(column), F.lit("")))
+    apart = F.when(text.rlike(UNSPACED), F.regexp_replace(text, f"({UNSPACED})", " $1 ")).otherwise(text)
+    return F.when(text.rlike(BREAKS), F.regexp_replace(apart, BREAKS, " ")).otherwise(apart)
 
 
 def seeds(words: grams.Words):
@@ -53,34 +64,54 @@ def _slices(batch, size=2 << 20):
         begin = end
 
 
-def _spans(words: grams.Words, at: np.ndarray) -> pa.Array:
-    flat = words.hash[(at[:, None] + np.arange(SPAN)).ravel()]
-    return pa.FixedSizeListArray.from_arrays(pa.array(flat.view(np.int64)), SPAN).cast(pa.list_(pa.int64()))
+def _spans(words: grams.Words, at: np.ndarray, size: np.ndarray) -> pa.Array:
+    ends = np.cumsum(size)
+    flat = words.hash[np.repeat(at - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(flat.view(np.int64)))
+
+
+def _whole(words: grams.Words, size: int):
+    """Starts of all runs of `size` words (or only of texts of that many words) and a seed for each."""
+    at = grams.starts(words.first, size)
+    if size < SHORTEST:
+        at = at[words.count[words.text[at]] == size]
+    sums = grams.running(words.hash)
+    return at, grams.mix(grams.window(sums, at, at + size) + np.uint64(size), 31)
+
+
+def _found(words: grams.Words, sizes):
+    """(start, size, seed) of all seeds of a batch: masks of spans, and runs of the given shorter sizes."""
+    at, values = seeds(words)
+    out = [(np.repeat(at, len(MASKS)), np.full(at.size * len(MASKS), SPAN), values.ravel())]
+    for size in sizes:
+        at, value = _whole(words, size)
+        out.append((at, np.full(len(at), size), value))
+    return [np.concatenate(p) for p in zip(*out)]
 
 
 def _seeded(batches, shared=None):
-    """Rows id, seed, span (hashes of its words); with a filter, only seeds that pass it."""
+    """Rows id, seed, span (hashes of its words). Items: all their seeds; documents: those that pass the filter, which also
+    names the sizes of short items."""
     for batch in batches:
         for part in _slices(batch):
             data, offsets = grams.buffers(part.column("text"))
             words = grams.Words(data, offsets, _BREAKS)
-            at, values = seeds(words)
+            bits, sizes = (None, range(1, SPAN)) if shared is None else shared.value
+            at, size, value = _found(words, sizes)
             if shared is None:
-                row, mask = np.nonzero(np.ones(values.shape, bool))
-            else:
-                bits = shared.value
-                one, two = _places(values)
-                hit = (bits[one >> 3] >> (one & 7).astype(np.uint8)) & 1 > 0
-                row, mask = np.nonzero(hit)
-                again = two[row, mask]
-                keep = (bits[again >> 3] >> (again & 7).astype(np.uint8)) & 1 > 0
-                row, mask = row[keep], mask[keep]
+                # An item is short or has spans.
+                keep = (size == SPAN) | (words.count[words.text[at]] == size)
+                at, size, value = at[keep], size[keep], value[keep]
+            for which in () if bits is None else (0, 1):
+                places = _places(value)[which]
+                keep = (bits[places >> 3] >> (places & 7).astype(np.uint8)) & 1 > 0
+                at, size, value = at[keep], size[keep], value[keep]
             # Equal spans of a text say the same.
-            _, first = np.unique(np.stack([words.text[at[row]].astype(np.uint64), values[row, mask], grams.window(grams.running(words.hash), at[row], at[row] + SPAN)], axis=1) if len(row) else np.zeros((0, 3), np.uint64), axis=0, return_index=True)
-            row, mask = row[first], mask[first]
+            content = grams.window(grams.running(words.hash), at, at + size) if len(at) else np.zeros(0, np.uint64)
+            _, first = np.unique(np.stack([words.text[at].astype(np.uint64), value, content], axis=1), axis=0, return_index=True)
+            at, size, value = at[first], size[first], value[first]
             yield pa.RecordBatch.from_arrays(
-                [part.column("id").take(pa.array(words.text[at[row]])), pa.array(values[row, mask].view(np.int64)), _spans(words, at[row])],
-                ["id", "seed", "span"],
+                [part.column("id").take(pa.array(words.text[at])), pa.array(value.view(np.int64)), _spans(words, at, size)], ["id", "seed", "span"]
             )
 
 
@@ -108,19 +139,22 @@ def seed_filter(tests: DataFrame) -> np.ndarray:
 def overlaps(docs: DataFrame, benchmark: DataFrame, id="doc_id", text="text", item="item_id", item_text="text") -> DataFrame:
     """Pairs `id`, `item`, spans: how many spans of the document match a span of the item with two words substituted at most.
 
-    Spans that are equal within a document count once. Items and documents with fewer than 13 words match nothing, as
-    do null texts. Null ids are kept as ids of their own. Other columns are not read.
+    Spans that are equal within a document count once. Shorter items match as a whole, see above; null and empty texts
+    match nothing. Null ids are kept as ids of their own. Other columns are not read.
     """
     spark = docs.sparkSession
     item_type, id_type = benchmark.schema[item].dataType.simpleString(), docs.schema[id].dataType.simpleString()
     items = benchmark.select(F.col(item).alias("id"), lowered(item_text).alias("text"))
     tests = items.mapInArrow(_seeded, f"id {item_type}, seed long, span array<long>")
     tests = tests.select(F.col("id").alias("item"), "seed", F.col("span").alias("item_span")).distinct()
-    shared = spark.sparkContext.broadcast(seed_filter(tests))  # FILTER_BITS / 8 bytes
+    tests = written(tests, "items")
+    short = [r["n"] for r in tests.select(F.size("item_span").alias("n")).where(F.col("n") < SPAN).distinct().collect()]
+    shared = spark.sparkContext.broadcast((seed_filter(tests), sorted(short)))  # FILTER_BITS / 8 bytes and 12 numbers
     rows = docs.select(F.col(id).alias("id"), lowered(text).alias("text"))
     found = rows.mapInArrow(lambda batches: _seeded(batches, shared), f"id {id_type}, seed long, span array<long>")
     same = F.aggregate(F.zip_with("span", "item_span", lambda a, b: (a == b).cast("int")), F.lit(0), lambda s, x: s + x)
-    hits = found.join(tests, "seed").where(same >= SPAN - SUBSTITUTED)
+    least = F.when(F.size("item_span") == SPAN, SPAN - SUBSTITUTED).otherwise(F.size("item_span"))
+    hits = found.join(tests, "seed").where((F.size("span") == F.size("item_span")) & (same >= least))
     return hits.groupBy(F.col("id").alias(id), F.col("item").alias(item)).agg(F.countDistinct("span").alias("spans"))
 
 
