@@ -17,10 +17,11 @@ BASE = {
     "hex": r"[0-9a-f]+",
 }
 
-#: Weak parts: upper case identifiers with digits, long mixed tokens, addresses of services.
+#: Weak parts: upper case identifiers with digits, long tokens of both cases and digits, addresses of services. None has an
+#: upper length.
 WEAK = {
-    "identifier": r"(?<![A-Za-z0-9])(?!AKIA)(?=[A-Z]*[0-9])[A-Z0-9]{16,32}(?![A-Za-z0-9])",
-    "secret": r"(?<![A-Za-z0-9+/=])(?=[A-Za-z+/]*[0-9])(?=[0-9a-z+/]*[A-Z])[A-Za-z0-9+/]{32,88}={0,2}(?![A-Za-z0-9+/=])",
+    "identifier": r"(?<![A-Za-z0-9])(?!AKIA)(?=[A-Z]*[0-9])[A-Z0-9]{16,}(?![A-Za-z0-9])",
+    "secret": r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z+/_-]*[0-9])(?=[0-9a-z+/_-]*[A-Z])(?=[0-9A-Z+/_-]*[a-z])[A-Za-z0-9+/_-]{32,}={0,2}(?![A-Za-z0-9+/=_-])",
     "endpoint": r"""(?:https?|postgres|mysql|mongodb|redis|amqp|s3)://[^\x20\x09-\x0D"'<>]+""",
 }
 
@@ -28,7 +29,7 @@ WEAK = {
 ROLE = {"assign": "secret", "access": "id", "hex": "secret", "identifier": "id", "secret": "secret", "endpoint": "place"}
 NEEDS = {"identifier": ("secret",), "secret": ("id",), "endpoint": ("id", "secret")}
 
-#: Code points between the starts of parts that belong together, at most.
+#: Code points from the end of one part to the start of the next that belongs to it, at most.
 SCOPE = 300
 
 KINDS = [*BASE, *WEAK]
@@ -83,10 +84,10 @@ def row_key(id, text) -> Column:
 
 
 def linked(parts: DataFrame, scope=SCOPE) -> DataFrame:
-    """Strong spans, and the weak ones whose complementary parts start within `scope` code points.
+    """Strong spans, and the weak ones with complementary parts at most `scope` code points away, from end to start.
 
-    The interval join is an equality join on scope-wide bins. A bin is summed up as the first and last start of each
-    role, so a part meets three bins (its own and both neighbours) however many parts they hold. A weak part that
+    The interval join is an equality join on scope-wide bins. A bin is summed up as the first and last start and the last end
+    of each role, so a part meets three bins at its start and three at its end however many parts they hold. A weak part that
     overlaps a strong span is part of it and not reported again.
     """
     strong = F.col("kind").isin(*BASE)
@@ -97,24 +98,43 @@ def linked(parts: DataFrame, scope=SCOPE) -> DataFrame:
     role = F.lit(None)
     for kind, name in ROLE.items():
         role = F.when(F.col("kind") == kind, F.lit(name)).otherwise(role)
+    bin_of = lambda c: F.floor(F.col(c) / scope)
     clear = clear.where("not inside").select(
-        "key", "kind", "start", "end", role.alias("role"), F.floor(F.col("start") / scope).alias("bin")
+        "key", "kind", "start", "end", role.alias("role"), bin_of("start").alias("first"), bin_of("end").alias("last")
     )
     roles = ("id", "secret")
-    ends = [f(F.when(F.col("role") == r, F.col("start"))).alias(f"{n}_{r}") for r in roles for f, n in ((F.min, "min"), (F.max, "max"))]
-    bins = clear.where(F.col("role").isin(*roles)).groupBy("key", "bin").agg(*ends)
+    # Per bin and role: the first and last start in it, and the last end.
+    points = clear.where(F.col("role").isin(*roles)).select(
+        "key", "role", F.explode(F.array(
+            F.struct(F.col("first").alias("bin"), F.col("start").alias("start"), F.lit(None).cast("long").alias("end")),
+            F.struct(F.col("last").alias("bin"), F.lit(None).cast("long").alias("start"), F.col("end").cast("long").alias("end")),
+        )).alias("p")
+    )
+    facts = {"low": ("start", F.min), "high": ("start", F.max), "end": ("end", F.max)}
+    bins = points.groupBy("key", F.col("p.bin").alias("bin")).agg(
+        *[f(F.when(F.col("role") == r, F.col(f"p.{c}"))).alias(f"{name}_{r}") for r in roles for name, (c, f) in facts.items()]
+    )
     # Each bin speaks to itself and to its neighbours: 0 same, -1 it lies before the part's bin, 1 behind.
-    near = bins.select("key", F.explode(F.array(*[F.struct(F.lit(d).alias("side"), (F.col("bin") - d).alias("bin")) for d in (-1, 0, 1)])).alias("b"), *[f"{n}_{r}" for r in roles for n in ("min", "max")])
-    near = near.select("key", "b.side", "b.bin", *[f"{n}_{r}" for r in roles for n in ("min", "max")])
+    sides = F.array(*[F.struct(F.lit(d).alias("side"), (F.col("bin") - d).alias("bin")) for d in (-1, 0, 1)])
+    kept = [f"{name}_{r}" for r in roles for name in facts]
+    near = bins.select("key", F.explode(sides).alias("b"), *kept).select("key", "b.side", "b.bin", *kept)
+    at = lambda side, name, f=F.max: f(F.when(F.col("side") == side, F.col(name)))
     summary = near.groupBy("key", "bin").agg(
-        *[F.max(F.when(F.col("side") == -1, F.col(f"max_{r}"))).alias(f"before_{r}") for r in roles],
-        *[F.max(F.when(F.col("side") == 0, F.col(f"min_{r}"))).alias(f"same_{r}") for r in roles],
-        *[F.min(F.when(F.col("side") == 1, F.col(f"min_{r}"))).alias(f"after_{r}") for r in roles],
+        *[at(-1, f"end_{r}").alias(f"end_before_{r}") for r in roles],
+        *[at(0, f"end_{r}").alias(f"end_same_{r}") for r in roles],
+        *[at(-1, f"high_{r}").alias(f"start_before_{r}") for r in roles],
+        *[at(0, f"high_{r}").alias(f"start_same_{r}") for r in roles],
+        *[at(1, f"low_{r}", F.min).alias(f"start_after_{r}") for r in roles],
     )
+    head = summary.select("key", F.col("bin").alias("first"), *[f"end_{w}_{r}" for w in ("before", "same") for r in roles])
+    tail = summary.select("key", F.col("bin").alias("last"), *[f"start_{w}_{r}" for w in ("before", "same", "after") for r in roles])
+    # An end in the bin of the part's start, or a start in the bin of its end, is near enough or overlaps with the part.
     has = {
-        r: F.col(f"same_{r}").isNotNull()
-        | F.coalesce(F.col("start") - F.col(f"before_{r}") <= scope, F.lit(False))
-        | F.coalesce(F.col(f"after_{r}") - F.col("start") <= scope, F.lit(False))
+        r: F.col(f"end_same_{r}").isNotNull()
+        | F.col(f"start_same_{r}").isNotNull()
+        | F.coalesce(F.col("start") - F.col(f"end_before_{r}") <= scope, F.lit(False))
+        | F.coalesce(F.col(f"start_after_{r}") - F.col("end") <= scope, F.lit(False))
+        | F.coalesce(F.col(f"start_before_{r}") >= F.col("start"), F.lit(False))
         for r in roles
     }
     complete = F.lit(False)
@@ -123,7 +143,7 @@ def linked(parts: DataFrame, scope=SCOPE) -> DataFrame:
         for r in needs:
             both = both & has[r]
         complete = F.when(F.col("kind") == kind, both).otherwise(complete)
-    weak = clear.where(~strong).join(summary, ["key", "bin"]).where(complete)
+    weak = clear.where(~strong).join(head, ["key", "first"], "left").join(tail, ["key", "last"], "left").where(complete)
     return clear.where(strong).select("key", "kind", "start", "end").unionByName(weak.select("key", "kind", "start", "end"))
 
 
