@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -148,6 +149,20 @@ def test_vectors(spark):
     assert cells.near_duplicates(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("width", [8, 16, 64])
+def test_links_of_unclustered_vectors_are_found(spark, width):
+    rng = np.random.default_rng(3)
+    x = cells.unit(rng.normal(size=(3000, width)))
+    aside = rng.normal(size=(300, width))
+    aside = cells.unit(aside - (aside * x[:300]).sum(axis=1, keepdims=True) * x[:300])
+    vectors = np.concatenate([x, 0.903 * x[:300] + (1 - 0.903**2) ** 0.5 * aside])
+    rows = [(i, v) for i, v in enumerate(vectors.tolist())]
+    got = {r["vec_id"]: r["n_links"] for r in cells.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)).collect()}
+    close = vectors @ vectors.T >= 0.9
+    want = close.sum(axis=1) - 1
+    assert sum(got.values()) >= 0.995 * want.sum() and all(got[i] <= want[i] for i in got)
+
+
 def test_mixing(docs, nothing):
     rows = mixing.curriculum(docs).collect()
     assert sum(r["size"] for r in rows) == sum(len(words(r["text"])) for r in docs.collect())
@@ -178,6 +193,26 @@ def test_sharding(docs, nothing, tmp_path):
     assert sharding.shard(nothing).count() == 0
 
 
+def test_repeated_rows_do_not_overfill_a_shard(spark):
+    rows = [(None, "same text")] * 3000 + [(i, "another") for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = sharding.shard(df).collect()
+    sizes, places = Counter(), {}
+    for r in got:
+        sizes[r["shard"]] += r["size"]
+        places.setdefault(r["shard"], []).append(r["slot"])
+    assert len(got) == 6000 and max(sizes.values()) < 1.1 * min(sizes.values())
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+
+
+def test_the_last_stage_keeps_columns_with_clashing_names(spark):
+    import corpus_pipeline
+
+    df = spark.createDataFrame([(1, "a", "mine", 5), (2, None, None, 6)], "doc_id long, text string, size string, Slot int")
+    got = corpus_pipeline.shards(spark, df, None)
+    assert {(r["doc_id"], r["input_size"], r["input_Slot"], r["size"]) for r in got.collect()} == {(1, "mine", 5, 2), (2, None, 6, 1)}
+
+
 def test_secrets(spark, nothing):
     access, weak = "AKIA" + "ABCD1234EFGH5678", "Q7" * 10
     long = "aB3" * 14
@@ -189,6 +224,47 @@ def test_secrets(spark, nothing):
     assert secrets.scan(nothing).count() == 0
 
 
+def plain_spans(text):
+    """All spans of a text by the standard library, weak ones by comparing every pair."""
+    found = []
+    for kind, pattern in secrets.BASE.items():
+        for m in re.finditer(pattern, text):
+            least = {"assign": 12, "access": 18, "hex": 16}[kind]
+            if len(m.group(2) if kind == "assign" else m.group()) >= least:
+                found.append((kind, m.start(), m.end()))
+    weak = [(k, m.start(), m.end()) for k, p in secrets.WEAK.items() for m in re.finditer(p, text)]
+    weak = [w for w in weak if not any(a < w[2] and w[1] < b for _, a, b in found)]
+    parts = found + weak
+    for kind, a, b in weak:
+        held = {secrets.ROLE[k] for k, c, d in parts if max(c - b, a - d) <= secrets.SCOPE}
+        if set(secrets.NEEDS[kind]) <= held:
+            found.append((kind, a, b))
+    return sorted(found, key=lambda s: (s[1], secrets.KINDS.index(s[0])))
+
+
+def test_secrets_equal_plain_matching(spark):
+    rnd = random.Random(12)
+    mixed = lambda n, extra="": "aB3" + "".join(rnd.choices("abcXYZ019" + extra, k=n - 3))
+    upper = lambda n: "Q7" + "".join(rnd.choices("ABCXYZ0123", k=n - 2))
+    make = [
+        lambda: upper(rnd.randint(14, 40)),
+        lambda: mixed(rnd.randint(30, 120), "-_+/"),
+        lambda: "https://host.example/" + "p" * rnd.choice([3, 400]),
+        lambda: "api_key = '" + mixed(rnd.randint(9, 20)) + "'",
+        lambda: "AKIA" + upper(rnd.randint(10, 20)),
+        lambda: "".join(rnd.choices("0123456789abcdef", k=rnd.randint(12, 40))),
+        lambda: "é" * rnd.choice([1, 150, 280, 305]),
+        lambda: " word " * rnd.randint(1, 60),
+    ]
+    rows = [(i, " ".join(rnd.choice(make)() for _ in range(rnd.randint(1, 12))), "x", 0, "y") for i in range(400)]
+    rows += [(1000, upper(34) + " " + mixed(42), "x", 0, "y"), (1001, upper(20) + " " + mixed(93), "x", 0, "y"), (1002, upper(20) + " " + mixed(40) + "-x", "x", 0, "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, kind string, start int, key string").repartition(4)
+    got = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["all"]] for r in secrets.scan(df).collect()}
+    for i, text, *_ in rows:
+        assert got[i] == plain_spans(text), text
+    assert all([k for k, *_ in got[i]] == ["identifier", "secret"] for i in (1000, 1001, 1002))
+
+
 def test_decontamination(spark, docs, nothing):
     rnd = random.Random(9)
     item = rnd.choices(WORDS, k=30)
@@ -201,6 +277,20 @@ def test_decontamination(spark, docs, nothing):
     assert got == {1: [7], 2: [7], 3: [], 4: [], 5: []}
     assert sorted(r["doc_id"] for r in decontaminate.without_leaks(df, bench).collect()) == [3, 4, 5]
     assert decontaminate.contamination(df, bench.limit(0)).where("leaked").count() == 0
+    short = [(1, " ".join(item[:12])), (2, "one two three"), (3, "漢字仮名交じり文です"), (4, "«deux» mots — ou plus, voilà"), (5, "")]
+    bench = spark.createDataFrame(short, "item_id long, text string")
+    rows = [
+        (1, "a " + " ".join(item[:12]) + " b"),
+        (2, " ".join(item[:11])),
+        (3, "One, two; three!"),
+        (4, "one two three four"),
+        (5, "前漢字仮名交じり文です。後"),
+        (6, "x deux mots ou plus voilà y"),
+        (7, " ".join(["other", *item[1:12]])),
+        (8, None),
+    ]
+    found = decontaminate.contamination(spark.createDataFrame(rows, "doc_id long, text string"), bench)
+    assert {r["doc_id"]: r["items"] for r in found.collect()} == {1: [1], 2: [], 3: [2], 4: [], 5: [3], 6: [4], 7: [], 8: []}
     assert decontaminate.contamination(nothing, bench).count() == 0
 
 
