@@ -1,5 +1,7 @@
 """Stages from raw documents to shards; each is written as Parquet and read again as the next one's documents."""
 
+from pyspark.sql import functions as F
+
 from corpusmill.llm import bagminhash, decontaminate, mixing, sharding, toxicity
 from corpusmill.session import scratch_path, table
 
@@ -25,9 +27,10 @@ def mix(spark, docs, sf_dir):
 
 
 def shards(spark, docs, sf_dir):
-    """Shard and place of every document, with its columns."""
+    """Shard and place of every document, with its columns; one that is named like a column of the shards gets `input_`."""
     own = ["size", "text_crc32", "law", "vslot", "shard", "slot", "grown_shard"]
-    return sharding.shard(docs, keep=[c for c in docs.columns if c not in own]).select("row.*", *own)
+    kept = [F.col(f"row.`{c}`").alias(f"input_{c}" if c.lower() in own else c) for c in docs.columns]
+    return sharding.shard(docs, keep=docs.columns).select(*kept, *own)
 
 
 STAGES = [
