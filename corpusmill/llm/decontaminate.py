@@ -32,15 +32,16 @@ _BREAKS[48:58] = False
 _BREAKS[97:123] = False
 
 
-#: Scripts that put no blanks between words, and breaks beyond ASCII.
-UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}]"
-BREAKS = r"[\p{P}\p{Z}&&[^\x00-\x7F]]"
+#: Fixed values, as plain ranges, which a pattern tests fast. Scripts that put no blanks between words (Thai, Lao, Tibetan,
+#: Burmese, Khmer, kana, Chinese characters), and punctuation and blanks beyond ASCII.
+UNSPACED = r"\u0E01-\u0E4E\u0E81-\u0ECE\u0F40-\u0FBC\u1000-\u1049\u1050-\u109F\u1780-\u17D3\u3041-\u30FA\u30FC-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF"
+BREAKS = r"\u00A0\u00A1\u00A7\u00AB\u00B6\u00B7\u00BB\u00BF\u1680\u2000-\u206F\u2E00-\u2E5D\u3000-\u3003\u3008-\u3020\u3030\u30FB\uFE10-\uFE19\uFE30-\uFE6B\uFF01-\uFF0F\uFF1A-\uFF20\uFF3B-\uFF40\uFF5B-\uFF65"
 
 
 def lowered(column) -> Column:
     text = F.lower(F.coalesce(F.col(column), F.lit("")))
-    apart = F.when(text.rlike(UNSPACED), F.regexp_replace(text, f"({UNSPACED})", " $1 ")).otherwise(text)
-    return F.when(text.rlike(BREAKS), F.regexp_replace(apart, BREAKS, " ")).otherwise(apart)
+    parted = F.regexp_replace(F.regexp_replace(text, f"[{BREAKS}]", " "), f"([{UNSPACED}])", " $1 ")
+    return F.when(text.rlike(f"[{BREAKS}{UNSPACED}]"), parted).otherwise(text)
 
 
 def seeds(words: grams.Words):
