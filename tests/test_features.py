@@ -90,3 +90,24 @@ def test_subwords_equal_plain_longest_match(spark):
         assert found[i] == [x for w in listed for x in ([1] if len(w) > 100 else plain_subwords(w, pieces, 1))], t
     cut = {r.id: r.ids for r in features.subword_ids(df, "id", "text", pieces, 1, begin=2, end=3, max_length=6).collect()}
     assert cut == {i: [2, *ids[:4], 3] for i, ids in found.items()}
+
+
+def test_term_weights_with_and_without_a_broadcast(spark, texts, monkeypatch):
+    import math
+
+    rows = {i: Counter(plain_words(t)) for i, t in TEXTS}
+    spread = Counter(w for words in rows.values() for w in words)
+    want = {}
+    for i, words in rows.items():
+        raw = {w: n * (math.log((1 + len(TEXTS)) / (1 + spread[w])) + 1) for w, n in words.items()}
+        length = math.sqrt(sum(v * v for v in raw.values()))
+        want |= {(i, w): v / length for w, v in raw.items()}
+    for bytes in (1 << 20, 0):
+        monkeypatch.setattr(features, "BROADCAST_BYTES", bytes)
+        found = features.tfidf(texts.repartition(3), "doc_id", "text")
+        got = {(r.doc_id, r.term): r.weight for r in found.collect()}
+        assert got == pytest.approx(want, abs=1e-12)
+    # In place: nothing moves but what `repartition` moves.
+    monkeypatch.setattr(features, "BROADCAST_BYTES", 1 << 20)
+    assert "Exchange" not in features.tfidf(texts, "doc_id", "text")._jdf.queryExecution().executedPlan().toString()
+    assert features.tfidf(texts.limit(0), "doc_id", "text").count() == 0
