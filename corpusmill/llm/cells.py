@@ -15,6 +15,8 @@ from corpusmill.session import written
 
 #: Vectors that the centres are fitted on, at most, and centres at most.
 SAMPLE, CENTRES = 20_000, 4000
+#: Rows of one side of a block product.
+BLOCK = 2048
 
 
 def margin_of(length: int) -> float:
@@ -26,10 +28,6 @@ def margin_of(length: int) -> float:
     return min(0.3, 0.12 + 1.5 / max(1, length))
 
 
-#: Rows of one side of a block product.
-BLOCK = 2048
-
-
 def unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
