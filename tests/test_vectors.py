@@ -136,3 +136,49 @@ def test_hashed_embedding_counts_words(spark):
     df = spark.createDataFrame([("Tea tea cup", ), ("",)], "t string")
     a, b = [r.v for r in df.select(vec.hashed_embedding(F.col("t"), 16).alias("v")).collect()]
     assert sorted(a, reverse=True)[:2] in ([2.0, 1.0], [3.0, 0.0]) and sum(a) == 3 and sum(b) == 0 and len(b) == 16
+
+
+def test_large_searches_send_rows_to_few_tasks(data, clusters, monkeypatch):
+    _, _, c, q = data
+    sent = []
+    count = lambda corpus, queries: sent.append((corpus.select(F.sum(F.size("blocks"))).first()[0], queries.count()))
+    monkeypatch.setattr(vec, "_by_tiles", lambda corpus, queries, *options: count(corpus, queries))
+    vec.nearest(c, q, 3, broadcast_bytes=100)
+    assert sent.pop() == (301, 41)
+    # 200 queries in blocks of 15, but few of them in a cell.
+    asked = clusters.filter("id % 20 = 0").withColumnRenamed("id", "query_id")
+    vec.nearest_pruned(vec.cell_index(clusters, metric="l2"), asked, 3, "l2", query_rows=15, broadcast_bytes=0)
+    assert sent.pop()[0] < 2 * 4000
+
+
+def test_pieces_give_all_cores_work_within_memory():
+    assert vec._pieces(300, 40, 6, 8) == (1, 1)
+    tiles, blocks = vec._pieces(50_000, 50_000, 64, 12)
+    assert tiles * blocks >= 48 and max(tiles, blocks) <= 8
+    assert vec._pieces(6_000_000, 400_000, 64, 12) == (120, 8)
+
+
+@pytest.mark.parametrize("metric", vec.METRICS)
+@pytest.mark.parametrize("kind", ["counts", "far", "copies", "zeros"])
+def test_screened_scores_equal_all_scores(metric, kind, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = {
+        "counts": rng.poisson(2.0, (3000, 16)).astype("float32"),
+        "far": rng.normal(1000, 1, (3000, 16)),
+        "copies": np.repeat(rng.normal(0, 1, (10, 16)), 300, axis=0),
+        "zeros": np.zeros((3000, 16)),
+    }[kind]
+    asked, ids = np.r_[rows[:20], rng.normal(0, 3, (20, 16))], rng.permutation(3000)
+    want = vec._scored_best(asked, 0, ids, rows, 5, metric, 6)
+    monkeypatch.setattr(vec, "SCORE_CELLS", 10_000)
+    monkeypatch.setattr(vec, "_scored_best", None)
+    got = vec._block_best(asked, ids, rows, 5, metric, 6)
+    assert np.array_equal(got[0], want[0]) and np.allclose(got[2], want[2], rtol=1e-9, atol=2e-6)
+    if kind != "far":
+        assert np.array_equal(got[1], want[1])
+
+
+def test_numbers_beyond_single_precision(monkeypatch):
+    rows = np.random.default_rng(4).normal(0, 1, (2000, 4)) * 1e30
+    q, ids, scores = vec._block_best(rows[:3], np.arange(2000), rows, 2, "cosine", 6)
+    assert ids[::2].tolist() == [0, 1, 2] and scores[::2].tolist() == [1.0, 1.0, 1.0]
