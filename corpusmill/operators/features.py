@@ -8,6 +8,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusmill.functions.slices import slices
 from corpusmill.functions.text import words
 from corpusmill.operators.relational import heavy_join
 from corpusmill.session import written
@@ -27,11 +28,31 @@ def token_ids(text: Column, size: int) -> Column:
 
 
 def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, term, tf). A document lies in one task, so its terms collapse before the shuffle."""
+    """(key, term, tf). While every key has one row, which is looked up first, terms are counted where their text lies.
+
+    Else the rows of a key are counted together, in a shuffle.
+    """
+    if df.groupBy(key).count().where("count > 1").isEmpty():
+        return _counted(df.select(key, words(F.col(text)).alias("words")), key)
     terms = df.select(key, F.explode(words(F.col(text))).alias("term"))
     return terms.groupBy(key, "term").agg(F.count("*").alias("tf"))
 
 
+def _counted(rows: DataFrame, key: str) -> DataFrame:
+    def run(batches):
+        for batch in (part for whole in batches for part in slices(whole)):
+            lists = batch.column("words")
+            coded = lists.flatten().dictionary_encode()
+            row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+            pairs, counts = np.unique(row * len(coded.dictionary) + coded.indices.to_numpy().astype(np.int64), return_counts=True)
+            row, at = np.divmod(pairs, max(1, len(coded.dictionary)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(key).take(pa.array(row)), coded.dictionary.take(pa.array(at)), pa.array(counts, pa.int64())], [key, "term", "tf"]
+            )
+
+    return rows.mapInArrow(run, f"{key} {rows.schema[key].dataType.simpleString()}, term string, tf long")
+
+
 def tfidf(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, term, weight): tf * (ln((1 + n) / (1 + df)) + 1), scaled to unit length per document; `key` is unique.
 
@@ -58,7 +79,7 @@ def _weighed(rows: DataFrame, key: str, spread: DataFrame, n: int) -> DataFrame:
 
     def run(batches):
         terms, idf = pa.array(shared.value[0], pa.string()), shared.value[1]
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             lists = batch.column("words")
             at = pc.index_in(lists.flatten(), value_set=terms).to_numpy()
             row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
@@ -138,11 +159,28 @@ def vocabulary_ids(df: DataFrame, key: str, text: str, terms: Vocabulary, target
     texts = written(df.select(key, words(F.coalesce(text, F.lit(""))).alias("words")), "words")
     placed = texts.select(key, F.posexplode("words").alias("pos", "term"))
     known = heavy_join(placed, terms.terms, "term", "n").select(key, "pos", "id")
-    lists = known.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("pos", "id"))).alias("by"))
-    slots = F.sequence(F.lit(0), F.size("words") - 1)
-    found = F.transform(slots, lambda i: F.coalesce(F.try_element_at("by", i), F.lit(UNKNOWN)))
-    ids = F.when(F.size("words") == 0, F.array().cast("array<int>")).otherwise(found)
-    return texts.join(lists, key, "left").select(key, ids.alias(target))
+    lists = known.groupBy(key).agg(F.collect_list(F.struct("pos", "id")).alias("by"))
+    return _put_back(texts.select(key, F.size("words").alias("n")).join(lists, key, "left"), key, target)
+
+
+def _put_back(rows: DataFrame, key: str, target: str) -> DataFrame:
+    """(key, target): n ids a row, those of `by` (pos, id) at their positions, UNKNOWN elsewhere."""
+
+    def run(batches):
+        for batch in (part for whole in batches for part in slices(whole)):
+            lists = batch.column("by")
+            sizes = batch.column("n").to_numpy()
+            offsets = np.r_[0, np.cumsum(sizes, dtype=np.int64)]
+            ids = np.full(offsets[-1], UNKNOWN, np.int32)
+            pos, id = (x.to_numpy() for x in lists.flatten().flatten())
+            row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+            at = offsets[row] + pos
+            if (pos >= sizes[row]).any() or np.bincount(at).max(initial=0) > 1:
+                raise ValueError(f"{key} is not unique")
+            ids[at] = id
+            yield _with_lists(batch, key, pa.array(offsets, pa.int32()), ids, target)
+
+    return rows.mapInArrow(run, f"{key} {rows.schema[key].dataType.simpleString()}, {target} array<int>")
 
 
 def _looked_up(rows: DataFrame, key: str, terms: Vocabulary, target: str) -> DataFrame:
@@ -152,7 +190,7 @@ def _looked_up(rows: DataFrame, key: str, terms: Vocabulary, target: str) -> Dat
 
     def run(batches):
         known, ids = pa.array(shared.value[0], pa.string()), np.r_[shared.value[1], UNKNOWN].astype(np.int32)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             lists = batch.column("words")
             at = pc.fill_null(pc.index_in(lists.flatten(), value_set=known), len(ids) - 1).to_numpy()
             yield _with_lists(batch, key, lists.offsets, ids[at], target)
@@ -170,6 +208,8 @@ def _with_lists(batch, key, offsets, values, target):
 
 #: The mark of a piece inside a word, and what is a piece of text of its own.
 INSIDE = "##"
+#: Words whose pieces a task keeps, some 300 bytes each.
+MOST_KNOWN = 100_000
 PRETOKEN = r"[\p{L}\p{N}_]+|[^\s\p{L}\p{N}_]"
 
 
@@ -220,11 +260,11 @@ def subword_ids(df: DataFrame, key: str, text: str, pieces: dict[str, int], unkn
 
     def run(batches):
         cutter, known = Subwords(*shared.value), {}
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             lists = batch.column("words")
             coded = lists.flatten().dictionary_encode()
             distinct = coded.dictionary.to_pylist()
-            if len(known) > 1_000_000:
+            if len(known) > MOST_KNOWN:
                 known.clear()
             cuts = [known[w] if w in known else known.setdefault(w, cutter.cut(w)) for w in distinct]
             sizes = np.array([len(c) for c in cuts], np.int64)

@@ -111,3 +111,37 @@ def test_term_weights_with_and_without_a_broadcast(spark, texts, monkeypatch):
     monkeypatch.setattr(features, "BROADCAST_BYTES", 1 << 20)
     assert "Exchange" not in features.tfidf(texts, "doc_id", "text")._jdf.queryExecution().executedPlan().toString()
     assert features.tfidf(texts.limit(0), "doc_id", "text").count() == 0
+
+
+def test_terms_are_counted_where_texts_lie_unless_keys_repeat(spark, texts):
+    alone = features.term_counts(texts, "doc_id", "text")
+    assert "Exchange" not in alone._jdf.queryExecution().executedPlan().toString()
+    want = Counter((i, w) for i, t in TEXTS for w in plain_words(t))
+    assert {(r.doc_id, r.term): r.tf for r in alone.collect()} == want
+    twice = features.term_counts(texts.union(texts).repartition(3), "doc_id", "text")
+    assert {(r.doc_id, r.term): r.tf for r in twice.collect()} == {k: 2 * n for k, n in want.items()}
+
+
+def test_a_long_text_is_put_back_by_position(spark, monkeypatch):
+    monkeypatch.setattr(features, "BROADCAST_BYTES", 0)
+    df = spark.createDataFrame([(1, " ".join(f"w{i % 300}x" for i in range(3000)) + " once"), (2, None), (3, "")], "doc_id long, text string")
+    terms = features.vocabulary(df, "text", min_count=2)
+    found = features.vocabulary_ids(df, "doc_id", "text", terms)
+    assert "map_from_entries" not in found._jdf.queryExecution().toString()
+    known = {r.term: r.id for r in terms.terms.collect()}
+    ids = {r.doc_id: r.ids for r in found.collect()}
+    assert ids == {1: [known[f"w{i % 300}x"] for i in range(3000)] + [features.UNKNOWN], 2: [], 3: []}
+
+
+@pytest.mark.parametrize("bytes", [0, 1 << 20])
+def test_python_steps_see_few_rows_at_a_time(spark, monkeypatch, bytes):
+    import pyarrow as pa
+    from corpusmill.functions import slices
+
+    monkeypatch.setattr(slices, "SLICE_BYTES", bytes)
+    sizes = [len(part) for part in slices.slices(pa.array(["ab" * 50_000] * 30))]
+    assert sum(sizes) == 30 and max(sizes) == (10 if bytes else 1)
+    assert [len(part) for part in slices.slices(pa.array([], pa.string()))] == [0]
+    seen = slices.sliced("int", lambda rows: pa.array([len(rows)] * len(rows), pa.int32()))
+    df = spark.range(500).repartition(2).select(F.repeat(F.lit("x"), 10_000).alias("t"))
+    assert df.select(seen("t").alias("n")).agg(F.max("n")).first()[0] < 250
