@@ -8,15 +8,20 @@ element's content is the slice pos..last of the array.
 from bisect import bisect_left, bisect_right
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from corpusmill.functions.slices import each
 from corpusmill.functions.text import WHITESPACE, strip
 
 NODES = (
     "array<struct<pos:int,last:int,parent:int,tag:string,id:string,class:string,href:string,text:string>>"
 )
+TEXTS = pa.list_(pa.string())
+ARROW_NODES = pa.list_(
+    pa.struct([*((n, pa.int32()) for n in ("pos", "last", "parent")), *((n, pa.string()) for n in ("tag", "id", "class", "href", "text"))])
+)
 
 # Fixed values of HTML: elements without content, and elements whose content is no text.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -67,17 +72,19 @@ class _Nodes(HTMLParser):
 def nodes(html) -> Column:
     """The nodes of a page; null for a null page."""
 
-    @F.pandas_udf(NODES)
-    def parse(pages: pd.Series) -> pd.Series:
-        return pages.map(lambda page: _Nodes().result(page), na_action="ignore")
-
-    return parse(html)
+    return each(NODES, ARROW_NODES, lambda page: _Nodes().result(page))(html)
 
 
 # --- headings in one pass over the nodes of a page ---------------------------
 
 ENTRIES = "array<struct<title:string,description:string>>"
 SECTIONS = "array<struct<title:string,paragraphs:array<string>,h3_sections:array<struct<title:string,paragraphs:array<string>>>>>"
+ARROW_ENTRIES = pa.list_(pa.struct([("title", pa.string()), ("description", pa.string())]))
+ARROW_SECTIONS = pa.list_(
+    pa.struct(
+        [("title", pa.string()), ("paragraphs", TEXTS), ("h3_sections", pa.list_(pa.struct([("title", pa.string()), ("paragraphs", TEXTS)])))]
+    )
+)
 
 
 class _Texts:
@@ -120,22 +127,14 @@ def _sections(page):
     return out
 
 
-def _folded(fold, kind, html) -> Column:
-    @F.pandas_udf(kind)
-    def parse(pages: pd.Series) -> pd.Series:
-        return pages.map(lambda page: fold(_Nodes().result(page)), na_action="ignore")
-
-    return parse(html)
-
-
 def entries(html) -> Column:
     """A page's h2 headings, each with the next p after its start tag; null for a null page."""
-    return _folded(_entries, ENTRIES, html)
+    return each(ENTRIES, ARROW_ENTRIES, lambda page: _entries(_Nodes().result(page)))(html)
 
 
 def sections(html) -> Column:
     """A page's h2 sections: own paragraphs and h3 groups, from the h2's siblings; null for a null page."""
-    return _folded(_sections, SECTIONS, html)
+    return each(SECTIONS, ARROW_SECTIONS, lambda page: _sections(_Nodes().result(page)))(html)
 
 
 # --- selection over a `nodes` column ---------------------------------------
