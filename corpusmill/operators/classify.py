@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.functions.slices import sliced, slices
 from corpusmill.operators.features import token_ids
 from corpusmill.session import written
 
@@ -56,7 +57,7 @@ def features(rows: DataFrame, ids: str, idf) -> DataFrame:
     keep = [c for c in rows.columns if c != ids]
 
     def weigh(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             row, bucket, value = _sparse(batch.column(ids), idf.value)
             starts = pa.array(np.searchsorted(row, np.arange(batch.num_rows + 1)), pa.int32())
             yield pa.RecordBatch.from_arrays(
@@ -101,7 +102,7 @@ def _asked(data: DataFrame, weights, intercept: int) -> pd.DataFrame:
         w, b = shared.value
         sums = np.zeros((2, len(w)), np.int64)
         rows = [0, 0]
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             row, bucket, value, margin = _margins(batch, w, b)
             positive = batch.column("positive").to_numpy(zero_copy_only=False)
             inside = np.where(positive, margin, -margin) < WEIGHT * VALUE
@@ -154,15 +155,14 @@ def predict(model: LinearModel, df: DataFrame, text="text", target="predicted")
     """`df` with the predicted label 0 or 1; a narrow transformation."""
     shared = df.sparkSession.sparkContext.broadcast(tuple(model))
 
-    @F.pandas_udf("int")
-    def decide(rows: pd.Series) -> pd.Series:
+    def decide(rows):
         idf, weights, intercept = shared.value
-        row, bucket, value = _sparse(pa.array(rows, pa.list_(pa.int32())), idf)
+        row, bucket, value = _sparse(rows, idf)
         sums = np.zeros(len(rows), np.int64)
         np.add.at(sums, row, weights[bucket] * value)
-        return pd.Series((sums + intercept * VALUE > 0).astype("int32"))
+        return pa.array((sums + intercept * VALUE > 0).astype("int32"))
 
-    return df.withColumn(target, decide(token_ids(F.coalesce(text, F.lit("")), len(model.weights))))
+    return df.withColumn(target, sliced("int", decide)(token_ids(F.coalesce(text, F.lit("")), len(model.weights))))
 
 
 def retrain(old: DataFrame, batch: DataFrame, **options):
