@@ -182,3 +182,13 @@ def test_numbers_beyond_single_precision(monkeypatch):
     rows = np.random.default_rng(4).normal(0, 1, (2000, 4)) * 1e30
     q, ids, scores = vec._block_best(rows[:3], np.arange(2000), rows, 2, "cosine", 6)
     assert ids[::2].tolist() == [0, 1, 2] and scores[::2].tolist() == [1.0, 1.0, 1.0]
+
+
+def test_embeddings_hash_words_once_by_the_rule_of_token_ids(spark):
+    from corpusmill.operators.features import token_ids
+
+    rows = [("Tea tea cup été 4711",), ("",), (None,), ("cup " * 500,)]
+    df = spark.createDataFrame(rows, "t string").coalesce(1).select("t", vec.hashed_embedding(F.col("t"), 16).alias("v"))
+    assert "md5" not in df._jdf.queryExecution().executedPlan().toString()
+    for row, (ids,) in zip(df.collect(), df.select(token_ids(F.col("t"), 16)).collect()):
+        assert row.v == [float((ids or []).count(i + 1)) for i in range(16)]
