@@ -360,6 +360,8 @@ KEPT_REACHES = 32
 PIVOT_BYTES = 64 << 20
 #: Tops whose pivots a row is compared with, and cells whose rows bound a query's k-th neighbour.
 PROBES, NEAR_CELLS = 2, 16
+#: Distances to pivots held at once, and what a visit takes in a task: a cell's and a query's number.
+PIVOT_CELLS, VISIT_BYTES = 1 << 20, 8
 
 
 def pivot_tree(sample: np.ndarray) -> PivotTree:
@@ -462,7 +464,7 @@ def _visits(bounds: Bounds, x, k: int, digits: int):
     """
     rows, cells = [], []
     near = min(len(bounds.pivots), NEAR_CELLS + -(-4 * k // KEPT_REACHES))
-    step = max(1, SCORE_CELLS // (len(bounds.pivots) + near * KEPT_REACHES))
+    step = max(1, PIVOT_CELLS // (len(bounds.pivots) + near * KEPT_REACHES))
     for low in range(0, len(x), step):
         gap = _distances(x[low : low + step], bounds.pivots)
         closest = np.argpartition(gap, near - 1, axis=1)[:, :near]
@@ -482,7 +484,7 @@ def nearest_pruned(index: CellIndex, queries: DataFrame, k=5, metric="cosine", d
     """The result of `nearest`, computing only cells that can hold a neighbour.
 
     The saving is measured first: vectors without clusters are searched in full by `nearest`, which then moves less. Few
-    queries go to the index, whose rows stay where they are; only cells that some query visits are read. Many queries are
+    queries with few cells go to the index, whose rows stay where they are; only cells that some query visits are read. Many queries are
     dealt to the cells they visit, and large cells are cut into tiles, so no cell lands in one task.
     """
     spark, cells = queries.sparkSession, index.cells
@@ -504,10 +506,11 @@ def nearest_pruned(index: CellIndex, queries: DataFrame, k=5, metric="cosine", d
     layout = spark.createDataFrame([(int(c), int(n)) for c, n in zip(cells["cell"], cells["rows"])], "cell int, n long")
     pairs = searched.select("query_id", F.explode("cells").alias("cell")).join(F.broadcast(layout), "cell")
     rows, width = searched.agg(F.count("*"), F.max(F.size("vector"))).first()
-    total, seen = int(cells["rows"].sum()), (pairs.agg(F.sum("n")).first()[0] or 0) if rows else 0
-    if not rows or seen > (1 - min_saving) * total * rows:
+    seen, visits = pairs.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first() if rows else (0, 0)
+    if not rows or seen > (1 - min_saving) * int(cells["rows"].sum()) * rows:
         return nearest(index.rows, asked, k, metric, digits)
-    if rows * width * 8 <= broadcast_bytes:
+    # Each worker has them all: a query's id and vector, and its cells, which are the larger part of short vectors.
+    if rows * (8 * width + 8) + visits * VISIT_BYTES <= broadcast_bytes:
         return _in_place(index.rows, searched, k, metric, digits)
     # A cell's queries are cut into blocks by their own number, so that a row is sent to the few that search in its cell.
     visits = pairs.groupBy("cell").agg(F.count("*").alias("asked"))
@@ -527,7 +530,7 @@ def _in_place(rows: DataFrame, searched: DataFrame, k: int, metric: str, digits:
     kinds, schema = _result(rows, searched)
     local = searched.toArrow()  # measured by the caller
     lists = local.column("cells").combine_chunks()
-    query = np.repeat(np.arange(local.num_rows), np.diff(lists.offsets.to_numpy()))
+    query = np.repeat(np.arange(local.num_rows, dtype="int32"), np.diff(lists.offsets.to_numpy()))
     cell = lists.flatten().to_numpy()
     order = np.argsort(cell, kind="stable")
     shared = spark.sparkContext.broadcast((_names(local.column("query_id")), _arrow_matrix(local.column("vector")), cell[order], query[order]))
@@ -538,7 +541,7 @@ def _in_place(rows: DataFrame, searched: DataFrame, k: int, metric: str, digits:
 
     def scan(batches):
         names, vectors, cells, asking = shared.value
-        parts, held = [], 0
+        parts, held, most = [], 0, PAIRS
         for batch in batches:
             ids, at, x = _names(batch.column("id")), batch.column("cell").to_numpy(), _arrow_matrix(batch.column("vector"))
             for c in np.unique(at):
@@ -549,9 +552,10 @@ def _in_place(rows: DataFrame, searched: DataFrame, k: int, metric: str, digits:
                 q, found, scores = _block_best(vectors[who], ids[mine], x[mine], k, metric, digits)
                 parts.append((who[q], found, scores))
                 held += len(q)
-                if held > SCORE_CELLS:
+                if held > most:
+                    # What is held stays within some times the best of the queries met, and each pair is sorted few times.
                     parts = merged(parts)
-                    held = 0
+                    held, most = 0, max(PAIRS, len(parts[0][0]))
         if parts:
             yield pa.RecordBatch.from_arrays(_pairs(schema, names, *merged(parts)[0]), schema=schema)
 

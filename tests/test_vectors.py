@@ -96,6 +96,22 @@ def test_pruning_engages_on_clusters(spark, clusters, monkeypatch, metric, bytes
     assert found(vec.nearest_pruned(index, asked, 3, metric, broadcast_bytes=bytes)) == want
 
 
+def test_lists_of_cells_count_as_what_is_sent(clusters, monkeypatch):
+    # 200 queries of 16 numbers fit in the limit, with the cells they visit they do not.
+    asked = clusters.filter("id % 20 = 0").withColumnRenamed("id", "query_id")
+    want, index = found(vec.nearest(clusters, asked, 3, "l2")), vec.cell_index(clusters, metric="l2")
+    monkeypatch.setattr(vec, "_in_place", None)
+    assert found(vec.nearest_pruned(index, asked, 3, "l2", broadcast_bytes=200 * (8 * 16 + 8))) == want
+
+
+def test_merging_often_keeps_the_best(clusters, monkeypatch):
+    asked = clusters.filter("id % 20 = 0").withColumnRenamed("id", "query_id")
+    want, index = found(vec.nearest(clusters, asked, 3, "l2")), vec.cell_index(clusters, metric="l2")
+    monkeypatch.setattr(vec, "PAIRS", 1)
+    monkeypatch.setattr(vec, "PIVOT_CELLS", 1)
+    assert found(vec.nearest_pruned(index, asked, 3, "l2")) == want
+
+
 def test_cells_grow_with_the_corpus_within_a_bound(clusters, monkeypatch):
     assert len(vec.cell_index(clusters.limit(400), metric="l2").cells) <= 20 < len(vec.cell_index(clusters, metric="l2").cells)
     monkeypatch.setattr(vec, "PIVOT_BYTES", 8 * 16 * 5)
