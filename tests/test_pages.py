@@ -1,9 +1,15 @@
+from pathlib import Path
+
+import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from corpusmill.functions import html
 from corpusmill.operators import links
 from corpusmill.operators import documents as doc
 from corpusmill.operators.links import reachable, relevant_urls
+from corpusmill.session import shared_dir
+from corpusmill.sources import readers, writers
 
 
 def raw(spark, *html):
@@ -212,3 +218,41 @@ def test_crawls_without_seeds_and_with_a_page_limit(spark):
     assert links.reachable(edges, one, max_pages=1).count() == 1
     assert links.reachable(edges, one, max_depth=1).count() == 4
     assert links.reachable(edges.limit(0), one).count() == 1
+
+
+@pytest.mark.parametrize("mounted", [True, False])
+def test_a_file_per_row_in_few_folders(spark, tmp_path, monkeypatch, mounted):
+    monkeypatch.setattr(writers, "FOLDER_FILES", 20)
+    if not mounted:
+        monkeypatch.setattr(writers, "_mounted", lambda *_: False)
+    # Equal rows are files of their own, and a null is an empty line.
+    texts = [f"<p>é {i % 90}\n</p>" for i in range(200)] + ["", "", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "html string").repartition(3)
+    site = f"file://{tmp_path}/site"
+    writers.write_files(rows, site, "html")
+    (tmp_path / "site/_0-0-99").mkdir()
+    (tmp_path / "site/_0-0-99/part-0.txt").write_text("of an attempt that failed")
+    pages = readers.read_pages(spark, site, pattern="*.txt")
+    assert sorted(r.html for r in pages.collect()) == sorted((t or "") + "\n" for t in texts)
+    folders = [f for f in (tmp_path / "site").iterdir() if f.is_dir() and not f.name.startswith("_")]
+    assert len(folders) <= (203 // 20 + 3 if mounted else writers.FOLDERS)
+
+
+def test_pages_of_a_table_have_no_folder_each(spark, sf):
+    queries()["src7_html_folder"](spark, sf)
+    sites = Path(shared_dir(spark).removeprefix("file://")).glob("site-*")
+    newest = max(sites, key=lambda f: f.stat().st_mtime)
+    assert len([f for f in newest.iterdir() if f.is_dir()]) < 64
+
+
+def test_small_files_are_read_many_a_task(spark, tmp_path, monkeypatch):
+    rows = spark.range(1000).select(F.col("id").cast("string").alias("html"))
+    writers.write_files(rows, f"file://{tmp_path}/site", "html")
+    few = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")
+    try:
+        pages = readers.read_pages(spark, f"file://{tmp_path}/site", pattern="*.txt")
+        assert pages.rdd.getNumPartitions() <= max(1000 // 16, 4 * spark.sparkContext.defaultParallelism)
+        assert pages.distinct().count() == 1000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", few)
