@@ -32,19 +32,29 @@ def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
 
     Else the rows of a key are counted together, in a shuffle.
     """
-    if df.groupBy(key).count().where("count > 1").isEmpty():
+    if _unique(df, key):
         return _counted(df.select(key, words(F.col(text)).alias("words")), key)
     terms = df.select(key, F.explode(words(F.col(text))).alias("term"))
     return terms.groupBy(key, "term").agg(F.count("*").alias("tf"))
 
 
-def _counted(rows: DataFrame, key: str) -> DataFrame:
+def _unique(df: DataFrame, key: str) -> bool:
+    return df.groupBy(key).count().where("count > 1").isEmpty()
+
+
+def _counted(rows: DataFrame, key: str, without=None) -> DataFrame:
+    """(key, term, tf); terms of the broadcast `without` have no row."""
+
     def run(batches):
+        known = set(without.value[0]) if without else ()
         for batch in (part for whole in batches for part in slices(whole)):
             lists = batch.column("words")
             coded = lists.flatten().dictionary_encode()
-            row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
-            pairs, counts = np.unique(row * len(coded.dictionary) + coded.indices.to_numpy().astype(np.int64), return_counts=True)
+            row, code = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy())), coded.indices.to_numpy().astype(np.int64)
+            if known:
+                rest = np.array([w not in known for w in coded.dictionary.to_pylist()], bool)[code]
+                row, code = row[rest], code[rest]
+            pairs, counts = np.unique(row * len(coded.dictionary) + code, return_counts=True)
             row, at = np.divmod(pairs, max(1, len(coded.dictionary)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(key).take(pa.array(row)), coded.dictionary.take(pa.array(at)), pa.array(counts, pa.int64())], [key, "term", "tf"]
@@ -56,8 +66,9 @@ def _counted(rows: DataFrame, key: str) -> DataFrame:
 def tfidf(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, term, weight): tf * (ln((1 + n) / (1 + df)) + 1), scaled to unit length per document; `key` is unique.
 
-    Words are cut twice: once to count documents per term, which combines before its shuffle, and once for the weights.
-    While the counted terms fit in a broadcast of known size, weights are computed where the texts lie.
+    Words are cut to count documents per term, which combines before its shuffle, and again for the weights. While the
+    counted terms fit in a broadcast of known size, weights are computed where the texts lie. Else the most frequent that fit
+    are sent; rows of the others, a small share, are joined and go back to their texts as lists.
     """
     distinct = df.select(F.explode(F.array_distinct(words(F.col(text)))).alias("term"))
     spread = written(distinct.groupBy("term").agg(F.count("*").alias("df")), "spread")
@@ -65,6 +76,8 @@ def tfidf(df: DataFrame, key: str, text: str) -> DataFrame:
     size, total = spread.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("term")), F.lit(0))).first()
     if total + 48 * size <= BROADCAST_BYTES:
         return _weighed(df.select(key, words(F.coalesce(text, F.lit(""))).alias("words")), key, spread, n)
+    if _unique(df, key):
+        return _weighed_with_rare(df, key, text, spread, n)
     raw = heavy_join(term_counts(df, key, text), spread, "term", "df").select(
         key, "term", (F.col("tf") * (F.log((1 + n) / (1 + F.col("df"))) + 1)).alias("raw")
     )
@@ -73,27 +86,66 @@ def tfidf(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _weighed(rows: DataFrame, key: str, spread: DataFrame, n: int) -> DataFrame:
+    return _scaled(rows, key, _sent(spread, n))
+
+
+def _sent(spread: DataFrame, n: int):
     local = spread.toPandas()  # at most BROADCAST_BYTES, as measured
     idf = np.log((1 + n) / (1 + local["df"].to_numpy())) + 1
-    shared = rows.sparkSession.sparkContext.broadcast((local["term"].to_list(), idf))
+    return spread.sparkSession.sparkContext.broadcast((local["term"].to_list(), idf))
+
+
+def _scaled(rows: DataFrame, key: str, shared) -> DataFrame:
+    """Weights of `words`: those among the terms sent, and those that a column `rare` lists as (term, raw)."""
 
     def run(batches):
         terms, idf = pa.array(shared.value[0], pa.string()), shared.value[1]
+        places = {term: i for i, term in enumerate(shared.value[0])}
         for batch in (part for whole in batches for part in slices(whole)):
             lists = batch.column("words")
-            at = pc.index_in(lists.flatten(), value_set=terms).to_numpy()
+            # Each distinct word of a slice is looked up once.
+            coded = lists.flatten().dictionary_encode()
+            at = np.array([places.get(w, -1) for w in coded.dictionary.to_pylist()], np.int64)[coded.indices.to_numpy()]
             row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+            row, at = row[at >= 0], at[at >= 0]
             pairs, counts = np.unique(row * len(idf) + at, return_counts=True)
             row, at = np.divmod(pairs, max(1, len(idf)))
-            raw = counts * idf[at]
+            raw, names = counts * idf[at], terms.take(pa.array(at))
+            if "rare" in batch.schema.names:
+                others = batch.column("rare")
+                term, value = others.flatten().flatten()
+                sizes = pc.fill_null(pc.list_value_length(others), 0).to_numpy()
+                row, raw = np.r_[row, np.repeat(np.arange(batch.num_rows), sizes)], np.r_[raw, value.to_numpy()]
+                names = pa.concat_arrays([names, term])
             length = np.sqrt(np.bincount(row, raw * raw, minlength=batch.num_rows))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(key).take(pa.array(row)), terms.take(pa.array(at)), pa.array(raw / length[row])], [key, "term", "weight"]
-            )
+            yield pa.RecordBatch.from_arrays([batch.column(key).take(pa.array(row)), names, pa.array(raw / length[row])], [key, "term", "weight"])
 
     return rows.mapInArrow(run, f"{key} {rows.schema[key].dataType.simpleString()}, term string, weight double")
 
 
+def _weighed_with_rare(df: DataFrame, key: str, text: str, spread: DataFrame, n: int) -> DataFrame:
+    """As many of the most frequent terms as fit are sent. The others, in few texts each, are counted where the texts lie, and
+    only their rows are moved: by term to their counts, then by key to their text, which is moved once.
+    """
+    # Terms by the power of two of their count, some 60 rows.
+    power = F.length(F.bin("df"))
+    steps = spread.groupBy(power.alias("power")).agg((F.sum(F.octet_length("term")) + 48 * F.count("*")).alias("bytes"))
+    border, held = 64, 0
+    for step in sorted(steps.collect(), reverse=True):
+        held += step["bytes"]
+        if held > BROADCAST_BYTES:
+            break
+        border = step["power"]
+    shared = _sent(spread.where(power >= border), n)
+    counts = _counted(df.select(key, words(F.col(text)).alias("words")), key, shared)
+    raw = (F.col("tf") * (F.log((1 + n) / (1 + F.col("df"))) + 1)).alias("raw")
+    rare = counts.join(spread.where(power < border), "term").select(F.col(key).alias("_key"), F.struct("term", raw).alias("pair"))
+    lists = rare.groupBy("_key").agg(F.collect_list("pair").alias("rare"))
+    # The lists are looked up in memory, so texts are not sorted.
+    rows = df.select(key, text).join(lists.hint("shuffle_hash"), F.col(key).eqNullSafe(F.col("_key")), "left")
+    return _scaled(rows.select(key, words(F.coalesce(text, F.lit(""))).alias("words"), "rare"), key, shared)
+
+
 # --- learned vocabulary -----------------------------------------------------
 
 

@@ -1,5 +1,6 @@
 """Vocabularies, ids in text order and subwords against plain Python."""
 
+import math
 import random
 import re
 from collections import Counter
@@ -145,3 +146,37 @@ def test_python_steps_see_few_rows_at_a_time(spark, monkeypatch, bytes):
     seen = slices.sliced("int", lambda rows: pa.array([len(rows)] * len(rows), pa.int32()))
     df = spark.range(500).repartition(2).select(F.repeat(F.lit("x"), 10_000).alias("t"))
     assert df.select(seen("t").alias("n")).agg(F.max("n")).first()[0] < 250
+
+
+def plain_tfidf(texts):
+    counts = {i: Counter(plain_words(t)) for i, t in texts}
+    spread = Counter(w for c in counts.values() for w in c)
+    raw = {i: {w: n * (math.log((1 + len(texts)) / (1 + spread[w])) + 1) for w, n in c.items()} for i, c in counts.items()}
+    return {(i, w): v / math.sqrt(sum(x * x for x in r.values())) for i, r in raw.items() for w, v in r.items()}
+
+
+@pytest.mark.parametrize("bytes", [0, 300, 600, 1 << 20])
+def test_weights_with_some_terms_sent(spark, monkeypatch, bytes):
+    monkeypatch.setattr(features, "BROADCAST_BYTES", bytes)
+    monkeypatch.setattr(features, "heavy_join", None)  # rows of frequent terms are not moved
+    many = [(i, f"all even{i % 2} third{i % 3} seven{i % 7} own{i} own{i} " * (1 + i % 3)) for i in range(30)]
+    texts = [*((i + 100, t) for i, t in TEXTS), *many, (None, "all of no key")]
+    found = features.tfidf(spark.createDataFrame(texts, "doc_id long, text string").repartition(5), "doc_id", "text")
+    weights = {(r.doc_id, r.term): r.weight for r in found.collect()}
+    assert weights == pytest.approx(plain_tfidf(texts)) and len(weights) == found.count()
+
+
+def test_few_rows_are_moved_for_weights(spark, monkeypatch):
+    monkeypatch.setattr(features, "BROADCAST_BYTES", 2000)
+    moved = []
+    counted = features._counted
+    monkeypatch.setattr(features, "_counted", lambda *a: moved.append(counted(*a)) or moved[-1])
+    rows = spark.range(200).select(F.col("id").alias("doc_id"), F.concat(F.lit("some frequent words stay here own"), "id").alias("text"))
+    assert features.tfidf(rows, "doc_id", "text").count() == 1200
+    assert [m.count() for m in moved] == [200]
+
+
+def test_repeated_keys_are_weighed_together(spark, monkeypatch):
+    monkeypatch.setattr(features, "BROADCAST_BYTES", 0)
+    found = features.tfidf(spark.createDataFrame([(1, "one two"), (1, "two")], "doc_id long, text string"), "doc_id", "text")
+    assert sorted(r.term for r in found.collect()) == ["one", "two"]
