@@ -167,6 +167,58 @@ def test_large_searches_send_rows_to_few_tasks(data, clusters, monkeypatch):
     assert sent.pop()[0] < 2 * 4000
 
 
+@pytest.mark.parametrize("metric", vec.METRICS)
+@pytest.mark.parametrize("k", [1, 5, 150])
+def test_packed_rows_equal_brute_force(data, monkeypatch, metric, k):
+    corpus, queries, c, q = data
+    monkeypatch.setattr(vec, "COPIES", 0)
+    monkeypatch.setattr(vec, "TILE_BYTES", 8 * 6 * 60)
+    monkeypatch.setattr(vec, "PACK_ROWS", 7)
+    monkeypatch.setattr(vec, "ASKED_ROWS", 9)
+    same(found(vec.nearest(c, q, k, metric, broadcast_bytes=500)), brute(corpus, queries, k, metric))
+    # Ids and queries that come twice, in double precision.
+    twice = c.union(c).withColumn("vector", F.col("vector").cast("array<double>"))
+    got = found(vec.nearest(twice, q.union(q), k, metric, broadcast_bytes=500))
+    monkeypatch.setattr(vec, "COPIES", 1e9)
+    assert got == found(vec.nearest(twice, q.union(q), k, metric, broadcast_bytes=500))
+
+
+def test_packed_rows_with_text_ids(clusters, monkeypatch):
+    named = clusters.withColumn("id", F.concat(F.lit("k"), "id"))
+    asked = named.withColumnRenamed("id", "query_id")
+    want = found(vec.nearest(named, asked, 3))
+    monkeypatch.setattr(vec, "COPIES", 0)
+    assert found(vec.nearest(named, asked, 3, broadcast_bytes=100)) == want
+
+
+def test_searches_of_many_pieces_move_packs(clusters, monkeypatch):
+    monkeypatch.setattr(vec, "TILE_ROWS", 200)
+    asked = clusters.withColumnRenamed("id", "query_id")
+    moved = []
+    monkeypatch.setattr(vec, "_by_packs", lambda corpus, queries, *rest: moved.append((corpus.rows, queries.rows, *rest[3:5])))
+    monkeypatch.setattr(vec, "_by_tiles", None)
+    vec.nearest(clusters, asked, 3, broadcast_bytes=100)
+    corpus, queries, tiles, blocks = moved.pop()
+    assert corpus.select(F.sum(F.size("names")), F.sum("size")).first() == (4000, 4000 * 16 * 8)
+    assert corpus.count() <= 4000 // 10 and queries.count() <= 4000 // 10
+    # Plain tiles of 200 rows would send each row of either side 20 times.
+    assert tiles + blocks <= 20
+
+
+def test_scores_found_before_narrow_the_search():
+    rng = np.random.default_rng(9)
+    rows, ids = rng.normal(0, 1, (6000, 16)).astype("float32"), np.arange(6000)
+    for metric in vec.METRICS:
+        want = vec._scored_best(rows[:50], 0, ids, rows, 3, metric, 6)
+        best, worst = None, None
+        for a in range(0, 6000, 2000):
+            new = vec._block_best(rows[:50], ids[a : a + 2000], rows[a : a + 2000], 3, metric, 6, worst)
+            assert worst is None or len(new[0]) < 150
+            best = new if best is None else vec._merged(best, new, 3, metric)
+            worst = vec._worst(best, 50, 3)
+        assert np.array_equal(best[0], want[0]) and np.array_equal(best[1], want[1]) and np.allclose(best[2], want[2], atol=2e-6)
+
+
 def test_pieces_give_all_cores_work_within_memory():
     assert vec._pieces(300, 40, 6, 8) == (1, 1)
     tiles, blocks = vec._pieces(50_000, 50_000, 64, 12)
