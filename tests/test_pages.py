@@ -1,3 +1,4 @@
+import gzip
 from pathlib import Path
 
 import pytest
@@ -260,3 +261,21 @@ def test_small_files_are_read_many_a_task(spark, tmp_path, monkeypatch):
         assert pages.distinct().count() == 1000
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", few)
+
+
+def test_pages_are_read_as_bytes_and_stay_the_same_text(spark, tmp_path):
+    texts = [b"", b"\n", b"<p>\xc3\xa9</p>", b"\xef\xbb\xbfmark", b"a\r\nb\r\n", b"zero \x00 byte", b"not \xff utf-8 \xe9", b"x" * 300_000]
+    for i, data in enumerate(texts):
+        (tmp_path / f"sub{i % 2}").mkdir(exist_ok=True)
+        (tmp_path / f"sub{i % 2}/p{i} \u00e9%20.html").write_bytes(data)
+    (tmp_path / "sub0/other.htm").write_bytes(b"no page")
+    (tmp_path / "sub0/more.html.gz").write_bytes(gzip.compress(b"packed"))
+    rows = lambda df: sorted(tuple(map(bytes, r)) for r in df.select(F.col("file").cast("binary"), F.col("html").cast("binary")).collect())
+    pages = readers.read_pages(spark, f"file://{tmp_path}")
+    text = spark.read.text(f"file://{tmp_path}", wholetext=True, pathGlobFilter="*.html", recursiveFileLookup=True)
+    assert rows(pages) == rows(text.select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("html")))
+    # Spark has no row for a file without bytes.
+    assert len(rows(pages)) == len(texts) - 1 and pages.schema["html"].dataType.simpleString() == "string"
+    # The text reader's cost a file is what large folders take most of their time for.
+    assert "binaryFile" in pages._jdf.queryExecution().toString()
+    assert [r.html for r in readers.read_pages(spark, f"file://{tmp_path}", "*.gz").collect()] == ["packed"]
